@@ -7,6 +7,7 @@ function returns a lazy DataFrame in the column order of its contract.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from arrivals_mart.contracts import (
     COUNTRY_TEMPERATURE_DIM,
@@ -114,9 +115,11 @@ def airport_dimension(airports: DataFrame) -> DataFrame:
 
 
 def demographics_dimension(demographics: DataFrame) -> DataFrame:
-    return group_means(demographics, "stateCode", DEMOGRAPHIC_MEANS, drop=("race", "count")).select(
-        *DEMOGRAPHICS_DIM.columns
-    )
+    """State means over distinct cities. Cities without a state code form a
+    group of their own in the means; that group is left out here, since a
+    dimension key may not be null."""
+    means = group_means(demographics, "stateCode", DEMOGRAPHIC_MEANS, drop=("race", "count"))
+    return means.where(F.col("stateCode").isNotNull()).select(*DEMOGRAPHICS_DIM.columns)
 
 
 def country_dimension(countries: DataFrame, temperatures: DataFrame) -> DataFrame:
