@@ -1,0 +1,10 @@
+import contextlib
+import io
+
+
+def plan_text(df, mode="formatted") -> str:
+    """The text ``df.explain(mode)`` prints."""
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode)
+    return buf.getvalue()

@@ -1,0 +1,62 @@
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from arrivals_mart.functions import (
+    TRAVEL_MODE_DEFAULT,
+    TRAVEL_MODE_LABELS,
+    as_double,
+    as_int,
+    as_text,
+    calendar_columns,
+    char_date,
+    code_label,
+    day_number_to_date,
+    trimmed,
+)
+
+
+def test_as_int_truncates_and_nulls_bad_values(spark):
+    df = spark.createDataFrame(
+        [(93.7,), (-1.5,), (float("nan"),), (3e10,), (None,), (20574.0,)], "x double"
+    )
+    got = [r[0] for r in df.select(as_int("x")).collect()]
+    assert got == [93, -1, None, None, None, 20574]
+
+
+def test_as_double_and_text(spark):
+    df = spark.createDataFrame([("1.5", 93.0), ("abc", None)], "s string, d double")
+    rows = df.select(as_double("s").alias("a"), as_text("d").alias("b")).collect()
+    assert [tuple(r) for r in rows] == [(1.5, "93.0"), (None, None)]
+
+
+def test_trim_strips_spaces_only(spark):
+    df = spark.createDataFrame([("  NYC ",), ("\tX",), (None,)], "s string")
+    assert [r[0] for r in df.select(trimmed("s")).collect()] == ["NYC", "\tX", None]
+
+
+def test_char_date_parses_or_nulls(spark):
+    df = spark.createDataFrame([("20160430",), ("D/S",), (None,), ("2016-04-30",)], "s string")
+    got = [r[0] for r in df.select(char_date("s")).collect()]
+    assert got == [dt.date(2016, 4, 30), None, None, None]
+
+
+def test_char_date_of_a_number_goes_through_digits(spark):
+    df = spark.createDataFrame([(20160430.0,), (float("nan"),)], "d double")
+    got = [r[0] for r in df.select(char_date("d", source_type=df.schema["d"].dataType)).collect()]
+    assert got == [dt.date(2016, 4, 30), None]
+
+
+def test_day_number_and_calendar(spark):
+    df = spark.createDataFrame([(20574,), (0,)], "n int")
+    d = day_number_to_date("n")
+    parts = calendar_columns(d)
+    rows = df.select(d.alias("d"), *[c.alias(k) for k, c in parts.items()]).collect()
+    assert tuple(rows[0]) == (dt.date(2016, 4, 30), 30, 4, 2016, "Sat")
+    assert tuple(rows[1]) == (dt.date(1960, 1, 1), 1, 1, 1960, "Fri")
+
+
+def test_code_label(spark):
+    df = spark.createDataFrame([(1,), (2,), (3,), (9,), (0,), (None,)], "k int")
+    got = [r[0] for r in df.select(code_label(F.col("k"), TRAVEL_MODE_LABELS, TRAVEL_MODE_DEFAULT)).collect()]
+    assert got == ["Air", "Sea", "Land", "Not reported", "Undefined", "Undefined"]

@@ -1,0 +1,30 @@
+"""Plan shape of the questions: the fact is aggregated before any join,
+small dimensions are broadcast, scans read only the needed columns."""
+
+import re
+
+import __spark_entry__ as E
+from arrivals_mart.operators import broadcast_if_small, fits_broadcast
+from conftest import SF001
+from plan_util import plan_text
+
+
+def test_port_month_plan(spark):
+    text = plan_text(E.q_arrivals_by_port_month(spark, SF001))
+    tree = text.split("\n\n")[0]
+    assert tree.count("BroadcastHashJoin") == 2
+    assert "SortMergeJoin" not in tree
+    # the lineitem scan reads only the three columns the question needs
+    scans = re.findall(r"ReadSchema: (struct<[^>]*>)", text)
+    assert "struct<l_suppkey:bigint,l_discount:double,l_shipdate:timestamp_ntz>" in scans
+    # the first aggregate over the fact is partial (map-side) before any exchange
+    assert "partial_count" in text
+
+
+def test_broadcast_check(spark):
+    small = spark.range(10)
+    assert fits_broadcast(small, 10) and not fits_broadcast(small, 9)
+    assert "BroadcastHashJoin" in plan_text(spark.range(1000).join(broadcast_if_small(small, 10), "id"))
+    assert "BroadcastHashJoin" not in plan_text(
+        spark.range(10_000_000).join(broadcast_if_small(spark.range(5_000_000), 10), "id")
+    )

@@ -1,0 +1,52 @@
+import glob
+import os
+
+import pytest
+
+from arrivals_mart.contracts import ARRIVALS_INPUT, IMMIG_FACT, VISA_TYPE_DIM
+from arrivals_mart.operators import quality_report, require_quality
+from arrivals_mart.plans.tables import build_fact
+from arrivals_mart.sinks import read_table, refresh_table, write_table
+from fixtures import ARRIVALS
+
+
+def test_partitioned_write_keeps_source_column(spark, tmp_dir):
+    fact = build_fact(spark.createDataFrame(ARRIVALS, ARRIVALS_INPUT))
+    path = write_table(fact, f"{tmp_dir}/fact", IMMIG_FACT)
+    dirs = sorted(os.path.basename(p) for p in glob.glob(f"{path}/partition_port=*"))
+    assert dirs == ["partition_port=LOS", "partition_port=NYC", "partition_port=SFR"]
+    files = glob.glob(f"{path}/partition_port=*/i94_month=*/*.parquet")
+    # one file per directory after the rebalance
+    assert len(files) == len(glob.glob(f"{path}/partition_port=*/i94_month=*"))
+    stored = spark.read.parquet(files[0]).columns
+    assert stored == IMMIG_FACT.columns
+    back = read_table(spark, path, IMMIG_FACT)
+    assert back.schema == IMMIG_FACT.read_schema()
+    assert back.count() == len(ARRIVALS)
+    assert back.where("i94_port = partition_port").count() == len(ARRIVALS)
+
+
+def _visa(spark, codes):
+    return spark.createDataFrame([(c, "x") for c in codes], "visa_category_id int, visa_type string")
+
+
+def test_refresh_twice_keeps_one_copy(spark, tmp_dir):
+    for _ in range(2):
+        refresh_table(spark, _visa(spark, [1, 2, 3]), tmp_dir, VISA_TYPE_DIM, view="visa_refresh_test")
+    assert spark.table("visa_refresh_test").count() == 3
+
+
+def test_append_twice_keeps_both(spark, tmp_dir):
+    for _ in range(2):
+        write_table(_visa(spark, [1, 2]), f"{tmp_dir}/v", VISA_TYPE_DIM, mode="append")
+    assert read_table(spark, f"{tmp_dir}/v", VISA_TYPE_DIM).count() == 4
+
+
+def test_failed_check_keeps_previous_version(spark, tmp_dir):
+    def check(df):
+        require_quality(quality_report({"visa_type_dim": (df, "visa_category_id")}))
+
+    refresh_table(spark, _visa(spark, [1, 2]), tmp_dir, VISA_TYPE_DIM, check=check, view="visa_guarded")
+    with pytest.raises(ValueError):
+        refresh_table(spark, _visa(spark, [None, 5]), tmp_dir, VISA_TYPE_DIM, check=check, view="visa_guarded")
+    assert sorted(r[0] for r in spark.table("visa_guarded").collect()) == [1, 2]
