@@ -16,6 +16,7 @@ from arrivals_mart.operators.joins import (
 )
 from arrivals_mart.operators.quality import (
     QualityError,
+    check_report,
     key_duplicates,
     quality_report,
     require_quality,
@@ -37,6 +38,7 @@ __all__ = [
     "fits_broadcast",
     "star_join",
     "QualityError",
+    "check_report",
     "key_duplicates",
     "quality_report",
     "require_quality",

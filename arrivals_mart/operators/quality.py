@@ -43,9 +43,16 @@ class QualityError(ValueError):
 
 def require_quality(report: DataFrame) -> list[Row]:
     """Collect the report and raise :class:`QualityError` when any table is
-    empty or has null keys. Emptiness is checked for all tables first, then
-    the null keys; the message carries the real null count."""
-    rows = report.collect()
+    empty or has null keys (see :func:`check_report`)."""
+    return check_report(report.collect())
+
+
+def check_report(rows: Iterable) -> list:
+    """Raise :class:`QualityError` for report rows (``table_name``,
+    ``key_column``, ``row_count``, ``null_keys``) of empty tables or tables
+    with null keys. Emptiness is checked for all tables first, then the null
+    keys; the message carries the real null count."""
+    rows = list(rows)
     failures = [f"{r.table_name} contains 0 rows" for r in rows if r.row_count < 1]
     failures += [
         f"{r.table_name} contains {r.null_keys} null values in column {r.key_column}"

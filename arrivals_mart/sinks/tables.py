@@ -18,7 +18,7 @@ import time
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from arrivals_mart.contracts import Contract
@@ -40,12 +40,18 @@ def write_table(
     partition_by: Mapping[str, str] | Sequence[str] | None = None,
     mode: str = "overwrite",
     rebalance: bool = True,
+    observation: Observation | None = None,
 ) -> str:
     """Write ``df`` as Parquet at ``path``; returns ``path``.
 
     With a contract, its columns are written in contract order and its
     ``partition_by`` applies unless one is passed. ``partition_by`` maps a
     directory column to its source column (a list means "same name").
+
+    ``observation`` (with a contract) collects ``row_count`` and
+    ``null_keys`` of the contract's key from the rows as they are written:
+    the check costs no second pass over the table. It is attached after the
+    rebalance, in the writing stage, where each task counts once.
     """
     if partition_by is None:
         partition_by = contract.partition_by if contract is not None else {}
@@ -62,12 +68,25 @@ def write_table(
             df = df.drop(*dropped)
         if rebalance:
             df = df.hint("rebalance", *parts)
-        df.write.mode(mode).partitionBy(*parts).parquet(path)
+        _observe(df, contract, observation).write.mode(mode).partitionBy(*parts).parquet(path)
     else:
-        df.write.mode(mode).parquet(path)
+        _observe(df, contract, observation).write.mode(mode).parquet(path)
     return path
 
 
+def _observe(df: DataFrame, contract: Contract | None, observation: Observation | None) -> DataFrame:
+    if observation is None:
+        return df
+    if contract is None:
+        raise ValueError("an observation needs a contract (for its key)")
+    key = F.col(contract.key[0])
+    return df.observe(
+        observation,
+        F.count(F.lit(1)).alias("row_count"),
+        F.count_if(key.isNull()).alias("null_keys"),
+    )
+
+
 def read_table(spark: SparkSession, path: str, contract: Contract | None = None) -> DataFrame:
     """Read a table written by :func:`write_table`. With a contract, the
     partition columns come back with their declared types."""
