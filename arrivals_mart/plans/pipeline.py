@@ -34,7 +34,7 @@ from arrivals_mart.plans.tables import (
     travel_mode_dimension,
     visa_dimension,
 )
-from arrivals_mart.sinks.tables import publish, stage_path, write_table
+from arrivals_mart.sinks.tables import publish, render_path, stage_path, write_table
 from arrivals_mart.sources.files import read_csv, read_parquet
 
 
@@ -55,9 +55,11 @@ def read_inputs(
     demographics: str = "us-cities-demographics.csv",
     temperatures: str = "GlobalLandTemperaturesByCity.csv",
     countries: str = "country_code.csv",
+    params: dict | None = None,
 ) -> Inputs:
-    """Scan the inputs below ``root`` (any Hadoop URI) with declared schemas."""
-    root = root.rstrip("/")
+    """Scan the inputs below ``root`` (any Hadoop URI) with declared schemas.
+    ``root`` may be a template filled from ``params`` (e.g. ``in/{ds}``)."""
+    root = render_path(root, **(params or {})).rstrip("/")
     return Inputs(
         arrivals=read_parquet(spark, f"{root}/{arrivals}", ARRIVALS_INPUT),
         airports=read_csv(spark, f"{root}/{airports}", AIRPORTS_INPUT),
@@ -100,12 +102,20 @@ class RunResult:
     report: list[Row]
 
 
-def run_pipeline(spark: SparkSession, inputs: Inputs, output: str, publish_views: bool = True) -> RunResult:
+def run_pipeline(
+    spark: SparkSession,
+    inputs: Inputs,
+    output: str,
+    publish_views: bool = True,
+    params: dict | None = None,
+) -> RunResult:
     """Stage all seven tables below ``output``, check them, then publish.
+    ``output`` may be a template filled from ``params``.
 
     Raises :class:`~arrivals_mart.operators.quality.QualityError` (and
     publishes nothing) when a table is empty or has a null key.
     """
+    output = render_path(output, **(params or {}))
     tables = build_mart(inputs)
     paths: dict[str, str] = {}
     report: list[Row] = []

@@ -1,5 +1,12 @@
 """Writers: partitioned Parquet tables, appends, and checked refreshes."""
 
-from arrivals_mart.sinks.tables import publish, read_table, refresh_table, stage_path, write_table
+from arrivals_mart.sinks.tables import (
+    publish,
+    read_table,
+    refresh_table,
+    render_path,
+    stage_path,
+    write_table,
+)
 
-__all__ = ["publish", "read_table", "refresh_table", "stage_path", "write_table"]
+__all__ = ["publish", "read_table", "refresh_table", "render_path", "stage_path", "write_table"]

@@ -96,6 +96,12 @@ def read_table(spark: SparkSession, path: str, contract: Contract | None = None)
     return reader.parquet(path)
 
 
+def render_path(template: str, **params: object) -> str:
+    """Fill a run-specific path template such as ``out/{ds}/`` from the
+    run's parameters (a missing parameter is an error)."""
+    return template.format(**params)
+
+
 def stage_path(root: str, name: str) -> str:
     """A fresh version path ``{root}/{name}/v{millis}-{random}``."""
     return f"{root.rstrip('/')}/{name}/v{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"

@@ -64,3 +64,10 @@ def test_failed_check_publishes_nothing(spark, tmp_dir):
         run_pipeline(spark, bad, f"{tmp_dir}/out")
     assert "immig_fact contains 1 null values in column cicid" in err.value.failures
     assert _counts(spark) == before
+
+
+def test_run_paths_are_templates(spark, tmp_dir):
+    inputs = read_inputs(spark, write_inputs(spark, f"{tmp_dir}/2016-04/in").replace("2016-04", "{ds}"),
+                         params={"ds": "2016-04"})
+    result = run_pipeline(spark, inputs, f"{tmp_dir}/{{ds}}/out", publish_views=False, params={"ds": "2016-04"})
+    assert all(p.startswith(f"{tmp_dir}/2016-04/out/") for p in result.paths.values())

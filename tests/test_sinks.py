@@ -50,3 +50,18 @@ def test_failed_check_keeps_previous_version(spark, tmp_dir):
     with pytest.raises(ValueError):
         refresh_table(spark, _visa(spark, [None, 5]), tmp_dir, VISA_TYPE_DIM, check=check, view="visa_guarded")
     assert sorted(r[0] for r in spark.table("visa_guarded").collect()) == [1, 2]
+
+
+def test_render_path():
+    from arrivals_mart.sinks import render_path
+
+    assert render_path("s3a://b/out/{ds}/", ds="2016-04-30") == "s3a://b/out/2016-04-30/"
+    with pytest.raises(KeyError):
+        render_path("out/{ds}")
+
+
+def test_preview_prints_rows(spark, capsys):
+    from arrivals_mart.sources import preview
+
+    preview(spark.createDataFrame([("a" * 30,)], "s string"), 1, truncate=False)
+    assert "a" * 30 in capsys.readouterr().out
