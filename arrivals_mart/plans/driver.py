@@ -21,7 +21,6 @@ only in case, and cities repeated once per race.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from arrivals_mart.contracts import (
     AIRPORTS_INPUT,
@@ -30,7 +29,6 @@ from arrivals_mart.contracts import (
     DEMOGRAPHICS_INPUT,
     TEMPERATURES_INPUT,
 )
-from arrivals_mart.functions.columns import SAS_EPOCH
 from arrivals_mart.operators.joins import broadcast_if_small
 from arrivals_mart.sources.files import read_parquet
 
@@ -41,86 +39,106 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _text(c) -> F.Column:
-    return c.cast("string")
+def _conform(df: DataFrame, schema) -> DataFrame:
+    return df.selectExpr(*[f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields])
+
+
+# The derivations are Spark SQL expression lists: the JVM parses each list in
+# one call, which keeps plan construction on the driver cheap.
+
+_DAY_NO = "CAST(datediff(CAST(l_shipdate AS DATE), DATE'1960-01-01') AS DOUBLE)"
+
+ARRIVALS_EXPRS = (
+    "CAST(l_orderkey * 8 + l_linenumber AS DOUBLE) AS cicid",
+    "CAST(year(l_shipdate) AS DOUBLE) AS i94yr",
+    "CAST(month(l_shipdate) AS DOUBLE) AS i94mon",
+    "CAST(l_partkey % 25 AS DOUBLE) AS i94cit",
+    "CAST(l_suppkey % 25 AS DOUBLE) AS i94res",
+    "concat('  P', CAST(l_suppkey AS STRING), ' ') AS i94port",
+    f"{_DAY_NO} + l_discount AS arrdate",
+    "CASE WHEN l_linenumber = 7 THEN CAST(NULL AS DOUBLE) WHEN l_linenumber = 6 THEN 9.0D"
+    " ELSE CAST(l_linenumber - 1 AS DOUBLE) END AS i94mode",
+    "concat('S', CAST(l_partkey % 25 AS STRING)) AS i94addr",
+    f"({_DAY_NO} + l_discount) + l_quantity AS depdate",
+    "l_quantity AS i94bir",
+    "CASE WHEN l_linenumber = 7 THEN CAST(NULL AS DOUBLE) ELSE CAST(l_linenumber % 4 AS DOUBLE) END AS i94visa",
+    "1.0D AS count",
+    "CASE WHEN l_orderkey % 10 = 0 THEN 'D/S' ELSE date_format(l_shipdate, 'yyyyMMdd') END AS dtadfile",
+    "l_returnflag AS visapost",
+    "l_linestatus AS occup",
+    "l_returnflag AS entdepa",
+    "l_linestatus AS entdepd",
+    "CASE WHEN l_linenumber = 1 THEN 'U' END AS entdepu",
+    "CASE WHEN l_linestatus = 'F' THEN 'M' END AS matflag",
+    "CAST(year(l_shipdate) AS DOUBLE) - l_quantity AS biryear",
+    "date_format(date_add(CAST(l_shipdate AS DATE), 90), 'yyyyMMdd') AS dtaddto",
+    "CASE WHEN l_linenumber % 2 = 0 THEN 'F' ELSE 'M' END AS gender",
+    "CAST(l_partkey AS STRING) AS insnum",
+    "concat('A', CAST(l_suppkey % 10 AS STRING)) AS airline",
+    "CAST(l_orderkey AS DOUBLE) * 100000.0D + l_partkey AS admnum",
+    "CAST(l_partkey % 1000 AS STRING) AS fltno",
+    "CASE WHEN l_linenumber % 4 = 1 THEN 'B1' WHEN l_linenumber % 4 = 2 THEN 'B2' ELSE 'F1' END AS visatype",
+)
 
+AIRPORTS_EXPRS = (
+    "concat('ID', CAST(s_suppkey AS STRING)) AS ident",
+    "CASE WHEN s_suppkey % 3 = 0 THEN 'small_airport' WHEN s_suppkey % 3 = 1 THEN 'heliport'"
+    " ELSE 'large_airport' END AS type",
+    "concat('  ', s_name, ' ') AS name",
+    "try_cast(s_acctbal AS INT) AS elevation_ft",
+    "'NA' AS continent",
+    "concat('N', CAST(s_nationkey AS STRING)) AS iso_country",
+    "concat('N', CAST(s_nationkey AS STRING), '-', CAST(s_suppkey % 5 AS STRING)) AS iso_region",
+    "concat(' City ', CAST(s_nationkey AS STRING)) AS municipality",
+    "concat('G', CAST(s_suppkey AS STRING)) AS gps_code",
+    "CAST(NULL AS STRING) AS iata_code",
+    "CASE WHEN s_suppkey % 7 = 0 THEN CAST(NULL AS STRING)"
+    " ELSE concat(' P', CAST(s_suppkey AS STRING), '  ') END AS local_code",
+    "concat(CAST(s_nationkey AS STRING), ', ', CAST(s_suppkey AS STRING)) AS coordinates",
+)
 
-def _null(dtype: str) -> F.Column:
-    return F.lit(None).cast(dtype)
+TEMPERATURES_EXPRS = (
+    "CAST(NULL AS DATE) AS dt",
+    "CASE WHEN c_custkey % 10 = 0 THEN CAST(NULL AS DOUBLE)"
+    " ELSE CAST(try_cast(c_acctbal AS INT) AS DOUBLE) / 4 END AS AverageTemperature",
+    "CAST(c_custkey % 7 AS DOUBLE) / 4 AS AverageTemperatureUncertainty",
+    "c_name AS City",
+    "CASE WHEN n_regionkey = 4 THEN lower(n_name) ELSE n_name END AS Country",
+    "CAST(NULL AS STRING) AS Latitude",
+    "CAST(NULL AS STRING) AS Longitude",
+)
+
+DEMOGRAPHICS_EXPRS = (
+    "c_name AS city",
+    "concat('STATE_', CAST(c_nationkey AS STRING)) AS state",
+    "CAST(c_custkey % 60 AS DOUBLE) + 20.5D AS medianAge",
+    "CAST(c_custkey % 5000 AS INT) AS malePopulation",
+    "CAST((c_custkey * 3) % 4001 AS INT) AS femalePopulation",
+    "CAST(c_custkey % 5000 AS INT) + CAST((c_custkey * 3) % 4001 AS INT) AS totalPopulation",
+    "CASE WHEN c_custkey % 9 = 0 THEN CAST(NULL AS INT) ELSE CAST(c_custkey % 100 AS INT) END AS noOfVeterans",
+    "CAST(c_nationkey * 10 AS INT) AS foreignBorn",
+    "CAST(c_custkey % 5 AS DOUBLE) / 2 + 1.0D AS averageHouseHoldSize",
+    "CASE WHEN c_custkey % 50 = 0 THEN CAST(NULL AS STRING)"
+    " ELSE concat('S', CAST(c_nationkey AS STRING)) END AS stateCode",
+    "o_orderpriority AS race",
+    "CAST(o_orderkey % 1000 AS INT) AS count",
+)
 
 
 def arrivals_from_lineitem(lineitem: DataFrame) -> DataFrame:
     """One arrival per line item (28 raw columns, numbers as DOUBLE)."""
-    line = F.col("l_linenumber")
-    ship = F.col("l_shipdate")
-    day_no = F.datediff(ship.cast("date"), F.lit(SAS_EPOCH)).cast("double")
-    arrdate = day_no + F.col("l_discount")
-    out = lineitem.select(
-        (F.col("l_orderkey") * 8 + line).cast("double").alias("cicid"),
-        F.year(ship).cast("double").alias("i94yr"),
-        F.month(ship).cast("double").alias("i94mon"),
-        (F.col("l_partkey") % 25).cast("double").alias("i94cit"),
-        (F.col("l_suppkey") % 25).cast("double").alias("i94res"),
-        F.concat(F.lit("  P"), _text(F.col("l_suppkey")), F.lit(" ")).alias("i94port"),
-        arrdate.alias("arrdate"),
-        F.when(line == 7, _null("double"))
-        .when(line == 6, F.lit(9.0))
-        .otherwise((line - 1).cast("double"))
-        .alias("i94mode"),
-        F.concat(F.lit("S"), _text(F.col("l_partkey") % 25)).alias("i94addr"),
-        (arrdate + F.col("l_quantity")).alias("depdate"),
-        F.col("l_quantity").alias("i94bir"),
-        F.when(line == 7, _null("double")).otherwise((line % 4).cast("double")).alias("i94visa"),
-        F.lit(1.0).alias("count"),
-        F.when(F.col("l_orderkey") % 10 == 0, F.lit("D/S"))
-        .otherwise(F.date_format(ship, "yyyyMMdd"))
-        .alias("dtadfile"),
-        F.col("l_returnflag").alias("visapost"),
-        F.col("l_linestatus").alias("occup"),
-        F.col("l_returnflag").alias("entdepa"),
-        F.col("l_linestatus").alias("entdepd"),
-        F.when(line == 1, F.lit("U")).alias("entdepu"),
-        F.when(F.col("l_linestatus") == "F", F.lit("M")).alias("matflag"),
-        (F.year(ship).cast("double") - F.col("l_quantity")).alias("biryear"),
-        F.date_format(F.date_add(ship.cast("date"), 90), "yyyyMMdd").alias("dtaddto"),
-        F.when(line % 2 == 0, F.lit("F")).otherwise(F.lit("M")).alias("gender"),
-        _text(F.col("l_partkey")).alias("insnum"),
-        F.concat(F.lit("A"), _text(F.col("l_suppkey") % 10)).alias("airline"),
-        (F.col("l_orderkey").cast("double") * 100000.0 + F.col("l_partkey")).alias("admnum"),
-        _text(F.col("l_partkey") % 1000).alias("fltno"),
-        F.when(line % 4 == 1, F.lit("B1")).when(line % 4 == 2, F.lit("B2")).otherwise(F.lit("F1")).alias("visatype"),
-    )
-    return out.select(*[F.col(f.name).cast(f.dataType) for f in ARRIVALS_INPUT.fields])
+    return _conform(lineitem.selectExpr(*ARRIVALS_EXPRS), ARRIVALS_INPUT)
 
 
 def airports_from_supplier(supplier: DataFrame) -> DataFrame:
     """One airport per supplier; every seventh has no local code."""
-    key = F.col("s_suppkey")
-    nat = _text(F.col("s_nationkey"))
-    out = supplier.select(
-        F.concat(F.lit("ID"), _text(key)).alias("ident"),
-        F.when(key % 3 == 0, F.lit("small_airport"))
-        .when(key % 3 == 1, F.lit("heliport"))
-        .otherwise(F.lit("large_airport"))
-        .alias("type"),
-        F.concat(F.lit("  "), F.col("s_name"), F.lit(" ")).alias("name"),
-        F.col("s_acctbal").try_cast("int").alias("elevation_ft"),
-        F.lit("NA").alias("continent"),
-        F.concat(F.lit("N"), nat).alias("iso_country"),
-        F.concat(F.lit("N"), nat, F.lit("-"), _text(key % 5)).alias("iso_region"),
-        F.concat(F.lit(" City "), nat).alias("municipality"),
-        F.concat(F.lit("G"), _text(key)).alias("gps_code"),
-        _null("string").alias("iata_code"),
-        F.when(key % 7 == 0, _null("string")).otherwise(F.concat(F.lit(" P"), _text(key), F.lit("  "))).alias("local_code"),
-        F.concat(nat, F.lit(", "), _text(key)).alias("coordinates"),
-    )
-    return out.select(*[F.col(f.name).cast(f.dataType) for f in AIRPORTS_INPUT.fields])
+    return _conform(supplier.selectExpr(*AIRPORTS_EXPRS), AIRPORTS_INPUT)
 
 
 def countries_from_nation(nation: DataFrame) -> DataFrame:
-    return nation.select(
-        F.col("n_nationkey").cast("int").alias("country_code"), F.col("n_name").alias("country")
-    ).select(*[F.col(f.name).cast(f.dataType) for f in COUNTRIES_INPUT.fields])
+    return _conform(
+        nation.selectExpr("CAST(n_nationkey AS INT) AS country_code", "n_name AS country"), COUNTRIES_INPUT
+    )
 
 
 def temperatures_from_customer(customer: DataFrame, nation: DataFrame) -> DataFrame:
@@ -128,48 +146,18 @@ def temperatures_from_customer(customer: DataFrame, nation: DataFrame) -> DataFr
 
     Values are quarters so that means are exact in any summation order.
     Nations of region 4 spell their name in lower case and so match no code.
+    Nation is the fixed 25-row table; it is broadcast after the size check.
     """
-    key = F.col("c_custkey")
     nations = broadcast_if_small(nation.select("n_nationkey", "n_name", "n_regionkey"))
     joined = customer.join(nations, customer["c_nationkey"] == nations["n_nationkey"])
-    out = joined.select(
-        _null("date").alias("dt"),
-        F.when(key % 10 == 0, _null("double"))
-        .otherwise(F.col("c_acctbal").try_cast("int").cast("double") / 4)
-        .alias("AverageTemperature"),
-        ((key % 7).cast("double") / 4).alias("AverageTemperatureUncertainty"),
-        F.col("c_name").alias("City"),
-        F.when(F.col("n_regionkey") == 4, F.lower(F.col("n_name"))).otherwise(F.col("n_name")).alias("Country"),
-        _null("string").alias("Latitude"),
-        _null("string").alias("Longitude"),
-    )
-    return out.select(*[F.col(f.name).cast(f.dataType) for f in TEMPERATURES_INPUT.fields])
+    return _conform(joined.selectExpr(*TEMPERATURES_EXPRS), TEMPERATURES_INPUT)
 
 
 def demographics_from_orders(orders: DataFrame, customer: DataFrame) -> DataFrame:
     """One row per order: the ordering customer is the city, the order
     priority its race, so each city repeats once per race row."""
-    key = F.col("c_custkey")
     joined = orders.join(customer, orders["o_custkey"] == customer["c_custkey"])
-    male = (key % 5000).cast("int")
-    female = ((key * 3) % 4001).cast("int")
-    out = joined.select(
-        F.col("c_name").alias("city"),
-        F.concat(F.lit("STATE_"), _text(F.col("c_nationkey"))).alias("state"),
-        ((key % 60).cast("double") + 20.5).alias("medianAge"),
-        male.alias("malePopulation"),
-        female.alias("femalePopulation"),
-        (male + female).alias("totalPopulation"),
-        F.when(key % 9 == 0, _null("int")).otherwise((key % 100).cast("int")).alias("noOfVeterans"),
-        (F.col("c_nationkey") * 10).cast("int").alias("foreignBorn"),
-        ((key % 5).cast("double") / 2 + 1.0).alias("averageHouseHoldSize"),
-        F.when(key % 50 == 0, _null("string"))
-        .otherwise(F.concat(F.lit("S"), _text(F.col("c_nationkey"))))
-        .alias("stateCode"),
-        F.col("o_orderpriority").alias("race"),
-        (F.col("o_orderkey") % 1000).cast("int").alias("count"),
-    )
-    return out.select(*[F.col(f.name).cast(f.dataType) for f in DEMOGRAPHICS_INPUT.fields])
+    return _conform(joined.selectExpr(*DEMOGRAPHICS_EXPRS), DEMOGRAPHICS_INPUT)
 
 
 def driver_inputs(spark: SparkSession, sf_dir: str):
