@@ -320,7 +320,7 @@ arrivals AS (
     CAST(month(l_shipdate) AS DOUBLE) AS i94mon,
     CAST(l_partkey % 25 AS DOUBLE) AS i94cit,
     CAST(l_suppkey % 25 AS DOUBLE) AS i94res,
-    '  P' || CAST(l_suppkey AS VARCHAR) || ' ' AS i94port,
+    '  P' || CAST(l_suppkey % 660 AS VARCHAR) || ' ' AS i94port,
     {_DAY_NO} + l_discount AS arrdate,
     CASE WHEN l_linenumber = 7 THEN NULL WHEN l_linenumber = 6 THEN CAST(9 AS DOUBLE)
          ELSE CAST(l_linenumber - 1 AS DOUBLE) END AS i94mode,
