@@ -69,28 +69,18 @@ def read_inputs(
     )
 
 
-def build_mart(inputs: Inputs, fact: DataFrame | None = None) -> dict[str, DataFrame]:
+def build_mart(inputs: Inputs) -> dict[str, DataFrame]:
     """The seven tables as lazy DataFrames, keyed by table name.
 
-    With ``fact`` (a conformed fact, e.g. the staged one) the visa, travel
-    mode and time dimensions are derived from its code columns instead of
-    the raw arrivals; the result is the same.
+    The visa, travel mode and time dimensions each read one column of the raw
+    arrivals (the scan is pruned to it); the fact is a projection of them.
     """
-    if fact is None:
-        visa = visa_dimension(inputs.arrivals)
-        mode = travel_mode_dimension(inputs.arrivals)
-        days = time_dimension(inputs.arrivals)
-        fact = build_fact(inputs.arrivals)
-    else:
-        visa = visa_dimension(fact, code="visa_category_id")
-        mode = travel_mode_dimension(fact, code="travel_mode_id")
-        days = time_dimension(fact, day_number="i94_arrival_date")
     return {
-        "immig_fact": fact,
+        "immig_fact": build_fact(inputs.arrivals),
         "airport_dim": airport_dimension(inputs.airports),
-        "visa_type_dim": visa,
-        "travel_mode_dim": mode,
-        "time_dim": days,
+        "visa_type_dim": visa_dimension(inputs.arrivals),
+        "travel_mode_dim": travel_mode_dimension(inputs.arrivals),
+        "time_dim": time_dimension(inputs.arrivals),
         "country_temperature_dim": country_dimension(inputs.countries, inputs.temperatures),
         "demographics_dim": demographics_dimension(inputs.demographics),
     }

@@ -63,9 +63,10 @@ def write_table(
     parts = list(partition_by)
     if parts:
         df = _with_partition_copies(df, partition_by)
-        dropped = [s for p, s in partition_by.items() if p != s and contract is not None and s not in contract.columns]
-        if dropped:
-            df = df.drop(*dropped)
+        if contract is not None:
+            # A source outside the contract lives only in its directory copy.
+            only_in_dirs = [s for p, s in partition_by.items() if p != s and s not in contract.columns]
+            df = df.drop(*only_in_dirs)
         if rebalance:
             df = df.hint("rebalance", *parts)
         _observe(df, contract, observation).write.mode(mode).partitionBy(*parts).parquet(path)

@@ -10,6 +10,10 @@ half-written output visible, and rows are never doubled. With
 which fits a daily scheduled run.
 
 The conversion is stateless: no shuffle, no watermark, no state store.
+AQE does not run inside micro-batches, so there is no REBALANCE here: each
+task writes the directories its rows fall into. Bound the batch size with
+``max_files_per_trigger``; the daily batch refresh (``run_pipeline``)
+rewrites the table in rebalanced, well-sized files.
 """
 
 from __future__ import annotations
