@@ -28,7 +28,7 @@ from pyspark.sql.types import (  # noqa: E402
 )
 
 from arrivals_mart.contracts import AIRPORT_DIM, DEMOGRAPHICS_INPUT, IMMIG_FACT, MART  # noqa: E402
-from arrivals_mart.functions.columns import char_date  # noqa: E402
+from arrivals_mart.functions.columns import char_date, day_number_range  # noqa: E402
 from arrivals_mart.operators import (  # noqa: E402
     group_means,
     key_duplicates,
@@ -310,6 +310,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 # -------------------------------------------------------------- oracles ---
 
+_DAY_RANGE = day_number_range()
 _DAY_NO = "CAST(date_diff('day', DATE '1960-01-01', CAST(l_shipdate AS DATE)) AS DOUBLE)"
 
 ARRIVALS_SQL = f"""
@@ -409,7 +410,8 @@ time_dim AS (
          CAST(month(DATE '1960-01-01' + k) AS INTEGER) AS month,
          CAST(year(DATE '1960-01-01' + k) AS INTEGER) AS year,
          strftime(DATE '1960-01-01' + k, '%a') AS weekday
-  FROM (SELECT DISTINCT {_int('arrdate')} AS k FROM arrivals) WHERE k IS NOT NULL
+  FROM (SELECT DISTINCT {_int('arrdate')} AS k FROM arrivals)
+  WHERE k BETWEEN {_DAY_RANGE[0]} AND {_DAY_RANGE[1]}
 )"""
 
 AIRPORTS_SQL = """

@@ -11,8 +11,10 @@ from arrivals_mart.functions.columns import (
     as_text,
     calendar_columns,
     char_date,
+    day_number_range,
     day_number_to_date,
     trimmed,
+    valid_day_number,
 )
 from arrivals_mart.functions.labels import (
     TRAVEL_MODE_DEFAULT,
@@ -29,8 +31,10 @@ __all__ = [
     "as_text",
     "calendar_columns",
     "char_date",
+    "day_number_range",
     "day_number_to_date",
     "trimmed",
+    "valid_day_number",
     "TRAVEL_MODE_DEFAULT",
     "TRAVEL_MODE_LABELS",
     "VISA_DEFAULT",

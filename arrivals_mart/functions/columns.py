@@ -54,6 +54,21 @@ def char_date(c: ColumnOrName, fmt: str = "yyyyMMdd", source_type: DataType | No
     return F.try_to_date(col.cast("string"), fmt)
 
 
+def day_number_range(epoch: _dt.date = SAS_EPOCH) -> tuple[int, int]:
+    """Day numbers whose date lies in 0001-01-01 .. 9999-12-31, the dates
+    Spark represents; beyond them date arithmetic and formatting fail."""
+    return (_dt.date.min - epoch).days, (_dt.date.max - epoch).days
+
+
+def valid_day_number(c: ColumnOrName, epoch: _dt.date = SAS_EPOCH) -> Column:
+    """The day number as INT, or null when it is missing, not a number, or
+    names a date outside the representable range (a corrupt value must not
+    fail the whole job)."""
+    lo, hi = day_number_range(epoch)
+    n = as_int(c)
+    return F.when(n.between(lo, hi), n)
+
+
 def day_number_to_date(c: ColumnOrName, epoch: _dt.date = SAS_EPOCH) -> Column:
     """A day count (INT) from ``epoch`` as a DATE; the epoch literal folds."""
     return F.date_add(F.lit(epoch), _col(c))

@@ -22,6 +22,7 @@ from arrivals_mart.functions.columns import (
     calendar_columns,
     day_number_to_date,
     trimmed,
+    valid_day_number,
 )
 from arrivals_mart.functions.labels import code_label
 
@@ -55,8 +56,9 @@ def date_dimension(
     date_name: str = "arrival_date",
     epoch: _dt.date = SAS_EPOCH,
 ) -> DataFrame:
-    """One row per distinct day number: the date and its calendar parts."""
-    keys = df.select(as_int(day_number).alias(key)).where(F.col(key).isNotNull()).distinct()
+    """One row per distinct day number: the date and its calendar parts.
+    Day numbers that are missing or name no representable date are left out."""
+    keys = df.select(valid_day_number(day_number, epoch).alias(key)).where(F.col(key).isNotNull()).distinct()
     dated = keys.select(F.col(key), day_number_to_date(F.col(key), epoch).alias(date_name))
     parts = calendar_columns(F.col(date_name))
     return dated.select(F.col(key), F.col(date_name), *[c.alias(n) for n, c in parts.items()])

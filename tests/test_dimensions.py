@@ -26,7 +26,7 @@ def test_visa_drops_null_codes_and_labels_the_rest(spark):
 
 
 def test_time_dimension(spark):
-    df = _codes(spark, [20574.0, 20574.9, None, float("nan"), 1e12, 20575.0], "arrdate")
+    df = _codes(spark, [20574.0, 20574.9, None, float("nan"), 1e12, 2e9, -2e9, 3e6, -8e5, 20575.0], "arrdate")
     out = time_dimension(df)
     assert out.columns == TIME_DIM.columns
     got = sorted(tuple(r) for r in out.collect())
