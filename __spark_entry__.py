@@ -54,7 +54,7 @@ from arrivals_mart.plans.tables import DEMOGRAPHIC_MEANS  # noqa: E402
 from arrivals_mart.session import scratch_path  # noqa: E402
 from arrivals_mart.sinks import read_table, refresh_table, write_table  # noqa: E402
 from arrivals_mart.sources import read_csv, read_parquet  # noqa: E402
-from arrivals_mart.streaming import load_fact_incrementally  # noqa: E402
+from arrivals_mart.streaming import STREAMED_FACT, load_fact_incrementally  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -272,7 +272,7 @@ def q_stream_fact(spark, sf_dir):
         checkpoint=scratch_path(spark, "stream_fact_checkpoint"),
         prepare=D.arrivals_from_lineitem,
     )
-    return read_table(spark, out, IMMIG_FACT)
+    return read_table(spark, out, STREAMED_FACT).drop("load_batch")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

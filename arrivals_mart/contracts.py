@@ -19,6 +19,7 @@ from pyspark.sql.types import (
     DateType,
     DoubleType,
     IntegerType,
+    LongType,
     StringType,
     StructField,
     StructType,
@@ -63,7 +64,7 @@ class Contract:
 
 
 # Columns carried by a table only as a partition directory.
-_EXTRA_TYPES: dict[str, DataType] = {"i94_month": INT}
+_EXTRA_TYPES: dict[str, DataType] = {"i94_month": INT, "load_batch": LongType()}
 
 
 IMMIG_FACT = Contract(

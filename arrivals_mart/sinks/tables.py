@@ -41,6 +41,7 @@ def write_table(
     mode: str = "overwrite",
     rebalance: bool = True,
     observation: Observation | None = None,
+    dynamic_overwrite: bool = False,
 ) -> str:
     """Write ``df`` as Parquet at ``path``; returns ``path``.
 
@@ -48,6 +49,9 @@ def write_table(
     ``partition_by`` applies unless one is passed. ``partition_by`` maps a
     directory column to its source column (a list means "same name").
 
+    ``dynamic_overwrite`` replaces only the directories the data falls into
+    (an idempotent write of one load into a shared table).
+
     ``observation`` (with a contract) collects ``row_count`` and
     ``null_keys`` of the contract's key from the rows as they are written:
     the check costs no second pass over the table. It is attached after the
@@ -69,7 +73,10 @@ def write_table(
             df = df.drop(*only_in_dirs)
         if rebalance:
             df = df.hint("rebalance", *parts)
-        _observe(df, contract, observation).write.mode(mode).partitionBy(*parts).parquet(path)
+        writer = _observe(df, contract, observation).write.mode(mode).partitionBy(*parts)
+        if dynamic_overwrite:
+            writer = writer.option("partitionOverwriteMode", "dynamic")
+        writer.parquet(path)
     else:
         _observe(df, contract, observation).write.mode(mode).parquet(path)
     return path

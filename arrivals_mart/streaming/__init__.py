@@ -1,5 +1,10 @@
 """Incremental loading of the fact table with Structured Streaming."""
 
-from arrivals_mart.streaming.fact_stream import load_fact_incrementally, fact_stream
+from arrivals_mart.streaming.fact_stream import (
+    STREAMED_FACT,
+    fact_stream,
+    load_fact_incrementally,
+    write_fact_batch,
+)
 
-__all__ = ["load_fact_incrementally", "fact_stream"]
+__all__ = ["STREAMED_FACT", "fact_stream", "load_fact_incrementally", "write_fact_batch"]

@@ -1,23 +1,25 @@
 """The daily fact refresh as an incremental file stream.
 
 New arrival files that land in the input folder are converted by the same
-``build_fact`` projection and appended to the partitioned fact. The stream's
-checkpoint (in the shared folder) records which files were done and the file
-sink commits each micro-batch through its metadata log, so a rerun only
-picks up files it has not seen, a failed batch is redone without leaving
-half-written output visible, and rows are never doubled. With
-``availableNow`` the query processes everything present and then stops,
-which fits a daily scheduled run.
+``build_fact`` projection and added to the partitioned fact. The stream's
+checkpoint (in the shared folder) records which files were done, so a rerun
+only picks up files it has not seen; with ``availableNow`` the query
+processes everything present and then stops, which fits a daily run.
 
-The conversion is stateless: no shuffle, no watermark, no state store.
-AQE does not run inside micro-batches, so there is no REBALANCE here: each
-task writes the directories its rows fall into. Bound the batch size with
-``max_files_per_trigger``; the daily batch refresh (``run_pipeline``)
-rewrites the table in rebalanced, well-sized files.
+Each micro-batch is written by ``foreachBatch`` as an ordinary batch write,
+so AQE applies: a REBALANCE on the directory columns gives one file per
+directory and splits a hot port into several tasks (inside a plain file sink
+every task would write into every directory it touches). The batch id is the
+last directory level (``load_batch``) and the batch is written with dynamic
+partition overwrite: a batch that is retried after a failure replaces exactly
+its own directories and nothing else, so rows are never doubled.
+
+The conversion is stateless: no watermark, no state store.
 """
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +30,10 @@ from pyspark.sql.types import StructType
 from arrivals_mart.contracts import IMMIG_FACT
 from arrivals_mart.plans.tables import build_fact
 from arrivals_mart.session import scratch_path
+from arrivals_mart.sinks.tables import write_table
+
+# The fact as the stream writes it: one more directory level per batch.
+STREAMED_FACT = dataclasses.replace(IMMIG_FACT, partition_by={**IMMIG_FACT.partition_by, "load_batch": "load_batch"})
 
 
 def fact_stream(
@@ -37,17 +43,24 @@ def fact_stream(
     prepare: Callable[[DataFrame], DataFrame] | None = None,
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Streaming DataFrame of fact rows (with partition columns) over the
+    """Streaming DataFrame of fact rows (plus ``i94_month``) over the
     Parquet files matching ``source``."""
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.parquet(source)
-    fact = build_fact(prepare(raw) if prepare else raw)
-    for part, src in IMMIG_FACT.partition_by.items():
-        if part != src:
-            fact = fact.withColumn(part, F.col(src))
-    return fact
+    return build_fact(prepare(raw) if prepare else raw)
+
+
+def write_fact_batch(batch: DataFrame, batch_id: int, output: str) -> None:
+    """Write one micro-batch below ``output``; idempotent per ``batch_id``."""
+    write_table(
+        batch.withColumn("load_batch", F.lit(batch_id).cast("bigint")),
+        output,
+        STREAMED_FACT,
+        mode="overwrite",
+        dynamic_overwrite=True,
+    )
 
 
 def load_fact_incrementally(
@@ -59,16 +72,15 @@ def load_fact_incrementally(
     prepare: Callable[[DataFrame], DataFrame] | None = None,
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
-    """Append the fact rows of all not yet loaded files below ``source`` to
-    the partitioned fact at ``output`` and wait until done."""
+    """Add the fact rows of all not yet loaded files below ``source`` to the
+    partitioned fact at ``output`` and wait until done. Read the result
+    with ``read_table(spark, output, STREAMED_FACT)``."""
     stream = fact_stream(spark, source, schema, prepare, max_files_per_trigger)
     query = (
-        stream.writeStream.format("parquet")
-        .outputMode("append")
+        stream.writeStream.foreachBatch(lambda batch, batch_id: write_fact_batch(batch, batch_id, output))
         .option("checkpointLocation", checkpoint or scratch_path(spark, "fact_stream_checkpoint"))
-        .partitionBy(*IMMIG_FACT.partition_by)
         .trigger(availableNow=True)
-        .start(output)
+        .start()
     )
     query.awaitTermination()
     return query
