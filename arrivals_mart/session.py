@@ -51,7 +51,9 @@ def shared_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        # Local runs and tests only: no cluster folder is configured.
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        # Local runs and tests only: no shared folder is configured.
         root = tempfile.mkdtemp(prefix="arrivals_mart-")
         spark.sparkContext.setCheckpointDir(root)
     elif spark.sparkContext.getCheckpointDir() is None:

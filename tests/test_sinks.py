@@ -65,3 +65,11 @@ def test_preview_prints_rows(spark, capsys):
 
     preview(spark.createDataFrame([("a" * 30,)], "s string"), 1, truncate=False)
     assert "a" * 30 in capsys.readouterr().out
+
+
+def test_scratch_path_is_below_the_checkpoint_dir(spark):
+    from arrivals_mart.session import scratch_path, shared_root
+
+    root = shared_root(spark)
+    assert scratch_path(spark, "x").startswith(root + "/arrivals_mart/x-")
+    assert scratch_path(spark, "x") != scratch_path(spark, "x")
