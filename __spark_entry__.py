@@ -166,6 +166,18 @@ def q_arrivals_country_mean(spark, sf_dir):
     )
 
 
+def q_arrivals_citizen_country_mean(spark, sf_dir):
+    return arrivals_country_temperature(
+        build_fact(_arrivals(spark, sf_dir)),
+        country_dimension(_countries(spark, sf_dir), _temperatures(spark, sf_dir)),
+        by="i94_citizen",
+    )
+
+
+def q_fact_key_duplicates(spark, sf_dir):
+    return key_duplicates(build_fact(_arrivals(spark, sf_dir)), ["cicid"])
+
+
 def q_arrivals_state_mean(spark, sf_dir):
     return arrivals_state_population(
         build_fact(_arrivals(spark, sf_dir)), demographics_dimension(_demographics(spark, sf_dir))
@@ -290,6 +302,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lookup_unmatched": q_lookup_unmatched,
     "arrivals_by_port_month": q_arrivals_by_port_month,
     "arrivals_country_mean": q_arrivals_country_mean,
+    "arrivals_citizen_country_mean": q_arrivals_citizen_country_mean,
     "arrivals_state_mean": q_arrivals_state_mean,
     "csv_semicolon_scan": q_csv_semicolon_scan,
     "csv_infer_scan": q_csv_infer_scan,
@@ -299,6 +312,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "append_twice": q_append_twice,
     "quality_report": q_quality_report,
     "key_duplicates": q_key_duplicates,
+    "fact_key_duplicates": q_fact_key_duplicates,
     "mart_row_counts": q_mart_row_counts,
     "stream_fact": q_stream_fact,
 }
@@ -585,6 +599,15 @@ GROUP BY a.airport_code, a.airport_name, t.year, t.month""",
 SELECT c.country_code, c.country, c.avg_country_temperature, count(*) AS arrivals
 FROM fact f JOIN country_dim c ON f.i94_resident = c.country_code
 GROUP BY c.country_code, c.country, c.avg_country_temperature""",
+    "arrivals_citizen_country_mean": _with(
+        ARRIVALS_SQL, FACT_SQL, COUNTRIES_SQL, TEMPERATURES_SQL, COUNTRY_DIM_SQL
+    )
+    + """
+SELECT c.country_code, c.country, c.avg_country_temperature, count(*) AS arrivals
+FROM fact f JOIN country_dim c ON f.i94_citizen = c.country_code
+GROUP BY c.country_code, c.country, c.avg_country_temperature""",
+    "fact_key_duplicates": _with(ARRIVALS_SQL, FACT_SQL)
+    + "SELECT cicid, count(*) AS n FROM fact GROUP BY cicid HAVING count(*) > 1",
     "arrivals_state_mean": _with(ARRIVALS_SQL, FACT_SQL, DEMOGRAPHICS_SQL, GROUP_MEANS_SQL, DEMOGRAPHICS_DIM_SQL)
     + """
 SELECT f.state_code, count(*) AS arrivals, d.average_total_population,

@@ -18,7 +18,6 @@ from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from arrivals_mart.contracts import (
     AIRPORTS_INPUT,
     ARRIVALS_INPUT,
-    BY_NAME,
     COUNTRIES_INPUT,
     DEMOGRAPHICS_INPUT,
     MART,
