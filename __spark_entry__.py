@@ -42,6 +42,7 @@ from arrivals_mart.plans import (  # noqa: E402
     arrivals_state_population,
     build_fact,
     build_mart,
+    conversion_losses,
     country_dimension,
     demographics_dimension,
     run_pipeline,
@@ -116,6 +117,10 @@ def q_parse_char_date_bad(spark, sf_dir):
     return _order_dates(spark, sf_dir, bad=True)
 
 
+def q_conversion_losses(spark, sf_dir):
+    return conversion_losses(_arrivals(spark, sf_dir))
+
+
 def q_null_fill_code(spark, sf_dir):
     return build_fact(_arrivals(spark, sf_dir)).select("cicid", "travel_mode_id")
 
@@ -292,6 +297,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_char_date": q_parse_char_date,
     "parse_char_date_bad": q_parse_char_date_bad,
     "null_fill_code": q_null_fill_code,
+    "conversion_losses": q_conversion_losses,
     "code_dim_two_labels": q_code_dim_two_labels,
     "code_dim_null_zero": q_code_dim_null_zero,
     "date_dim": q_date_dim,
@@ -368,36 +374,43 @@ def _int(x: str) -> str:
     return f"TRY_CAST(trunc({x}) AS INTEGER)"
 
 
-FACT_SQL = f"""
-fact AS (
-  SELECT
-    {_int('cicid')} AS cicid,
-    trim(i94port) AS i94_port,
-    {_int('i94cit')} AS i94_citizen,
-    {_int('i94res')} AS i94_resident,
-    {_int('arrdate')} AS i94_arrival_date,
-    coalesce({_int('i94mode')}, 0) AS travel_mode_id,
-    i94addr AS state_code,
-    {_int('depdate')} AS i94_departure_date,
-    {_int('i94bir')} AS i94_age,
-    {_int('i94visa')} AS visa_category_id,
-    CAST(try_strptime(dtadfile, '%Y%m%d') AS DATE) AS i94_date_added,
-    CAST(try_strptime(dtaddto, '%Y%m%d') AS DATE) AS i94_date_admitted,
-    occup AS i94_occupation,
-    entdepa AS i94_arrival_flag,
-    entdepd AS i94_departure_flag,
-    entdepu AS i94_update_flag,
-    matflag AS i94_match_flag,
-    {_int('biryear')} AS i94_birth_year,
-    gender AS i94_gender,
-    insnum AS i94_insnum,
-    airline AS i94_airline,
-    admnum AS i94_admission_number,
-    fltno AS i94_flight_number,
-    visatype AS i94_visa_type,
-    {_int('i94mon')} AS i94_month
-  FROM arrivals
-)"""
+# Fact column -> (source column, DuckDB conversion); travel mode before its fill.
+FACT_SQL_COLUMNS: dict[str, tuple[str, str]] = {
+    "cicid": ("cicid", _int("cicid")),
+    "i94_port": ("i94port", "trim(i94port)"),
+    "i94_citizen": ("i94cit", _int("i94cit")),
+    "i94_resident": ("i94res", _int("i94res")),
+    "i94_arrival_date": ("arrdate", _int("arrdate")),
+    "travel_mode_id": ("i94mode", _int("i94mode")),
+    "state_code": ("i94addr", "i94addr"),
+    "i94_departure_date": ("depdate", _int("depdate")),
+    "i94_age": ("i94bir", _int("i94bir")),
+    "visa_category_id": ("i94visa", _int("i94visa")),
+    "i94_date_added": ("dtadfile", "CAST(try_strptime(dtadfile, '%Y%m%d') AS DATE)"),
+    "i94_date_admitted": ("dtaddto", "CAST(try_strptime(dtaddto, '%Y%m%d') AS DATE)"),
+    "i94_occupation": ("occup", "occup"),
+    "i94_arrival_flag": ("entdepa", "entdepa"),
+    "i94_departure_flag": ("entdepd", "entdepd"),
+    "i94_update_flag": ("entdepu", "entdepu"),
+    "i94_match_flag": ("matflag", "matflag"),
+    "i94_birth_year": ("biryear", _int("biryear")),
+    "i94_gender": ("gender", "gender"),
+    "i94_insnum": ("insnum", "insnum"),
+    "i94_airline": ("airline", "airline"),
+    "i94_admission_number": ("admnum", "admnum"),
+    "i94_flight_number": ("fltno", "fltno"),
+    "i94_visa_type": ("visatype", "visatype"),
+    "i94_month": ("i94mon", _int("i94mon")),
+}
+
+FACT_SQL = (
+    "\nfact AS (\n  SELECT\n    "
+    + ",\n    ".join(
+        f"{'coalesce(' + expr + ', 0)' if name == 'travel_mode_id' else expr} AS {name}"
+        for name, (_, expr) in FACT_SQL_COLUMNS.items()
+    )
+    + "\n  FROM arrivals\n)"
+)
 
 FACT_COLUMNS = ", ".join(IMMIG_FACT.columns)
 
@@ -565,6 +578,21 @@ COUNTS_SQL = MART_SQL + "\nUNION ALL\n".join(
     for name in _KEYS
 )
 
+LOSSES_SQL = (
+    "WITH "
+    + ARRIVALS_SQL
+    + ",\nlost AS (SELECT "
+    + ", ".join(
+        f"count(*) FILTER (WHERE {src} IS NOT NULL AND ({expr}) IS NULL) AS {name}"
+        for name, (src, expr) in FACT_SQL_COLUMNS.items()
+    )
+    + " FROM arrivals)\n"
+    + "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS column_name, '{src}' AS source_column, {name} AS lost_values FROM lost"
+        for name, (src, _) in FACT_SQL_COLUMNS.items()
+    )
+)
+
 ORACLES: dict[str, str] = {
     "conform_fact": _with(ARRIVALS_SQL, FACT_SQL) + "SELECT * FROM fact",
     "parse_char_date": """
@@ -577,6 +605,7 @@ FROM (SELECT o_orderkey,
              CASE WHEN o_orderkey % 10 = 0 THEN 'D/S' ELSE strftime(o_orderdate, '%Y%m%d') END AS date_text
       FROM orders)""",
     "null_fill_code": _with(ARRIVALS_SQL, FACT_SQL) + "SELECT cicid, travel_mode_id FROM fact",
+    "conversion_losses": LOSSES_SQL,
     "code_dim_two_labels": _with(ARRIVALS_SQL, VISA_SQL) + "SELECT * FROM visa_type_dim",
     "code_dim_null_zero": _with(ARRIVALS_SQL, MODE_SQL) + "SELECT * FROM travel_mode_dim",
     "date_dim": _with(ARRIVALS_SQL, TIME_SQL) + "SELECT * FROM time_dim",

@@ -10,6 +10,7 @@ from arrivals_mart.plans.questions import (
 from arrivals_mart.plans.tables import (
     airport_dimension,
     build_fact,
+    conversion_losses,
     country_dimension,
     demographics_dimension,
     time_dimension,
@@ -28,6 +29,7 @@ __all__ = [
     "arrivals_state_population",
     "airport_dimension",
     "build_fact",
+    "conversion_losses",
     "country_dimension",
     "demographics_dimension",
     "time_dimension",

@@ -6,7 +6,7 @@ function returns a lazy DataFrame in the column order of its contract.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arrivals_mart.contracts import (
@@ -57,45 +57,72 @@ TEMPERATURE_MEANS: dict[str, str] = {
 }
 
 
-def build_fact(arrivals: DataFrame, date_format: str = "yyyyMMdd") -> DataFrame:
-    """Arrival records -> the 24 fact columns plus ``i94_month`` (the month
-    is a partition directory only). A pure projection: no shuffle.
+def fact_columns(arrivals: DataFrame, date_format: str = "yyyyMMdd") -> dict[str, tuple[str, Column]]:
+    """Each fact column (plus ``i94_month``) as ``(source column, conversion)``.
 
     Numbers become INT by truncation (null if NaN or out of range), the port
     is trimmed, character dates are parsed with ``date_format`` (null when
-    they do not parse) and a missing travel mode becomes 0.
+    they do not parse); text passes through.
     """
     types = {f.name: f.dataType for f in arrivals.schema.fields}
-    fact = arrivals.select(
-        as_int("cicid").alias("cicid"),
-        trimmed("i94port").alias("i94_port"),
-        as_int("i94cit").alias("i94_citizen"),
-        as_int("i94res").alias("i94_resident"),
-        as_int("arrdate").alias("i94_arrival_date"),
-        as_int("i94mode").alias("travel_mode_id"),
-        as_text("i94addr").alias("state_code"),
-        as_int("depdate").alias("i94_departure_date"),
-        as_int("i94bir").alias("i94_age"),
-        as_int("i94visa").alias("visa_category_id"),
-        char_date("dtadfile", date_format, types.get("dtadfile")).alias("i94_date_added"),
-        char_date("dtaddto", date_format, types.get("dtaddto")).alias("i94_date_admitted"),
-        as_text("occup").alias("i94_occupation"),
-        as_text("entdepa").alias("i94_arrival_flag"),
-        as_text("entdepd").alias("i94_departure_flag"),
-        as_text("entdepu").alias("i94_update_flag"),
-        as_text("matflag").alias("i94_match_flag"),
-        as_int("biryear").alias("i94_birth_year"),
-        as_text("gender").alias("i94_gender"),
-        as_text("insnum").alias("i94_insnum"),
-        as_text("airline").alias("i94_airline"),
-        as_double("admnum").alias("i94_admission_number"),
-        as_text("fltno").alias("i94_flight_number"),
-        as_text("visatype").alias("i94_visa_type"),
-        as_int("i94mon").alias("i94_month"),
-    )
+
+    def date(src: str) -> tuple[str, Column]:
+        return src, char_date(src, date_format, types.get(src))
+
+    return {
+        "cicid": ("cicid", as_int("cicid")),
+        "i94_port": ("i94port", trimmed("i94port")),
+        "i94_citizen": ("i94cit", as_int("i94cit")),
+        "i94_resident": ("i94res", as_int("i94res")),
+        "i94_arrival_date": ("arrdate", as_int("arrdate")),
+        "travel_mode_id": ("i94mode", as_int("i94mode")),
+        "state_code": ("i94addr", as_text("i94addr")),
+        "i94_departure_date": ("depdate", as_int("depdate")),
+        "i94_age": ("i94bir", as_int("i94bir")),
+        "visa_category_id": ("i94visa", as_int("i94visa")),
+        "i94_date_added": date("dtadfile"),
+        "i94_date_admitted": date("dtaddto"),
+        "i94_occupation": ("occup", as_text("occup")),
+        "i94_arrival_flag": ("entdepa", as_text("entdepa")),
+        "i94_departure_flag": ("entdepd", as_text("entdepd")),
+        "i94_update_flag": ("entdepu", as_text("entdepu")),
+        "i94_match_flag": ("matflag", as_text("matflag")),
+        "i94_birth_year": ("biryear", as_int("biryear")),
+        "i94_gender": ("gender", as_text("gender")),
+        "i94_insnum": ("insnum", as_text("insnum")),
+        "i94_airline": ("airline", as_text("airline")),
+        "i94_admission_number": ("admnum", as_double("admnum")),
+        "i94_flight_number": ("fltno", as_text("fltno")),
+        "i94_visa_type": ("visatype", as_text("visatype")),
+        "i94_month": ("i94mon", as_int("i94mon")),
+    }
+
+
+def build_fact(arrivals: DataFrame, date_format: str = "yyyyMMdd") -> DataFrame:
+    """Arrival records -> the 24 fact columns plus ``i94_month`` (the month
+    is a partition directory only). A pure projection: no shuffle. A missing
+    travel mode becomes 0; see :func:`fact_columns` for the conversions."""
+    cols = fact_columns(arrivals, date_format)
+    fact = arrivals.select(*[expr.alias(name) for name, (_, expr) in cols.items()])
     return fill_null_codes(fact, 0, ["travel_mode_id"]).select(*IMMIG_FACT.columns, "i94_month")
 
 
+def conversion_losses(arrivals: DataFrame, date_format: str = "yyyyMMdd") -> DataFrame:
+    """Per fact column: how many raw values were present but did not convert
+    (NaN, out of range, unparsable dates), i.e. became null silently.
+
+    One global aggregate over the arrivals (partial in every scan task), then
+    one row per column: ``column_name, source_column, lost_values``.
+    """
+    cols = fact_columns(arrivals, date_format)
+    counts = arrivals.agg(
+        *[F.count_if(F.col(src).isNotNull() & expr.isNull()).alias(name) for name, (src, expr) in cols.items()]
+    )
+    long = counts.unpivot([], list(cols), "column_name", "lost_values")
+    sources = F.create_map(*[F.lit(x) for name, (src, _) in cols.items() for x in (name, src)])
+    return long.select("column_name", sources[F.col("column_name")].alias("source_column"), "lost_values")
+
+
 def visa_dimension(arrivals: DataFrame, code: str = "i94visa") -> DataFrame:
     return code_dimension(arrivals, code, "visa_category_id", "visa_type", VISA_LABELS, VISA_DEFAULT)
 

@@ -28,3 +28,15 @@ def test_fact_is_a_pure_projection(spark, tmp_dir):
     text = plan_text(fact)
     assert "Exchange" not in text
     assert "ReadSchema: struct<cicid:double,i94port:string>" in text
+
+
+def test_conversion_losses_count_values_that_became_null(spark):
+    from arrivals_mart.plans.tables import conversion_losses
+
+    lost = {r.column_name: (r.source_column, r.lost_values)
+            for r in conversion_losses(spark.createDataFrame(ARRIVALS, ARRIVALS_INPUT)).collect()}
+    assert len(lost) == 25
+    assert lost["i94_arrival_date"] == ("arrdate", 2)  # NaN and 3e12; the null is not a loss
+    assert lost["i94_date_added"] == ("dtadfile", 1)  # 'D/S'
+    assert lost["travel_mode_id"] == ("i94mode", 0)
+    assert lost["i94_port"] == ("i94port", 0)
