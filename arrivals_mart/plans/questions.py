@@ -23,13 +23,30 @@ def arrivals_by_airport_month(
     fact: DataFrame,
     time_dim: DataFrame,
     airport_dim: DataFrame,
+    airport_code: str | None = None,
+    year: int | None = None,
+    month: int | None = None,
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """Arrivals per airport (code and name), year and month.
 
     Joins port code to airport code and arrival day to the time dimension.
     An airport code listed under two names counts its arrivals under both.
+
+    ``airport_code``, ``year`` and ``month`` narrow the answer to one
+    airport and/or period. On the written fact the airport filter applies to
+    the ``partition_port`` directories, so only that port's files are read;
+    the period filters apply to the time dimension (the arrival date decides
+    the month, not the record's month column).
     """
+    if airport_code is not None:
+        port = "partition_port" if "partition_port" in fact.columns else "i94_port"
+        fact = fact.where(F.col(port) == airport_code)
+        airport_dim = airport_dim.where(F.col("airport_code") == airport_code)
+    if year is not None:
+        time_dim = time_dim.where(F.col("year") == year)
+    if month is not None:
+        time_dim = time_dim.where(F.col("month") == month)
     per_day = fact.groupBy("i94_port", "i94_arrival_date").agg(_count())
     days = broadcast_if_small(time_dim.select("arrival_sas", "year", "month"), max_broadcast_rows)
     airports = broadcast_if_small(airport_dim.select("airport_code", "airport_name"), max_broadcast_rows)

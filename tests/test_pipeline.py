@@ -71,3 +71,20 @@ def test_run_paths_are_templates(spark, tmp_dir):
                          params={"ds": "2016-04"})
     result = run_pipeline(spark, inputs, f"{tmp_dir}/{{ds}}/out", publish_views=False, params={"ds": "2016-04"})
     assert all(p.startswith(f"{tmp_dir}/2016-04/out/") for p in result.paths.values())
+
+
+def test_one_airport_one_month_reads_only_its_directories(spark, tmp_dir):
+    from plan_util import plan_text
+
+    inputs = read_inputs(spark, write_inputs(spark, f"{tmp_dir}/in"))
+    result = run_pipeline(spark, inputs, f"{tmp_dir}/out", publish_views=False)
+    from arrivals_mart.contracts import BY_NAME
+    from arrivals_mart.sinks import read_table
+
+    fact, days, airports = (read_table(spark, result.paths[n], BY_NAME[n])
+                            for n in ("immig_fact", "time_dim", "airport_dim"))
+    answer = arrivals_by_airport_month(fact, days, airports, airport_code="NYC", year=2016, month=4)
+    assert [tuple(r) for r in answer.collect()] == [("NYC", "Total Rf Heliport", 2016, 4, 2)]
+    assert arrivals_by_airport_month(fact, days, airports, airport_code="NYC", month=5).count() == 0
+    assert "PartitionFilters: [isnotnull(partition_port" in plan_text(answer)
+    assert "(partition_port" in plan_text(answer) and "= NYC)" in plan_text(answer)
