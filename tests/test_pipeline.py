@@ -39,8 +39,16 @@ def test_run_publishes_checked_tables_and_reruns_idempotently(spark, tmp_dir):
         "demographics_dim": 2,
     }
     assert {r.table_name: r.null_keys for r in first.report} == dict.fromkeys(counts, 0)
-    run_pipeline(spark, inputs, f"{tmp_dir}/out")
+    second = run_pipeline(spark, inputs, f"{tmp_dir}/out")
     assert _counts(spark) == counts
+    from arrivals_mart.contracts import BY_NAME
+    from arrivals_mart.sinks import read_table
+
+    for name, path in first.paths.items():
+        a = read_table(spark, path, BY_NAME[name])
+        b = read_table(spark, second.paths[name], BY_NAME[name])
+        assert path != second.paths[name]
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
 
     fact = spark.table("immig_fact")
     by_month = {(r.airport_code, r.month): r.arrivals for r in arrivals_by_airport_month(
