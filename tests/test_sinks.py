@@ -73,3 +73,30 @@ def test_scratch_path_is_below_the_checkpoint_dir(spark):
     root = shared_root(spark)
     assert scratch_path(spark, "x").startswith(root + "/arrivals_mart/x-")
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_hot_directory_is_split_across_tasks(spark, tmp_dir):
+    """One port holds a third of the rows: AQE splits its shuffle partition by
+    map blocks, so the hot directory is written by several tasks. The few
+    cold ports hashed into the same partition are split with it; the others
+    keep one file each."""
+    from pyspark.sql import functions as F
+
+    rows = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("P"), (F.col("id") % 50).cast("string")))
+        .alias("port"),
+        F.col("id"),
+        F.sha2(F.col("id").cast("string"), 256).alias("payload"),
+    )
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "256k")
+    try:
+        write_table(rows, f"{tmp_dir}/t", partition_by={"port_dir": "port"})
+    finally:
+        spark.conf.set(key, old)
+    hot = glob.glob(f"{tmp_dir}/t/port_dir=HOT/*.parquet")
+    cold = [len(glob.glob(d + "/*.parquet")) for d in glob.glob(f"{tmp_dir}/t/port_dir=P*")]
+    assert len(hot) >= 3, (len(hot), cold)
+    assert sorted(cold)[len(cold) // 2] == 1, (len(hot), cold)
+    assert spark.read.parquet(f"{tmp_dir}/t").count() == 30_000
