@@ -96,3 +96,14 @@ def test_one_airport_one_month_reads_only_its_directories(spark, tmp_dir):
     assert arrivals_by_airport_month(fact, days, airports, airport_code="NYC", month=5).count() == 0
     assert "PartitionFilters: [isnotnull(partition_port" in plan_text(answer)
     assert "(partition_port" in plan_text(answer) and "= NYC)" in plan_text(answer)
+
+
+def test_csv_with_bom_and_crlf(spark, tmp_dir):
+    from arrivals_mart.sources import read_csv
+
+    path = f"{tmp_dir}/ports.csv"
+    with open(path, "w", encoding="utf-8", newline="") as f:
+        f.write("\ufeffPortCode,City,StateCode\r\nALC,Alcan, AK   \r\nANC,Anchorage,AK\r\n")
+    df = read_csv(spark, path, infer=True)
+    assert df.columns == ["PortCode", "City", "StateCode"]
+    assert [tuple(r) for r in df.collect()] == [("ALC", "Alcan", " AK   "), ("ANC", "Anchorage", "AK")]
