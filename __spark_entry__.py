@@ -45,6 +45,7 @@ from arrivals_mart.plans import (  # noqa: E402
     conversion_losses,
     country_dimension,
     demographics_dimension,
+    labelled_arrivals,
     run_pipeline,
     time_dimension,
     travel_mode_dimension,
@@ -189,6 +190,16 @@ def q_arrivals_state_mean(spark, sf_dir):
     )
 
 
+def q_labelled_arrivals(spark, sf_dir):
+    arrivals = _arrivals(spark, sf_dir)
+    return labelled_arrivals(
+        build_fact(arrivals),
+        visa_dimension(arrivals),
+        travel_mode_dimension(arrivals),
+        time_dimension(arrivals),
+    )
+
+
 def q_csv_semicolon_scan(spark, sf_dir):
     path = scratch_path(spark, "demographics_csv")
     (
@@ -310,6 +321,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "arrivals_country_mean": q_arrivals_country_mean,
     "arrivals_citizen_country_mean": q_arrivals_citizen_country_mean,
     "arrivals_state_mean": q_arrivals_state_mean,
+    "labelled_arrivals": q_labelled_arrivals,
     "csv_semicolon_scan": q_csv_semicolon_scan,
     "csv_infer_scan": q_csv_infer_scan,
     "parquet_glob_scan": q_parquet_glob_scan,
@@ -643,6 +655,13 @@ SELECT f.state_code, count(*) AS arrivals, d.average_total_population,
        d.average_male_population, d.average_female_population
 FROM fact f JOIN demographics_dim d ON f.state_code = d.stateCode
 GROUP BY f.state_code, d.average_total_population, d.average_male_population, d.average_female_population""",
+    "labelled_arrivals": _with(ARRIVALS_SQL, FACT_SQL, VISA_SQL, MODE_SQL, TIME_SQL)
+    + """
+SELECT f.cicid, f.i94_port, v.visa_type, m.travel_mode, f.i94_arrival_date, t.arrival_date, t.weekday
+FROM fact f
+LEFT JOIN visa_type_dim v ON f.visa_category_id = v.visa_category_id
+LEFT JOIN travel_mode_dim m ON f.travel_mode_id = m.travel_mode_id
+LEFT JOIN time_dim t ON f.i94_arrival_date = t.arrival_sas""",
     "csv_semicolon_scan": _with(DEMOGRAPHICS_SQL) + "SELECT * FROM demographics",
     "csv_infer_scan": _with(AIRPORTS_SQL, AIRPORT_DIM_SQL) + "SELECT * FROM airport_dim",
     "parquet_glob_scan": "SELECT * FROM lineitem",

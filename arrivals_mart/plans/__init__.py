@@ -6,6 +6,7 @@ from arrivals_mart.plans.questions import (
     arrivals_by_airport_month,
     arrivals_country_temperature,
     arrivals_state_population,
+    labelled_arrivals,
 )
 from arrivals_mart.plans.tables import (
     airport_dimension,
@@ -27,6 +28,7 @@ __all__ = [
     "arrivals_by_airport_month",
     "arrivals_country_temperature",
     "arrivals_state_population",
+    "labelled_arrivals",
     "airport_dimension",
     "build_fact",
     "conversion_losses",

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arrivals_mart.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small
+from arrivals_mart.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small, star_join
 
 
 def _count(name: str = "arrivals"):
@@ -98,3 +98,26 @@ def arrivals_state_population(
         "average_male_population",
         "average_female_population",
     )
+
+
+def labelled_arrivals(
+    fact: DataFrame,
+    visa_dim: DataFrame,
+    mode_dim: DataFrame,
+    time_dim: DataFrame,
+    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+) -> DataFrame:
+    """Every arrival with its visa type, travel mode, arrival date and
+    weekday: the fact star-joined (left) to three small dimensions, each
+    broadcast after its size check, so the fact itself is never shuffled.
+    Arrivals whose code is missing from a dimension keep null labels."""
+    out = fact.select("cicid", "i94_port", "visa_category_id", "travel_mode_id", "i94_arrival_date")
+    out = star_join(out, visa_dim, "visa_category_id", "visa_category_id", "left", max_broadcast_rows)
+    out = out.drop(visa_dim["visa_category_id"])
+    out = star_join(out, mode_dim, "travel_mode_id", "travel_mode_id", "left", max_broadcast_rows)
+    out = out.drop(mode_dim["travel_mode_id"])
+    days = time_dim.select("arrival_sas", "arrival_date", "weekday")
+    out = star_join(out, days, "i94_arrival_date", "arrival_sas", "left", max_broadcast_rows)
+    return out.select(
+        "cicid", "i94_port", "visa_type", "travel_mode", "i94_arrival_date", "arrival_date", "weekday"
+    )

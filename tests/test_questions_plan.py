@@ -28,3 +28,9 @@ def test_broadcast_check(spark):
     assert "BroadcastHashJoin" not in plan_text(
         spark.range(10_000_000).join(broadcast_if_small(spark.range(5_000_000), 10), "id")
     )
+
+
+def test_labelled_arrivals_streams_the_fact_through_broadcasts(spark):
+    tree = plan_text(E.q_labelled_arrivals(spark, SF001)).split("\n\n")[0]
+    assert tree.count("BroadcastHashJoin LeftOuter BuildRight") == 3
+    assert "SortMergeJoin" not in tree
