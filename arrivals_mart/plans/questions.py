@@ -1,8 +1,9 @@
-"""The three questions the mart answers, as star joins.
+"""The three questions the mart answers, and the labelled fact, as star joins.
 
 Each question first aggregates the fact on its foreign keys (partial
 aggregation in the scan tasks, so even a port with a third of all arrivals
 costs one row per task), and only the aggregated rows meet the dimensions.
+The labelled fact keeps every row and streams it through broadcast joins.
 Dimensions are broadcast after a size check; past the bound the join is a
 shuffle join that AQE can still re-plan. The fact is never shuffled whole.
 """

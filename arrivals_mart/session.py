@@ -1,10 +1,11 @@
 """Session options and the shared scratch location.
 
-Everything that is written outside the final table paths (staged versions,
-round-trip files in tests, checkpoints) goes below the folder the cluster
-names in ``spark.checkpoint.dir``. Only when that is unset (local tests) is a
-private temporary folder chosen, and it is then also registered as the
-checkpoint folder so ``DataFrame.checkpoint()`` uses the same place.
+Scratch data that belongs to no table (round-trip files, stream
+checkpoints when none is given, ``DataFrame.checkpoint()``) goes below the
+folder the cluster names in ``spark.checkpoint.dir``; staged table versions
+go below the run's own output root. Only a local-mode session without that
+setting gets a private temporary folder (registered as the checkpoint folder
+too); a cluster session without it is an error.
 """
 
 from __future__ import annotations
