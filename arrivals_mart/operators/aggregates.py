@@ -12,7 +12,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arrivals_mart.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small
+from arrivals_mart.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small, fits_broadcast
 
 _NAME = "__lookup_name"
 _CODE_NAME = "__code_name"
@@ -69,7 +69,23 @@ def lookup_means(
     return joined.select(F.col(out_code), F.col(_NAME).alias(out_name), *[F.col(m) for m in means])
 
 
-def lookup_unmatched(codes: DataFrame, facts: DataFrame, code_name: str, fact_name: str) -> DataFrame:
-    """Rows of the code list whose name no fact carries (anti join)."""
+def lookup_unmatched(
+    codes: DataFrame,
+    facts: DataFrame,
+    code_name: str,
+    fact_name: str,
+    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+) -> DataFrame:
+    """Rows of the code list whose name no fact carries.
+
+    The distinct fact names meet the size-checked code list in a broadcast
+    join; the names that matched are at most as many as the codes, so the
+    final anti join broadcasts them under the same bound. The facts are only
+    read once and never shuffled beyond their distinct names.
+    """
     names = facts.select(F.col(fact_name).alias(_NAME)).where(F.col(_NAME).isNotNull()).distinct()
-    return codes.join(names, codes[code_name] == names[_NAME], "left_anti")
+    if not fits_broadcast(codes, max_broadcast_rows):
+        return codes.join(names, codes[code_name] == names[_NAME], "left_anti")
+    code_names = F.broadcast(codes.select(F.col(code_name).alias(_CODE_NAME)))
+    matched = names.join(code_names, F.col(_NAME) == F.col(_CODE_NAME)).select(_CODE_NAME).distinct()
+    return codes.join(F.broadcast(matched), codes[code_name] == matched[_CODE_NAME], "left_anti")

@@ -71,3 +71,13 @@ def test_lookup_plan_is_inner_and_broadcasts_codes(spark):
     text = plan_text(out)
     assert "BroadcastHashJoin" in text
     assert "LeftOuter" not in text
+
+
+def test_lookup_unmatched_plan_uses_bounded_broadcasts(spark):
+    out = lookup_unmatched(_codes(spark), _temps(spark), "country", "Country")
+    tree = plan_text(out).split("\n\n")[0]
+    assert "SortMergeJoin" not in tree
+    assert tree.count("BroadcastHashJoin") == 2
+    # past the bound the same answer comes from a plain anti join
+    over = lookup_unmatched(_codes(spark), _temps(spark), "country", "Country", max_broadcast_rows=1)
+    assert sorted(tuple(r) for r in over.collect()) == [(316, "Algeria"), (999, "Nowhere")]
