@@ -34,3 +34,16 @@ def test_labelled_arrivals_streams_the_fact_through_broadcasts(spark):
     tree = plan_text(E.q_labelled_arrivals(spark, SF001)).split("\n\n")[0]
     assert tree.count("BroadcastHashJoin LeftOuter BuildRight") == 3
     assert "SortMergeJoin" not in tree
+
+
+def test_star_join_past_the_bound_is_a_shuffle_join_with_the_same_answer(spark):
+    from arrivals_mart.operators import star_join
+
+    fact = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k int, v string")
+    dim = spark.createDataFrame([(1, "one"), (2, "two")], "key int, label string")
+    small = star_join(fact, dim, "k", "key", "left")
+    big = star_join(fact, dim, "k", "key", "left", max_broadcast_rows=1)
+    assert "ResolvedHint (strategy=broadcast)" in plan_text(small, "extended")
+    assert "strategy=broadcast" not in plan_text(big, "extended")
+    rows = lambda df: sorted((r.k, r.label) for r in df.collect())
+    assert rows(small) == rows(big) == [(1, "one"), (2, "two"), (3, None)]
