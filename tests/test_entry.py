@@ -25,3 +25,23 @@ def test_query_matches_oracle(spark, con, name):
     result = compare(spark, name, E.queries()[name], E.oracle_sql()[name], SF01, con)
     assert result["ok"], result
     assert result["exact"], result
+
+
+def test_bench_prints_one_json_line():
+    import json
+    import os
+    import subprocess
+    import sys
+
+    from bench import HEADLINE
+
+    assert set(HEADLINE) <= set(E.queries())
+    env = dict(os.environ, BENCH_SF_DIR="/root/testdata/sf0.001", BENCH_QUERIES="date_dim", BENCH_RUNS="1",
+               BENCH_CPUS="2")
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, os.path.join(root, "bench.py")], env=env, capture_output=True,
+                         text=True, timeout=600, cwd=root)
+    lines = [line for line in out.stdout.splitlines() if line.strip()]
+    assert len(lines) == 1, out.stdout + out.stderr[-2000:]
+    result = json.loads(lines[0])
+    assert result["unit"] == "sec" and set(result["queries"]) == {"date_dim"} and result["sf"] == "0.001"
