@@ -54,7 +54,7 @@ from arrivals_mart.plans import (  # noqa: E402
 from arrivals_mart.plans import driver as D  # noqa: E402
 from arrivals_mart.plans.tables import DEMOGRAPHIC_MEANS  # noqa: E402
 from arrivals_mart.session import scratch_path  # noqa: E402
-from arrivals_mart.sinks import read_table, refresh_table, write_table  # noqa: E402
+from arrivals_mart.sinks import materialize, read_table, refresh_table, write_table  # noqa: E402
 from arrivals_mart.sources import read_csv, read_parquet  # noqa: E402
 from arrivals_mart.streaming import STREAMED_FACT, load_fact_incrementally  # noqa: E402
 
@@ -104,6 +104,10 @@ def _order_dates(spark, sf_dir, bad: bool) -> DataFrame:
 
 
 # ------------------------------------------------------------- queries ---
+#
+# The questions read their dimensions as written tables (``materialize``),
+# as they do over the published mart: each dimension is computed once, and
+# its size check reads the small written table.
 
 
 def q_conform_fact(spark, sf_dir):
@@ -161,22 +165,23 @@ def q_lookup_unmatched(spark, sf_dir):
 def q_arrivals_by_port_month(spark, sf_dir):
     arrivals = _arrivals(spark, sf_dir)
     return arrivals_by_airport_month(
-        build_fact(arrivals), time_dimension(arrivals), airport_dimension(_airports(spark, sf_dir))
+        build_fact(arrivals),
+        materialize(time_dimension(arrivals), "time_dim"),
+        materialize(airport_dimension(_airports(spark, sf_dir)), "airport_dim"),
     )
 
 
+def _country_dim(spark, sf_dir):
+    return materialize(country_dimension(_countries(spark, sf_dir), _temperatures(spark, sf_dir)), "country_dim")
+
+
 def q_arrivals_country_mean(spark, sf_dir):
-    return arrivals_country_temperature(
-        build_fact(_arrivals(spark, sf_dir)),
-        country_dimension(_countries(spark, sf_dir), _temperatures(spark, sf_dir)),
-    )
+    return arrivals_country_temperature(build_fact(_arrivals(spark, sf_dir)), _country_dim(spark, sf_dir))
 
 
 def q_arrivals_citizen_country_mean(spark, sf_dir):
     return arrivals_country_temperature(
-        build_fact(_arrivals(spark, sf_dir)),
-        country_dimension(_countries(spark, sf_dir), _temperatures(spark, sf_dir)),
-        by="i94_citizen",
+        build_fact(_arrivals(spark, sf_dir)), _country_dim(spark, sf_dir), by="i94_citizen"
     )
 
 
@@ -186,7 +191,8 @@ def q_fact_key_duplicates(spark, sf_dir):
 
 def q_arrivals_state_mean(spark, sf_dir):
     return arrivals_state_population(
-        build_fact(_arrivals(spark, sf_dir)), demographics_dimension(_demographics(spark, sf_dir))
+        build_fact(_arrivals(spark, sf_dir)),
+        materialize(demographics_dimension(_demographics(spark, sf_dir)), "demographics_dim"),
     )
 
 
@@ -194,9 +200,9 @@ def q_labelled_arrivals(spark, sf_dir):
     arrivals = _arrivals(spark, sf_dir)
     return labelled_arrivals(
         build_fact(arrivals),
-        visa_dimension(arrivals),
-        travel_mode_dimension(arrivals),
-        time_dimension(arrivals),
+        materialize(visa_dimension(arrivals), "visa_type_dim"),
+        materialize(travel_mode_dimension(arrivals), "travel_mode_dim"),
+        materialize(time_dimension(arrivals), "time_dim"),
     )
 
 

@@ -1,6 +1,7 @@
 """Writers: partitioned Parquet tables, appends, and checked refreshes."""
 
 from arrivals_mart.sinks.tables import (
+    materialize,
     publish,
     read_table,
     refresh_table,
@@ -9,4 +10,4 @@ from arrivals_mart.sinks.tables import (
     write_table,
 )
 
-__all__ = ["publish", "read_table", "refresh_table", "render_path", "stage_path", "write_table"]
+__all__ = ["materialize", "publish", "read_table", "refresh_table", "render_path", "stage_path", "write_table"]

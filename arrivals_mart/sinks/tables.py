@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from arrivals_mart.contracts import Contract
+from arrivals_mart.session import scratch_path
 
 
 def _with_partition_copies(df: DataFrame, partition_by: Mapping[str, str]) -> DataFrame:
@@ -95,6 +96,19 @@ def _observe(df: DataFrame, contract: Contract | None, observation: Observation
     )
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once below the shared scratch folder and read it back.
+
+    Later size checks and joins then read the small written table instead of
+    recomputing it, and its lineage is cut (a lost executor does not send
+    Spark back to the original input).
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def read_table(spark: SparkSession, path: str, contract: Contract | None = None) -> DataFrame:
     """Read a table written by :func:`write_table`. With a contract, the
     partition columns come back with their declared types."""
