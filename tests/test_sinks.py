@@ -100,3 +100,18 @@ def test_hot_directory_is_split_across_tasks(spark, tmp_dir):
     assert len(hot) >= 3, (len(hot), cold)
     assert sorted(cold)[len(cold) // 2] == 1, (len(hot), cold)
     assert spark.read.parquet(f"{tmp_dir}/t").count() == 30_000
+
+
+def test_materialize_cuts_lineage(spark):
+    from plan_util import plan_text
+
+    from arrivals_mart.sinks import materialize
+    from arrivals_mart.session import shared_root
+
+    dim = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "k int, v string").distinct()
+    written = materialize(dim, "dim_test")
+    tree = plan_text(written).split("\n\n")[0]
+    assert "HashAggregate" not in tree and "Scan parquet" in tree
+    root = shared_root(spark).removeprefix("file:").lstrip("/")
+    assert all(f"{root}/arrivals_mart/dim_test-" in f for f in written.inputFiles())
+    assert sorted(tuple(r) for r in written.collect()) == [(1, "a"), (2, "b")]
