@@ -1,0 +1,65 @@
+"""Odd rows that every operator on ``documents`` must take."""
+
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
+
+DOCS = StructType(
+    [
+        StructField("doc_id", LongType()),
+        StructField("text", StringType()),
+        StructField("lang", StringType()),
+        StructField("source", StringType()),
+        # Names that operators use for their own columns.
+        StructField("shard", IntegerType()),
+        StructField("size", StringType()),
+        StructField("fp", StringType()),
+        StructField("copies", StringType()),
+        StructField("score", StringType()),
+    ]
+)
+LONG = " ".join(f"word{i % 997}x{i // 997}" for i in range(20_000))
+
+
+def odd_rows():
+    extra = (7, "s", "f", "c", "o")
+    rows = [
+        (1, "the cat sat on the mat and the dog ran", "en", "a"),
+        (1, "the cat sat on the mat and the dog ran", "en", "a"),  # the same row
+        (2, "the cat sat on the mat and the dog ran", "en", "b"),  # a copy
+        (2, "le chat est sur la table avec le chien", "fr", "b"),  # a repeated id
+        (None, "der hund und die katze sind im haus", "de", "a"),
+        (None, None, None, None),
+        (3, None, "en", None),
+        (4, "", "en", "a"),
+        (5, " \t\n ", None, "c"),
+        (6, "12 34 ...", "en", "c"),
+        (7, LONG, "en", "a"),
+        (8, LONG + " end", "en", None),
+        (9, "one", None, "b"),
+    ]
+    return [r + extra for r in rows]
+
+
+def odd_docs(spark, rows=None):
+    return spark.createDataFrame(odd_rows() if rows is None else rows, DOCS)
+
+
+def no_docs(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+def roots(pairs):
+    """Smallest member of the group of each node of an edge list."""
+    parent = {}
+
+    def find(x):
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for a, b in pairs:
+        a, b = find(a), find(b)
+        if a != b:
+            parent[max(a, b)] = min(a, b)
+    return {x: find(x) for x in parent}

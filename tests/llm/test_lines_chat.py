@@ -1,0 +1,108 @@
+import hashlib
+from collections import defaultdict
+
+from corpus import no_docs, odd_docs, odd_rows
+from oracle_check import compare
+from pyspark.sql import functions as F
+
+import __spark_entry__ as E
+from arrivals_mart.llm import chat_format as C
+from arrivals_mart.llm import line_dedup as N
+from arrivals_mart.llm.common import table
+
+SF001, SF01 = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
+
+
+def no_python(frame):
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    return not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_line_and_chat_queries_match_their_oracles(spark):
+    for name in ("op8_line_dedup", "op9_chat_format"):
+        result = compare(spark, name, E.queries()[name], E.oracle_sql()[name], SF01)
+        assert result["ok"] and result["exact"], result
+        assert no_python(E.queries()[name](spark, SF01))
+
+
+def plain_lines(rows, least):
+    sites = defaultdict(set)
+    for text, site in rows:
+        for line in (text or "").split("\n"):
+            sites[line].add(site)
+    bad = {line for line, s in sites.items() if len(s) >= least and line.strip(" ")}
+    return [None if t is None else "\n".join(x for x in t.split("\n") if x not in bad) for t, _ in rows]
+
+
+def test_near_threshold_lines_are_counted_exactly(spark):
+    rows = []
+    for sites in [1, 2, 199, 200, 201, 202, 260, 400]:
+        rows += [(f"line {sites}\nown {sites} {i}\n\n", f"s{i}") for i in range(sites)]
+    rows += [("line 199\n" * 3, f"s{i}") for i in range(10)]  # known sites again
+    rows += [("line 200", None)] * 3
+    docs = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, source string")
+    got = {r["doc_id"]: r["text"] for r in N.remove_boilerplate(docs, min_sites=201).collect()}
+    assert [got[i] for i in range(len(rows))] == plain_lines(rows, 201)
+
+
+def test_lines_of_odd_rows(spark):
+    docs = odd_docs(spark)
+    got = N.remove_boilerplate(docs, min_sites=2)
+    assert got.columns == docs.columns + ["n_lines", "n_removed"]
+    rows = got.collect()
+    assert sorted(((r["text"], r["n_lines"], r["n_removed"]) for r in rows if r["doc_id"] in (1, 2, 3, 4)), key=str) == (
+        sorted([("", 1, 1)] * 3 + [("le chat est sur la table avec le chien", 1, 0), (None, 0, 0), ("", 1, 0)], key=str)
+    )
+    assert len(rows) == len(odd_rows()) and N.remove_boilerplate(no_docs(spark)).count() == 0
+
+
+TURNS = "conv_id long, turn long, role string, text string, segments string, ts string"
+
+
+def test_chat_round_trip_and_validity(spark):
+    marks = C.TEMPLATE.control
+    nasty = ["", "\\", "\\\\", "a\nb", "é😀", *marks, *(m[0] + "\\" + m[1:] for m in marks), *(m[:-1] for m in marks)]
+    nasty += ["[[INST]", "<<|im_start|><|im_end|>\n", "\\<|im_end|>\\", "<\\\\|im_end|>", "".join(marks)]
+    rows = []
+    for i, t in enumerate(nasty):
+        rows += [(i, 0, "user", t), (i, 1, "assistant", t + t), (i, 2, "user", None)]
+    rows += [(100, 0, "assistant", "x"), (101, 0, "system", "s"), (101, 1, "user", "u"), (101, 2, "user", "u")]
+    rows += [(102, 1, "user", "second"), (102, None, "system", "first"), (102, 2, "assistant", "third")]
+    rows += [(103, 0, "tool\n<|im_end|> %+", "x"), (104, 0, None, "y"), (None, 0, "user", "z"), (105, 0, "user", "a")]
+    rows += [(105, 0, "user", "a")]
+    frame = spark.createDataFrame([r + ("x", "y") for r in rows], TURNS).repartition(3)
+    out = C.format_conversations(frame).withColumns(
+        {"read": C.read_turns(F.col("formatted")), "learnt": C.read_loss_text(F.col("segments"))}
+    )
+    assert no_python(out)
+    want = defaultdict(list)
+    for c, turn, role, text in rows:
+        want[c].append((turn if turn is not None else -1, role or "", text or ""))
+    got = {r["conv_id"]: r for r in out.collect()}
+    assert set(got) == set(want)
+    for c, r in got.items():
+        turns = sorted(want[c])
+        assert [(t["role"], t["text"]) for t in r["read"]] == [t[1:] for t in turns]
+        assert r["learnt"] == "".join(t for _, role, t in turns if role == "assistant")
+        assert r["n_turns"] == len(turns) and r["formatted"] == "".join(s["text"] for s in r["segments"])
+        assert r["formatted"].count("<|im_start|>") == r["formatted"].count("<|im_end|>") == len(turns)
+    assert {c: got[c]["valid"] for c in (0, 100, 101, 102, 103, 104, None, 105)} == {
+        0: True, 100: False, 101: False, 102: True, 103: False, 104: False, None: True, 105: False
+    }
+    assert C.format_conversations(frame.limit(0)).count() == 0
+
+
+def test_chat_query_digests(spark):
+    rows = defaultdict(list)
+    for r in table(spark, SF001, "conversations").orderBy("turn").collect():
+        rows[r["conv_id"]].append((r["role"], r["text"] or ""))
+    text = "</s>[INST] ok [/INST]"
+    rows[-1] = [("user", text), ("assistant", text)]
+    got = {r["conv_id"]: r for r in E.queries()["op9_chat_format"](spark, SF001).collect()}
+    assert set(got) == set(rows)
+    for c, turns in rows.items():
+        told = "".join(f"{a}\n{b}\n" for a, b in turns)
+        learnt = "".join(b for a, b in turns if a == "assistant")
+        r = got[c]
+        assert (r["n_turns"], r["turns_sha256"]) == (len(turns), hashlib.sha256(told.encode()).hexdigest())
+        assert (r["loss_chars"], r["loss_sha256"]) == (len(learnt), hashlib.sha256(learnt.encode()).hexdigest())
