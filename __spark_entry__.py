@@ -58,6 +58,16 @@ from arrivals_mart.sinks import materialize, read_table, refresh_table, write_ta
 from arrivals_mart.sources import read_csv, read_parquet  # noqa: E402
 from arrivals_mart.streaming import STREAMED_FACT, load_fact_incrementally  # noqa: E402
 
+# The corpus operators are an optional part: without them (or the pipeline over
+# them) the other queries stand alone. Any other import error is raised.
+try:
+    from arrivals_mart.llm.queries import ORACLES as LLM_ORACLES  # noqa: E402
+    from arrivals_mart.llm.queries import QUERIES as LLM_QUERIES  # noqa: E402
+except ModuleNotFoundError as error:
+    if not (error.name or "").startswith(("arrivals_mart.llm", "corpus_pipeline")):
+        raise
+    LLM_QUERIES, LLM_ORACLES = {}, {}
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
@@ -343,7 +353,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    return QUERIES | LLM_QUERIES
 
 
 # -------------------------------------------------------------- oracles ---
@@ -687,4 +697,4 @@ GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: v for k, v in ORACLES.items() if k in QUERIES}
+    return {k: v for k, v in ORACLES.items() if k in QUERIES} | LLM_ORACLES

@@ -12,7 +12,8 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(E.QUERIES) <= set(E.oracle_sql())
+    assert set(E.oracle_sql()) <= set(E.queries())
 
 
 @pytest.fixture(scope="module")
@@ -20,7 +21,7 @@ def con():
     return duckdb_connection(SF01)
 
 
-@pytest.mark.parametrize("name", list(E.queries()))
+@pytest.mark.parametrize("name", list(E.QUERIES))
 def test_query_matches_oracle(spark, con, name):
     result = compare(spark, name, E.queries()[name], E.oracle_sql()[name], SF01, con)
     assert result["ok"], result
