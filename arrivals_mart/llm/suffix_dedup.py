@@ -175,18 +175,24 @@ def repeated_passages(
         ),
         "suffix_records",
     )
-    neighbours = (
+    # Grouped results are written before they are joined to their rows: the
+    # join then has an exchange of its own, which Spark splits at a hot key.
+    neighbours = materialize(
         records.groupBy("head")
         .agg(
             (F.min("rid") != F.max("rid")).alias("shared"),
             (F.min("context") != F.max("context")).alias("mixed"),
         )
         .where("shared")
-        .select("head", "mixed")
+        .select("head", "mixed"),
+        "suffix_heads",
     )
     held = materialize(records.join(neighbours, "head"), "suffix_neighbours")
-    contexts = held.groupBy("head", "context").agg(
-        F.min(F.struct("rid", "start")).alias("first"), (F.min("rid") != F.max("rid")).alias("whole")
+    contexts = materialize(
+        held.groupBy("head", "context").agg(
+            F.min(F.struct("rid", "start")).alias("first"), (F.min("rid") != F.max("rid")).alias("whole")
+        ),
+        "suffix_contexts",
     )
     matched = materialize(
         held.join(contexts, ["head", "context"]).select(
@@ -210,8 +216,9 @@ def repeated_passages(
         .mapInArrow(_window_batches(min_words), "rid long, window long, start int"),
         "suffix_windows",
     )
-    again = (
-        windows.groupBy("window").agg((F.min("rid") != F.max("rid")).alias("shared")).where("shared").select("window")
+    again = materialize(
+        windows.groupBy("window").agg((F.min("rid") != F.max("rid")).alias("shared")).where("shared").select("window"),
+        "suffix_again",
     )
     extended = windows.join(again, "window").select("rid", "start", (F.col("start") + min_words).alias("end"))
     spans = whole.unionByName(extended).distinct()
