@@ -2,22 +2,36 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import arrivals_mart
 from arrivals_mart.sinks import materialize
 
-__all__ = ["ASCII_SPACE", "materialize", "runs", "table", "text_bytes", "word_count"]
+__all__ = ["ASCII_SPACE", "let_workers_import", "materialize", "runs", "table", "text_bytes", "word_count"]
 
 #: White space of the word rule ``[^\x20\x09-\x0D]+``.
 ASCII_SPACE = r"[\x20\x09-\x0D]+"
 
 
-def table(spark, sf_dir: str, name: str) -> DataFrame:
+def let_workers_import(spark: SparkSession) -> None:
+    """Put the place this package was imported from on the path of Python
+    workers that start from now on. On a cluster the package is installed, or
+    sent with ``--py-files``; there an unknown folder on the path does no harm."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(arrivals_mart.__file__)))
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    let_workers_import(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
