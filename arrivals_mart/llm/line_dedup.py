@@ -84,7 +84,8 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, site: str =
     kept = F.filter(_lines(F.col("text")), lambda x: ~F.array_contains("__bad", _line_key(x)))
     n_lines = F.coalesce(F.size(_lines(F.col("text"))), F.lit(0))
     found = F.col("__bad").isNotNull()
-    joined = docs.join(bad, F.xxhash64("text") == F.col("__key"), "left")
+    # A merge join at every size: how many texts have such a line is not bounded.
+    joined = docs.join(bad.hint("merge"), F.xxhash64("text") == F.col("__key"), "left")
     return (
         joined.withColumn("__kept", F.when(found, kept))
         .withColumns(
