@@ -39,7 +39,9 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     before = _signature(edges)
     while before[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
+        # Written first, so that the join has an exchange of its own, which
+        # Spark splits at a node with very many edges.
+        low = materialize(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")), "components_low")
         large = (
             both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         )

@@ -33,7 +33,7 @@ from arrivals_mart.llm.components import connected_components
 TABLES = 48
 HASHES = 12
 WIDTH = 1.6
-BLOCK = 512
+BLOCK = 256
 _SEED = 20
 
 
@@ -85,10 +85,12 @@ def _compare(
     unit: np.ndarray, m: np.ndarray, left: np.ndarray, nth: int, cross: bool, least: float
 ) -> tuple[np.ndarray, np.ndarray]:
     """New links (in rows) and root of each vector of one group."""
-    near = np.triu(unit @ unit.T >= least, 1)
     if cross:
-        near &= left[:, None] != left[None, :]
-    i, j = np.nonzero(near)
+        a, b = np.flatnonzero(left), np.flatnonzero(~left)
+        i, j = np.nonzero(unit[a] @ unit[b].T >= least)
+        i, j = a[i], b[j]
+    else:
+        i, j = np.nonzero(np.triu(unit @ unit.T >= least, 1))
     new, root = np.zeros(len(unit), np.int64), np.arange(len(unit))
     if not len(i):
         return new, root
@@ -182,12 +184,13 @@ def embedding_clusters(vectors: DataFrame, least: float = 0.98, block: int = BLO
         ),
         "vector_keys",
     )
-    sizes = (
+    sizes = materialize(
         keys.groupBy("bucket", "nth")
         .agg(F.count(F.lit(1)).alias("n"))
         .where("n > 1")
         .withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
-        .drop("n")
+        .drop("n"),
+        "vector_buckets",
     )
     met = (
         keys.join(sizes, ["bucket", "nth"])
