@@ -257,7 +257,7 @@ def histogram_shards(
     order = Window.partitionBy("__range").orderBy("__h", "__d")
     at = F.col("__range") + 1
     return (
-        placed.repartition(tasks, "__range")
+        placed.repartitionById(tasks, "__range")  # a task for each range
         .withColumn("__n", F.row_number().over(order))
         .withColumns(
             {
