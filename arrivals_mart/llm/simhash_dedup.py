@@ -132,7 +132,9 @@ def links(prints: DataFrame, max_bits: int = 2, bucket: int = BUCKET) -> DataFra
     if not 0 <= max_bits <= 2:
         raise ValueError("the codeword keys hold for at most two differing bits")
     keys = prints.select("fp").mapInArrow(_key_batches, "key long, fp long, probe boolean")
-    sizes = keys.groupBy("key").agg(F.count_if(~F.col("probe")).alias("n")).where("n > 1")
+    sizes = materialize(
+        keys.groupBy("key").agg(F.count_if(~F.col("probe")).alias("n")).where("n > 1"), "simhash_buckets"
+    )
     shared = materialize(keys.join(sizes, "key"), "simhash_keys")
     crowded = F.col("n") > bucket if max_bits == 2 else F.lit(False)
     small = shared.where(~crowded)
