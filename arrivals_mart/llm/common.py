@@ -26,7 +26,8 @@ def let_workers_import(spark: SparkSession) -> None:
     root = os.path.dirname(os.path.dirname(os.path.abspath(arrivals_mart.__file__)))
     environment = spark.sparkContext.environment
     paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
-    if root not in paths:
+    # Another environment means other workers, so leave it if they have the path.
+    if root not in [*paths, *os.environ.get("PYTHONPATH", "").split(os.pathsep)]:
         environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
 
 
