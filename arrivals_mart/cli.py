@@ -60,6 +60,7 @@ def parser() -> argparse.ArgumentParser:
     ask.add_argument("--year", type=int)
     ask.add_argument("--month", type=int)
     ask.add_argument("--by", default="i94_resident", choices=["i94_resident", "i94_citizen"])
+    ask.add_argument("--rows", type=int, default=50, help="rows of the answer to show")
     ask.add_argument("--write", help="write the answer as Parquet here instead of showing it")
     return p
 
@@ -119,7 +120,11 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
             answer.write.mode("overwrite").parquet(args.write)
             out = {"paths": {"answer": args.write}}
         else:
-            answer.show(50, truncate=False)
+            answer = answer.persist()
+            total = answer.count()
+            answer.show(args.rows, truncate=False)
+            print(f"{min(args.rows, total)} of {total} rows shown (--rows, or --write for all)")
+            answer.unpersist()
             out = {}
     if out:
         print(json.dumps(out, default=str))

@@ -9,9 +9,6 @@ from arrivals_mart.operators.conform import (
 )
 from arrivals_mart.operators.dimensions import code_dimension, date_dimension, reference_dimension
 from arrivals_mart.operators.joins import (
-    DEFAULT_BROADCAST_ROWS,
-    broadcast_if_small,
-    fits_broadcast,
     star_join,
 )
 from arrivals_mart.operators.quality import (
@@ -33,9 +30,6 @@ __all__ = [
     "code_dimension",
     "date_dimension",
     "reference_dimension",
-    "DEFAULT_BROADCAST_ROWS",
-    "broadcast_if_small",
-    "fits_broadcast",
     "star_join",
     "QualityError",
     "check_report",

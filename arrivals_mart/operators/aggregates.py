@@ -12,8 +12,6 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arrivals_mart.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small, fits_broadcast
-
 _NAME = "__lookup_name"
 _CODE_NAME = "__code_name"
 
@@ -48,22 +46,17 @@ def lookup_means(
     means: Mapping[str, str],
     out_code: str = "country_code",
     out_name: str = "country",
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """Codes with the means of the facts that carry the code's name.
 
     The facts are aggregated per name first (a derived table), then the code
     list is joined to it on the exact, case-sensitive name. Codes with no
-    facts are not returned (see :func:`lookup_unmatched`). The code list is a
-    bounded reference table, broadcast after a size check.
+    facts are not returned (see :func:`lookup_unmatched`).
     """
     grouped = facts.groupBy(F.col(fact_name).alias(_NAME)).agg(
         *[F.avg(src).alias(out) for out, src in means.items()]
     )
-    code_list = broadcast_if_small(
-        codes.select(F.col(code).alias(out_code), F.col(code_name).alias(_CODE_NAME)),
-        max_broadcast_rows,
-    )
+    code_list = codes.select(F.col(code).alias(out_code), F.col(code_name).alias(_CODE_NAME))
     # LEFT JOIN ... WHERE name IS NOT NULL: Catalyst turns it into an inner join.
     joined = code_list.join(grouped, F.col(_CODE_NAME) == F.col(_NAME), "left").where(F.col(_NAME).isNotNull())
     return joined.select(F.col(out_code), F.col(_NAME).alias(out_name), *[F.col(m) for m in means])
@@ -74,18 +67,11 @@ def lookup_unmatched(
     facts: DataFrame,
     code_name: str,
     fact_name: str,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """Rows of the code list whose name no fact carries.
 
-    The distinct fact names meet the size-checked code list in a broadcast
-    join; the names that matched are at most as many as the codes, so the
-    final anti join broadcasts them under the same bound. The facts are only
-    read once and never shuffled beyond their distinct names.
+    The facts are read once and shuffled as distinct names only; Spark
+    broadcasts the smaller side if its measured size allows.
     """
     names = facts.select(F.col(fact_name).alias(_NAME)).where(F.col(_NAME).isNotNull()).distinct()
-    if not fits_broadcast(codes, max_broadcast_rows):
-        return codes.join(names, codes[code_name] == names[_NAME], "left_anti")
-    code_names = F.broadcast(codes.select(F.col(code_name).alias(_CODE_NAME)))
-    matched = names.join(code_names, F.col(_NAME) == F.col(_CODE_NAME)).select(_CODE_NAME).distinct()
-    return codes.join(F.broadcast(matched), codes[code_name] == matched[_CODE_NAME], "left_anti")
+    return codes.join(names, codes[code_name] == names[_NAME], "left_anti")

@@ -1,47 +1,17 @@
-"""Star joins with a checked broadcast.
+"""Star joins.
 
-A dimension is broadcast only after its row count has been checked against a
-bound; beyond the bound the join is left to the shuffle planner (sort-merge,
-with AQE splitting skewed keys or switching to broadcast at run time once it
-has measured the side). Run the check on a materialised dimension (a written
-table or a checkpoint): then ``limit(n + 1).count()`` only touches a few row
-groups instead of recomputing the dimension.
+No side is hinted. Spark broadcasts a side whose bytes are known to be within
+``spark.sql.autoBroadcastJoinThreshold`` (from the files of a written table, or
+measured at run time by adaptive execution); beyond it the join is a shuffle
+join whose skewed keys adaptive execution splits. The threshold is set once, in
+``session.SESSION_DEFAULTS``; planning a join starts no job.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# Rows a broadcast side may hold. The dimensions that are broadcast have a
-# handful of narrow columns, so this stays in the tens of megabytes.
-DEFAULT_BROADCAST_ROWS = 250_000
 
-
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most
-    ``max_rows + 1`` of them)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if its size is within the bound, else
-    ``df`` unchanged."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
-
-
-def star_join(
-    fact: DataFrame,
-    dim: DataFrame,
-    fact_key: str,
-    dim_key: str,
-    how: str = "inner",
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-) -> DataFrame:
-    """``fact`` joined to ``dim`` on ``fact_key = dim_key``.
-
-    Only ``dim`` is ever broadcast (it is the build side for inner and left
-    joins), and only when it is within ``max_broadcast_rows``.
-    """
-    d = broadcast_if_small(dim, max_broadcast_rows)
-    return fact.join(d, fact[fact_key] == d[dim_key], how)
+def star_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, how: str = "inner") -> DataFrame:
+    """``fact`` joined to ``dim`` on ``fact_key = dim_key``."""
+    return fact.join(dim, fact[fact_key] == dim[dim_key], how)

@@ -9,11 +9,6 @@ operators must handle: padded codes, null codes next to code 0, fractional
 day numbers, unparsable character dates, null group keys, names that differ
 only in case, and cities repeated once per race.
 
-Code domains stay the size they have in the real data, whatever the scale
-factor: port codes are a fixed list (PORT_CODES of them), so suppliers are
-folded onto that many ports. The fact is partitioned by port and month, so
-this also keeps its directory count bounded, as it is with real ports.
-
 | input        | derived from           | notes                                     |
 | ------------ | ---------------------- | ----------------------------------------- |
 | arrivals     | lineitem               | port from supplier, day = ship date       |
@@ -34,7 +29,6 @@ from arrivals_mart.contracts import (
     DEMOGRAPHICS_INPUT,
     TEMPERATURES_INPUT,
 )
-from arrivals_mart.operators.joins import broadcast_if_small
 from arrivals_mart.sources.files import read_parquet
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
@@ -53,16 +47,13 @@ def _conform(df: DataFrame, schema) -> DataFrame:
 
 _DAY_NO = "CAST(datediff(CAST(l_shipdate AS DATE), DATE'1960-01-01') AS DOUBLE)"
 
-# Fixed value: size of the port code list.
-PORT_CODES = 660
-
 ARRIVALS_EXPRS = (
     "CAST(l_orderkey * 8 + l_linenumber AS DOUBLE) AS cicid",
     "CAST(year(l_shipdate) AS DOUBLE) AS i94yr",
     "CAST(month(l_shipdate) AS DOUBLE) AS i94mon",
     "CAST(l_partkey % 25 AS DOUBLE) AS i94cit",
     "CAST(l_suppkey % 25 AS DOUBLE) AS i94res",
-    f"concat('  P', CAST(l_suppkey % {PORT_CODES} AS STRING), ' ') AS i94port",
+    "concat('  P', CAST(l_suppkey AS STRING), ' ') AS i94port",
     f"{_DAY_NO} + l_discount AS arrdate",
     "CASE WHEN l_linenumber = 7 THEN CAST(NULL AS DOUBLE) WHEN l_linenumber = 6 THEN 9.0D"
     " ELSE CAST(l_linenumber - 1 AS DOUBLE) END AS i94mode",
@@ -154,9 +145,8 @@ def temperatures_from_customer(customer: DataFrame, nation: DataFrame) -> DataFr
 
     Values are quarters so that means are exact in any summation order.
     Nations of region 4 spell their name in lower case and so match no code.
-    Nation is the fixed 25-row table; it is broadcast after the size check.
     """
-    nations = broadcast_if_small(nation.select("n_nationkey", "n_name", "n_regionkey"))
+    nations = nation.select("n_nationkey", "n_name", "n_regionkey")
     joined = customer.join(nations, customer["c_nationkey"] == nations["n_nationkey"])
     return _conform(joined.selectExpr(*TEMPERATURES_EXPRS), TEMPERATURES_INPUT)
 

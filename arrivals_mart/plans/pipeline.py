@@ -23,6 +23,7 @@ from arrivals_mart.contracts import (
     MART,
     TEMPERATURES_INPUT,
 )
+from arrivals_mart.operators.conform import conform
 from arrivals_mart.operators.quality import check_report
 from arrivals_mart.plans.tables import (
     airport_dimension,
@@ -56,15 +57,21 @@ def read_inputs(
     countries: str = "country_code.csv",
     params: dict | None = None,
 ) -> Inputs:
-    """Scan the inputs below ``root`` (any Hadoop URI) with declared schemas.
-    ``root`` may be a template filled from ``params`` (e.g. ``in/{ds}``)."""
+    """Scan the inputs below ``root`` (any Hadoop URI) and conform them to
+    their declared schemas. ``root`` may be a template filled from ``params``
+    (e.g. ``in/{ds}``).
+
+    The arrivals are read with the types of their own Parquet footers, which
+    may store numbers as integers or dates as numbers, and converted; CSV
+    columns are matched by header, but for the demographics, whose header
+    differs from the declared names. A missing column is an error."""
     root = render_path(root, **(params or {})).rstrip("/")
     return Inputs(
-        arrivals=read_parquet(spark, f"{root}/{arrivals}", ARRIVALS_INPUT),
-        airports=read_csv(spark, f"{root}/{airports}", AIRPORTS_INPUT),
+        arrivals=conform(read_parquet(spark, f"{root}/{arrivals}"), ARRIVALS_INPUT),
+        airports=read_csv(spark, f"{root}/{airports}", AIRPORTS_INPUT, by_name=True),
         demographics=read_csv(spark, f"{root}/{demographics}", DEMOGRAPHICS_INPUT, sep=";"),
-        temperatures=read_csv(spark, f"{root}/{temperatures}", TEMPERATURES_INPUT),
-        countries=read_csv(spark, f"{root}/{countries}", COUNTRIES_INPUT),
+        temperatures=read_csv(spark, f"{root}/{temperatures}", TEMPERATURES_INPUT, by_name=True),
+        countries=read_csv(spark, f"{root}/{countries}", COUNTRIES_INPUT, by_name=True),
     )
 
 

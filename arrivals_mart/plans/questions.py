@@ -4,8 +4,8 @@ Each question first aggregates the fact on its foreign keys (partial
 aggregation in the scan tasks, so even a port with a third of all arrivals
 costs one row per task), and only the aggregated rows meet the dimensions.
 The labelled fact keeps every row and streams it through broadcast joins.
-Dimensions are broadcast after a size check; past the bound the join is a
-shuffle join that AQE can still re-plan. The fact is never shuffled whole.
+Spark broadcasts a dimension within its byte threshold; past it the join is a
+shuffle join that AQE can still re-plan.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arrivals_mart.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small, star_join
+from arrivals_mart.operators.joins import star_join
 
 
 def _count(name: str = "arrivals"):
@@ -27,7 +27,6 @@ def arrivals_by_airport_month(
     airport_code: str | None = None,
     year: int | None = None,
     month: int | None = None,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """Arrivals per airport (code and name), year and month.
 
@@ -49,8 +48,8 @@ def arrivals_by_airport_month(
     if month is not None:
         time_dim = time_dim.where(F.col("month") == month)
     per_day = fact.groupBy("i94_port", "i94_arrival_date").agg(_count())
-    days = broadcast_if_small(time_dim.select("arrival_sas", "year", "month"), max_broadcast_rows)
-    airports = broadcast_if_small(airport_dim.select("airport_code", "airport_name"), max_broadcast_rows)
+    days = time_dim.select("arrival_sas", "year", "month")
+    airports = airport_dim.select("airport_code", "airport_name")
     joined = per_day.join(days, per_day["i94_arrival_date"] == days["arrival_sas"]).join(
         airports, per_day["i94_port"] == airports["airport_code"]
     )
@@ -63,14 +62,11 @@ def arrivals_country_temperature(
     fact: DataFrame,
     country_dim: DataFrame,
     by: str = "i94_resident",
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """Arrivals per country of residence (or ``by="i94_citizen"``) with the
     country's mean temperature."""
     per_country = fact.groupBy(F.col(by).alias("country_code")).agg(_count())
-    countries = broadcast_if_small(
-        country_dim.select("country_code", "country", "avg_country_temperature"), max_broadcast_rows
-    )
+    countries = country_dim.select("country_code", "country", "avg_country_temperature")
     return per_country.join(countries, "country_code").select(
         "country_code", "country", "avg_country_temperature", "arrivals"
     )
@@ -79,18 +75,14 @@ def arrivals_country_temperature(
 def arrivals_state_population(
     fact: DataFrame,
     demographics_dim: DataFrame,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """Arrivals per state of address with the state's mean populations."""
     per_state = fact.groupBy(F.col("state_code").alias("stateCode")).agg(_count())
-    states = broadcast_if_small(
-        demographics_dim.select(
-            "stateCode",
-            "average_total_population",
-            "average_male_population",
-            "average_female_population",
-        ),
-        max_broadcast_rows,
+    states = demographics_dim.select(
+        "stateCode",
+        "average_total_population",
+        "average_male_population",
+        "average_female_population",
     )
     return per_state.join(states, "stateCode").select(
         F.col("stateCode").alias("state_code"),
@@ -106,19 +98,18 @@ def labelled_arrivals(
     visa_dim: DataFrame,
     mode_dim: DataFrame,
     time_dim: DataFrame,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """Every arrival with its visa type, travel mode, arrival date and
-    weekday: the fact star-joined (left) to three small dimensions, each
-    broadcast after its size check, so the fact itself is never shuffled.
+    weekday: the fact star-joined (left) to three dimensions. While these are
+    within Spark's broadcast threshold the fact itself is never shuffled.
     Arrivals whose code is missing from a dimension keep null labels."""
     out = fact.select("cicid", "i94_port", "visa_category_id", "travel_mode_id", "i94_arrival_date")
-    out = star_join(out, visa_dim, "visa_category_id", "visa_category_id", "left", max_broadcast_rows)
+    out = star_join(out, visa_dim, "visa_category_id", "visa_category_id", "left")
     out = out.drop(visa_dim["visa_category_id"])
-    out = star_join(out, mode_dim, "travel_mode_id", "travel_mode_id", "left", max_broadcast_rows)
+    out = star_join(out, mode_dim, "travel_mode_id", "travel_mode_id", "left")
     out = out.drop(mode_dim["travel_mode_id"])
     days = time_dim.select("arrival_sas", "arrival_date", "weekday")
-    out = star_join(out, days, "i94_arrival_date", "arrival_sas", "left", max_broadcast_rows)
+    out = star_join(out, days, "i94_arrival_date", "arrival_sas", "left")
     return out.select(
         "cicid", "i94_port", "visa_type", "travel_mode", "i94_arrival_date", "arrival_date", "weekday"
     )

@@ -8,7 +8,7 @@ any Hadoop URI or glob, so the same call reads local files and object stores.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def read_parquet(spark: SparkSession, path: str | list[str], schema: StructType | None = None) -> DataFrame:
@@ -29,10 +29,23 @@ def read_csv(
     sep: str = ",",
     header: bool = True,
     infer: bool = False,
+    by_name: bool = False,
 ) -> DataFrame:
     """CSV scan. Cells that do not parse as their declared type become null
     (PERMISSIVE mode); a BOM and CRLF line ends are handled by the reader.
-    ``infer=True`` without a schema samples the types (an extra pass)."""
+    ``infer=True`` without a schema samples the types (an extra pass).
+
+    A schema applies by position, whatever the header says; with ``by_name``
+    its columns are found by the header's names in any order (the first
+    line is read for it), further columns are left out and a missing one is an error."""
+    if by_name and schema is not None:
+        names = spark.read.option("header", True).option("sep", sep).csv(path).columns
+        missing = [f.name for f in schema.fields if f.name not in names]
+        if missing:
+            raise ValueError(f"{path}: missing columns {missing}")
+        known = {f.name: f for f in schema.fields}
+        in_file = StructType([known.get(n, StructField(n, StringType())) for n in names])
+        return read_csv(spark, path, in_file, sep).select(*[f.name for f in schema.fields])
     reader = spark.read.option("header", header).option("sep", sep).option("mode", "PERMISSIVE")
     if schema is not None:
         reader = reader.schema(schema)

@@ -29,7 +29,6 @@ from pyspark.sql.types import StructType
 
 from arrivals_mart.contracts import IMMIG_FACT
 from arrivals_mart.plans.tables import build_fact
-from arrivals_mart.session import scratch_path
 from arrivals_mart.sinks.tables import write_table
 
 # The fact as the stream writes it: one more directory level per batch.
@@ -68,17 +67,18 @@ def load_fact_incrementally(
     source: str,
     schema: StructType,
     output: str,
-    checkpoint: str | None = None,
+    checkpoint: str,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Add the fact rows of all not yet loaded files below ``source`` to the
-    partitioned fact at ``output`` and wait until done. Read the result
+    partitioned fact at ``output`` and wait until done. ``checkpoint`` must be
+    the same folder in every call for an output: it knows the loaded files. Read the result
     with ``read_table(spark, output, STREAMED_FACT)``."""
     stream = fact_stream(spark, source, schema, prepare, max_files_per_trigger)
     query = (
         stream.writeStream.foreachBatch(lambda batch, batch_id: write_fact_batch(batch, batch_id, output))
-        .option("checkpointLocation", checkpoint or scratch_path(spark, "fact_stream_checkpoint"))
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )

@@ -42,7 +42,7 @@ def test_airport_dimension(spark):
     rows = [
         ("A", " heliport", " One ", 1, "NA", "US", "US-PA", " Town", "00A", None, " 00A ", "-74.9, 40.0"),
         ("A", "heliport", "One", 1, "NA", "US", "US-PA", "Town", "00A", None, "00A", "-74.9, 40.0"),
-        ("B", "small", "Two", 2, "NA", "US", "US-KS", "Leoti", "00B", None, None, "1, 2"),
+        ("B", "small", "Two", 2, "NA", "US", "US-CA", "Two Oaks", "00B", None, None, "1, 2"),
         ("C", "small", "Three", 3, "NA", "US", "US-AK", "Anchor", "001", None, "001", "3, 4"),
         ("D", "small", "Three bis", 3, "NA", "US", "US-AK", "Anchor", "001", None, "001", "3, 4"),
     ]

@@ -92,7 +92,7 @@ def test_one_airport_one_month_reads_only_its_directories(spark, tmp_dir):
     fact, days, airports = (read_table(spark, result.paths[n], BY_NAME[n])
                             for n in ("immig_fact", "time_dim", "airport_dim"))
     answer = arrivals_by_airport_month(fact, days, airports, airport_code="NYC", year=2016, month=4)
-    assert [tuple(r) for r in answer.collect()] == [("NYC", "Total Rf Heliport", 2016, 4, 2)]
+    assert [tuple(r) for r in answer.collect()] == [("NYC", "Pier Nine Heliport", 2016, 4, 2)]
     assert arrivals_by_airport_month(fact, days, airports, airport_code="NYC", month=5).count() == 0
     assert "PartitionFilters: [isnotnull(partition_port" in plan_text(answer)
     assert "(partition_port" in plan_text(answer) and "= NYC)" in plan_text(answer)
@@ -107,3 +107,47 @@ def test_csv_with_bom_and_crlf(spark, tmp_dir):
     df = read_csv(spark, path, infer=True)
     assert df.columns == ["PortCode", "City", "StateCode"]
     assert [tuple(r) for r in df.collect()] == [("ALC", "Alcan", " AK   "), ("ANC", "Anchorage", "AK")]
+
+
+def test_arrivals_with_other_number_types(spark, tmp_dir):
+    """Numbers stored as integers and dates as numbers, columns in another order."""
+    from arrivals_mart.contracts import ARRIVALS_INPUT
+    from arrivals_mart.plans import build_fact
+
+    root = write_inputs(spark, f"{tmp_dir}/in")
+    want = build_fact(read_inputs(spark, root).arrivals.where("dtadfile = '20160430'"))
+    stored = read_inputs(spark, root).arrivals.where("dtadfile = '20160430'")
+    stored = stored.selectExpr(
+        *[
+            f"CAST(`{f.name}` AS BIGINT) AS `{f.name}`"
+            if f.name in ("cicid", "dtadfile", "dtaddto", "i94mode", "admnum")
+            else f"`{f.name}`"
+            for f in reversed(ARRIVALS_INPUT.fields)
+        ]
+    )
+    stored.write.parquet(f"{tmp_dir}/typed")
+    got = build_fact(read_inputs(spark, root, arrivals="../typed/*.parquet").arrivals)
+    assert got.schema == want.schema
+    rows = lambda df: sorted(map(tuple, df.collect()), key=str)
+    assert rows(got) == rows(want) and len(rows(got)) > 1
+
+
+def test_missing_column_stops_the_run(spark, tmp_dir):
+    import pytest
+
+    root = write_inputs(spark, f"{tmp_dir}/in")
+    read_inputs(spark, root).arrivals.drop("i94port").write.parquet(f"{tmp_dir}/cut")
+    with pytest.raises(ValueError, match="i94port"):
+        read_inputs(spark, root, arrivals="../cut/*.parquet")
+    with open(f"{root}/country_code.csv", "w") as f:
+        f.write("country_code,name\n1,a\n")
+    with pytest.raises(ValueError, match="country"):
+        read_inputs(spark, root)
+
+
+def test_csv_columns_are_matched_by_header(spark, tmp_dir):
+    root = write_inputs(spark, f"{tmp_dir}/in")
+    with open(f"{root}/country_code.csv", "w") as f:
+        f.write("country,note,country_code\nMexico,x,582\nAlbania,,101\n")
+    rows = read_inputs(spark, root).countries.collect()
+    assert sorted(map(tuple, rows)) == [(101, "Albania"), (582, "Mexico")]

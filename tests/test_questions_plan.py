@@ -4,7 +4,6 @@ small dimensions are broadcast, scans read only the needed columns."""
 import re
 
 import __spark_entry__ as E
-from arrivals_mart.operators import broadcast_if_small, fits_broadcast
 from conftest import SF001
 from plan_util import plan_text
 
@@ -21,13 +20,18 @@ def test_port_month_plan(spark):
     assert "partial_count" in text
 
 
-def test_broadcast_check(spark):
-    small = spark.range(10)
-    assert fits_broadcast(small, 10) and not fits_broadcast(small, 9)
-    assert "BroadcastHashJoin" in plan_text(spark.range(1000).join(broadcast_if_small(small, 10), "id"))
-    assert "BroadcastHashJoin" not in plan_text(
-        spark.range(10_000_000).join(broadcast_if_small(spark.range(5_000_000), 10), "id")
-    )
+def test_planning_the_mart_starts_no_job(spark):
+    from arrivals_mart.plans import build_mart
+    from arrivals_mart.plans import driver as D
+
+    tracker = spark.sparkContext.statusTracker()
+    inputs = D.driver_inputs(spark, SF001)  # reads footers
+    spark.sparkContext.setJobGroup("planning", "")
+    try:
+        build_mart(inputs)
+        assert not tracker.getJobIdsForGroup("planning")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_labelled_arrivals_streams_the_fact_through_broadcasts(spark):
@@ -36,14 +40,27 @@ def test_labelled_arrivals_streams_the_fact_through_broadcasts(spark):
     assert "SortMergeJoin" not in tree
 
 
-def test_star_join_past_the_bound_is_a_shuffle_join_with_the_same_answer(spark):
+def test_star_join_past_the_threshold_is_a_shuffle_join_with_the_same_answer(spark):
     from arrivals_mart.operators import star_join
 
     fact = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k int, v string")
     dim = spark.createDataFrame([(1, "one"), (2, "two")], "key int, label string")
-    small = star_join(fact, dim, "k", "key", "left")
-    big = star_join(fact, dim, "k", "key", "left", max_broadcast_rows=1)
-    assert "ResolvedHint (strategy=broadcast)" in plan_text(small, "extended")
-    assert "strategy=broadcast" not in plan_text(big, "extended")
-    rows = lambda df: sorted((r.k, r.label) for r in df.collect())
-    assert rows(small) == rows(big) == [(1, "one"), (2, "two"), (3, None)]
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {k: spark.conf.get(k) for k in keys}
+
+    def ran():
+        out = star_join(fact, dim, "k", "key", "left")
+        rows = sorted((r.k, r.label) for r in out.collect())
+        return rows, out._jdf.queryExecution().executedPlan().toString()
+
+    small, plan = ran()
+    assert "BroadcastHashJoin" in plan
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        big, plan = ran()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert "BroadcastHashJoin" not in plan
+    assert small == big == [(1, "one"), (2, "two"), (3, None)]
