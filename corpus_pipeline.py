@@ -3,22 +3,36 @@
 ``STAGES`` lists ``(name, function)``; each function takes ``(spark, docs,
 sf_dir)`` and returns a DataFrame that is written as Parquet and read again as
 the next stage's ``docs``. All but the last return the columns of
-``documents``; the last adds ``shard`` and ``slot``.
+``documents`` (and any further columns untouched); the last adds ``shard`` and
+``slot``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from arrivals_mart.llm import decontaminate, language_id, mixing, sharding, simhash_dedup
 from arrivals_mart.llm.common import materialize, table
 
 
+#: Columns that operators read; others are set aside while an operator adds its own.
+_READ = ("doc_id", "text", "lang", "source")
+
+
+def _set_aside(docs: DataFrame) -> DataFrame:
+    return docs.toDF(*[c if c in _READ else f"__kept_{c}" for c in docs.columns])
+
+
+def _bring_back(found: DataFrame, columns: list[str]) -> DataFrame:
+    return found.select(*[F.col(c if c in _READ else f"__kept_{c}").alias(c) for c in columns])
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; those without a letter go."""
     model = language_id.train(docs.where(~language_id.held_out()))
-    found = language_id.identify(docs, model)
-    return found.where(found["lang_pred"] != language_id.UNDETERMINED).select(*docs.columns)
+    found = language_id.identify(_set_aside(docs), model)
+    return _bring_back(found.where(F.col("lang_pred") != language_id.UNDETERMINED), docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +47,7 @@ def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
-    return mixing.take_copies(mixing.mix(docs)).select(*docs.columns)
+    return _bring_back(mixing.take_copies(mixing.mix(_set_aside(docs))), docs.columns)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
