@@ -46,3 +46,24 @@ def test_bench_prints_one_json_line():
     assert len(lines) == 1, out.stdout + out.stderr[-2000:]
     result = json.loads(lines[0])
     assert result["unit"] == "sec" and set(result["queries"]) == {"date_dim"} and result["sf"] == "0.001"
+
+
+def test_other_queries_stand_without_the_optional_subpackage():
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = """
+import sys
+
+class Gone:
+    def find_spec(self, name, path=None, target=None):
+        if name.startswith(("arrivals_mart.llm", "corpus_pipeline")):
+            raise ModuleNotFoundError(name, name=name)
+
+sys.meta_path.insert(0, Gone())
+import __spark_entry__ as E
+assert set(E.queries()) == set(E.QUERIES) and set(E.oracle_sql()) == set(E.QUERIES)
+"""
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True, timeout=120)
