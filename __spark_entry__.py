@@ -27,9 +27,17 @@ from pyspark.sql.types import (  # noqa: E402
     TimestampNTZType,
 )
 
-from arrivals_mart.contracts import AIRPORT_DIM, DEMOGRAPHICS_INPUT, IMMIG_FACT, MART  # noqa: E402
+from arrivals_mart.contracts import (  # noqa: E402
+    AIRPORT_DIM,
+    ARRIVALS_INPUT,
+    COUNTRIES_INPUT,
+    DEMOGRAPHICS_INPUT,
+    IMMIG_FACT,
+    MART,
+)
 from arrivals_mart.functions.columns import char_date, day_number_range  # noqa: E402
 from arrivals_mart.operators import (  # noqa: E402
+    conform,
     group_means,
     key_duplicates,
     lookup_unmatched,
@@ -55,7 +63,7 @@ from arrivals_mart.plans import driver as D  # noqa: E402
 from arrivals_mart.plans.tables import DEMOGRAPHIC_MEANS  # noqa: E402
 from arrivals_mart.session import scratch_path  # noqa: E402
 from arrivals_mart.sinks import materialize, read_table, refresh_table, write_table  # noqa: E402
-from arrivals_mart.sources import read_csv, read_parquet  # noqa: E402
+from arrivals_mart.sources import read_csv, read_parquet, register_view  # noqa: E402
 from arrivals_mart.streaming import STREAMED_FACT, load_fact_incrementally  # noqa: E402
 
 # The corpus operators are an optional part: without them (or the pipeline over
@@ -258,6 +266,34 @@ LINEITEM_SCHEMA = StructType(
 )
 
 
+def q_csv_reordered_scan(spark, sf_dir):
+    """Columns in another order than declared, and one more, matched by header."""
+    path = scratch_path(spark, "countries_csv")
+    countries = _countries(spark, sf_dir)
+    countries.select("country", F.length("country").alias("note"), "country_code").write.option("header", True).csv(path)
+    return read_csv(spark, path, COUNTRIES_INPUT, by_name=True)
+
+
+def q_arrivals_typed_input(spark, sf_dir):
+    """The fact from arrivals that store numbers as integers and a date as a number."""
+    path = scratch_path(spark, "typed_arrivals")
+    numbers = ("cicid", "i94mode", "i94visa", "i94cit", "dtaddto")
+    stored = _arrivals(spark, sf_dir)
+    stored.select(
+        *[F.col(c).cast("bigint").alias(c) if c in numbers else F.col(c) for c in reversed(stored.columns)]
+    ).write.parquet(path)
+    return build_fact(conform(read_parquet(spark, path), ARRIVALS_INPUT))
+
+
+def q_view_sql_scan(spark, sf_dir):
+    """SQL text over a registered view."""
+    register_view(_airports(spark, sf_dir), "airports_view")
+    return spark.sql(
+        "SELECT trim(local_code) AS airport_code, type AS airport_type, count(*) AS n "
+        "FROM airports_view WHERE local_code IS NOT NULL GROUP BY trim(local_code), type"
+    )
+
+
 def q_parquet_glob_scan(spark, sf_dir):
     return read_parquet(spark, f"{sf_dir.rstrip('/')}/lineite*.parquet", LINEITEM_SCHEMA)
 
@@ -340,6 +376,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "labelled_arrivals": q_labelled_arrivals,
     "csv_semicolon_scan": q_csv_semicolon_scan,
     "csv_infer_scan": q_csv_infer_scan,
+    "csv_reordered_scan": q_csv_reordered_scan,
+    "arrivals_typed_input": q_arrivals_typed_input,
+    "view_sql_scan": q_view_sql_scan,
     "parquet_glob_scan": q_parquet_glob_scan,
     "partitioned_write_read": q_partitioned_write_read,
     "refresh_twice": q_refresh_twice,
@@ -680,6 +719,12 @@ LEFT JOIN travel_mode_dim m ON f.travel_mode_id = m.travel_mode_id
 LEFT JOIN time_dim t ON f.i94_arrival_date = t.arrival_sas""",
     "csv_semicolon_scan": _with(DEMOGRAPHICS_SQL) + "SELECT * FROM demographics",
     "csv_infer_scan": _with(AIRPORTS_SQL, AIRPORT_DIM_SQL) + "SELECT * FROM airport_dim",
+    "csv_reordered_scan": _with(COUNTRIES_SQL) + "SELECT * FROM countries",
+    "arrivals_typed_input": _with(ARRIVALS_SQL, FACT_SQL) + "SELECT * FROM fact",
+    "view_sql_scan": _with(AIRPORTS_SQL)
+    + """
+SELECT trim(local_code) AS airport_code, type AS airport_type, count(*) AS n
+FROM airports WHERE local_code IS NOT NULL GROUP BY trim(local_code), type""",
     "parquet_glob_scan": "SELECT * FROM lineitem",
     "partitioned_write_read": _with(ARRIVALS_SQL, FACT_SQL)
     + f"SELECT {FACT_COLUMNS}, i94_port AS partition_port, i94_month FROM fact",
