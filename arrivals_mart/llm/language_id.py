@@ -179,7 +179,9 @@ def train(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageMode
     if len(langs) < 2:
         return model
     lang = np.array([r["lang"] for r in got])
-    x = np.frombuffer(b"".join(r["x"] for r in got), np.float32).reshape(len(got), DIM).copy()
+    x = np.empty((len(got), DIM), np.float32)
+    for i, r in enumerate(got):
+        x[i] = np.frombuffer(r["x"], np.float32)
     del got
     norm = 1.0 / float(np.sqrt(np.einsum("ij,ij->i", x, x, dtype=np.float64)).mean())
     x *= np.float32(norm)
