@@ -20,7 +20,7 @@ shuffled to sort it. In steps:
    never compared in pairs, however many copies there are.
 4. One record of each remaining context is extended word by word to the left
    and right: its windows are hashed from the text, and a window met in
-   two documents is a match.
+   two documents, next to the same first hash, is a match (128 bits agree).
 5. Matches of a document are merged to maximal spans.
 
 Steps 2 to 4 are grouped minima and joins on hashes, so one passage may stand in a
@@ -140,12 +140,17 @@ def _window_batches(min_words: int):
             )
             for rid, text, ranges in rows:
                 hashes = Hashes(text)
-                at = np.unique(np.concatenate([np.arange(r["start"], r["start"] + r["n"]) for r in ranges]))
-                parts.append((np.full(len(at), rid), hashes.of(at, at + min_words), at))
+                # A window has one kept position, so one head, even if its range is given twice.
+                at, which = np.unique(
+                    np.concatenate([np.arange(r["start"], r["start"] + r["n"]) for r in ranges]), return_index=True
+                )
+                head = np.repeat([r["head"] for r in ranges], [r["n"] for r in ranges])[which]
+                parts.append((np.full(len(at), rid), head, hashes.of(at, at + min_words), at))
             if parts:
-                rid, window, at = (np.concatenate(x) for x in zip(*parts, strict=True))
+                rid, head, window, at = (np.concatenate(x) for x in zip(*parts, strict=True))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(rid), _signed(window), pa.array(at.astype(np.int32))], ["rid", "window", "start"]
+                    [pa.array(rid), pa.array(head), _signed(window), pa.array(at.astype(np.int32))],
+                    ["rid", "head", "window", "start"],
                 )
 
     return run
@@ -197,6 +202,7 @@ def repeated_passages(
     matched = materialize(
         held.join(contexts, ["head", "context"]).select(
             "rid",
+            "head",
             "start",
             "n",
             "whole",
@@ -208,19 +214,22 @@ def repeated_passages(
         "suffix_matches",
     )
     whole = matched.where("whole").select("rid", "start", (F.col("start") + F.col("n") - 1 + min_words).alias("end"))
-    ranges = matched.where("extend").groupBy("rid").agg(F.collect_list(F.struct("start", "n")).alias("ranges"))
+    ranges = matched.where("extend").groupBy("rid").agg(F.collect_list(F.struct("start", "n", "head")).alias("ranges"))
     windows = materialize(
         keyed.select("rid", "text")
         .join(ranges, "rid")
         .select("rid", "text", "ranges")
-        .mapInArrow(_window_batches(min_words), "rid long, window long, start int"),
+        .mapInArrow(_window_batches(min_words), "rid long, head long, window long, start int"),
         "suffix_windows",
     )
     again = materialize(
-        windows.groupBy("window").agg((F.min("rid") != F.max("rid")).alias("shared")).where("shared").select("window"),
+        windows.groupBy("head", "window")
+        .agg((F.min("rid") != F.max("rid")).alias("shared"))
+        .where("shared")
+        .select("head", "window"),
         "suffix_again",
     )
-    extended = windows.join(again, "window").select("rid", "start", (F.col("start") + min_words).alias("end"))
+    extended = windows.join(again, ["head", "window"]).select("rid", "start", (F.col("start") + min_words).alias("end"))
     spans = whole.unionByName(extended).distinct()
     order = Window.partitionBy("rid").orderBy("start", "end")
     reached = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
