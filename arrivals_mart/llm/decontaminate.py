@@ -10,10 +10,12 @@ around is then aligned with the item (Smith-Waterman over words: match 1,
 mismatch and gap -1). The similarity is the share of the item's words that the best
 local alignment matches.
 
-The benchmark is taken in blocks of at most ``BLOCK_WORDS`` words; only a block's
-table of n-grams goes to the executors, and every block meets all documents
-whole, in two map-only passes (counts, matches). Nothing but counts and
-matches leaves a task, so a passage may stand in a third of all documents.
+The distinct texts of the benchmark are taken in blocks of about ``BLOCK_WORDS``
+words at most; only a block's table of n-grams goes to the executors, and every
+block meets all documents whole, in two map-only passes (counts, matches).
+Nothing but counts and matches leaves a task, so a passage may stand in a third
+of all documents. An item text that many rows repeat is matched once; its
+matches get the rows' ids in a join.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ LEAST = 0.8
 BLOCK_WORDS = 1_000_000
 _WORD = re.compile(r"[^\W_]+")
 _K = 1 << 20  # score * _K + matched words in one number
-MATCH_COLUMNS = "doc_id long, text_hash long, item_id long, similarity double, start_word int, n_words int"
+MATCH_COLUMNS = "doc_id long, text_hash long, item long, similarity double, start_word int, n_words int"
 
 
 def words_of(text: str | None) -> list[str]:
@@ -70,7 +72,7 @@ def align(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
 class Block:
     """The n-grams of some benchmark items, as arrays."""
 
-    ids: list[int | None]
+    ids: list[int]  # of each item
     words: dict[str, int]  # word -> number from 1
     items: list[np.ndarray]  # word numbers of each item
     codes: np.ndarray  # distinct n-grams, sorted
@@ -102,7 +104,7 @@ class Block:
         return np.fromiter((get(w, 0) for w in found), np.int64, len(found))
 
 
-def make_block(rows: list[tuple[int | None, str]], least: float) -> Block:
+def make_block(rows: list[tuple[int, str]], least: float) -> Block:
     words: dict[str, int] = {}
     items = []
     for _, text in rows:
@@ -148,7 +150,7 @@ def _expand(first: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return which, np.repeat(first[grams], n) + inner
 
 
-def matches(block: Block, numbers: np.ndarray, least: float) -> list[tuple[int | None, float, int, int]]:
+def matches(block: Block, numbers: np.ndarray, least: float) -> list[tuple[int, float, int, int]]:
     """Best match of each item in a text: item id, similarity, span."""
     gram = block.grams(numbers)
     at = np.flatnonzero(gram >= 0)
@@ -224,41 +226,32 @@ def _match_batches(block, least: float):
                         pa.array(start, pa.int32()),
                         pa.array(n, pa.int32()),
                     ],
-                    ["doc_id", "text_hash", "item_id", "similarity", "start_word", "n_words"],
+                    ["doc_id", "text_hash", "item", "similarity", "start_word", "n_words"],
                 )
 
     return run
 
 
-def contaminated(
-    docs: DataFrame, benchmark: DataFrame, least: float = LEAST, block_words: int = BLOCK_WORDS
-) -> DataFrame:
-    """Matches of ``benchmark (item_id, text)`` in ``docs (doc_id, text)``.
+def _keyed_items(benchmark: DataFrame) -> DataFrame:
+    text = F.col("text").cast("string")
+    items = benchmark.select(F.col("item_id").cast("long"), text.alias("text")).where("text is not null")
+    return items.withColumn("item", F.xxhash64("text"))
 
-    One row per input row and item found in it: ``doc_id``, ``text_hash``
-    (xxhash64 of the text), ``item_id``, ``similarity`` (at least ``least``) and
-    the words that the best match lies in (``start_word``, ``n_words``).
 
-    Every copy with at most ``(1 - least)`` of the item's words edited is found
-    if the item is long enough for an n-gram to survive (6 words or more at
-    0.8). Items of fewer than three words have no n-gram and match nothing;
-    null and empty texts match nothing. Repeated items, rows and ids are taken
-    as they come, null ids stay null, other columns are ignored, empty tables
-    give an empty result.
-    """
+def _matches(docs: DataFrame, items: DataFrame, least: float, block_words: int) -> DataFrame:
+    """``MATCH_COLUMNS`` of every document and distinct item text found in it."""
     spark = docs.sparkSession
     texts = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.xxhash64("text").alias("text_hash"),
         F.col("text").cast("string").alias("text"),
     ).where(F.col("text").isNotNull())
-    items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("text is not null")
-    letters = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    distinct = materialize(items.select("item", "text").distinct(), "benchmark_texts")
+    letters = distinct.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-int(letters) // (2 * block_words)))  # a word and its end are two letters at least
     parts = []
     for k in range(blocks):
-        part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == k)
-        block = make_block(sorted(map(tuple, part.collect()), key=str), least)
+        block = make_block(sorted(map(tuple, distinct.where(F.pmod("item", F.lit(blocks)) == k).collect())), least)
         sent = spark.sparkContext.broadcast(block)
         counted = texts.select("text").mapInArrow(_count_batches(sent), "gram long, n long")
         counts = np.zeros(len(block.codes), np.int64)
@@ -273,11 +266,33 @@ def contaminated(
     return out
 
 
+def contaminated(
+    docs: DataFrame, benchmark: DataFrame, least: float = LEAST, block_words: int = BLOCK_WORDS
+) -> DataFrame:
+    """Matches of ``benchmark (item_id, text)`` in ``docs (doc_id, text)``.
+
+    One row per input row and item found in it: ``doc_id``, ``text_hash``
+    (xxhash64 of the text), ``item_id``, ``similarity`` (at least ``least``) and
+    the words that the best match lies in (``start_word``, ``n_words``).
+
+    Every copy with at most ``(1 - least)`` of the item's words edited is found
+    if the item is long enough for an n-gram to survive (6 words or more at
+    0.8). Items of fewer than three words have no n-gram and match nothing;
+    null and empty texts match nothing. Repeated items, rows and ids are taken
+    as they come, null ids stay null, other columns are ignored, empty tables
+    give an empty result.
+    """
+    items = materialize(_keyed_items(benchmark), "benchmark_items")
+    found = _matches(docs, items, least, block_words)
+    return found.join(items.select("item", "item_id"), "item").select(
+        "doc_id", "text_hash", "item_id", "similarity", "start_word", "n_words"
+    )
+
+
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> DataFrame:
     """``docs`` without the rows in which an item was found."""
-    hits = contaminated(docs, benchmark, least).select(
-        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")
-    ).distinct()
+    found = _matches(docs, _keyed_items(benchmark), least, BLOCK_WORDS)
+    hits = found.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
     return docs.join(
         hits,
         F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash")),

@@ -102,6 +102,26 @@ def test_odd_rows(spark):
     assert left.columns == docs.columns and left.count() == docs.count() - 4
 
 
+def test_repeated_items_are_matched_once(spark):
+    """A text that most items repeat stays one entry of its block."""
+    text = "one two three four five six seven eight nine ten"
+    rows = [(i, text) for i in range(300)] + [(1000 + i, f"a{i} b{i} c{i} d{i} e{i} f{i}") for i in range(50)]
+    bench = spark.createDataFrame([*rows, (None, text)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"so {text} end"), (2, "a7 b7 c7 d7 e7 f7"), (3, "no")], "doc_id long, text string")
+    for block in (D.BLOCK_WORDS, 100):
+        found = [(r["doc_id"], r["item_id"]) for r in D.contaminated(docs, bench, block_words=block).collect()]
+        assert len(found) == 302
+        assert set(found) == {(1, i) for i in range(300)} | {(1, None), (2, 1007)}
+    sizes = []
+    make = D.make_block
+    D.make_block = lambda rows, least: sizes.append(len(rows)) or make(rows, least)
+    try:
+        D.contaminated(docs, bench)
+    finally:
+        D.make_block = make
+    assert sizes == [51]
+
+
 def test_empty_tables(spark):
     bench = table(spark, SF001, "benchmark")
     assert D.contaminated(no_docs(spark), bench).count() == 0
