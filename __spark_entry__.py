@@ -55,6 +55,7 @@ from arrivals_mart.plans import (  # noqa: E402
     demographics_dimension,
     labelled_arrivals,
     run_pipeline,
+    run_report,
     time_dimension,
     travel_mode_dimension,
     visa_dimension,
@@ -62,7 +63,7 @@ from arrivals_mart.plans import (  # noqa: E402
 from arrivals_mart.plans import driver as D  # noqa: E402
 from arrivals_mart.plans.tables import DEMOGRAPHIC_MEANS  # noqa: E402
 from arrivals_mart.session import scratch_path  # noqa: E402
-from arrivals_mart.sinks import materialize, read_table, refresh_table, write_table  # noqa: E402
+from arrivals_mart.sinks import expire_versions, materialize, read_table, refresh_table, write_table  # noqa: E402
 from arrivals_mart.sources import read_csv, read_parquet, register_view  # noqa: E402
 from arrivals_mart.streaming import STREAMED_FACT, load_fact_incrementally  # noqa: E402
 
@@ -311,6 +312,16 @@ def q_refresh_twice(spark, sf_dir):
     return spark.table(view)
 
 
+def q_refresh_then_expire(spark, sf_dir):
+    """Three versions, of which the newest stays."""
+    root = scratch_path(spark, "expire")
+    view = "airport_dim_" + root.rsplit("-", 1)[-1]
+    for _ in range(3):
+        refresh_table(spark, airport_dimension(_airports(spark, sf_dir)), root, AIRPORT_DIM, view=view)
+    expire_versions(spark, root, view, keep=1)
+    return spark.read.parquet(f"{root}/{view}/*")
+
+
 def q_append_twice(spark, sf_dir):
     path = scratch_path(spark, "append")
     for _ in range(2):
@@ -327,6 +338,11 @@ def q_quality_report(spark, sf_dir):
     return quality_report({c.name: (mart[c.name], c.key[0]) for c in MART})
 
 
+def q_run_report(spark, sf_dir):
+    """Rows, null and repeated keys, rows left out and lost values per table."""
+    return run_report(D.driver_inputs(spark, sf_dir))
+
+
 def q_key_duplicates(spark, sf_dir):
     return key_duplicates(_t(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
@@ -382,8 +398,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parquet_glob_scan": q_parquet_glob_scan,
     "partitioned_write_read": q_partitioned_write_read,
     "refresh_twice": q_refresh_twice,
+    "refresh_then_expire": q_refresh_then_expire,
     "append_twice": q_append_twice,
     "quality_report": q_quality_report,
+    "run_report": q_run_report,
     "key_duplicates": q_key_duplicates,
     "fact_key_duplicates": q_fact_key_duplicates,
     "mart_row_counts": q_mart_row_counts,
@@ -412,7 +430,7 @@ arrivals AS (
     {_DAY_NO} + l_discount AS arrdate,
     CASE WHEN l_linenumber = 7 THEN NULL WHEN l_linenumber = 6 THEN CAST(9 AS DOUBLE)
          ELSE CAST(l_linenumber - 1 AS DOUBLE) END AS i94mode,
-    'S' || CAST(l_partkey % 25 AS VARCHAR) AS i94addr,
+    CASE WHEN l_partkey % 30 = 29 THEN NULL ELSE 'S' || CAST(l_partkey % 30 AS VARCHAR) END AS i94addr,
     ({_DAY_NO} + l_discount) + l_quantity AS depdate,
     l_quantity AS i94bir,
     CASE WHEN l_linenumber = 7 THEN NULL ELSE CAST(l_linenumber % 4 AS DOUBLE) END AS i94visa,
@@ -660,6 +678,30 @@ LOSSES_SQL = (
     )
 )
 
+# Rows of each table's inputs that no row of it stands for.
+_LEFT_OUT = {
+    "visa_type_dim": f"SELECT count(*) FROM arrivals WHERE {_int('i94visa')} IS NULL",
+    "time_dim": "SELECT count(*) FROM arrivals WHERE coalesce("
+    f"{_int('arrdate')} NOT BETWEEN {_DAY_RANGE[0]} AND {_DAY_RANGE[1]}, true)",
+    "airport_dim": "SELECT count(*) FROM airports WHERE local_code IS NULL",
+    "demographics_dim": "SELECT count(*) FROM demographics WHERE stateCode IS NULL",
+    "country_temperature_dim": "SELECT count(*) FROM countries c WHERE NOT EXISTS "
+    "(SELECT 1 FROM temperatures t WHERE t.Country = c.country)",
+}
+_LOST = " + ".join(
+    f"count(*) FILTER (WHERE {src} IS NOT NULL AND ({expr}) IS NULL)" for src, expr in FACT_SQL_COLUMNS.values()
+)
+REPORT_SQL = MART_SQL + "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS table_name, '{key}' AS key_column, count(*) AS row_count, "
+    f"count(*) FILTER (WHERE {key} IS NULL) AS null_keys, "
+    f"(SELECT count(*) FROM (SELECT {key} FROM {_CTE.get(name, name)} WHERE {key} IS NOT NULL "
+    f"GROUP BY {key} HAVING count(*) > 1)) AS duplicate_keys, "
+    f"({_LEFT_OUT.get(name, 'SELECT 0')}) AS left_out, "
+    f"{f'(SELECT {_LOST} FROM arrivals)' if name == 'immig_fact' else '0'} AS lost_values "
+    f"FROM {_CTE.get(name, name)}"
+    for name, key in _KEYS.items()
+)
+
 ORACLES: dict[str, str] = {
     "conform_fact": _with(ARRIVALS_SQL, FACT_SQL) + "SELECT * FROM fact",
     "parse_char_date": """
@@ -729,9 +771,11 @@ FROM airports WHERE local_code IS NOT NULL GROUP BY trim(local_code), type""",
     "partitioned_write_read": _with(ARRIVALS_SQL, FACT_SQL)
     + f"SELECT {FACT_COLUMNS}, i94_port AS partition_port, i94_month FROM fact",
     "refresh_twice": _with(AIRPORTS_SQL, AIRPORT_DIM_SQL) + "SELECT * FROM airport_dim",
+    "refresh_then_expire": _with(AIRPORTS_SQL, AIRPORT_DIM_SQL) + "SELECT * FROM airport_dim",
     "append_twice": _with(AIRPORTS_SQL, AIRPORT_DIM_SQL)
     + "SELECT * FROM airport_dim UNION ALL SELECT * FROM airport_dim",
     "quality_report": QUALITY_SQL,
+    "run_report": REPORT_SQL,
     "key_duplicates": """
 SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
 GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",

@@ -2,8 +2,8 @@
 
 ``run``    the whole run: 7 tables staged, checked, published; prints the
            table paths as JSON.
-``table``  one table written to a path (what each separate job of a split
-           schedule does).
+``table``  one table from its own inputs, staged below the output and checked
+           (what each separate job of a split schedule does).
 ``ask``    one of the three questions over written tables, shown or written.
 
 Paths are any Hadoop URI and may hold ``{name}`` placeholders filled from
@@ -31,23 +31,43 @@ def _params(pairs: list[str]) -> dict[str, str]:
     return out
 
 
+#: Inputs whose file name (or glob, below --input) may be given.
+INPUT_NAMES = ("arrivals", "airports", "demographics", "temperatures", "countries")
+
+
+def _input_flags(p: argparse.ArgumentParser) -> None:
+    p.add_argument("--input", required=True)
+    for name in INPUT_NAMES:
+        p.add_argument(f"--{name}", help=f"file name or glob of the {name} below --input")
+
+
+def _names(args: argparse.Namespace) -> dict[str, str]:
+    return {n: getattr(args, n) for n in INPUT_NAMES if getattr(args, n)}
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="arrivals_mart")
     p.add_argument("--master", help="only outside spark-submit, e.g. local[8]")
+    p.add_argument("--hive", action="store_true", help="use a Hive catalog, so that published views last")
     sub = p.add_subparsers(dest="command", required=True)
 
     run = sub.add_parser("run", help="build, check and publish all seven tables")
-    run.add_argument("--input", required=True)
+    _input_flags(run)
     run.add_argument("--output", required=True)
     run.add_argument("--param", action="append", default=[])
     run.add_argument("--no-publish", action="store_true")
+    run.add_argument("--full-report", action="store_true", help="also duplicate keys, rows left out, lost values")
+    run.add_argument("--unique", action="append", default=[], choices=sorted(BY_NAME),
+                     help="a table whose key must not repeat")
+    run.add_argument("--keep", type=int, help="delete all but the newest N versions of each table afterwards")
 
     table = sub.add_parser("table", help="build and write one table")
     table.add_argument("name", choices=sorted(BY_NAME))
-    table.add_argument("--input", required=True)
+    _input_flags(table)
     table.add_argument("--output", required=True)
     table.add_argument("--param", action="append", default=[])
-    table.add_argument("--mode", default="overwrite", choices=["overwrite", "append"])
+    table.add_argument("--mode", default="stage", choices=["stage", "append"],
+                       help="a checked new version below --output, or rows added to the table at --output")
 
     ask = sub.add_parser("ask", help="answer a question over written tables")
     ask.add_argument("question", choices=["airport-month", "country-temperature", "state-population"])
@@ -70,28 +90,46 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
         arrivals_by_airport_month,
         arrivals_country_temperature,
         arrivals_state_population,
-        build_mart,
+        build_table,
         read_inputs,
         run_pipeline,
+        stage_table,
     )
+    from arrivals_mart.operators import check_report
+    from arrivals_mart.plans.pipeline import BUILDERS
     from arrivals_mart.session import build_session
-    from arrivals_mart.sinks import read_table, render_path, write_table
+    from arrivals_mart.sinks import expire_versions, read_table, render_path, write_table
 
     args = parser().parse_args(argv)
-    spark = spark or build_session(master=args.master)
+    hive = {"spark.sql.catalogImplementation": "hive"} if args.hive else None
+    spark = spark or build_session(master=args.master, conf=hive)
 
     if args.command == "run":
         params = _params(args.param)
-        inputs = read_inputs(spark, args.input, params=params)
-        result = run_pipeline(spark, inputs, args.output, publish_views=not args.no_publish, params=params)
+        inputs = read_inputs(spark, args.input, params=params, **_names(args))
+        result = run_pipeline(
+            spark,
+            inputs,
+            args.output,
+            publish_views=not args.no_publish,
+            params=params,
+            full_report=args.full_report,
+            unique=args.unique,
+        )
         out = {"paths": result.paths, "report": [r.asDict() for r in result.report]}
+        if args.keep:
+            root = render_path(args.output, **params)
+            out["expired"] = [p for name in BY_NAME for p in expire_versions(spark, root, name, args.keep)]
     elif args.command == "table":
         params = _params(args.param)
-        tables = build_mart(read_inputs(spark, args.input, params=params))
-        path = write_table(
-            tables[args.name], render_path(args.output, **params), BY_NAME[args.name], mode=args.mode
-        )
-        out = {"paths": {args.name: path}}
+        inputs = read_inputs(spark, args.input, params=params, only=BUILDERS[args.name][0], **_names(args))
+        df, contract, target = build_table(args.name, inputs), BY_NAME[args.name], render_path(args.output, **params)
+        if args.mode == "append":
+            out = {"paths": {args.name: write_table(df, target, contract, mode="append")}}
+        else:
+            path, row = stage_table(df, contract, target)
+            check_report([row])
+            out = {"paths": {args.name: path}, "report": [row.asDict()]}
     else:
         def table(path, name, flag):
             if not path:

@@ -3,9 +3,7 @@
 Each output table has one :class:`Contract`. ``schema`` lists the columns that
 are stored in the data files, in their fixed order. ``partition_by`` maps a
 directory column to the column it is copied from (the copy is made at write
-time, so the original stays in the files). ``distribute_by`` is the column the
-table is co-located on for large joins; ``broadcast`` marks the small
-dimensions that are shipped whole to every task.
+time, so the original stays in the files).
 
 Input schemas are declared too, so that no scan needs a schema-inference pass.
 """
@@ -41,8 +39,6 @@ class Contract:
     schema: StructType
     key: tuple[str, ...]
     partition_by: dict[str, str] = field(default_factory=dict)
-    distribute_by: str | None = None
-    broadcast: bool = False
 
     @property
     def columns(self) -> list[str]:
@@ -97,21 +93,18 @@ IMMIG_FACT = Contract(
     ),
     key=("cicid",),
     partition_by={"partition_port": "i94_port", "i94_month": "i94_month"},
-    distribute_by="i94_port",
 )
 
 VISA_TYPE_DIM = Contract(
     name="visa_type_dim",
     schema=_schema(("visa_category_id", INT), ("visa_type", STRING)),
     key=("visa_category_id",),
-    broadcast=True,
 )
 
 TRAVEL_MODE_DIM = Contract(
     name="travel_mode_dim",
     schema=_schema(("travel_mode_id", INT), ("travel_mode", STRING)),
     key=("travel_mode_id",),
-    broadcast=True,
 )
 
 TIME_DIM = Contract(
@@ -126,7 +119,6 @@ TIME_DIM = Contract(
     ),
     key=("arrival_sas",),
     partition_by={"partition_month": "month"},
-    broadcast=True,
 )
 
 AIRPORT_DIM = Contract(
@@ -143,7 +135,6 @@ AIRPORT_DIM = Contract(
         ("coordinates", STRING),
     ),
     key=("airport_code",),
-    distribute_by="airport_code",
 )
 
 DEMOGRAPHICS_DIM = Contract(
@@ -159,7 +150,6 @@ DEMOGRAPHICS_DIM = Contract(
         ("average_house_hold_size", DOUBLE),
     ),
     key=("stateCode",),
-    broadcast=True,
 )
 
 COUNTRY_TEMPERATURE_DIM = Contract(
@@ -171,7 +161,6 @@ COUNTRY_TEMPERATURE_DIM = Contract(
         ("avg_country_temperature_uncertainty", DOUBLE),
     ),
     key=("country_code",),
-    broadcast=True,
 )
 
 # Load order of the run: fact, airports, then the five small dimensions.

@@ -15,8 +15,10 @@ from arrivals_mart.operators.quality import (
     QualityError,
     check_report,
     key_duplicates,
+    key_report,
     quality_report,
     require_quality,
+    require_unique,
 )
 
 __all__ = [
@@ -34,6 +36,8 @@ __all__ = [
     "QualityError",
     "check_report",
     "key_duplicates",
+    "key_report",
     "quality_report",
     "require_quality",
+    "require_unique",
 ]

@@ -33,6 +33,44 @@ def quality_report(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def key_report(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+    """:func:`quality_report` with ``duplicate_keys``: the number of key values
+    (nulls aside) that occur more than once.
+
+    Counts per key are aggregated in the scan tasks first, so only distinct
+    keys are shuffled, however often one of them occurs.
+    """
+    parts = []
+    for name, (df, key) in tables.items():
+        null = F.col("__key").isNull()
+        counts = df.select(F.col(key).alias("__key")).groupBy("__key").agg(F.count(F.lit(1)).alias("__n"))
+        parts.append(
+            counts.agg(
+                F.lit(name).alias("table_name"),
+                F.lit(key).alias("key_column"),
+                F.coalesce(F.sum("__n"), F.lit(0)).alias("row_count"),
+                F.coalesce(F.sum(F.when(null, F.col("__n"))), F.lit(0)).alias("null_keys"),
+                F.count_if(~null & (F.col("__n") > 1)).alias("duplicate_keys"),
+            )
+        )
+    if not parts:
+        raise ValueError("no tables to check")
+    return reduce(DataFrame.unionByName, parts)
+
+
+def require_unique(rows: Iterable, names: Iterable[str]) -> None:
+    """Raise :class:`QualityError` for rows of :func:`key_report` that belong to
+    ``names`` and hold duplicate keys."""
+    names = set(names)
+    failures = [
+        f"{r.table_name} contains {r.duplicate_keys} repeated values in column {r.key_column}"
+        for r in rows
+        if r.table_name in names and r.duplicate_keys > 0
+    ]
+    if failures:
+        raise QualityError(failures)
+
+
 class QualityError(ValueError):
     """A table failed a check; ``failures`` lists every failed check."""
 

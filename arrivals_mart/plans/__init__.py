@@ -1,7 +1,17 @@
 """Composite plans: the seven tables, the three questions, the whole run,
 and the inputs derived from the benchmark tables."""
 
-from arrivals_mart.plans.pipeline import Inputs, RunResult, build_mart, read_inputs, run_pipeline
+from arrivals_mart.plans.pipeline import (
+    Inputs,
+    RunResult,
+    build_mart,
+    build_table,
+    left_out,
+    read_inputs,
+    run_pipeline,
+    run_report,
+    stage_table,
+)
 from arrivals_mart.plans.questions import (
     arrivals_by_airport_month,
     arrivals_country_temperature,
@@ -23,8 +33,12 @@ __all__ = [
     "Inputs",
     "RunResult",
     "build_mart",
+    "build_table",
+    "left_out",
     "read_inputs",
     "run_pipeline",
+    "run_report",
+    "stage_table",
     "arrivals_by_airport_month",
     "arrivals_country_temperature",
     "arrivals_state_population",

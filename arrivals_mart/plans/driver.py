@@ -5,8 +5,8 @@ temperatures; these functions derive frames with exactly the raw input
 schemas of ``contracts`` from its tables, one output row per input row (or
 per join match), so every mart operator runs over whole tables and its work
 grows with the scale factor. The derivations plant the edge cases the
-operators must handle: padded codes, null codes next to code 0, fractional
-day numbers, unparsable character dates, null group keys, names that differ
+operators must handle: padded codes, null codes next to code 0, states that are null or have no city,
+fractional day numbers, unparsable character dates, null group keys, names that differ
 only in case, and cities repeated once per race.
 
 | input        | derived from           | notes                                     |
@@ -57,7 +57,8 @@ ARRIVALS_EXPRS = (
     f"{_DAY_NO} + l_discount AS arrdate",
     "CASE WHEN l_linenumber = 7 THEN CAST(NULL AS DOUBLE) WHEN l_linenumber = 6 THEN 9.0D"
     " ELSE CAST(l_linenumber - 1 AS DOUBLE) END AS i94mode",
-    "concat('S', CAST(l_partkey % 25 AS STRING)) AS i94addr",
+    "CASE WHEN l_partkey % 30 = 29 THEN CAST(NULL AS STRING)"
+    " ELSE concat('S', CAST(l_partkey % 30 AS STRING)) END AS i94addr",
     f"({_DAY_NO} + l_discount) + l_quantity AS depdate",
     "l_quantity AS i94bir",
     "CASE WHEN l_linenumber = 7 THEN CAST(NULL AS DOUBLE) ELSE CAST(l_linenumber % 4 AS DOUBLE) END AS i94visa",

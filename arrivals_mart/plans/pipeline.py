@@ -2,8 +2,8 @@
 check them, publish them.
 
 One Spark application; each table is one write job over lazily planned
-inputs, and independent writes run at the same time. The checks (rows present, key never null) are computed while each
-table is written (``DataFrame.observe`` in the writing stage), so even the
+inputs, and independent writes run at the same time. The checks (rows present,
+key never null) are computed while each table is written (``DataFrame.observe`` in the writing stage), so even the
 fact is never read a second time to be checked. Nothing is published unless
 every table passes, so a failed run leaves the previous version readable,
 and every run writes fresh version paths, so a rerun never doubles rows.
@@ -11,11 +11,14 @@ and every run writes fresh version paths, so a rerun never doubles rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import functions as F
 
 from arrivals_mart.contracts import (
     AIRPORTS_INPUT,
@@ -26,28 +29,45 @@ from arrivals_mart.contracts import (
     TEMPERATURES_INPUT,
     Contract,
 )
+from arrivals_mart.functions.columns import as_int, valid_day_number
+from arrivals_mart.operators.aggregates import lookup_unmatched
 from arrivals_mart.operators.conform import conform
-from arrivals_mart.operators.quality import check_report
+from arrivals_mart.operators.quality import check_report, key_report, require_unique
 from arrivals_mart.plans.tables import (
     airport_dimension,
     build_fact,
+    conversion_losses,
     country_dimension,
     demographics_dimension,
     time_dimension,
     travel_mode_dimension,
     visa_dimension,
 )
-from arrivals_mart.sinks.tables import publish, render_path, stage_path, write_table
+from arrivals_mart.sinks.tables import publish_set, read_table, render_path, stage_path, write_table
 from arrivals_mart.sources.files import read_csv, read_parquet
 
 
 @dataclass
 class Inputs:
-    arrivals: DataFrame
-    airports: DataFrame
-    demographics: DataFrame
-    temperatures: DataFrame
-    countries: DataFrame
+    """The raw inputs; one that no wanted table needs may be missing."""
+
+    arrivals: DataFrame | None = None
+    airports: DataFrame | None = None
+    demographics: DataFrame | None = None
+    temperatures: DataFrame | None = None
+    countries: DataFrame | None = None
+
+
+#: Each table: the inputs it is built from, and how.
+BUILDERS: dict[str, tuple[tuple[str, ...], Callable[..., DataFrame]]] = {
+    "immig_fact": (("arrivals",), build_fact),
+    "airport_dim": (("airports",), airport_dimension),
+    "visa_type_dim": (("arrivals",), visa_dimension),
+    "travel_mode_dim": (("arrivals",), travel_mode_dimension),
+    "time_dim": (("arrivals",), time_dimension),
+    "country_temperature_dim": (("countries", "temperatures"), country_dimension),
+    "demographics_dim": (("demographics",), demographics_dimension),
+}
 
 
 def read_inputs(
@@ -59,6 +79,7 @@ def read_inputs(
     temperatures: str = "GlobalLandTemperaturesByCity.csv",
     countries: str = "country_code.csv",
     params: dict | None = None,
+    only: Iterable[str] | None = None,
 ) -> Inputs:
     """Scan the inputs below ``root`` (any Hadoop URI) and conform them to
     their declared schemas. ``root`` may be a template filled from ``params``
@@ -67,15 +88,23 @@ def read_inputs(
     The arrivals are read with the types of their own Parquet footers, which
     may store numbers as integers or dates as numbers, and converted; CSV
     columns are matched by header, but for the demographics, whose header
-    differs from the declared names. A missing column is an error."""
+    differs from the declared names. A missing column is an error. With
+    ``only``, the inputs named there are read and the others left out."""
     root = render_path(root, **(params or {})).rstrip("/")
-    return Inputs(
-        arrivals=conform(read_parquet(spark, f"{root}/{arrivals}"), ARRIVALS_INPUT),
-        airports=read_csv(spark, f"{root}/{airports}", AIRPORTS_INPUT, by_name=True),
-        demographics=read_csv(spark, f"{root}/{demographics}", DEMOGRAPHICS_INPUT, sep=";"),
-        temperatures=read_csv(spark, f"{root}/{temperatures}", TEMPERATURES_INPUT, by_name=True),
-        countries=read_csv(spark, f"{root}/{countries}", COUNTRIES_INPUT, by_name=True),
-    )
+    readers = {
+        "arrivals": lambda: conform(read_parquet(spark, f"{root}/{arrivals}"), ARRIVALS_INPUT),
+        "airports": lambda: read_csv(spark, f"{root}/{airports}", AIRPORTS_INPUT, by_name=True),
+        "demographics": lambda: read_csv(spark, f"{root}/{demographics}", DEMOGRAPHICS_INPUT, sep=";"),
+        "temperatures": lambda: read_csv(spark, f"{root}/{temperatures}", TEMPERATURES_INPUT, by_name=True),
+        "countries": lambda: read_csv(spark, f"{root}/{countries}", COUNTRIES_INPUT, by_name=True),
+    }
+    return Inputs(**{name: readers[name]() for name in (readers if only is None else only)})
+
+
+def build_table(name: str, inputs: Inputs) -> DataFrame:
+    """One of the seven tables as a lazy DataFrame, from its own inputs."""
+    needs, build = BUILDERS[name]
+    return build(*(getattr(inputs, n) for n in needs))
 
 
 def build_mart(inputs: Inputs) -> dict[str, DataFrame]:
@@ -84,15 +113,63 @@ def build_mart(inputs: Inputs) -> dict[str, DataFrame]:
     The visa, travel mode and time dimensions each read one column of the raw
     arrivals (the scan is pruned to it); the fact is a projection of them.
     """
-    return {
-        "immig_fact": build_fact(inputs.arrivals),
-        "airport_dim": airport_dimension(inputs.airports),
-        "visa_type_dim": visa_dimension(inputs.arrivals),
-        "travel_mode_dim": travel_mode_dimension(inputs.arrivals),
-        "time_dim": time_dimension(inputs.arrivals),
-        "country_temperature_dim": country_dimension(inputs.countries, inputs.temperatures),
-        "demographics_dim": demographics_dimension(inputs.demographics),
-    }
+    return {name: build_table(name, inputs) for name in BUILDERS}
+
+
+def left_out(inputs: Inputs) -> DataFrame:
+    """``table_name, left_out``: input rows that no row of the table stands for.
+
+    Arrivals without a usable visa code or day number, airports without a
+    code, cities' rows without a state, country codes without temperatures. The
+    fact and the travel modes take every row. One pass over the arrivals.
+    """
+
+    def counted(df: DataFrame, **conditions) -> DataFrame:
+        counts = df.agg(*[F.count_if(c).alias(n) for n, c in conditions.items()])
+        return counts.unpivot([], list(conditions), "table_name", "left_out")
+
+    unmatched = lookup_unmatched(inputs.countries, inputs.temperatures, "country", "Country")
+    parts = [
+        counted(
+            inputs.arrivals,
+            immig_fact=F.lit(False),
+            visa_type_dim=as_int("i94visa").isNull(),
+            travel_mode_dim=F.lit(False),
+            time_dim=valid_day_number("arrdate").isNull(),
+        ),
+        counted(inputs.airports, airport_dim=F.col("local_code").isNull()),
+        counted(inputs.demographics, demographics_dim=F.col("stateCode").isNull()),
+        counted(unmatched, country_temperature_dim=F.lit(True)),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def run_report(inputs: Inputs, tables: dict[str, DataFrame] | None = None) -> DataFrame:
+    """What a run would say about its data, one row per table: ``row_count``,
+    ``null_keys``, ``duplicate_keys``, ``left_out`` (see :func:`left_out`) and
+    ``lost_values`` (values of the fact's inputs that did not convert; 0 for
+    the dimensions, whose unusable codes are left out).
+
+    ``tables`` are the tables to look at (default: built from the inputs; a
+    run passes the written ones)."""
+    tables = tables or build_mart(inputs)
+    keys = key_report({c.name: (tables[c.name], c.key[0]) for c in MART})
+    lost = conversion_losses(inputs.arrivals).agg(
+        F.lit("immig_fact").alias("table_name"), F.sum("lost_values").alias("lost")
+    )
+    return (
+        keys.join(left_out(inputs), "table_name")
+        .join(lost, "table_name", "left")
+        .select(
+            "table_name",
+            "key_column",
+            "row_count",
+            "null_keys",
+            "duplicate_keys",
+            "left_out",
+            F.coalesce("lost", F.lit(0)).alias("lost_values"),
+        )
+    )
 
 
 @dataclass
@@ -101,34 +178,44 @@ class RunResult:
     report: list[Row]
 
 
+def stage_table(df: DataFrame, contract: Contract, output: str) -> tuple[str, Row]:
+    """Write ``df`` to a fresh version path below ``output``; returns the path
+    and the report row counted while it was written."""
+    observation = Observation(f"quality_{contract.name}")
+    path = write_table(df, stage_path(output, contract.name), contract, observation=observation)
+    metrics = observation.get
+    return path, Row(
+        table_name=contract.name,
+        key_column=contract.key[0],
+        row_count=metrics["row_count"],
+        null_keys=metrics["null_keys"],
+    )
+
+
 def run_pipeline(
     spark: SparkSession,
     inputs: Inputs,
     output: str,
     publish_views: bool = True,
     params: dict | None = None,
+    full_report: bool = False,
+    unique: Iterable[str] = (),
 ) -> RunResult:
-    """Stage all seven tables below ``output``, check them, then publish.
-    ``output`` may be a template filled from ``params``.
+    """Stage all seven tables below ``output``, check them, then publish them
+    together. ``output`` may be a template filled from ``params``.
 
     Raises :class:`~arrivals_mart.operators.quality.QualityError` (and
-    publishes nothing) when a table is empty or has a null key.
+    publishes nothing) when a table is empty or has a null key, or when a
+    table named in ``unique`` repeats a key. ``full_report`` adds duplicate
+    keys, rows left out and lost values of all tables (:func:`run_report`) to
+    the report: two passes over the arrivals, and the keys of the written
+    tables.
     """
     output = render_path(output, **(params or {}))
     tables = build_mart(inputs)
 
     def stage(contract: Contract) -> tuple[str, Row]:
-        observation = Observation(f"quality_{contract.name}")
-        path = write_table(
-            tables[contract.name], stage_path(output, contract.name), contract, observation=observation
-        )
-        metrics = observation.get
-        return path, Row(
-            table_name=contract.name,
-            key_column=contract.key[0],
-            row_count=metrics["row_count"],
-            null_keys=metrics["null_keys"],
-        )
+        return stage_table(tables[contract.name], contract, output)
 
     # The writes do not depend on each other: the dimensions use the cores
     # that the fact's last tasks leave idle.
@@ -137,7 +224,14 @@ def run_pipeline(
     paths = {c.name: path for c, (path, _) in zip(MART, staged, strict=True)}
     report = [row for _, row in staged]
     check_report(report)
+    unique = set(unique)
+    written = {c.name: read_table(spark, paths[c.name], c) for c in MART}
+    if full_report:
+        report = run_report(inputs, written).collect()  # a row per table
+        require_unique(report, unique)
+    elif unique:
+        keys = {c.name: (written[c.name], c.key[0]) for c in MART if c.name in unique}
+        require_unique(key_report(keys).collect(), unique)
     if publish_views:
-        for contract in MART:
-            publish(spark, contract, paths[contract.name])
+        publish_set(spark, [(c, paths[c.name], c.name) for c in MART])
     return RunResult(paths=paths, report=report)

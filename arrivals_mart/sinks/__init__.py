@@ -1,8 +1,10 @@
 """Writers: partitioned Parquet tables, appends, and checked refreshes."""
 
 from arrivals_mart.sinks.tables import (
+    expire_versions,
     materialize,
     publish,
+    publish_set,
     read_table,
     refresh_table,
     render_path,
@@ -10,4 +12,14 @@ from arrivals_mart.sinks.tables import (
     write_table,
 )
 
-__all__ = ["materialize", "publish", "read_table", "refresh_table", "render_path", "stage_path", "write_table"]
+__all__ = [
+    "expire_versions",
+    "materialize",
+    "publish",
+    "publish_set",
+    "read_table",
+    "refresh_table",
+    "render_path",
+    "stage_path",
+    "write_table",
+]

@@ -14,6 +14,7 @@ run leaves the previous version in place, and a rerun never doubles rows.
 
 from __future__ import annotations
 
+import re
 import time
 import uuid
 from collections.abc import Callable, Mapping, Sequence
@@ -133,6 +134,29 @@ def _ddl(contract: Contract) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in contract.read_schema().fields)
 
 
+def _quoted(path: str) -> str:
+    return "'" + path.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def version_table(path: str, view: str) -> str:
+    """Catalog name of the version of ``view`` at ``path``."""
+    return f"{view}__{path.rstrip('/').rsplit('/', 1)[-1].replace('-', '_')}"
+
+
+def _register(spark: SparkSession, contract: Contract, path: str, view: str) -> str:
+    version = version_table(path, view)
+    parts = [p for p in contract.partition_by]
+    partitioned = f" PARTITIONED BY ({', '.join(f'`{p}`' for p in parts)})" if parts else ""
+    spark.sql(f"CREATE TABLE `{version}` ({_ddl(contract)}) USING parquet{partitioned} LOCATION {_quoted(path)}")
+    if parts:
+        spark.catalog.recoverPartitions(version)
+    return version
+
+
+def _point(spark: SparkSession, view: str, version: str) -> None:
+    spark.sql(f"CREATE OR REPLACE VIEW `{view}` AS SELECT * FROM `{version}`")
+
+
 def publish(spark: SparkSession, contract: Contract, path: str, view: str | None = None) -> str:
     """Make the data at ``path`` the current version of ``view``.
 
@@ -140,15 +164,69 @@ def publish(spark: SparkSession, contract: Contract, path: str, view: str | None
     readers use is then replaced in one catalog statement. Returns the
     version table's name.
     """
-    view = view or contract.name
-    version = f"{view}__{path.rstrip('/').rsplit('/', 1)[-1].replace('-', '_')}"
-    parts = [p for p in contract.partition_by]
-    partitioned = f" PARTITIONED BY ({', '.join(f'`{p}`' for p in parts)})" if parts else ""
-    spark.sql(f"CREATE TABLE `{version}` ({_ddl(contract)}) USING parquet{partitioned} LOCATION '{path}'")
-    if parts:
-        spark.catalog.recoverPartitions(version)
-    spark.sql(f"CREATE OR REPLACE VIEW `{view}` AS SELECT * FROM `{version}`")
-    return version
+    return publish_set(spark, [(contract, path, view or contract.name)])[0]
+
+
+def _current_version(spark: SparkSession, view: str) -> str | None:
+    """The version table that ``view`` reads, if it is published."""
+    if not spark.catalog.tableExists(view):
+        return None
+    text = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED `{view}`").collect()}
+    found = re.search(r"FROM `([^`]+)`\s*$", text.get("View Text") or "")
+    return found.group(1) if found else None
+
+
+def publish_set(spark: SparkSession, versions: Sequence[tuple[Contract, str, str]]) -> list[str]:
+    """Publish ``(contract, path, view)`` together; returns the version tables.
+
+    All versions are registered before the first view moves. If moving a view
+    fails, the views that moved go back to the versions they had (or are
+    dropped if they are new), so readers do not stay with a mixture.
+    """
+    names = [_register(spark, contract, path, view) for contract, path, view in versions]
+    before = [_current_version(spark, view) for _, _, view in versions]
+    moved: list[tuple[str, str | None]] = []
+    try:
+        for (_, _, view), name, old in zip(versions, names, before, strict=True):
+            _point(spark, view, name)
+            moved.append((view, old))
+    except Exception:
+        for view, old in reversed(moved):
+            if old is None:
+                spark.sql(f"DROP VIEW IF EXISTS `{view}`")
+            else:
+                _point(spark, view, old)
+        raise
+    return names
+
+
+def expire_versions(spark: SparkSession, root: str, view: str, keep: int = 2) -> list[str]:
+    """Delete all but the newest ``keep`` versions of ``view`` below ``root``,
+    with their catalog tables; returns the deleted paths.
+
+    The version that the view reads is never deleted. Only the version folders
+    that :func:`stage_path` makes are considered. Readers of an expired version
+    must have finished: ``keep`` is the margin for them.
+    """
+    if keep < 1:
+        raise ValueError("at least one version stays")
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{view}")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    names = sorted(s.getPath().getName() for s in fs.listStatus(folder))
+    names = [n for n in names if re.fullmatch(r"v\d{13,}-[0-9a-f]{8}", n)]
+    current = _current_version(spark, view)
+    gone = []
+    for name in names[:-keep]:
+        path = f"{root.rstrip('/')}/{view}/{name}"
+        version = version_table(path, view)
+        if version != current:
+            spark.sql(f"DROP TABLE IF EXISTS `{version}`")
+            fs.delete(jvm.org.apache.hadoop.fs.Path(path), True)
+            gone.append(path)
+    return gone
 
 
 def refresh_table(

@@ -1,7 +1,12 @@
+import os
+
+import pytest
+
 from arrivals_mart.cli import main
 from arrivals_mart.contracts import BY_NAME
+from arrivals_mart.operators import QualityError
 from arrivals_mart.sinks import read_table
-from fixtures import write_inputs
+from fixtures import arrival, write_inputs
 
 
 def test_run_table_and_ask(spark, tmp_dir, capsys):
@@ -14,6 +19,7 @@ def test_run_table_and_ask(spark, tmp_dir, capsys):
 
     one = main(["table", "visa_type_dim", "--input", root, "--output", f"{tmp_dir}/visa"], spark=spark)
     assert read_table(spark, one["paths"]["visa_type_dim"], BY_NAME["visa_type_dim"]).count() == 4
+    assert one["report"][0]["row_count"] == 4
 
     answer = f"{tmp_dir}/answer"
     main(["ask", "airport-month", "--fact", paths["immig_fact"], "--time-dim", paths["time_dim"],
@@ -24,3 +30,19 @@ def test_run_table_and_ask(spark, tmp_dir, capsys):
           paths["demographics_dim"]], spark=spark)
     shown = capsys.readouterr().out
     assert "NY" in shown and "2 of 2 rows shown" in shown
+
+
+def test_table_reads_only_its_own_inputs(spark, tmp_dir):
+    root = write_inputs(spark, f"{tmp_dir}/in")
+    os.rename(f"{root}/airport-codes_csv.csv", f"{root}/codes_less.csv")
+    out = main(["table", "airport_dim", "--input", root, "--airports", "codes_less.csv",
+                "--output", f"{tmp_dir}/mart"], spark=spark)
+    assert read_table(spark, out["paths"]["airport_dim"], BY_NAME["airport_dim"]).count() == 2
+    # the airports are no longer where the default looks, and other tables do not care
+    main(["table", "time_dim", "--input", root, "--output", f"{tmp_dir}/mart"], spark=spark)
+
+
+def test_failed_table_raises(spark, tmp_dir):
+    root = write_inputs(spark, f"{tmp_dir}/in", arrivals=[arrival(None)])
+    with pytest.raises(QualityError):
+        main(["table", "immig_fact", "--input", root, "--output", f"{tmp_dir}/mart"], spark=spark)

@@ -151,3 +151,65 @@ def test_csv_columns_are_matched_by_header(spark, tmp_dir):
         f.write("country,note,country_code\nMexico,x,582\nAlbania,,101\n")
     rows = read_inputs(spark, root).countries.collect()
     assert sorted(map(tuple, rows)) == [(101, "Albania"), (582, "Mexico")]
+
+
+def test_publish_that_fails_midway_leaves_the_old_views(spark, tmp_dir, monkeypatch):
+    from arrivals_mart.sinks import tables
+
+    inputs = read_inputs(spark, write_inputs(spark, f"{tmp_dir}/in"))
+    run_pipeline(spark, inputs, f"{tmp_dir}/out")
+    before = {c.name: tables._current_version(spark, c.name) for c in MART}
+    assert all(before.values())
+    point, calls = tables._point, []
+
+    def failing(spark, view, version):
+        calls.append(view)
+        if len(calls) == 4:
+            raise RuntimeError("catalog lost")
+        point(spark, view, version)
+
+    monkeypatch.setattr(tables, "_point", failing)
+    with pytest.raises(RuntimeError, match="catalog lost"):
+        run_pipeline(spark, inputs, f"{tmp_dir}/out")
+    assert len(calls) == 7  # four forward, three back
+    assert {c.name: tables._current_version(spark, c.name) for c in MART} == before
+
+
+def test_expired_versions_go_but_the_published_one_stays(spark, tmp_dir):
+    import os
+
+    from arrivals_mart.contracts import AIRPORT_DIM
+    from arrivals_mart.plans import airport_dimension
+    from arrivals_mart.sinks import expire_versions, refresh_table, stage_path, write_table
+
+    root, view = f"{tmp_dir}/o'ut", "expiring_airports"
+    airports = airport_dimension(read_inputs(spark, write_inputs(spark, f"{tmp_dir}/in"), only=["airports"]).airports)
+    paths = [refresh_table(spark, airports, root, AIRPORT_DIM, view=view) for _ in range(3)]
+    later = [write_table(airports, stage_path(root, view), AIRPORT_DIM) for _ in range(2)]  # never published
+    os.makedirs(f"{root}/{view}/not_a_version")
+    assert expire_versions(spark, root, view, keep=1) == [*paths[:2], later[0]]
+    assert sorted(os.listdir(f"{root}/{view}")) == sorted(
+        [os.path.basename(paths[2]), os.path.basename(later[1]), "not_a_version"]
+    )
+    assert spark.table(view).count() == 2
+    assert expire_versions(spark, f"{tmp_dir}/none", view) == []
+    with pytest.raises(ValueError):
+        expire_versions(spark, root, view, keep=0)
+
+
+def test_full_report_and_required_keys(spark, tmp_dir):
+    rows = [*ARRIVALS, arrival(1.0), arrival(1.0)]
+    inputs = read_inputs(spark, write_inputs(spark, f"{tmp_dir}/in", arrivals=rows))
+    result = run_pipeline(spark, inputs, f"{tmp_dir}/out", publish_views=False, full_report=True)
+    report = {r.table_name: r for r in result.report}
+    assert set(report) == {c.name for c in MART}
+    fact = report["immig_fact"]
+    assert (fact.row_count, fact.null_keys, fact.duplicate_keys, fact.left_out) == (8, 0, 1, 0)
+    # NaN and out-of-range arrival and departure days, one date that does not parse
+    assert fact.lost_values == 5
+    assert {n: r.left_out for n, r in report.items() if r.left_out} == {
+        "visa_type_dim": 1, "time_dim": 3, "airport_dim": 1, "country_temperature_dim": 1}
+    for full in (True, False):
+        with pytest.raises(QualityError, match="immig_fact contains 1 repeated values in column cicid"):
+            run_pipeline(spark, inputs, f"{tmp_dir}/out", publish_views=False, full_report=full,
+                         unique=["immig_fact", "time_dim"])
