@@ -156,8 +156,8 @@ def train(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageMode
     Rows without a language, or whose text is null or has no letter, teach
     nothing. Languages are whatever values ``lang`` holds; with one
     language everything is that language, with none everything is undetermined.
-    Equal texts are chosen together, so copies never crowd out other rows
-    beyond their share.
+    Equal texts of a language are learned once, so a text that a third of all
+    rows repeat neither fills the sample nor goes to the driver more than once.
     """
     usable = labelled.where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("text").rlike(r"\p{L}")
@@ -168,7 +168,8 @@ def train(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageMode
     for lang, n in counts.items():
         share = min(grain, int(grain * per_language / n))
         chosen |= (F.col("lang") == lang) & (F.pmod("h", F.lit(grain)) < share)
-    rows = usable.where(chosen).select("lang", "text").mapInArrow(_feature_batches, "lang string, x binary")
+    once = usable.where(chosen).groupBy("lang", "h").agg(F.first("text").alias("text")).select("lang", "text")
+    rows = once.mapInArrow(_feature_batches, "lang string, x binary")
     got = rows.collect()  # about per_language rows of DIM floats per language
     got.sort(key=lambda r: (r["lang"], r["x"]))
     langs = sorted({r["lang"] for r in got})

@@ -66,6 +66,17 @@ def test_few_languages(spark, langs):
         assert r["lang_pred"] in {*langs, "und"}
 
 
+def test_repeated_text_is_learned_once(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(L, "linear_svm", lambda x, y: seen.append(len(y)) or (x[0] * 0, 0.0))
+    docs = spark.range(900).selectExpr(
+        "concat(if(id % 3 = 0, 'same words', concat('text ', hex(id), 'q')), if(id % 2 = 0, ' the', ' der')) AS text",
+        "if(id % 2 = 0, 'en', 'de') AS lang",
+    )
+    L.train(docs, per_language=500)
+    assert seen == [602]
+
+
 def test_language_empty_table(spark):
     model = L.train(no_docs(spark))
     assert L.identify(no_docs(spark), model).count() == 0
