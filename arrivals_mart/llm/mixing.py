@@ -9,7 +9,8 @@ in words (probability times size), so each move keeps the source's expected
 words exactly: the words taken differ from the target by less than the one
 document per source that is left at the end.
 
-Documents are dealt to chunks of bounded size by a hash; a task settles a chunk
+Documents are dealt to chunks of bounded size (in documents and in bytes of the
+text they carry) by a hash; a task settles a chunk
 and leaves at most one open document, and the open documents of all chunks
 are dealt to chunks again until each source has one: a reduction tree of a few
 levels, each written to the shared folder. Within a chunk larger documents go
@@ -30,6 +31,8 @@ from arrivals_mart.llm.common import materialize, word_count
 
 #: Documents that one task settles together.
 CHUNK = 2048
+#: Bytes of text, on average, that these documents carry at most.
+CHUNK_BYTES = 64 << 20
 #: Largest number of copies of a document.
 MAX_COPIES = 3
 
@@ -133,6 +136,7 @@ def mix(
     most: int = MAX_COPIES,
     seed: int = 11,
     chunk: int = CHUNK,
+    chunk_bytes: int = CHUNK_BYTES,
 ) -> DataFrame:
     """``docs (doc_id, text, source, ...)`` with ``copies`` (0 to ``most``),
     how often the mix takes a row, and ``size``, ``source_size``, ``target``.
@@ -147,15 +151,18 @@ def mix(
     size = word_count(F.col("text")) if size is None else size
     sized = docs.withColumn("__size", F.coalesce(size.cast("long"), F.lit(0).cast("long")))
     names = [c for c in docs.columns if c not in ("copies", "size", "source_size", "target")]
+    carried = F.sum(F.octet_length("text")) if "text" in names else F.lit(0)
     per_source = sized.groupBy("source").agg(
-        F.sum("__size").alias("source_size"), F.count(F.lit(1)).alias("n_docs")
+        F.sum("__size").alias("source_size"),
+        F.count(F.lit(1)).alias("n_docs"),
+        F.coalesce(carried, F.lit(0)).alias("n_bytes"),
     )
     targets = materialize(source_targets(per_source, weights, most), "mix_targets").select(
         F.col("source").alias("__source"),
         "source_size",
         "target",
         "rank",
-        F.ceil(F.col("n_docs") / chunk).alias("__chunks"),
+        F.ceil(F.greatest(F.col("n_docs") / chunk, F.col("n_bytes") / chunk_bytes)).alias("__chunks"),
     )
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     rows = (

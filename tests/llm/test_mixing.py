@@ -46,14 +46,14 @@ def check(rows):
     assert all(r[2] == sizes[r[0]] for r in rows)
 
 
-@pytest.mark.parametrize("chunk", [5, 2048])
-def test_documents(spark, chunk):
+@pytest.mark.parametrize("limits", [{"chunk": 5}, {"chunk": 2048}, {"chunk_bytes": 20_000}])
+def test_documents(spark, limits):
     docs = table(spark, SF001, "documents")
-    mixed = M.mix(docs, chunk=chunk)
+    mixed = M.mix(docs, **limits)
     rows = mixed.select("source", "size", "source_size", "target", "copies").collect()
     assert len(rows) == docs.count()
     check([tuple(r) for r in rows])
-    again = M.mix(docs.repartition(7), chunk=chunk)
+    again = M.mix(docs.repartition(7), **limits)
     key = ["doc_id", "copies"]
     assert sorted(map(tuple, mixed.select(key).collect())) == sorted(map(tuple, again.select(key).collect()))
 
