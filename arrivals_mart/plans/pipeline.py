@@ -2,7 +2,8 @@
 check them, publish them.
 
 One Spark application; each table is one write job over lazily planned
-inputs, and independent writes run at the same time. The checks (rows present,
+inputs, and independent writes run at the same time. The arrivals are scanned
+twice: for the codes of the dimensions, and for the fact. The checks (rows present,
 key never null) are computed while each table is written (``DataFrame.observe`` in the writing stage), so even the
 fact is never read a second time to be checked. Nothing is published unless
 every table passes, so a failed run leaves the previous version readable,
@@ -25,6 +26,7 @@ from arrivals_mart.contracts import (
     ARRIVALS_INPUT,
     COUNTRIES_INPUT,
     DEMOGRAPHICS_INPUT,
+    IMMIG_FACT,
     MART,
     TEMPERATURES_INPUT,
     Contract,
@@ -35,15 +37,25 @@ from arrivals_mart.operators.conform import conform
 from arrivals_mart.operators.quality import check_report, key_report, require_unique
 from arrivals_mart.plans.tables import (
     airport_dimension,
+    arrival_codes,
     build_fact,
     conversion_losses,
     country_dimension,
     demographics_dimension,
+    fact_directories,
     time_dimension,
     travel_mode_dimension,
     visa_dimension,
 )
-from arrivals_mart.sinks.tables import publish_set, read_table, render_path, stage_path, write_table
+from arrivals_mart.session import scratch_path
+from arrivals_mart.sinks.tables import (
+    publish_set,
+    read_table,
+    remove_path,
+    render_path,
+    stage_path,
+    write_table,
+)
 from arrivals_mart.sources.files import read_csv, read_parquet
 
 
@@ -69,6 +81,9 @@ BUILDERS: dict[str, tuple[tuple[str, ...], Callable[..., DataFrame]]] = {
     "demographics_dim": (("demographics",), demographics_dimension),
 }
 
+#: Tables that :func:`arrival_codes` is enough for.
+FROM_CODES = ("visa_type_dim", "travel_mode_dim", "time_dim")
+
 
 def read_inputs(
     spark: SparkSession,
@@ -178,11 +193,15 @@ class RunResult:
     report: list[Row]
 
 
-def stage_table(df: DataFrame, contract: Contract, output: str) -> tuple[str, Row]:
+def stage_table(
+    df: DataFrame, contract: Contract, output: str, directories: int | None = None
+) -> tuple[str, Row]:
     """Write ``df`` to a fresh version path below ``output``; returns the path
     and the report row counted while it was written."""
     observation = Observation(f"quality_{contract.name}")
-    path = write_table(df, stage_path(output, contract.name), contract, observation=observation)
+    path = write_table(
+        df, stage_path(output, contract.name), contract, observation=observation, directories=directories
+    )
     metrics = observation.get
     return path, Row(
         table_name=contract.name,
@@ -212,15 +231,24 @@ def run_pipeline(
     tables.
     """
     output = render_path(output, **(params or {}))
-    tables = build_mart(inputs)
+    # One pass over the arrivals for the codes of three dimensions and the number
+    # of the fact's directories; the fact's write is the other.
+    counted = Observation("fact_directories")
+    codes_path = scratch_path(spark, "arrival_codes")
+    seen = inputs.arrivals.observe(counted, fact_directories(inputs.arrivals).alias("directories"))
+    arrival_codes(seen).write.parquet(codes_path)
+    codes = Inputs(arrivals=spark.read.parquet(codes_path))
+    tables = build_mart(inputs) | {name: build_table(name, codes) for name in FROM_CODES}
+    directories = {IMMIG_FACT.name: counted.get["directories"]}
 
     def stage(contract: Contract) -> tuple[str, Row]:
-        return stage_table(tables[contract.name], contract, output)
+        return stage_table(tables[contract.name], contract, output, directories.get(contract.name))
 
     # The writes do not depend on each other: the dimensions use the cores
     # that the fact's last tasks leave idle.
     with ThreadPoolExecutor(max_workers=len(MART)) as pool:
         staged = list(pool.map(inheritable_thread_target(spark)(stage), MART))
+    remove_path(spark, codes_path)
     paths = {c.name: path for c, (path, _) in zip(MART, staged, strict=True)}
     report = [row for _, row in staged]
     check_report(report)

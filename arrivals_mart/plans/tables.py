@@ -107,6 +107,12 @@ def build_fact(arrivals: DataFrame, date_format: str = "yyyyMMdd") -> DataFrame:
     return fill_null_codes(fact, 0, ["travel_mode_id"]).select(*IMMIG_FACT.columns, "i94_month")
 
 
+def fact_directories(arrivals: DataFrame) -> Column:
+    """Aggregate over the arrivals: about how many directories the fact has."""
+    cols = fact_columns(arrivals)
+    return F.approx_count_distinct(F.struct(*[cols[c][1] for c in IMMIG_FACT.partition_by.values()]))
+
+
 def conversion_losses(arrivals: DataFrame, date_format: str = "yyyyMMdd") -> DataFrame:
     """Per fact column: how many raw values were present but did not convert
     (NaN, out of range, unparsable dates), i.e. became null silently.
@@ -123,6 +129,13 @@ def conversion_losses(arrivals: DataFrame, date_format: str = "yyyyMMdd") -> Dat
     return long.select("column_name", sources[F.col("column_name")].alias("source_column"), "lost_values")
 
 
+def arrival_codes(arrivals: DataFrame) -> DataFrame:
+    """Distinct visa codes, travel modes and day numbers of the arrivals, under
+    their input names: all that the three arrival dimensions need."""
+    names = ("i94visa", "i94mode", "arrdate")
+    return arrivals.select(*[as_int(n).alias(n) for n in names]).distinct()
+
+
 def visa_dimension(arrivals: DataFrame, code: str = "i94visa") -> DataFrame:
     return code_dimension(arrivals, code, "visa_category_id", "visa_type", VISA_LABELS, VISA_DEFAULT)
 

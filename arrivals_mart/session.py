@@ -25,6 +25,10 @@ SESSION_DEFAULTS: dict[str, str] = {
     # A join side is broadcast up to this size, by its files or as measured.
     "spark.sql.autoBroadcastJoinThreshold": "32m",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
+    # Pieces of a split partition, and so files, are of this size in the shuffle.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    # Past 2000 partitions Spark reports average sizes; a skewed one keeps its own.
+    "spark.shuffle.accurateBlockSkewedFactor": "5",
     "spark.sql.session.timeZone": "UTC",
     # Partition directory values such as "001" must stay strings.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",

@@ -4,7 +4,10 @@
 partitioned write is preceded by a REBALANCE on the partition columns: each
 directory is then written by one task (few files), and AQE splits a
 directory whose data is skewed into several advisory-sized tasks, so a port
-with a third of all arrivals does not end up in one task either.
+with a third of all arrivals does not end up in one task either. Told how many
+directories there are, the writer shuffles into as many partitions, so that a
+piece of a split partition holds one directory and not dozens; AQE puts small
+neighbouring partitions back together.
 
 ``refresh_table`` replaces a table safely on every rerun: the new data goes
 to a fresh versioned path, is read back and checked, and only then becomes
@@ -25,6 +28,10 @@ from pyspark.sql import functions as F
 from arrivals_mart.contracts import Contract
 from arrivals_mart.session import scratch_path
 
+#: Shuffle partitions of a partitioned write at most; beyond it a partition
+#: holds several directories.
+MAX_WRITE_PARTITIONS = 20_000
+
 
 def _with_partition_copies(df: DataFrame, partition_by: Mapping[str, str]) -> DataFrame:
     """Add each partition column as a copy of its source column, so the
@@ -44,6 +51,7 @@ def write_table(
     rebalance: bool = True,
     observation: Observation | None = None,
     dynamic_overwrite: bool = False,
+    directories: int | None = None,
 ) -> str:
     """Write ``df`` as Parquet at ``path``; returns ``path``.
 
@@ -54,6 +62,9 @@ def write_table(
     ``dynamic_overwrite`` replaces only the directories the data falls into
     (an idempotent write of one load into a shared table).
 
+    ``directories`` is about the number of directories to expect. Without it
+    the rebalance uses ``spark.sql.shuffle.partitions``.
+
     ``observation`` (with a contract) collects ``row_count`` and
     ``null_keys`` of the contract's key from the rows as they are written:
     the check costs no second pass over the table. It is attached after the
@@ -74,7 +85,7 @@ def write_table(
             only_in_dirs = [s for p, s in partition_by.items() if p != s and s not in contract.columns]
             df = df.drop(*only_in_dirs)
         if rebalance:
-            df = df.hint("rebalance", *parts)
+            df = df.hint("rebalance", *_rebalance_partitions(df.sparkSession, directories), *parts)
         writer = _observe(df, contract, observation).write.mode(mode).partitionBy(*parts)
         if dynamic_overwrite:
             writer = writer.option("partitionOverwriteMode", "dynamic")
@@ -84,6 +95,13 @@ def write_table(
     return path
 
 
+def _rebalance_partitions(spark: SparkSession, directories: int | None) -> list[int]:
+    if directories is None:
+        return []
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return [max(least, min(directories, MAX_WRITE_PARTITIONS))]
+
+
 def _observe(df: DataFrame, contract: Contract | None, observation: Observation | None) -> DataFrame:
     if observation is None:
         return df
@@ -110,6 +128,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this application wrote and no longer reads."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def read_table(spark: SparkSession, path: str, contract: Contract | None = None) -> DataFrame:
     """Read a table written by :func:`write_table`. With a contract, the
     partition columns come back with their declared types."""

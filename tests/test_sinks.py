@@ -102,6 +102,28 @@ def test_hot_directory_is_split_across_tasks(spark, tmp_dir):
     assert spark.read.parquet(f"{tmp_dir}/t").count() == 30_000
 
 
+def test_split_pieces_hold_few_directories(spark, tmp_dir):
+    """A split hot directory among many: with a partition for each directory the
+    others still get about one file each, also past 2000 partitions."""
+    from pyspark.sql import functions as F
+
+    port = F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("P"), (F.col("id") % 2500).cast("string")))
+    rows = spark.range(0, 120_000, 1, 6).select(port.alias("port"), F.sha2(F.col("id").cast("string"), 256).alias("payload"))
+    n = rows.select("port").distinct().count()
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "512k")
+    try:
+        write_table(rows, f"{tmp_dir}/t", partition_by={"port_dir": "port"}, directories=n)
+    finally:
+        spark.conf.set(key, old)
+    hot = glob.glob(f"{tmp_dir}/t/port_dir=HOT/*.parquet")
+    cold = [len(glob.glob(d + "/*.parquet")) for d in glob.glob(f"{tmp_dir}/t/port_dir=P*")]
+    assert n > 2000 and len(cold) == n - 1
+    assert len(hot) >= 3 and sum(cold) <= 1.1 * len(cold), (len(hot), sum(cold), len(cold))
+    assert spark.read.parquet(f"{tmp_dir}/t").count() == 120_000
+
+
 def test_materialize_cuts_lineage(spark):
     from plan_util import plan_text
 
