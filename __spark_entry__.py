@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from functools import reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -31,6 +32,7 @@ from arrivals_mart.contracts import (  # noqa: E402
     AIRPORT_DIM,
     ARRIVALS_INPUT,
     COUNTRIES_INPUT,
+    COUNTRY_TEMPERATURE_DIM,
     DEMOGRAPHICS_INPUT,
     IMMIG_FACT,
     MART,
@@ -38,6 +40,7 @@ from arrivals_mart.contracts import (  # noqa: E402
 from arrivals_mart.functions.columns import char_date, day_number_range  # noqa: E402
 from arrivals_mart.operators import (  # noqa: E402
     conform,
+    contract_mismatches,
     group_means,
     key_duplicates,
     lookup_unmatched,
@@ -50,20 +53,30 @@ from arrivals_mart.plans import (  # noqa: E402
     arrivals_state_population,
     build_fact,
     build_mart,
+    build_table,
     conversion_losses,
     country_dimension,
     demographics_dimension,
     labelled_arrivals,
+    read_inputs,
     run_pipeline,
     run_report,
+    stage_table,
     time_dimension,
     travel_mode_dimension,
     visa_dimension,
 )
 from arrivals_mart.plans import driver as D  # noqa: E402
-from arrivals_mart.plans.tables import DEMOGRAPHIC_MEANS  # noqa: E402
+from arrivals_mart.plans.tables import DEMOGRAPHIC_MEANS, fact_directories  # noqa: E402
 from arrivals_mart.session import scratch_path  # noqa: E402
-from arrivals_mart.sinks import expire_versions, materialize, read_table, refresh_table, write_table  # noqa: E402
+from arrivals_mart.sinks import (  # noqa: E402
+    expire_versions,
+    materialize,
+    read_table,
+    refresh_table,
+    render_path,
+    write_table,
+)
 from arrivals_mart.sources import read_csv, read_parquet, register_view  # noqa: E402
 from arrivals_mart.streaming import STREAMED_FACT, load_fact_incrementally  # noqa: E402
 
@@ -300,10 +313,43 @@ def q_parquet_glob_scan(spark, sf_dir):
 
 
 def q_partitioned_write_read(spark, sf_dir):
-    path = write_table(build_fact(_arrivals(spark, sf_dir)), scratch_path(spark, "immig_fact"), IMMIG_FACT)
+    arrivals = _arrivals(spark, sf_dir)
+    directories = arrivals.agg(fact_directories(arrivals)).first()[0]
+    path = scratch_path(spark, "immig_fact")
+    write_table(build_fact(arrivals), path, IMMIG_FACT, directories=directories)
     return read_table(spark, path, IMMIG_FACT)
 
 
+def q_templated_run_paths(spark, sf_dir):
+    """Input and output roots as templates: the countries are read below one and
+    their table is staged below the other."""
+    params = {"ds": "2016-04", "root": scratch_path(spark, "templated")}
+    root = render_path("{root}/in/{ds}", **params)
+    _countries(spark, sf_dir).write.option("header", True).csv(f"{root}/country_code.csv")
+    temperatures = _temperatures(spark, sf_dir)
+    temperatures.write.option("header", True).csv(f"{root}/GlobalLandTemperaturesByCity.csv")
+    inputs = read_inputs(spark, "{root}/in/{ds}", params=params, only=("countries", "temperatures"))
+    dim = build_table(COUNTRY_TEMPERATURE_DIM.name, inputs)
+    path, _ = stage_table(dim, COUNTRY_TEMPERATURE_DIM, render_path("{root}/out/{ds}", **params))
+    return read_table(spark, path, COUNTRY_TEMPERATURE_DIM)
+
+
+def q_contract_check(spark, sf_dir):
+    """Per table: columns that differ from the contract in name, order or type, and
+    rows whose key is null against it."""
+    mart = _driver_mart(spark, sf_dir)
+    checked = [
+        mart[c.name].agg(
+            F.lit(c.name).alias("table_name"),
+            F.lit(len(contract_mismatches(mart[c.name].select(*c.columns), c))).alias("mismatches"),
+            F.count(F.lit(1)).alias("row_count"),
+            F.count_if(F.col(c.key[0]).isNull()).alias("null_keys"),
+        )
+        for c in MART
+    ]
+    return reduce(DataFrame.unionByName, checked)
+
+
 def q_refresh_twice(spark, sf_dir):
     root = scratch_path(spark, "refresh")
     view = "airport_dim_" + root.rsplit("-", 1)[-1]
@@ -397,6 +443,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "view_sql_scan": q_view_sql_scan,
     "parquet_glob_scan": q_parquet_glob_scan,
     "partitioned_write_read": q_partitioned_write_read,
+    "templated_run_paths": q_templated_run_paths,
+    "contract_check": q_contract_check,
     "refresh_twice": q_refresh_twice,
     "refresh_then_expire": q_refresh_then_expire,
     "append_twice": q_append_twice,
@@ -567,8 +615,7 @@ TEMPERATURES_SQL = """
 temperatures AS (
   SELECT
     CAST(NULL AS DATE) AS dt,
-    CASE WHEN c_custkey % 10 = 0 THEN NULL
-         ELSE CAST(TRY_CAST(trunc(c_acctbal) AS INTEGER) AS DOUBLE) / 4 END AS AverageTemperature,
+    CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE c_acctbal END AS AverageTemperature,
     CAST(c_custkey % 7 AS DOUBLE) / 4 AS AverageTemperatureUncertainty,
     c_name AS City,
     CASE WHEN n_regionkey = 4 THEN lower(n_name) ELSE n_name END AS Country,
@@ -585,7 +632,8 @@ country_dim AS (
          t.avg_country_temperature_uncertainty AS avg_country_temperature_uncertainty
   FROM countries c
   JOIN (SELECT Country,
-               avg(AverageTemperature) AS avg_country_temperature,
+               CAST(sum(CAST(AverageTemperature AS DECIMAL(28,6))) AS DOUBLE) / count(AverageTemperature)
+                 AS avg_country_temperature,
                avg(AverageTemperatureUncertainty) AS avg_country_temperature_uncertainty
         FROM temperatures GROUP BY Country) t
     ON t.Country = c.country
@@ -657,6 +705,11 @@ QUALITY_SQL = MART_SQL + "\nUNION ALL\n".join(
     f"count(*) FILTER (WHERE {key} IS NULL) AS null_keys FROM {_CTE.get(name, name)}"
     for name, key in _KEYS.items()
 )
+CONTRACT_SQL = MART_SQL + "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS table_name, CAST(0 AS INTEGER) AS mismatches, count(*) AS row_count, "
+    f"count(*) FILTER (WHERE {key} IS NULL) AS null_keys FROM {_CTE.get(name, name)}"
+    for name, key in _KEYS.items()
+)
 COUNTS_SQL = MART_SQL + "\nUNION ALL\n".join(
     f"SELECT '{name}' AS table_name, count(*) AS row_count "
     f"FROM {_CTE.get(name, name)}"
@@ -774,6 +827,8 @@ FROM airports WHERE local_code IS NOT NULL GROUP BY trim(local_code), type""",
     "refresh_then_expire": _with(AIRPORTS_SQL, AIRPORT_DIM_SQL) + "SELECT * FROM airport_dim",
     "append_twice": _with(AIRPORTS_SQL, AIRPORT_DIM_SQL)
     + "SELECT * FROM airport_dim UNION ALL SELECT * FROM airport_dim",
+    "templated_run_paths": _with(COUNTRIES_SQL, TEMPERATURES_SQL, COUNTRY_DIM_SQL) + "SELECT * FROM country_dim",
+    "contract_check": CONTRACT_SQL,
     "quality_report": QUALITY_SQL,
     "run_report": REPORT_SQL,
     "key_duplicates": """

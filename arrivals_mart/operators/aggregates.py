@@ -2,18 +2,38 @@
 
 Both run as partial aggregation in the scan tasks followed by a final
 aggregation after the shuffle, so a key that holds a large share of the rows
-costs one partial row per task, not a hot reducer.
+costs one partial row per task, not a hot reducer. Means of fractional columns
+are taken from decimal sums (:func:`exact_mean`), so that they do not depend on
+the order in which partial sums meet.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 _NAME = "__lookup_name"
 _CODE_NAME = "__code_name"
+#: Values count to six decimal places in a mean.
+_DECIMAL = "decimal(28,6)"
+
+
+def exact_mean(column: str) -> Column:
+    """Aggregate: mean of the values rounded to six places, as the same double
+    on every run. Where a value does not fit (infinite, not a number, 1e22 or
+    more) it is the plain ``avg``; nulls are ignored, no values give null."""
+    number = F.col(column).try_cast(_DECIMAL)
+    total = F.try_sum(number)
+    fits = (F.count(number) == F.count(column)) & total.isNotNull()
+    return F.when(fits, F.try_divide(total.cast("double"), F.count(column))).otherwise(F.avg(column))
+
+
+def _means(df: DataFrame, means: Mapping[str, str]) -> list[Column]:
+    fractional = {f.name for f in df.schema.fields if isinstance(f.dataType, (DoubleType, FloatType))}
+    return [(exact_mean(src) if src in fractional else F.avg(src)).alias(out) for out, src in means.items()]
 
 
 def group_means(
@@ -23,7 +43,7 @@ def group_means(
     drop: Iterable[str] = (),
     distinct_rows: bool = True,
 ) -> DataFrame:
-    """Per ``key``: ``avg`` of each input column, named by ``means``
+    """Per ``key``: the mean of each input column, named by ``means``
     (output name -> input column).
 
     ``drop`` removes columns first; with ``distinct_rows`` identical rows
@@ -34,7 +54,7 @@ def group_means(
     base = df.drop(*drop)
     if distinct_rows:
         base = base.distinct()
-    return base.groupBy(key).agg(*[F.avg(src).alias(out) for out, src in means.items()])
+    return base.groupBy(key).agg(*_means(base, means))
 
 
 def lookup_means(
@@ -53,9 +73,7 @@ def lookup_means(
     list is joined to it on the exact, case-sensitive name. Codes with no
     facts are not returned (see :func:`lookup_unmatched`).
     """
-    grouped = facts.groupBy(F.col(fact_name).alias(_NAME)).agg(
-        *[F.avg(src).alias(out) for out, src in means.items()]
-    )
+    grouped = facts.groupBy(F.col(fact_name).alias(_NAME)).agg(*_means(facts, means))
     code_list = codes.select(F.col(code).alias(out_code), F.col(code_name).alias(_CODE_NAME))
     # LEFT JOIN ... WHERE name IS NOT NULL: Catalyst turns it into an inner join.
     joined = code_list.join(grouped, F.col(_CODE_NAME) == F.col(_NAME), "left").where(F.col(_NAME).isNotNull())

@@ -99,8 +99,7 @@ AIRPORTS_EXPRS = (
 
 TEMPERATURES_EXPRS = (
     "CAST(NULL AS DATE) AS dt",
-    "CASE WHEN c_custkey % 10 = 0 THEN CAST(NULL AS DOUBLE)"
-    " ELSE CAST(try_cast(c_acctbal AS INT) AS DOUBLE) / 4 END AS AverageTemperature",
+    "CASE WHEN c_custkey % 10 = 0 THEN CAST(NULL AS DOUBLE) ELSE c_acctbal END AS AverageTemperature",
     "CAST(c_custkey % 7 AS DOUBLE) / 4 AS AverageTemperatureUncertainty",
     "c_name AS City",
     "CASE WHEN n_regionkey = 4 THEN lower(n_name) ELSE n_name END AS Country",
@@ -144,7 +143,6 @@ def countries_from_nation(nation: DataFrame) -> DataFrame:
 def temperatures_from_customer(customer: DataFrame, nation: DataFrame) -> DataFrame:
     """One temperature reading per customer, in the customer's nation.
 
-    Values are quarters so that means are exact in any summation order.
     Nations of region 4 spell their name in lower case and so match no code.
     """
     nations = nation.select("n_nationkey", "n_name", "n_regionkey")

@@ -53,12 +53,15 @@ def fact_stream(
 
 def write_fact_batch(batch: DataFrame, batch_id: int, output: str) -> None:
     """Write one micro-batch below ``output``; idempotent per ``batch_id``."""
+    rows = batch.withColumn("load_batch", F.lit(batch_id).cast("bigint"))
+    parts = F.struct(*STREAMED_FACT.partition_by.values())
     write_table(
-        batch.withColumn("load_batch", F.lit(batch_id).cast("bigint")),
+        rows,
         output,
         STREAMED_FACT,
         mode="overwrite",
         dynamic_overwrite=True,
+        directories=rows.agg(F.approx_count_distinct(parts)).first()[0],
     )
 
 

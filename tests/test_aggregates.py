@@ -1,3 +1,6 @@
+import math
+
+import pytest
 from plan_util import plan_text
 
 from arrivals_mart.contracts import DEMOGRAPHICS_INPUT, TEMPERATURES_INPUT
@@ -85,3 +88,16 @@ def test_lookup_unmatched_without_broadcasts(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_means_do_not_depend_on_the_order(spark):
+    values = [0.1 * i + 1e9 * (i % 7) for i in range(2000)]
+    rows = [(1, v) for v in values] + [(2, float("nan")), (2, 1.0), (3, None), (4, float("inf"))]
+    facts = spark.createDataFrame(rows, "k int, v double")
+    seen = set()
+    for n in (1, 3, 16):
+        got = {r.k: r.m for r in group_means(facts.repartition(n, "v"), "k", {"m": "v"}, distinct_rows=False).collect()}
+        assert math.isnan(got[2]) and got[3] is None and got[4] == math.inf
+        seen.add(got[1])
+    assert len(seen) == 1
+    assert seen.pop() == pytest.approx(math.fsum(values) / len(values), rel=1e-12)

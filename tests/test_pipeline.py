@@ -213,3 +213,17 @@ def test_full_report_and_required_keys(spark, tmp_dir):
         with pytest.raises(QualityError, match="immig_fact contains 1 repeated values in column cicid"):
             run_pipeline(spark, inputs, f"{tmp_dir}/out", publish_views=False, full_report=full,
                          unique=["immig_fact", "time_dim"])
+
+
+def test_run_scans_the_arrivals_twice(spark, tmp_dir):
+    inputs = read_inputs(spark, write_inputs(spark, f"{tmp_dir}/in"))
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    inputs.arrivals = inputs.arrivals.mapInArrow(counted, inputs.arrivals.schema)
+    run_pipeline(spark, inputs, f"{tmp_dir}/out", publish_views=False)
+    assert read.value == 2 * len(ARRIVALS)
