@@ -21,6 +21,8 @@ shuffled to sort it. In steps:
 4. One record of each remaining context is extended word by word to the left
    and right: its windows are hashed from the text, and a window met in
    two documents, next to the same first hash, is a match (128 bits agree).
+   So is every window of a context that matched as a whole: other documents
+   hold it, whichever of its records is extended.
 5. Matches of a document are merged to maximal spans.
 
 Steps 2 to 4 are grouped minima and joins on hashes, so one passage may stand in a
@@ -144,13 +146,15 @@ def _window_batches(min_words: int):
                 at, which = np.unique(
                     np.concatenate([np.arange(r["start"], r["start"] + r["n"]) for r in ranges]), return_index=True
                 )
-                head = np.repeat([r["head"] for r in ranges], [r["n"] for r in ranges])[which]
-                parts.append((np.full(len(at), rid), head, hashes.of(at, at + min_words), at))
+                sizes = [r["n"] for r in ranges]
+                head = np.repeat([r["head"] for r in ranges], sizes)[which]
+                whole = np.repeat([r["whole"] for r in ranges], sizes)[which]
+                parts.append((np.full(len(at), rid), head, hashes.of(at, at + min_words), at, whole))
             if parts:
-                rid, head, window, at = (np.concatenate(x) for x in zip(*parts, strict=True))
+                rid, head, window, at, whole = (np.concatenate(x) for x in zip(*parts, strict=True))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(rid), pa.array(head), _signed(window), pa.array(at.astype(np.int32))],
-                    ["rid", "head", "window", "start"],
+                    [pa.array(rid), pa.array(head), _signed(window), pa.array(at.astype(np.int32)), pa.array(whole)],
+                    ["rid", "head", "window", "start", "whole"],
                 )
 
     return run
@@ -214,17 +218,17 @@ def repeated_passages(
         "suffix_matches",
     )
     whole = matched.where("whole").select("rid", "start", (F.col("start") + F.col("n") - 1 + min_words).alias("end"))
-    ranges = matched.where("extend").groupBy("rid").agg(F.collect_list(F.struct("start", "n", "head")).alias("ranges"))
+    ranges = matched.where("extend").groupBy("rid").agg(F.collect_list(F.struct("start", "n", "head", "whole")).alias("ranges"))
     windows = materialize(
         keyed.select("rid", "text")
         .join(ranges, "rid")
         .select("rid", "text", "ranges")
-        .mapInArrow(_window_batches(min_words), "rid long, head long, window long, start int"),
+        .mapInArrow(_window_batches(min_words), "rid long, head long, window long, start int, whole boolean"),
         "suffix_windows",
     )
     again = materialize(
         windows.groupBy("head", "window")
-        .agg((F.min("rid") != F.max("rid")).alias("shared"))
+        .agg(((F.min("rid") != F.max("rid")) | F.bool_or("whole")).alias("shared"))
         .where("shared")
         .select("head", "window"),
         "suffix_again",

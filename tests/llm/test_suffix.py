@@ -63,6 +63,21 @@ def test_planted_passages(spark, words):
     assert got(X.repeated_passages(docs)) == brute(rows)
 
 
+@pytest.mark.parametrize("length", [60, 150])
+def test_passage_twice_in_the_document_that_stands_for_it(spark, length):
+    """'X P Y' and 'X P Y Z P W': the second P lies in a context of its own."""
+    rows = []
+    for k in range(12):
+        x, y, z, w = ([f"{c}{k}n{i}" for i in range(110)] for c in "xyzw")
+        p = [f"p{k}n{i}" for i in range(length)]
+        rows += [(2 * k, " ".join(x + p + y)), (2 * k + 1, " ".join(x + p + y + z + p + w))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    rid = {r[0]: r[1] for r in docs.selectExpr("doc_id", "xxhash64(doc_id, text)").collect()}
+    assert {rid[2 * k] < rid[2 * k + 1] for k in range(12)} == {True, False}
+    want = brute(rows)
+    assert len(want) == 36 and got(X.repeated_passages(docs)) == want
+
+
 def test_odd_rows(spark):
     docs = odd_docs(spark)
     n = len(LONG.split())
