@@ -9,9 +9,10 @@ outweigh the rest, and a text is normalised by its number of trigrams. A linear
 prediction is one table look-up per byte, in Arrow batches, with no shuffle;
 texts of any length are read whole.
 
-Training rows are featurised on the executors; of each language at most
-``per_language`` rows are used, chosen by a hash over all labelled rows, so
-the driver fits the models on a matrix of bounded size. Families come from
+Training texts are featurised on the executors; of each language about
+``per_language`` different texts are used (all, if it has no more), chosen by a
+hash over all labelled rows, so the driver fits the models on a matrix of
+bounded size. Families come from
 ``FAMILIES``; a language that is not listed is a family of its own.
 """
 
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 #: Trigram buckets.
 DIM = 1 << 13
-#: Training rows of each language at most (a documented bound, by hash).
+#: Different training texts of each language, about (a documented bound, by hash).
 PER_LANGUAGE = 400
 UNDETERMINED = "und"
 
@@ -157,12 +158,14 @@ def train(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageMode
     nothing. Languages are whatever values ``lang`` holds; with one
     language everything is that language, with none everything is undetermined.
     Equal texts of a language are learned once, so a text that a third of all
-    rows repeat neither fills the sample nor goes to the driver more than once.
+    rows repeat neither fills the sample nor goes to the driver more than once,
+    and the share of texts that is chosen is one of different texts, not of rows.
     """
     usable = labelled.where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("text").rlike(r"\p{L}")
     ).select("lang", "text", F.xxhash64(F.lit(5), "text").alias("h"))
-    counts = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    different = usable.select("lang", "h").distinct()  # copies must not thin out the other texts
+    counts = {r["lang"]: r["n"] for r in different.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     chosen = F.lit(False)
     grain = 1 << 30
     for lang, n in counts.items():

@@ -77,6 +77,30 @@ def test_repeated_text_is_learned_once(spark, monkeypatch):
     assert seen == [602]
 
 
+def test_copies_do_not_thin_out_the_sample(spark, monkeypatch):
+    """Far more rows than ``per_language``, nearly all of them copies of one text."""
+    few = spark.range(10030).selectExpr(
+        "if(id < 10000, 'der und ist', concat('der und ist das ', hex(id), 'q')) AS text", "'de' AS lang"
+    )
+    many = spark.range(6000).selectExpr(
+        "if(id % 2 = 0, 'the of and', concat('the of and ', hex(id), 'q')) AS text", "'en' AS lang"
+    )
+    docs = few.unionByName(many)
+    seen, svm = [], L.linear_svm
+
+    def spy(x, y):
+        seen.append((int((y == 1).sum()), int((y == -1).sum())))
+        return svm(x, y)
+
+    monkeypatch.setattr(L, "linear_svm", spy)
+    model = L.train(docs, per_language=400)
+    assert seen[0][0] == 31 and 320 < seen[0][1] < 480
+    L.train(docs, per_language=20)
+    assert 10 < seen[1][0] < 31 and 8 < seen[1][1] < 36
+    got = L.identify(docs, model)
+    assert got.where("lang_pred = lang").count() == docs.count()
+
+
 def test_language_empty_table(spark):
     model = L.train(no_docs(spark))
     assert L.identify(no_docs(spark), model).count() == 0
