@@ -1,7 +1,8 @@
 r"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman.
 
 Words are runs of letters and digits of the lower-cased text. The n-grams
-(``GRAM`` words) of the benchmark items are counted over all documents. A copy of
+(``GRAM`` words; fewer where an item is so short that edits may leave none of
+that length) of the benchmark items are counted over all documents. A copy of
 an item with at most ``1 - least`` of its words edited still shares a known
 number ``t`` of the item's ``G`` n-grams, hence at least one of the
 ``G - t + 1`` rarest: these are the item's seeds. A document joins an item
@@ -22,7 +23,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -82,20 +83,31 @@ class Block:
     first: np.ndarray  # where an n-gram's (item, place) begin; one more at the end
     needed: np.ndarray  # n-grams that a copy of each item still has
     seed: np.ndarray | None = None  # of each (item, place): whether it is a seed
-
-    def grams(self, numbers: np.ndarray) -> np.ndarray:
-        """Number of the n-gram at each place of a text, -1 if no item has it."""
-        if len(numbers) < GRAM or not len(self.codes):
-            return np.zeros(0, np.int64)
-        code = self._codes(numbers)
-        at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
-        return np.where(self.codes[at] == code, at, -1)
-
-    def _codes(self, numbers: np.ndarray) -> np.ndarray:
+    lengths: list[int] = field(default_factory=list)  # words of an n-gram, as items use them
+
+    def grams(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of a text where an item's n-gram begins, and which n-gram."""
+        places, grams = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for length in self.lengths:
+            code = self._codes(numbers, length)
+            at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
+            place = np.flatnonzero(self.codes[at] == code)
+            places.append(place)
+            grams.append(at[place])
+        return np.concatenate(places), np.concatenate(grams)
+
+    def _codes(self, numbers: np.ndarray, length: int) -> np.ndarray:
+        """Codes of the runs of ``length`` words, -1 with an unknown word; a
+        shorter run is filled up with zeros, so no two lengths share a code."""
         size = np.int64(len(self.words) + 1)
-        a, b, c = numbers[:-2], numbers[1:-1], numbers[2:]
-        code = (a * size + b) * size + c
-        code[(a == 0) | (b == 0) | (c == 0)] = -1
+        n = max(0, len(numbers) - length + 1)
+        code, known = np.zeros(n, np.int64), np.ones(n, bool)
+        for k in range(GRAM):
+            code *= size
+            if k < length:
+                code += numbers[k : k + n]
+                known &= numbers[k : k + n] != 0
+        code[~known] = -1
         return code
 
     def numbers(self, text: str | None) -> np.ndarray:
@@ -104,6 +116,14 @@ class Block:
         return np.fromiter((get(w, 0) for w in found), np.int64, len(found))
 
 
+def gram_length(n: int, edits: int) -> int:
+    """Words of the n-grams of an item of ``n`` words: at most ``GRAM``, and so
+    few that one survives all edits; 0 for an item that is not searched."""
+    if n < GRAM:
+        return 0
+    return next((g for g in range(GRAM, 1, -1) if n - g + 1 > g * edits), 1)
+
+
 def make_block(rows: list[tuple[int, str]], least: float) -> Block:
     words: dict[str, int] = {}
     items = []
@@ -112,14 +132,17 @@ def make_block(rows: list[tuple[int, str]], least: float) -> Block:
     block = Block(
         [r[0] for r in rows], words, items, *(np.zeros(0, np.int64) for _ in range(6))
     )
-    code, item, place, needed = [], [], [], []
+    code, item, place, needed, lengths = [], [], [], [], set()
     for k, a in enumerate(items):
-        c = block._codes(a) if len(a) >= GRAM else np.zeros(0, np.int64)
+        edits = int((1 - least) * len(a) + 1e-9)
+        length = gram_length(len(a), edits)
+        c = block._codes(a, length) if length else np.zeros(0, np.int64)
         code.append(c)
         item.append(np.full(len(c), k))
         place.append(np.arange(len(c)))
-        edits = int((1 - least) * len(a) + 1e-9)
-        needed.append(max(1, len(c) - GRAM * edits))
+        needed.append(max(1, len(c) - length * edits))
+        lengths.add(length)
+    block.lengths = sorted(lengths - {0})
     flat = np.concatenate([*code, np.zeros(0, np.int64)])
     block.codes, gram = np.unique(flat, return_inverse=True)
     order = np.argsort(gram, kind="stable")
@@ -152,15 +175,14 @@ def _expand(first: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def matches(block: Block, numbers: np.ndarray, least: float) -> list[tuple[int, float, int, int]]:
     """Best match of each item in a text: item id, similarity, span."""
-    gram = block.grams(numbers)
-    at = np.flatnonzero(gram >= 0)
+    at, gram = block.grams(numbers)
     if not len(at):
         return []
     seeded = np.zeros(len(block.codes), bool)
     seeded[block.gram[block.seed]] = True
-    if not seeded[gram[at]].any():
+    if not seeded[gram].any():
         return []
-    which, entry = _expand(block.first, gram[at])
+    which, entry = _expand(block.first, gram)
     item, place, seed = block.item[entry], block.place[entry], block.seed[entry]
     diagonal = at[which] - place
     order = np.lexsort((diagonal, item))
@@ -199,8 +221,7 @@ def _count_batches(block):
         counts = np.zeros(len(table.codes), np.int64)
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                met = np.unique(table.grams(table.numbers(text)))
-                counts[met[met >= 0]] += 1
+                counts[np.unique(table.grams(table.numbers(text))[1])] += 1
         met = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(met), pa.array(counts[met])], ["gram", "n"])
 
@@ -275,10 +296,10 @@ def contaminated(
     (xxhash64 of the text), ``item_id``, ``similarity`` (at least ``least``) and
     the words that the best match lies in (``start_word``, ``n_words``).
 
-    Every copy with at most ``(1 - least)`` of the item's words edited is found
-    if the item is long enough for an n-gram to survive (6 words or more at
-    0.8). Items of fewer than three words have no n-gram and match nothing;
-    null and empty texts match nothing. Repeated items, rows and ids are taken
+    Every copy with at most ``(1 - least)`` of the item's words edited is
+    aligned, however short the item; an edit beside its first or last word may
+    cost the local alignment that word too, and so the match. Items of fewer than three words are not searched and match nothing; null
+    and empty texts match nothing. Repeated items, rows and ids are taken
     as they come, null ids stay null, other columns are ignored, empty tables
     give an empty result.
     """

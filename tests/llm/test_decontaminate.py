@@ -89,6 +89,29 @@ def test_documents_against_brute_force(spark):
     assert {(r["doc_id"], r["item_id"]) for r in got} == want and want
 
 
+def test_short_items_with_an_edit(spark):
+    """No 3-gram of a five-word item survives an edit of its middle word."""
+    bench = spark.createDataFrame(
+        [(3, "a3 b3 c3"), (4, "a4 b4 c4 d4"), (5, "a5 b5 c5 d5 e5"), (6, "a6 b6 c6 d6 e6 f6")],
+        "item_id long, text string",
+    )
+    hits = {
+        "x a3 b3 c3 y": 3,
+        "a4 b4 c4 d4": 4,
+        "x a5 b5 NEW d5 e5 y": 5,
+        "x a5 b5 c5 NEW e5 y": 5,
+        "x NEW b5 c5 d5 e5": 5,
+        "x a5 b5 d5 e5": 5,
+        "x a5 b5 NEW c5 d5 e5": 5,
+        "a6 b6 NEW d6 e6 f6": 6,
+    }
+    clean = ["a3 b3", "a3 NEW c3", "a4 b4 NEW d4", "a5 b5 NEW NEW e5", "a5 b5", "d5 e5 a5 b5", "a6 NEW c6 NEW e6 f6"]
+    docs = spark.createDataFrame(list(enumerate([*hits, *clean])), "doc_id long, text string")
+    for block in (D.BLOCK_WORDS, 8):
+        got = {(r["doc_id"], r["item_id"]) for r in D.contaminated(docs, bench, block_words=block).collect()}
+        assert got == set(enumerate(hits.values()))
+
+
 def test_odd_rows(spark):
     docs = odd_docs(spark)
     bench = spark.createDataFrame(
