@@ -25,7 +25,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Trigram buckets.
@@ -75,6 +75,18 @@ def has_letter(text: str | None) -> bool:
     return text is not None and any(map(str.isalpha, text))
 
 
+def with_letter(text: Column) -> Column:
+    """Whether a text has a letter, by the rule of :func:`identify`."""
+
+    @F.pandas_udf("boolean")
+    def told(texts):
+        import pandas as pd
+
+        return pd.Series([has_letter(t) for t in texts], dtype=bool)
+
+    return told(text)
+
+
 def linear_svm(x: np.ndarray, y: np.ndarray, c: float = 10.0, rounds: int = 30) -> tuple[np.ndarray, float]:
     """Linear support vector machine (squared hinge loss, classes of equal
     weight) by dual coordinate descent; ``y`` holds 1 and -1. Returns weights

@@ -29,8 +29,14 @@ def _bring_back(found: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; those without a letter go."""
+    """Documents whose language can be told; those without a letter go.
+
+    Which language it is, and how sure, rejects no document. Without a labelled
+    row to learn from, texts with a letter stay as well.
+    """
     model = language_id.train(docs.where(~language_id.held_out()))
+    if not model.families:
+        return docs.where(language_id.with_letter(F.col("text")))
     found = language_id.identify(_set_aside(docs), model)
     return _bring_back(found.where(F.col("lang_pred") != language_id.UNDETERMINED), docs.columns)
 

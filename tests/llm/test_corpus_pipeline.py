@@ -3,6 +3,7 @@ from collections import Counter
 import numpy as np
 import test_mixing
 from corpus import no_docs, odd_docs
+from pyspark.sql import functions as F
 from test_sharding import law_holds
 from test_simhash import brute
 
@@ -70,6 +71,15 @@ def test_every_stage_against_brute_force(spark):
     )
 
 
+def test_no_labels_keep_texts_with_a_letter(spark):
+    docs = odd_docs(spark).withColumn("lang", F.lit(None).cast("string"))
+    kept = P.identify_language(spark, docs, SF001)
+    assert kept.columns == docs.columns
+    key = lambda rows: sorted(map(str, rows))
+    want = [r for r in docs.collect() if any(c.isalpha() for c in r["text"] or "")]
+    assert key(kept.collect()) == key(want) and 0 < len(want) < docs.count()
+
+
 def test_stages_take_odd_rows_and_no_rows(spark):
     for docs in (odd_docs(spark), no_docs(spark)):
         n = docs.count()
