@@ -1,4 +1,4 @@
-r"""Repeated passages by a sparse suffix array.
+r"""Repeated passages by grouped suffixes and window hashes.
 
 A passage is repeated if a run of ``min_words`` words (``[^\x20\x09-\x0D]+``)
 stands in at least two documents. A full suffix array would hold a suffix per
@@ -7,10 +7,10 @@ of ``min_words`` words keeps the start of its smallest ``ANCHOR``-word hash
 among the first ``min_words - RIGHT + 1`` starts, so equal windows keep the same place
 and neighbouring windows mostly share it (one suffix per 16 words or so).
 
-Suffixes are ordered by the hashes of their blocks of words rather than by
-their letters: suffixes that start with the same words are still next to each
-other, which is all that a neighbour comparison needs, and no text is
-shuffled to sort it. In steps:
+This stands in for a sorted suffix array: suffixes are grouped by the hash of
+their first words (neighbours below are members of a group), not sorted, and
+windows are hashed where a suffix array would extend a match. No text is
+shuffled. In steps:
 
 1. Each kept suffix becomes a record: the hash of its first ``RIGHT`` words, the
    hash of its whole context (all windows that kept it), and its place.
@@ -18,8 +18,8 @@ shuffled to sort it. In steps:
    another document are done: no window that kept them is repeated.
 3. Inside a group of neighbours, equal contexts match as a whole; they are
    never compared in pairs, however many copies there are.
-4. One record of each remaining context is extended word by word to the left
-   and right: its windows are hashed from the text, and a window met in
+4. One record of each remaining context is extended to its windows:
+   these are hashed from the text, and a window met in
    two documents, next to the same first hash, is a match (128 bits agree).
    So is every window of a context that matched as a whole: other documents
    hold it, whichever of its records is extended.
