@@ -17,18 +17,26 @@ from pyspark.sql.types import DoubleType, FloatType
 
 _NAME = "__lookup_name"
 _CODE_NAME = "__code_name"
-#: Values count to six decimal places in a mean.
+#: A value's first six decimal places, and what they leave over.
 _DECIMAL = "decimal(28,6)"
+_REST = "decimal(38,30)"
 
 
 def exact_mean(column: str) -> Column:
-    """Aggregate: mean of the values rounded to six places, as the same double
-    on every run. Where a value does not fit (infinite, not a number, 1e22 or
-    more) it is the plain ``avg``; nulls are ignored, no values give null."""
+    """Aggregate: mean of the values as the same double on every run, from
+    the sums of their first six decimal places and of the rest. Where a value
+    does not survive that unchanged (infinite, not a number, 1e22 or more, or
+    digits past the thirtieth place) it is the plain ``avg``; nulls are
+    ignored, no values give null."""
+    value = F.col(column).cast("double")
     number = F.col(column).try_cast(_DECIMAL)
-    total = F.try_sum(number)
-    fits = (F.count(number) == F.count(column)) & total.isNotNull()
-    return F.when(fits, F.try_divide(total.cast("double"), F.count(column))).otherwise(F.avg(column))
+    rest = (value - number.cast("double")).try_cast(_REST)
+    total, left = F.try_sum(number), F.try_sum(rest)
+    whole = F.count(F.when(number.cast("double") + rest.cast("double") == value, True))
+    fits = (whole == F.count(column)) & total.isNotNull() & left.isNotNull()
+    return F.when(fits, F.try_divide(total.cast("double") + left.cast("double"), F.count(column))).otherwise(
+        F.avg(column)
+    )
 
 
 def _means(df: DataFrame, means: Mapping[str, str]) -> list[Column]:

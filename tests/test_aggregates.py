@@ -57,6 +57,28 @@ def test_lookup_means(spark):
     assert got == [(101, "Albania", None, None), (582, "Mexico", 15.0, 2.0)]
 
 
+def test_means_keep_all_digits(spark):
+    """Values past six decimal places count whole, in any order."""
+    groups = {
+        "small": [1e-7, 3e-7, 2e-7],
+        "long": [0.1234567, 12.00000049, -3.3333333333333335] * 40,
+        "tiny": [1e-300, 3e-300],
+        "plain": [1.25, 2.5, 26.704],
+        "huge": [1e300, 1.0],
+    }
+    rows = [(k, v) for k, values in groups.items() for v in values]
+    for kind, near in (("double", 1e-12), ("float", 1e-6)):
+        docs = spark.createDataFrame(rows, "k string, v double")
+        if kind == "float":
+            docs = docs.where("k not in ('tiny', 'huge')").selectExpr("k", "cast(v AS float) AS v")
+        got = {r["k"]: r["m"] for r in group_means(docs, "k", {"m": "v"}, distinct_rows=False).collect()}
+        for k, m in got.items():
+            assert m == pytest.approx(math.fsum(groups[k]) / len(groups[k]), rel=near, abs=0), (kind, k)
+        turned = docs.repartition(7).orderBy(docs["v"].desc())
+        again = {r["k"]: r["m"] for r in group_means(turned, "k", {"m": "v"}, distinct_rows=False).collect()}
+        assert again["long"] == got["long"] and again["small"] == got["small"]
+
+
 def test_lookup_unmatched(spark):
     got = sorted(tuple(r) for r in lookup_unmatched(_codes(spark), _temps(spark), "country", "Country").collect())
     assert got == [(316, "Algeria"), (999, "Nowhere")]
