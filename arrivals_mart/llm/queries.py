@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from arrivals_mart.llm import (
+    bpe,
     chat_format,
     decontaminate,
     embedding_dedup,
@@ -23,7 +24,9 @@ from arrivals_mart.llm import (
     sharding,
     simhash_dedup,
     suffix_dedup,
+    token_alignment,
     token_counts,
+    whitening,
 )
 from arrivals_mart.llm.common import table
 
@@ -121,6 +124,44 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = bpe.decode(bpe.encode(table(spark, sf_dir, "documents")))
+    told = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return tokens.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(told.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = whitening.whole_vectors(table(spark, sf_dir, "embeddings"))
+    model = whitening.fit_whitening(vectors)
+    error = whitening.identity_error(vectors, model)
+    rows = whitening.whiten(vectors, model).select("vec_id", "deviation", F.posexplode("whitened"))
+    shares = [] if model is None else [float(e / model.trace) for e in model.values]
+    return rows.select(
+        "vec_id",
+        (F.col("pos") + 1).cast("int").alias("component"),
+        F.lit(model.n if model else 0).cast("long").alias("n"),
+        F.col("deviation").try_cast("long").alias("deviation"),
+        F.col("col").alias("whitened"),
+        F.get(F.array(*[F.lit(x) for x in shares]).cast("array<double>"), F.col("pos")).alias("explained"),
+        F.lit(error).cast("double").alias("identity_error"),
+    )
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = token_alignment.align(table(spark, sf_dir, "documents"))
+    digest = F.when(F.col("n_a") == 0, F.lit("")).otherwise(F.sha2(F.col("groups").cast("binary"), 256))
+    aligned = aligned.withColumn("groups_sha256", digest).drop("groups")
+    found = token_alignment.with_counts(aligned, token_alignment.vocabulary_size())
+    return found.select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
     "op1_suffix_dedup": op1_suffix_dedup,
@@ -133,6 +174,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_chat_format": op9_chat_format,
     "op10_mixing": op10_mixing,
+    "op11_bpe": op11_bpe,
+    "op12_whitening": op12_whitening,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 LINE_SQL = f"""
