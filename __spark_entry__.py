@@ -31,14 +31,17 @@ from pyspark.sql.types import (  # noqa: E402
 from arrivals_mart.contracts import (  # noqa: E402
     AIRPORT_DIM,
     ARRIVALS_INPUT,
+    AIRPORTS_INPUT,
     COUNTRIES_INPUT,
     COUNTRY_TEMPERATURE_DIM,
     DEMOGRAPHICS_INPUT,
     IMMIG_FACT,
     MART,
+    TEMPERATURES_INPUT,
 )
 from arrivals_mart.functions.columns import char_date, day_number_range  # noqa: E402
 from arrivals_mart.operators import (  # noqa: E402
+    code_dimension_from_table,
     conform,
     contract_mismatches,
     group_means,
@@ -51,8 +54,8 @@ from arrivals_mart.plans import (  # noqa: E402
     arrivals_by_airport_month,
     arrivals_country_temperature,
     arrivals_state_population,
+    build_candidates,
     build_fact,
-    build_mart,
     build_table,
     conversion_losses,
     country_dimension,
@@ -70,14 +73,29 @@ from arrivals_mart.plans import driver as D  # noqa: E402
 from arrivals_mart.plans.tables import DEMOGRAPHIC_MEANS, fact_directories  # noqa: E402
 from arrivals_mart.session import scratch_path  # noqa: E402
 from arrivals_mart.sinks import (  # noqa: E402
+    compact_loads,
+    count_rejects,
     expire_versions,
+    load_by_position,
     materialize,
+    open_set,
+    read_accepted,
+    read_rejects,
     read_table,
     refresh_table,
     render_path,
+    stage_path,
+    write_bucketed,
+    write_enforced,
     write_table,
 )
-from arrivals_mart.sources import read_csv, read_parquet, register_view  # noqa: E402
+from arrivals_mart.sources import (  # noqa: E402
+    csv_losses,
+    read_csv,
+    read_parquet,
+    read_parquet_conformed,
+    register_view,
+)
 from arrivals_mart.streaming import STREAMED_FACT, load_fact_incrementally  # noqa: E402
 
 # The corpus operators are an optional part: without them (or the pipeline over
@@ -335,19 +353,147 @@ def q_templated_run_paths(spark, sf_dir):
 
 
 def q_contract_check(spark, sf_dir):
-    """Per table: columns that differ from the contract in name, order or type, and
-    rows whose key is null against it."""
-    mart = _driver_mart(spark, sf_dir)
-    checked = [
-        mart[c.name].agg(
+    """Per table, as built (with the rows that have no key) and with its columns in
+    reverse: columns that differ from the contract in name, order or type, and rows
+    whose key is null against it."""
+    tables = build_candidates(D.driver_inputs(spark, sf_dir))
+
+    def checked(c, frame, columns):
+        return tables[c.name].agg(
             F.lit(c.name).alias("table_name"),
-            F.lit(len(contract_mismatches(mart[c.name].select(*c.columns), c))).alias("mismatches"),
+            F.lit(frame).alias("frame"),
+            F.lit(len(contract_mismatches(tables[c.name].select(*columns), c))).alias("mismatches"),
             F.count(F.lit(1)).alias("row_count"),
             F.count_if(F.col(c.key[0]).isNull()).alias("null_keys"),
         )
-        for c in MART
-    ]
-    return reduce(DataFrame.unionByName, checked)
+
+    parts = [checked(c, "as built", c.columns) for c in MART]
+    parts += [checked(c, "reversed", list(reversed(c.columns))) for c in MART]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def q_rejected_rows(spark, sf_dir):
+    """What contract-enforcing writes of the seven tables accept, and what they reject and why.
+
+    The tables come with the rows that have no key, and the fact's key as text
+    that is missing for one travel mode and no number for one age."""
+    tables = build_candidates(D.driver_inputs(spark, sf_dir))
+    key = F.col("cicid").cast("string")
+    drifted = F.when(F.col("travel_mode_id") != 9, F.when(F.col("i94_age") == 50, F.concat(F.lit("no "), key)).otherwise(key))
+    tables["immig_fact"] = tables["immig_fact"].withColumn("cicid", drifted)
+    parts = []
+    for c in MART:
+        written = write_enforced(tables[c.name], scratch_path(spark, f"enforced_{c.name}"), c, partition_by={})
+        rejects = count_rejects(read_rejects(spark, written, c))
+        accepted = read_accepted(spark, written, c).agg(
+            F.lit("accepted").alias("reason"), F.count(F.lit(1)).alias("rejected")
+        )
+        parts.append(rejects.unionByName(accepted).select(F.lit(c.name).alias("table_name"), "reason", F.col("rejected").alias("row_count")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def q_bucketed_arrivals_by_port_month(spark, sf_dir):
+    """Question 1 over the fact in buckets of port and day: no exchange of the fact."""
+    arrivals = _arrivals(spark, sf_dir)
+    path = scratch_path(spark, "bucketed_fact")
+    name = "bucketed_fact_" + path.rsplit("-", 1)[-1]
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    write_bucketed(build_fact(arrivals), name, path, IMMIG_FACT, buckets)
+    return arrivals_by_airport_month(
+        spark.table(name),
+        materialize(time_dimension(arrivals), "time_dim"),
+        materialize(airport_dimension(_airports(spark, sf_dir)), "airport_dim"),
+    )
+
+
+def q_arrivals_one_month(spark, sf_dir):
+    """Question 1 for one month of the written fact, whose files are sorted by day."""
+    arrivals = _arrivals(spark, sf_dir)
+    path = write_table(build_fact(arrivals), scratch_path(spark, "fact_by_day"), IMMIG_FACT, partition_by={})
+    return arrivals_by_airport_month(
+        read_parquet(spark, path, IMMIG_FACT.schema),
+        materialize(time_dimension(arrivals), "time_dim"),
+        materialize(airport_dimension(_airports(spark, sf_dir)), "airport_dim"),
+        year=1995,
+        month=3,
+    )
+
+
+def q_publish_set_read(spark, sf_dir):
+    """Rows per table as a reader resolves them from the newest manifest: of the run
+    that is published, not of a later version that is staged only."""
+    root = scratch_path(spark, "published")
+    run_pipeline(spark, D.driver_inputs(spark, sf_dir), root, publish_views=False)
+    airports = airport_dimension(_airports(spark, sf_dir))
+    write_table(airports.where(F.lit(False)), stage_path(root, AIRPORT_DIM.name), AIRPORT_DIM)
+    found = open_set(spark, root)
+    counts = [df.agg(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("row_count")) for n, df in found.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def q_arrivals_mixed_footers(spark, sf_dir):
+    """The fact from a folder whose files store ``cicid`` as INT, BIGINT and DOUBLE."""
+    path = scratch_path(spark, "mixed_arrivals")
+    stored = _arrivals(spark, sf_dir)
+    for i, kind in enumerate(("int", "bigint", "double")):
+        part = stored.where(F.pmod(F.col("cicid").cast("bigint"), F.lit(3)) == i)
+        part.withColumn("cicid", F.col("cicid").cast(kind)).write.parquet(f"{path}/{kind}")
+    return build_fact(read_parquet_conformed(spark, f"{path}/*/*.parquet", ARRIVALS_INPUT))
+
+
+def q_csv_losses(spark, sf_dir):
+    """Cells of the four CSV inputs that do not parse, per input and column."""
+    root = scratch_path(spark, "csv_losses")
+    text = lambda c, bad, word: F.when(bad, F.lit(word)).otherwise(F.col(c).cast("string"))
+    files = {
+        "airports": (
+            _airports(spark, sf_dir).withColumn("elevation_ft", text("elevation_ft", F.col("elevation_ft") > 5000, "high")),
+            AIRPORTS_INPUT, ",", True,
+        ),
+        "countries": (
+            _countries(spark, sf_dir).withColumn("country_code", text("country_code", F.col("country_code") % 5 == 0, "C0")),
+            COUNTRIES_INPUT, ",", True,
+        ),
+        "demographics": (
+            _demographics(spark, sf_dir)
+            .withColumn("medianAge", text("medianAge", F.col("medianAge") > 75, "old"))
+            .withColumn("noOfVeterans", text("noOfVeterans", F.col("noOfVeterans").isNull(), "none")),
+            DEMOGRAPHICS_INPUT, ";", False,
+        ),
+        "temperatures": (
+            _temperatures(spark, sf_dir).withColumn(
+                "AverageTemperature", text("AverageTemperature", F.col("City").endswith("1"), "n/a")
+            ),
+            TEMPERATURES_INPUT, ",", True,
+        ),
+    }
+    parts = []
+    for name, (df, schema, sep, by_name) in files.items():
+        df.write.option("header", True).option("sep", sep).csv(f"{root}/{name}")
+        lost = csv_losses(spark, f"{root}/{name}", schema, sep, by_name)
+        parts.append(lost.select(F.lit(name).alias("input_name"), "column_name", "lost_values"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def q_positional_load(spark, sf_dir):
+    """A catalog table filled twice by column position, under other names; the second load replaces the first."""
+    path = scratch_path(spark, "positional")
+    name = "airports_" + path.rsplit("-", 1)[-1]
+    read_table(spark, write_table(airport_dimension(_airports(spark, sf_dir)).where(F.lit(False)), path, AIRPORT_DIM))
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in AIRPORT_DIM.schema.fields)
+    spark.sql(f"CREATE TABLE `{name}` ({columns}) USING parquet LOCATION '{path}'")
+    renamed = airport_dimension(_airports(spark, sf_dir)).toDF(*[f"c{i}" for i in range(len(AIRPORT_DIM.columns))])
+    for _ in range(2):
+        load_by_position(renamed, name)
+    return spark.table(name)
+
+
+def q_label_table_dim(spark, sf_dir):
+    """Citizenship codes labelled from a code list of any length, with a default for the codes it lacks."""
+    labels = _countries(spark, sf_dir).where("country_code < 20")
+    return code_dimension_from_table(
+        _arrivals(spark, sf_dir), "i94cit", "country_code", "country", labels, "country_code", "country", "Not listed"
+    )
 
 
 def q_refresh_twice(spark, sf_dir):
@@ -375,12 +521,9 @@ def q_append_twice(spark, sf_dir):
     return read_table(spark, path, AIRPORT_DIM)
 
 
-def _driver_mart(spark, sf_dir):
-    return build_mart(D.driver_inputs(spark, sf_dir))
-
-
 def q_quality_report(spark, sf_dir):
-    mart = _driver_mart(spark, sf_dir)
+    """Rows and null keys of the tables with the rows that have no key."""
+    mart = build_candidates(D.driver_inputs(spark, sf_dir))
     return quality_report({c.name: (mart[c.name], c.key[0]) for c in MART})
 
 
@@ -417,6 +560,23 @@ def q_stream_fact(spark, sf_dir):
     return read_table(spark, out, STREAMED_FACT).drop("load_batch")
 
 
+def q_stream_compacted(spark, sf_dir):
+    """The fact streamed in several loads, then rewritten as one."""
+    source, out = scratch_path(spark, "stream_source"), scratch_path(spark, "stream_loads")
+    _t(spark, sf_dir, "lineitem").repartition(2).write.parquet(source)
+    load_fact_incrementally(
+        spark,
+        source,
+        LINEITEM_SCHEMA,
+        out,
+        checkpoint=scratch_path(spark, "stream_loads_checkpoint"),
+        prepare=D.arrivals_from_lineitem,
+        max_files_per_trigger=1,
+    )
+    target = compact_loads(spark, out, scratch_path(spark, "stream_compacted"), STREAMED_FACT)
+    return read_table(spark, target, STREAMED_FACT)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "conform_fact": q_conform_fact,
     "parse_char_date": q_parse_char_date,
@@ -445,6 +605,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "partitioned_write_read": q_partitioned_write_read,
     "templated_run_paths": q_templated_run_paths,
     "contract_check": q_contract_check,
+    "rejected_rows": q_rejected_rows,
+    "bucketed_arrivals_by_port_month": q_bucketed_arrivals_by_port_month,
+    "arrivals_one_month": q_arrivals_one_month,
+    "publish_set_read": q_publish_set_read,
+    "arrivals_mixed_footers": q_arrivals_mixed_footers,
+    "csv_losses": q_csv_losses,
+    "positional_load": q_positional_load,
+    "label_table_dim": q_label_table_dim,
     "refresh_twice": q_refresh_twice,
     "refresh_then_expire": q_refresh_then_expire,
     "append_twice": q_append_twice,
@@ -454,6 +622,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fact_key_duplicates": q_fact_key_duplicates,
     "mart_row_counts": q_mart_row_counts,
     "stream_fact": q_stream_fact,
+    "stream_compacted": q_stream_compacted,
 }
 
 
@@ -700,15 +869,68 @@ MART_SQL = _with(
 _KEYS = {c.name: c.key[0] for c in MART}
 # CTE of MART_SQL that holds each table.
 _CTE = {"immig_fact": "fact", "country_temperature_dim": "country_dim"}
-QUALITY_SQL = MART_SQL + "\nUNION ALL\n".join(
+# Tables with the rows that have no key.
+CANDIDATES_SQL = MART_SQL.rstrip() + f""",
+visa_all AS (SELECT DISTINCT {_int('i94visa')} AS visa_category_id FROM arrivals),
+time_all AS (
+  SELECT DISTINCT CASE WHEN {_int('arrdate')} BETWEEN {_DAY_RANGE[0]} AND {_DAY_RANGE[1]} THEN {_int('arrdate')} END
+    AS arrival_sas
+  FROM arrivals
+),
+airport_all AS (
+  SELECT DISTINCT trim(local_code) AS airport_code, trim(iata_code), trim(name), trim(type), trim(iso_region),
+                  trim(iso_country), trim(municipality), trim(gps_code), coordinates
+  FROM airports
+)
+"""
+_ALL = _CTE | {
+    "visa_type_dim": "visa_all",
+    "time_dim": "time_all",
+    "airport_dim": "airport_all",
+    "demographics_dim": "group_means",
+}
+QUALITY_SQL = CANDIDATES_SQL + "\nUNION ALL\n".join(
     f"SELECT '{name}' AS table_name, '{key}' AS key_column, count(*) AS row_count, "
-    f"count(*) FILTER (WHERE {key} IS NULL) AS null_keys FROM {_CTE.get(name, name)}"
+    f"count(*) FILTER (WHERE {key} IS NULL) AS null_keys FROM {_ALL.get(name, name)}"
     for name, key in _KEYS.items()
 )
-CONTRACT_SQL = MART_SQL + "\nUNION ALL\n".join(
-    f"SELECT '{name}' AS table_name, CAST(0 AS INTEGER) AS mismatches, count(*) AS row_count, "
-    f"count(*) FILTER (WHERE {key} IS NULL) AS null_keys FROM {_CTE.get(name, name)}"
+# Reversed, every position differs but the one in the middle.
+_REVERSED = {"immig_fact": 24, "airport_dim": 8, "visa_type_dim": 2, "travel_mode_dim": 2, "time_dim": 6,
+             "country_temperature_dim": 4, "demographics_dim": 8}
+CONTRACT_SQL = CANDIDATES_SQL + "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS table_name, '{frame}' AS frame, CAST({n} AS INTEGER) AS mismatches, count(*) AS row_count, "
+    f"count(*) FILTER (WHERE {key} IS NULL) AS null_keys FROM {_ALL.get(name, name)}"
     for name, key in _KEYS.items()
+    for frame, n in (("as built", 0), ("reversed", _REVERSED[name]))
+)
+_REJECTED = {name: [(f"{key}: null", f"{key} IS NULL")] for name, key in _KEYS.items()} | {
+    "immig_fact": [
+        ("cicid: null", "travel_mode_id = 9"),
+        ("cicid: not int", "travel_mode_id <> 9 AND i94_age = 50"),
+    ]
+}
+REJECTED_SQL = CANDIDATES_SQL + "SELECT * FROM (\n" + "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS table_name, '{reason}' AS reason, count(*) AS row_count FROM {_ALL.get(name, name)} "
+    f"WHERE {condition}"
+    for name, rules in _REJECTED.items()
+    for reason, condition in [*rules, ("accepted", " AND ".join(f"({c}) IS NOT TRUE" for _, c in rules))]
+) + "\n) WHERE row_count > 0"
+
+# Per input: its columns, and the conditions under which a cell is spoilt.
+_SPOILT = {
+    "airports": (AIRPORTS_INPUT, {"elevation_ft": "elevation_ft > 5000"}),
+    "countries": (COUNTRIES_INPUT, {"country_code": "country_code % 5 = 0"}),
+    "demographics": (DEMOGRAPHICS_INPUT, {"medianAge": "medianAge > 75", "noOfVeterans": "noOfVeterans IS NULL"}),
+    "temperatures": (TEMPERATURES_INPUT, {"AverageTemperature": "City LIKE '%1'"}),
+}
+CSV_LOSSES_SQL = _with(AIRPORTS_SQL, COUNTRIES_SQL, DEMOGRAPHICS_SQL, TEMPERATURES_SQL) + "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS input_name, '{column}' AS column_name, "
+    f"count(*) FILTER (WHERE {condition}) AS lost_values FROM {name}"
+    for name, (schema, spoilt) in _SPOILT.items()
+    for column, condition in [
+        *((n, spoilt.get(n, "false")) for n in schema.names),
+        ("*", " OR ".join(spoilt.values())),
+    ]
 )
 COUNTS_SQL = MART_SQL + "\nUNION ALL\n".join(
     f"SELECT '{name}' AS table_name, count(*) AS row_count "
@@ -755,6 +977,16 @@ REPORT_SQL = MART_SQL + "\nUNION ALL\n".join(
     for name, key in _KEYS.items()
 )
 
+PORT_MONTH_SQL = (
+    _with(ARRIVALS_SQL, FACT_SQL, TIME_SQL, AIRPORTS_SQL, AIRPORT_DIM_SQL)
+    + """
+SELECT a.airport_code, a.airport_name, t.year, t.month, count(*) AS arrivals
+FROM fact f
+JOIN time_dim t ON f.i94_arrival_date = t.arrival_sas
+JOIN airport_dim a ON f.i94_port = a.airport_code
+{period}GROUP BY a.airport_code, a.airport_name, t.year, t.month"""
+)
+
 ORACLES: dict[str, str] = {
     "conform_fact": _with(ARRIVALS_SQL, FACT_SQL) + "SELECT * FROM fact",
     "parse_char_date": """
@@ -778,13 +1010,7 @@ FROM (SELECT o_orderkey,
     "lookup_means": _with(COUNTRIES_SQL, TEMPERATURES_SQL, COUNTRY_DIM_SQL) + "SELECT * FROM country_dim",
     "lookup_unmatched": _with(COUNTRIES_SQL, TEMPERATURES_SQL)
     + "SELECT c.* FROM countries c WHERE NOT EXISTS (SELECT 1 FROM temperatures t WHERE t.Country = c.country)",
-    "arrivals_by_port_month": _with(ARRIVALS_SQL, FACT_SQL, TIME_SQL, AIRPORTS_SQL, AIRPORT_DIM_SQL)
-    + """
-SELECT a.airport_code, a.airport_name, t.year, t.month, count(*) AS arrivals
-FROM fact f
-JOIN time_dim t ON f.i94_arrival_date = t.arrival_sas
-JOIN airport_dim a ON f.i94_port = a.airport_code
-GROUP BY a.airport_code, a.airport_name, t.year, t.month""",
+    "arrivals_by_port_month": PORT_MONTH_SQL.format(period=""),
     "arrivals_country_mean": _with(ARRIVALS_SQL, FACT_SQL, COUNTRIES_SQL, TEMPERATURES_SQL, COUNTRY_DIM_SQL)
     + """
 SELECT c.country_code, c.country, c.avg_country_temperature, count(*) AS arrivals
@@ -829,6 +1055,19 @@ FROM airports WHERE local_code IS NOT NULL GROUP BY trim(local_code), type""",
     + "SELECT * FROM airport_dim UNION ALL SELECT * FROM airport_dim",
     "templated_run_paths": _with(COUNTRIES_SQL, TEMPERATURES_SQL, COUNTRY_DIM_SQL) + "SELECT * FROM country_dim",
     "contract_check": CONTRACT_SQL,
+    "rejected_rows": REJECTED_SQL,
+    "bucketed_arrivals_by_port_month": PORT_MONTH_SQL.format(period=""),
+    "arrivals_one_month": PORT_MONTH_SQL.format(period="WHERE t.year = 1995 AND t.month = 3\n"),
+    "publish_set_read": COUNTS_SQL,
+    "arrivals_mixed_footers": _with(ARRIVALS_SQL, FACT_SQL) + "SELECT * FROM fact",
+    "csv_losses": CSV_LOSSES_SQL,
+    "positional_load": _with(AIRPORTS_SQL, AIRPORT_DIM_SQL) + "SELECT * FROM airport_dim",
+    "label_table_dim": _with(ARRIVALS_SQL, COUNTRIES_SQL)
+    + f"""
+SELECT a.k AS country_code, coalesce(c.country, 'Not listed') AS country
+FROM (SELECT DISTINCT {_int('i94cit')} AS k FROM arrivals) a
+LEFT JOIN countries c ON c.country_code = a.k AND c.country_code < 20
+WHERE a.k IS NOT NULL""",
     "quality_report": QUALITY_SQL,
     "run_report": REPORT_SQL,
     "key_duplicates": """
@@ -837,6 +1076,8 @@ GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
     "mart_row_counts": COUNTS_SQL,
     "stream_fact": _with(ARRIVALS_SQL, FACT_SQL)
     + f"SELECT {FACT_COLUMNS}, i94_port AS partition_port, i94_month FROM fact",
+    "stream_compacted": _with(ARRIVALS_SQL, FACT_SQL)
+    + f"SELECT {FACT_COLUMNS}, i94_port AS partition_port, i94_month, CAST(1 AS BIGINT) AS load_batch FROM fact",
 }
 
 

@@ -59,6 +59,8 @@ def parser() -> argparse.ArgumentParser:
     run.add_argument("--full-report", action="store_true", help="also duplicate keys, rows left out, lost values")
     run.add_argument("--unique", action="append", default=[], choices=sorted(BY_NAME),
                      help="a table whose key must not repeat")
+    run.add_argument("--reject", action="store_true",
+                     help="rows without a key go to a rejects table instead of failing the run")
     run.add_argument("--keep", type=int, help="delete all but the newest N versions of each table afterwards")
 
     table = sub.add_parser("table", help="build and write one table")
@@ -67,7 +69,7 @@ def parser() -> argparse.ArgumentParser:
     table.add_argument("--output", required=True)
     table.add_argument("--param", action="append", default=[])
     table.add_argument("--mode", default="stage", choices=["stage", "append"],
-                       help="a checked new version below --output, or rows added to the table at --output")
+                       help="a checked new version below --output, or checked rows added to the table at --output")
 
     ask = sub.add_parser("ask", help="answer a question over written tables")
     ask.add_argument("question", choices=["airport-month", "country-temperature", "state-population"])
@@ -97,8 +99,17 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
     )
     from arrivals_mart.operators import check_report
     from arrivals_mart.plans.pipeline import BUILDERS
-    from arrivals_mart.session import build_session
-    from arrivals_mart.sinks import expire_versions, read_table, render_path, write_table
+    from arrivals_mart.session import build_session, scratch_path
+    from arrivals_mart.sinks import (
+        expire_manifests,
+        expire_versions,
+        manifests,
+        read_manifest,
+        read_table,
+        render_path,
+        write_table,
+    )
+    from arrivals_mart.sinks.tables import remove_path
 
     args = parser().parse_args(argv)
     hive = {"spark.sql.catalogImplementation": "hive"} if args.hive else None
@@ -115,21 +126,28 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
             params=params,
             full_report=args.full_report,
             unique=args.unique,
+            reject=args.reject,
+            manifest=not args.no_publish,
         )
-        out = {"paths": result.paths, "report": [r.asDict() for r in result.report]}
+        out = {"paths": result.paths, "manifest": result.manifest, "report": [r.asDict() for r in result.report]}
         if args.keep:
             root = render_path(args.output, **params)
-            out["expired"] = [p for name in BY_NAME for p in expire_versions(spark, root, name, args.keep)]
+            expire_manifests(spark, root, args.keep)
+            spare = [p for m in manifests(spark, root) for p in read_manifest(spark, root, m).paths.values()]
+            out["expired"] = [p for name in BY_NAME for p in expire_versions(spark, root, name, args.keep, spare)]
     elif args.command == "table":
         params = _params(args.param)
         inputs = read_inputs(spark, args.input, params=params, only=BUILDERS[args.name][0], **_names(args))
         df, contract, target = build_table(args.name, inputs), BY_NAME[args.name], render_path(args.output, **params)
-        if args.mode == "append":
-            out = {"paths": {args.name: write_table(df, target, contract, mode="append")}}
-        else:
-            path, row = stage_table(df, contract, target)
-            check_report([row])
-            out = {"paths": {args.name: path}, "report": [row.asDict()]}
+        append = args.mode == "append"
+        path, row = stage_table(df, contract, scratch_path(spark, "append") if append else target)
+        check_report([row])
+        if append:
+            # Checked where nobody reads it; then its rows are added.
+            staged, path = path, target
+            write_table(read_table(spark, staged, contract), target, contract, mode="append")
+            remove_path(spark, staged)
+        out = {"paths": {args.name: path}, "report": [row.asDict()]}
     else:
         def table(path, name, flag):
             if not path:

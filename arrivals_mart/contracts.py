@@ -1,7 +1,8 @@
 """Table contracts: column names, order, types, keys and physical layout.
 
 Each output table has one :class:`Contract`. ``schema`` lists the columns that
-are stored in the data files, in their fixed order. ``partition_by`` maps a
+are stored in the data files, in their fixed order; ``required`` names those that
+must not be null. ``partition_by`` maps a
 directory column to the column it is copied from (the copy is made at write
 time, so the original stays in the files).
 
@@ -39,6 +40,12 @@ class Contract:
     schema: StructType
     key: tuple[str, ...]
     partition_by: dict[str, str] = field(default_factory=dict)
+    #: Columns whose values must be there (the key's, in this mart).
+    required: tuple[str, ...] = ()
+    #: Order of the rows inside a file, so that row groups can be skipped.
+    sort_by: tuple[str, ...] = ()
+    #: Hash columns of the optional bucketed layout.
+    bucket_by: tuple[str, ...] = ()
 
     @property
     def columns(self) -> list[str]:
@@ -93,18 +100,23 @@ IMMIG_FACT = Contract(
     ),
     key=("cicid",),
     partition_by={"partition_port": "i94_port", "i94_month": "i94_month"},
+    required=("cicid",),
+    sort_by=("i94_arrival_date",),
+    bucket_by=("i94_port", "i94_arrival_date"),
 )
 
 VISA_TYPE_DIM = Contract(
     name="visa_type_dim",
     schema=_schema(("visa_category_id", INT), ("visa_type", STRING)),
     key=("visa_category_id",),
+    required=("visa_category_id",),
 )
 
 TRAVEL_MODE_DIM = Contract(
     name="travel_mode_dim",
     schema=_schema(("travel_mode_id", INT), ("travel_mode", STRING)),
     key=("travel_mode_id",),
+    required=("travel_mode_id",),
 )
 
 TIME_DIM = Contract(
@@ -119,6 +131,7 @@ TIME_DIM = Contract(
     ),
     key=("arrival_sas",),
     partition_by={"partition_month": "month"},
+    required=("arrival_sas",),
 )
 
 AIRPORT_DIM = Contract(
@@ -135,6 +148,8 @@ AIRPORT_DIM = Contract(
         ("coordinates", STRING),
     ),
     key=("airport_code",),
+    required=("airport_code",),
+    bucket_by=("airport_code",),
 )
 
 DEMOGRAPHICS_DIM = Contract(
@@ -150,6 +165,7 @@ DEMOGRAPHICS_DIM = Contract(
         ("average_house_hold_size", DOUBLE),
     ),
     key=("stateCode",),
+    required=("stateCode",),
 )
 
 COUNTRY_TEMPERATURE_DIM = Contract(
@@ -161,6 +177,7 @@ COUNTRY_TEMPERATURE_DIM = Contract(
         ("avg_country_temperature_uncertainty", DOUBLE),
     ),
     key=("country_code",),
+    required=("country_code",),
 )
 
 # Load order of the run: fact, airports, then the five small dimensions.

@@ -7,6 +7,7 @@ of those, so every conversion here is the ``try_`` form, which yields null.
 
 from __future__ import annotations
 
+import calendar
 import datetime as _dt
 
 from pyspark.sql import Column
@@ -60,6 +61,19 @@ def day_number_range(epoch: _dt.date = SAS_EPOCH) -> tuple[int, int]:
     return (_dt.date.min - epoch).days, (_dt.date.max - epoch).days
 
 
+def day_number(day: _dt.date, epoch: _dt.date = SAS_EPOCH) -> int:
+    """The day number of a date: the inverse of :func:`day_number_to_date`."""
+    return (day - epoch).days
+
+
+def period_days(year: int, month: int | None = None, epoch: _dt.date = SAS_EPOCH) -> tuple[int, int]:
+    """First and last day number of a year, or of one of its months."""
+    first = _dt.date(year, month or 1, 1)
+    last_month = month or 12
+    last = _dt.date(year, last_month, calendar.monthrange(year, last_month)[1])
+    return day_number(first, epoch), day_number(last, epoch)
+
+
 def valid_day_number(c: ColumnOrName, epoch: _dt.date = SAS_EPOCH) -> Column:
     """The day number as INT, or null when it is missing, not a number, or
     names a date outside the representable range (a corrupt value must not

@@ -21,8 +21,8 @@ TRAVEL_MODE_DEFAULT = "Undefined"
 def code_label(code: Column, labels: Mapping[int, str], default: str | None) -> Column:
     """``CASE code WHEN k THEN label ... ELSE default END``.
 
-    Meant for short fixed lists; a long code list belongs in a small lookup
-    table joined by broadcast instead.
+    Meant for short fixed lists; a long code list is a table, joined by code
+    (``operators.code_dimension_from_table``).
     """
     expr = None
     for value, label in labels.items():

@@ -7,7 +7,12 @@ from arrivals_mart.operators.conform import (
     fill_null_codes,
     require_contract,
 )
-from arrivals_mart.operators.dimensions import code_dimension, date_dimension, reference_dimension
+from arrivals_mart.operators.dimensions import (
+    code_dimension,
+    code_dimension_from_table,
+    date_dimension,
+    reference_dimension,
+)
 from arrivals_mart.operators.joins import (
     star_join,
 )
@@ -30,6 +35,7 @@ __all__ = [
     "fill_null_codes",
     "require_contract",
     "code_dimension",
+    "code_dimension_from_table",
     "date_dimension",
     "reference_dimension",
     "star_join",

@@ -4,6 +4,7 @@ and the inputs derived from the benchmark tables."""
 from arrivals_mart.plans.pipeline import (
     Inputs,
     RunResult,
+    build_candidates,
     build_mart,
     build_table,
     left_out,
@@ -32,6 +33,7 @@ from arrivals_mart.plans.tables import (
 __all__ = [
     "Inputs",
     "RunResult",
+    "build_candidates",
     "build_mart",
     "build_table",
     "left_out",

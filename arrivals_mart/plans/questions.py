@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from arrivals_mart.functions.columns import period_days
 from arrivals_mart.operators.joins import star_join
 
 
@@ -35,15 +36,18 @@ def arrivals_by_airport_month(
 
     ``airport_code``, ``year`` and ``month`` narrow the answer to one
     airport and/or period. On the written fact the airport filter applies to
-    the ``partition_port`` directories, so only that port's files are read;
-    the period filters apply to the time dimension (the arrival date decides
-    the month, not the record's month column).
+    the ``partition_port`` directories, so only that port's files are read. A
+    year, or a month of one, is also a range of day numbers, which reaches the
+    fact's scan: its files are sorted by day, so row groups outside the range
+    are skipped. (The arrival date decides the month, not the record's month
+    column; a month without a year filters the time dimension only.)
     """
     if airport_code is not None:
         port = "partition_port" if "partition_port" in fact.columns else "i94_port"
         fact = fact.where(F.col(port) == airport_code)
         airport_dim = airport_dim.where(F.col("airport_code") == airport_code)
     if year is not None:
+        fact = fact.where(F.col("i94_arrival_date").between(*period_days(year, month)))
         time_dim = time_dim.where(F.col("year") == year)
     if month is not None:
         time_dim = time_dim.where(F.col("month") == month)

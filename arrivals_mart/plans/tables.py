@@ -136,8 +136,10 @@ def arrival_codes(arrivals: DataFrame) -> DataFrame:
     return arrivals.select(*[as_int(n).alias(n) for n in names]).distinct()
 
 
-def visa_dimension(arrivals: DataFrame, code: str = "i94visa") -> DataFrame:
-    return code_dimension(arrivals, code, "visa_category_id", "visa_type", VISA_LABELS, VISA_DEFAULT)
+def visa_dimension(arrivals: DataFrame, code: str = "i94visa", keep_null: bool = False) -> DataFrame:
+    return code_dimension(
+        arrivals, code, "visa_category_id", "visa_type", VISA_LABELS, VISA_DEFAULT, keep_null=keep_null
+    )
 
 
 def travel_mode_dimension(arrivals: DataFrame, code: str = "i94mode") -> DataFrame:
@@ -146,20 +148,22 @@ def travel_mode_dimension(arrivals: DataFrame, code: str = "i94mode") -> DataFra
     )
 
 
-def time_dimension(arrivals: DataFrame, day_number: str = "arrdate") -> DataFrame:
-    return date_dimension(arrivals, day_number).select(*TIME_DIM.columns)
+def time_dimension(arrivals: DataFrame, day_number: str = "arrdate", keep_null: bool = False) -> DataFrame:
+    return date_dimension(arrivals, day_number, keep_null=keep_null).select(*TIME_DIM.columns)
 
 
-def airport_dimension(airports: DataFrame) -> DataFrame:
-    return reference_dimension(airports, AIRPORT_COLUMNS, required="local_code")
+def airport_dimension(airports: DataFrame, keep_null: bool = False) -> DataFrame:
+    return reference_dimension(airports, AIRPORT_COLUMNS, required=None if keep_null else "local_code")
 
 
-def demographics_dimension(demographics: DataFrame) -> DataFrame:
+def demographics_dimension(demographics: DataFrame, keep_null: bool = False) -> DataFrame:
     """State means over distinct cities. Cities without a state code form a
     group of their own in the means; that group is left out here, since a
     dimension key may not be null."""
     means = group_means(demographics, "stateCode", DEMOGRAPHIC_MEANS, drop=("race", "count"))
-    return means.where(F.col("stateCode").isNotNull()).select(*DEMOGRAPHICS_DIM.columns)
+    if not keep_null:
+        means = means.where(F.col("stateCode").isNotNull())
+    return means.select(*DEMOGRAPHICS_DIM.columns)
 
 
 def country_dimension(countries: DataFrame, temperatures: DataFrame) -> DataFrame:

@@ -1,5 +1,23 @@
-"""Writers: partitioned Parquet tables, appends, and checked refreshes."""
+"""Writers: partitioned Parquet tables, appends, checked refreshes, enforced
+contracts, run manifests and further layouts."""
 
+from arrivals_mart.sinks.enforce import (
+    EnforcedWrite,
+    count_rejects,
+    read_accepted,
+    read_rejects,
+    violations,
+    write_enforced,
+)
+from arrivals_mart.sinks.layout import compact_loads, load_by_position, position_mismatches, write_bucketed
+from arrivals_mart.sinks.manifest import (
+    Manifest,
+    expire_manifests,
+    manifests,
+    open_set,
+    publish_manifest,
+    read_manifest,
+)
 from arrivals_mart.sinks.tables import (
     expire_versions,
     materialize,
@@ -13,6 +31,22 @@ from arrivals_mart.sinks.tables import (
 )
 
 __all__ = [
+    "EnforcedWrite",
+    "Manifest",
+    "compact_loads",
+    "count_rejects",
+    "expire_manifests",
+    "load_by_position",
+    "manifests",
+    "open_set",
+    "position_mismatches",
+    "publish_manifest",
+    "read_accepted",
+    "read_manifest",
+    "read_rejects",
+    "violations",
+    "write_bucketed",
+    "write_enforced",
     "expire_versions",
     "materialize",
     "publish",

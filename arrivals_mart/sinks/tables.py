@@ -20,12 +20,13 @@ from __future__ import annotations
 import re
 import time
 import uuid
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from arrivals_mart.contracts import Contract
+from arrivals_mart.operators.conform import require_contract
 from arrivals_mart.session import scratch_path
 
 #: Shuffle partitions of a partitioned write at most; beyond it a partition
@@ -33,7 +34,7 @@ from arrivals_mart.session import scratch_path
 MAX_WRITE_PARTITIONS = 20_000
 
 
-def _with_partition_copies(df: DataFrame, partition_by: Mapping[str, str]) -> DataFrame:
+def with_partition_copies(df: DataFrame, partition_by: Mapping[str, str]) -> DataFrame:
     """Add each partition column as a copy of its source column, so the
     source stays inside the data files."""
     for part, source in partition_by.items():
@@ -55,7 +56,8 @@ def write_table(
 ) -> str:
     """Write ``df`` as Parquet at ``path``; returns ``path``.
 
-    With a contract, its columns are written in contract order and its
+    With a contract, its columns are written in contract order, a column of
+    another type than the contract's is an error, and its
     ``partition_by`` applies unless one is passed. ``partition_by`` maps a
     directory column to its source column (a list means "same name").
 
@@ -76,25 +78,36 @@ def write_table(
         partition_by = {p: p for p in partition_by}
     if contract is not None:
         extra = [s for s in partition_by.values() if s not in contract.columns]
+        require_contract(df.select(*contract.columns), contract)
         df = df.select(*contract.columns, *extra)
     parts = list(partition_by)
+    sort_by = contract.sort_by if contract is not None else ()
     if parts:
-        df = _with_partition_copies(df, partition_by)
+        df = with_partition_copies(df, partition_by)
         if contract is not None:
             # A source outside the contract lives only in its directory copy.
             only_in_dirs = [s for p, s in partition_by.items() if p != s and s not in contract.columns]
             df = df.drop(*only_in_dirs)
         if rebalance:
-            df = df.hint("rebalance", *_rebalance_partitions(df.sparkSession, directories), *parts)
+            df = rebalanced(df, parts, sort_by, directories)
         writer = _observe(df, contract, observation).write.mode(mode).partitionBy(*parts)
         if dynamic_overwrite:
             writer = writer.option("partitionOverwriteMode", "dynamic")
         writer.parquet(path)
     else:
+        if sort_by:
+            df = df.sortWithinPartitions(*sort_by)
         _observe(df, contract, observation).write.mode(mode).parquet(path)
     return path
 
 
+def rebalanced(df: DataFrame, parts: Sequence[str], sort_by: Sequence[str], directories: int | None) -> DataFrame:
+    """``df`` dealt out for a write into the directories ``parts``, sorted
+    inside each by ``sort_by`` (the writer sorts by directory anyway)."""
+    df = df.hint("rebalance", *_rebalance_partitions(df.sparkSession, directories), *parts)
+    return df.sortWithinPartitions(*parts, *sort_by) if sort_by else df
+
+
 def _rebalance_partitions(spark: SparkSession, directories: int | None) -> list[int]:
     if directories is None:
         return []
@@ -128,10 +141,21 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """The file system of ``path`` and its path there."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, found = hadoop_path(spark, path)
+    return fs.exists(found)
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a folder that this application wrote and no longer reads."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    fs, folder = hadoop_path(spark, path)
+    fs.delete(folder, True)
 
 
 def read_table(spark: SparkSession, path: str, contract: Contract | None = None) -> DataFrame:
@@ -164,7 +188,9 @@ def _quoted(path: str) -> str:
 
 def version_table(path: str, view: str) -> str:
     """Catalog name of the version of ``view`` at ``path``."""
-    return f"{view}__{path.rstrip('/').rsplit('/', 1)[-1].replace('-', '_')}"
+    # The accepted rows of an enforced write lie one level below the version.
+    parts = [p for p in path.rstrip("/").split("/") if "=" not in p]
+    return f"{view}__{parts[-1].replace('-', '_')}"
 
 
 def _register(spark: SparkSession, contract: Contract, path: str, view: str) -> str:
@@ -205,12 +231,16 @@ def publish_set(spark: SparkSession, versions: Sequence[tuple[Contract, str, str
 
     All versions are registered before the first view moves. If moving a view
     fails, the views that moved go back to the versions they had (or are
-    dropped if they are new), so readers do not stay with a mixture.
+    dropped if they are new), so readers do not stay with a mixture. A publish
+    that fails leaves none of its version tables in the catalog.
     """
-    names = [_register(spark, contract, path, view) for contract, path, view in versions]
     before = [_current_version(spark, view) for _, _, view in versions]
     moved: list[tuple[str, str | None]] = []
+    names: list[str] = []
     try:
+        for contract, path, view in versions:
+            names.append(version_table(path, view))
+            _register(spark, contract, path, view)
         for (_, _, view), name, old in zip(versions, names, before, strict=True):
             _point(spark, view, name)
             moved.append((view, old))
@@ -220,15 +250,20 @@ def publish_set(spark: SparkSession, versions: Sequence[tuple[Contract, str, str
                 spark.sql(f"DROP VIEW IF EXISTS `{view}`")
             else:
                 _point(spark, view, old)
+        for name in set(names) - set(before):  # the files stay
+            spark.sql(f"DROP TABLE IF EXISTS `{name}`")
         raise
     return names
 
 
-def expire_versions(spark: SparkSession, root: str, view: str, keep: int = 2) -> list[str]:
+def expire_versions(
+    spark: SparkSession, root: str, view: str, keep: int = 2, spare: Collection[str] = ()
+) -> list[str]:
     """Delete all but the newest ``keep`` versions of ``view`` below ``root``,
     with their catalog tables; returns the deleted paths.
 
-    The version that the view reads is never deleted. Only the version folders
+    The version that the view reads is never deleted, nor one that a path of
+    ``spare`` (such as those of the newest manifest) lies in. Only the version folders
     that :func:`stage_path` makes are considered. Readers of an expired version
     must have finished: ``keep`` is the margin for them.
     """
@@ -246,7 +281,7 @@ def expire_versions(spark: SparkSession, root: str, view: str, keep: int = 2) ->
     for name in names[:-keep]:
         path = f"{root.rstrip('/')}/{view}/{name}"
         version = version_table(path, view)
-        if version != current:
+        if version != current and not any(f"{p}/".startswith(f"{path}/") for p in spare):
             spark.sql(f"DROP TABLE IF EXISTS `{version}`")
             fs.delete(jvm.org.apache.hadoop.fs.Path(path), True)
             gone.append(path)

@@ -22,6 +22,7 @@ from __future__ import annotations
 import dataclasses
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -53,16 +54,20 @@ def fact_stream(
 
 def write_fact_batch(batch: DataFrame, batch_id: int, output: str) -> None:
     """Write one micro-batch below ``output``; idempotent per ``batch_id``."""
-    rows = batch.withColumn("load_batch", F.lit(batch_id).cast("bigint"))
+    # Kept, so that counting its directories does not read and convert the files twice.
+    rows = batch.withColumn("load_batch", F.lit(batch_id).cast("bigint")).persist(StorageLevel.DISK_ONLY)
     parts = F.struct(*STREAMED_FACT.partition_by.values())
-    write_table(
-        rows,
-        output,
-        STREAMED_FACT,
-        mode="overwrite",
-        dynamic_overwrite=True,
-        directories=rows.agg(F.approx_count_distinct(parts)).first()[0],
-    )
+    try:
+        write_table(
+            rows,
+            output,
+            STREAMED_FACT,
+            mode="overwrite",
+            dynamic_overwrite=True,
+            directories=rows.agg(F.approx_count_distinct(parts)).first()[0],
+        )
+    finally:
+        rows.unpersist()
 
 
 def load_fact_incrementally(
