@@ -2,7 +2,7 @@ r"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman.
 
 Words are runs of letters and digits of the lower-cased text. The n-grams
 (``GRAM`` words; fewer where an item is so short that edits may leave none of
-that length) of the benchmark items are counted over all documents. A copy of
+that length, or is shorter itself) of the benchmark items are counted over all documents. A copy of
 an item with at most ``1 - least`` of its words edited still shares a known
 number ``t`` of the item's ``G`` n-grams, hence at least one of the
 ``G - t + 1`` rarest: these are the item's seeds. A document joins an item
@@ -38,6 +38,8 @@ LEAST = 0.8
 BLOCK_WORDS = 1_000_000
 _WORD = re.compile(r"[^\W_]+")
 _K = 1 << 20  # score * _K + matched words in one number
+#: Different words of a block, so that ``GRAM`` of them make a 63-bit code.
+_MOST_WORDS = 1 << 63 // GRAM
 MATCH_COLUMNS = "doc_id long, text_hash long, item long, similarity double, start_word int, n_words int"
 
 
@@ -117,11 +119,9 @@ class Block:
 
 
 def gram_length(n: int, edits: int) -> int:
-    """Words of the n-grams of an item of ``n`` words: at most ``GRAM``, and so
-    few that one survives all edits; 0 for an item that is not searched."""
-    if n < GRAM:
-        return 0
-    return next((g for g in range(GRAM, 1, -1) if n - g + 1 > g * edits), 1)
+    """Words of the n-grams of an item of ``n`` words: at most ``GRAM`` or the
+    whole item, and so few that one survives all edits; 0 for an item without words."""
+    return next((g for g in range(min(GRAM, n), 1, -1) if n - g + 1 > g * edits), min(n, 1))
 
 
 def make_block(rows: list[tuple[int, str]], least: float) -> Block:
@@ -129,6 +129,8 @@ def make_block(rows: list[tuple[int, str]], least: float) -> Block:
     items = []
     for _, text in rows:
         items.append(np.array([words.setdefault(w, len(words) + 1) for w in words_of(text)], np.int64))
+    if len(words) + 1 >= _MOST_WORDS or max(map(len, items), default=0) >= _K:
+        raise ValueError(f"fewer than {_K} words an item and {_MOST_WORDS - 1} different words a block are needed")
     block = Block(
         [r[0] for r in rows], words, items, *(np.zeros(0, np.int64) for _ in range(6))
     )
@@ -196,6 +198,8 @@ def matches(block: Block, numbers: np.ndarray, least: float) -> list[tuple[int,
     best: dict[int, tuple[float, int, int]] = {}
     for s, e in zip(starts, ends, strict=True):
         k = int(item[s])
+        if best.get(k, (0.0,))[0] >= 1.0:
+            continue  # found whole already; the first such passage counts
         if e - s < block.needed[k] or not seed[s:e].any() or len(np.unique(place[s:e])) < block.needed[k]:
             continue
         a = block.items[k]
@@ -278,9 +282,11 @@ def _matches(docs: DataFrame, items: DataFrame, least: float, block_words: int)
         counts = np.zeros(len(block.codes), np.int64)
         for r in counted.groupBy("gram").agg(F.sum("n").alias("n")).collect():  # the block's n-grams at most
             counts[r["gram"]] = r["n"]
+        sent.destroy()
         choose_seeds(block, counts)
         sent = spark.sparkContext.broadcast(block)
         parts.append(materialize(texts.mapInArrow(_match_batches(sent, least), MATCH_COLUMNS), "benchmark_matches"))
+        sent.destroy()
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -298,8 +304,10 @@ def contaminated(
 
     Every copy with at most ``(1 - least)`` of the item's words edited is
     aligned, however short the item; an edit beside its first or last word may
-    cost the local alignment that word too, and so the match. Items of fewer than three words are not searched and match nothing; null
-    and empty texts match nothing. Repeated items, rows and ids are taken
+    cost the local alignment that word too, and so the match. An item of one or
+    two words is its own seed and found where it stands whole; items without a
+    word, null and empty texts match nothing. A text is read whole, whatever its length; an item of
+    2^20 words or more, or that many different words in a block, is an error. Repeated items, rows and ids are taken
     as they come, null ids stay null, other columns are ignored, empty tables
     give an empty result.
     """

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 from corpus import no_docs, odd_docs
 
 from arrivals_mart.llm import decontaminate as D
@@ -112,6 +113,26 @@ def test_short_items_with_an_edit(spark):
         assert got == set(enumerate(hits.values()))
 
 
+def test_items_of_one_and_two_words(spark):
+    bench = spark.createDataFrame(
+        [(1, "forty two"), (2, "the answer is"), (3, "Zyzzyva!"), (4, "... ?"), (5, "hot")], "item_id long, text string"
+    )
+    texts = ["the answer is forty two indeed", "forty-two", "two forty", "a zyzzyva", "forty", "hot " * 5000 + "end"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for block in (D.BLOCK_WORDS, 2):
+        found = [tuple(r) for r in D.contaminated(docs, bench, block_words=block).select("doc_id", "item_id", "start_word", "n_words").collect()]
+        assert sorted(found) == [(0, 1, 3, 2), (0, 2, 0, 3), (1, 1, 0, 2), (3, 3, 1, 1), (5, 5, 0, 1)]
+
+
+def test_blocks_that_do_not_fit_are_refused(monkeypatch):
+    monkeypatch.setattr(D, "_K", 4)
+    with pytest.raises(ValueError):
+        D.make_block([(1, "a b c d")], 0.8)
+    monkeypatch.setattr(D, "_MOST_WORDS", 3)
+    with pytest.raises(ValueError):
+        D.make_block([(1, "a b c")], 0.8)
+
+
 def test_odd_rows(spark):
     docs = odd_docs(spark)
     bench = spark.createDataFrame(
@@ -120,9 +141,11 @@ def test_odd_rows(spark):
         "item_id long, text string",
     )
     got = [(r["doc_id"], r["item_id"]) for r in D.contaminated(docs, bench).collect()]
-    assert got.count((1, 1)) == 4 and got.count((2, 1)) == 2 and (None, None) in got and len(got) == 7
+    assert got.count((1, 1)) == 4 and got.count((2, 1)) == 2 and (None, None) in got
+    # items of one and two words are found where they stand whole
+    assert got.count((1, 5)) == 2 and (2, 5) in got and (9, 4) in got and len(got) == 11
     left = D.remove_contaminated(docs, bench)
-    assert left.columns == docs.columns and left.count() == docs.count() - 4
+    assert left.columns == docs.columns and left.count() == docs.count() - 5
 
 
 def test_repeated_items_are_matched_once(spark):
