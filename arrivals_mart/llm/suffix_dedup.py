@@ -7,10 +7,15 @@ of ``min_words`` words keeps the start of its smallest ``ANCHOR``-word hash
 among the first ``min_words - RIGHT + 1`` starts, so equal windows keep the same place
 and neighbouring windows mostly share it (one suffix per 16 words or so).
 
-This stands in for a sorted suffix array: suffixes are grouped by the hash of
-their first words (neighbours below are members of a group), not sorted, and
-windows are hashed where a suffix array would extend a match. No text is
-shuffled. In steps:
+This stands in for a sorted suffix array, whose neighbours cannot give the whole
+result: a window needs words on both sides of its kept position, and the
+suffixes that agree with one the longest to the right (its neighbours) need not be those that agree to
+the left. With a passage ``L X R``, copies of ``X R`` alone keep a
+document that shares ``L X`` and the beginning of ``R`` from ever being a neighbour, and
+extending the neighbours to the left finds nothing (there is a test of this). So suffixes are
+grouped by the hash of their first words (neighbours below are all members
+of a group) and windows are hashed where a suffix array would extend one
+match. Texts are shuffled only where a context has to be extended (step 4), one row for each document. In steps:
 
 1. Each kept suffix becomes a record: the hash of its first ``RIGHT`` words, the
    hash of its whole context (all windows that kept it), and its place.
@@ -218,10 +223,13 @@ def repeated_passages(
         "suffix_matches",
     )
     whole = matched.where("whole").select("rid", "start", (F.col("start") + F.col("n") - 1 + min_words).alias("end"))
-    ranges = matched.where("extend").groupBy("rid").agg(F.collect_list(F.struct("start", "n", "head", "whole")).alias("ranges"))
+    # Rows that repeat id and text have the same records: once is enough.
+    extended_records = matched.where("extend").select("rid", "start", "n", "head", "whole").distinct()
+    ranges = extended_records.groupBy("rid").agg(F.collect_list(F.struct("start", "n", "head", "whole")).alias("ranges"))
     windows = materialize(
         keyed.select("rid", "text")
         .join(ranges, "rid")
+        .dropDuplicates(["rid"])
         .select("rid", "text", "ranges")
         .mapInArrow(_window_batches(min_words), "rid long, head long, window long, start int, whole boolean"),
         "suffix_windows",

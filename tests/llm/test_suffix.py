@@ -78,6 +78,48 @@ def test_passage_twice_in_the_document_that_stands_for_it(spark, length):
     assert len(want) == 36 and got(X.repeated_passages(docs)) == want
 
 
+def test_neighbours_of_a_suffix_array_are_not_enough(spark):
+    """``L X R``: two documents share ``L X`` and six words of ``R``; copies of ``X R``
+    alone stand between them in any order of the suffixes that start at ``X``."""
+    left, core, right = ([f"{c}{i}" for i in range(n)] for c, n in (("l", 24), ("x", 20), ("r", 40)))
+    whole = left + core + right
+    rows = [(0, [*whole, "z"]), (1, left + core + right[:6] + ["other"] * 60)]
+    rows += [(10 + i, [f"p{i}n{k}" for k in range(60)] + core + right + [f"s{i}"]) for i in range(4)]
+
+    def shared(a, b, at_a, at_b):
+        back = next((k for k in range(min(at_a, at_b)) if a[at_a - 1 - k] != b[at_b - 1 - k]), min(at_a, at_b))
+        ahead = next((k for k, (x, y) in enumerate(zip(a[at_a:], b[at_b:], strict=False)) if x != y), min(len(a) - at_a, len(b) - at_b))
+        return back + ahead
+
+    order = sorted((words[words.index("x0") :], i, words) for i, words in rows)
+    by_neighbours = set()
+    for (_, i, a), (_, j, b) in zip(order, order[1:], strict=False):
+        if shared(a, b, a.index("x0"), b.index("x0")) >= 50:
+            by_neighbours |= {i, j}
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    found = got(X.repeated_passages(docs))
+    assert found == brute([(i, " ".join(w)) for i, w in rows])
+    assert (1, 0, 50) in found and 1 not in by_neighbours
+
+
+def test_repeated_rows_are_extended_once(spark):
+    """Rows that repeat id and text count once, also where a context is extended."""
+    passage = [f"p{i}" for i in range(60)]
+    a, b = ([f"{c}{i}" for i in range(100)] for c in "ab")
+    rows = [(1, " ".join(a + passage))] * 800 + [(2, " ".join(passage + b))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert got(X.repeated_passages(docs)) == brute(rows) == [(1, 100, 60), (2, 0, 60)]
+    seen = []
+    keep = X.materialize
+    X.materialize = lambda df, name: seen.append((name, keep(df, name))) or seen[-1][1]
+    try:
+        X.repeated_passages(docs).collect()
+    finally:
+        X.materialize = keep
+    windows = dict(seen)["suffix_windows"]
+    assert windows.count() == windows.distinct().count() < 300
+
+
 def test_odd_rows(spark):
     docs = odd_docs(spark)
     n = len(LONG.split())
