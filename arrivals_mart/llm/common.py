@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +13,16 @@ from pyspark.sql import functions as F
 import arrivals_mart
 from arrivals_mart.sinks import materialize
 
-__all__ = ["ASCII_SPACE", "let_workers_import", "materialize", "runs", "table", "text_bytes", "word_count"]
+__all__ = [
+    "ASCII_SPACE",
+    "let_workers_import",
+    "materialize",
+    "quoted",
+    "runs",
+    "table",
+    "text_bytes",
+    "word_count",
+]
 
 #: White space of the word rule ``[^\x20\x09-\x0D]+``.
 ASCII_SPACE = r"[\x20\x09-\x0D]+"
@@ -36,6 +45,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def quoted(names: Iterable[str]) -> list[Column]:
+    """Columns of exactly these names, whatever characters they hold (a dot
+    would else reach into a struct)."""
+    return [F.col("`" + name.replace("`", "``") + "`") for name in names]
+
+
 def word_count(text: Column) -> Column:
     """Number of words ``[^\\x20\\x09-\\x0D]+``; 0 for null.
 

@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from arrivals_mart.llm.common import quoted
+
 #: Trigram buckets.
 DIM = 1 << 13
 #: Different training texts of each language, about (a documented bound, by hash).
@@ -232,7 +234,8 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
         return pd.DataFrame([model.predict(t) for t in text], columns=["lang_pred", "score"])
 
     names = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    return docs.select(*names, predict(F.col("text")).alias("__p")).select(*names, "__p.lang_pred", "__p.score")
+    found = docs.select(*quoted(names), predict(F.col("text")).alias("__p"))
+    return found.select(*quoted(names), "__p.lang_pred", "__p.score")
 
 
 def held_out(doc_id: str = "doc_id"):

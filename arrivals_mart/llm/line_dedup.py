@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arrivals_mart.llm.common import materialize
+from arrivals_mart.llm.common import materialize, quoted
 
 MIN_SITES = 8
 #: Sketch size: 2^12 registers, a standard error of about 1.6 %.
@@ -95,5 +95,5 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, site: str =
                 "text": F.when(found, F.array_join("__kept", "\n")).otherwise(F.col("text")),
             }
         )
-        .select(*docs.columns, "n_lines", "n_removed")
+        .select(*quoted(docs.columns), "n_lines", "n_removed")
     )

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from arrivals_mart.llm.common import materialize, word_count
+from arrivals_mart.llm.common import materialize, quoted, word_count
 
 #: Documents that one task settles together.
 CHUNK = 2048
@@ -42,7 +42,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most:
 
     Sources by code point, null last, weigh ``weights``, repeating, and share
     the total of all sizes. A target stops at ``most`` times its source's size;
-    the excess is shared again by weight until none is above. Adds ``rank``
+    the excess is shared again by weight until none is above. Adds ``__rank``
     and ``target``. The numbering is a range partitioning with offsets per
     partition; the sharing is one aggregate a round.
     """
@@ -56,8 +56,8 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most:
         offset += r["count"]
     order = Window.partitionBy("part").orderBy(F.col("source").asc_nulls_last())
     start = F.element_at(F.create_map(*offsets), F.col("part")) if offsets else F.lit(0)
-    ranked = spread.withColumn("rank", (F.row_number().over(order) - 1 + start).cast("long"))
-    picked = F.element_at(F.array(*map(F.lit, weights)), (F.col("rank") % len(weights) + 1).cast("int"))
+    ranked = spread.withColumn("__rank", (F.row_number().over(order) - 1 + start).cast("long"))
+    picked = F.element_at(F.array(*map(F.lit, weights)), (F.col("__rank") % len(weights) + 1).cast("int"))
     ranked = materialize(ranked.withColumn("weight", picked.cast("double")).drop("part"), "mix_ranks")
 
     limit = F.col("source_size") * F.lit(float(most))
@@ -161,12 +161,12 @@ def mix(
         F.col("source").alias("__source"),
         "source_size",
         "target",
-        "rank",
+        "__rank",
         F.ceil(F.greatest(F.col("n_docs") / chunk, F.col("n_bytes") / chunk_bytes)).alias("__chunks"),
     )
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     rows = (
-        sized.select(*names, "__size")
+        sized.select(*quoted(names), "__size")
         .join(targets, F.col("source").eqNullSafe(F.col("__source")))
         .withColumns(
             {
@@ -180,9 +180,11 @@ def mix(
         .drop("__source")
     )
     counted = ["__size", "source_size", "target", "__whole", "__p"]
-    inner = [*counted, "rank", "__key", "__tie", "__chunks", "__chunk"]
-    columns = [*names, *inner]
-    rows = rows.select(*columns)
+    inner = [*counted, "__rank", "__key", "__tie", "__chunks", "__chunk"]
+    # Grouped by Python workers under plain names, whatever the input's are.
+    held = [f"__column{i}" for i in range(len(names))]
+    rows = rows.select(*[c.alias(h) for c, h in zip(quoted(names), held, strict=True)], *inner)
+    columns = [*held, *inner]
     schema = rows.schema
     closed: list[DataFrame] = []
     level = 0
@@ -190,7 +192,7 @@ def mix(
     while True:
         last = chunks <= 1
         rows = materialize(
-            rows.groupBy("rank", "__chunk").applyInArrow(_settle(seed, level, last), schema), "mix_level"
+            rows.groupBy("__rank", "__chunk").applyInArrow(_settle(seed, level, last), schema), "mix_level"
         )
         open_ = (F.col("__p") > 0) & (F.col("__p") < 1)
         closed.append(rows if last else rows.where(~open_))
@@ -206,7 +208,7 @@ def mix(
     for more in closed[1:]:
         taken = taken.unionByName(more)
     return taken.select(
-        *names,
+        *[F.col(h).alias(name) for h, name in zip(held, names, strict=True)],
         F.col("__size").alias("size"),
         F.coalesce("source_size", F.lit(0)).cast("long").alias("source_size"),
         F.col("target").cast("double").alias("target"),

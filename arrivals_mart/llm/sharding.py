@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from arrivals_mart.llm.common import materialize
+from arrivals_mart.llm.common import materialize, quoted
 
 _LOW = 1 << 63
 _PROBES = 16
@@ -265,5 +265,5 @@ def histogram_shards(
                 "slot": F.element_at(F.lit(np.array(offset, np.int64)), at) + F.col("__n") - 1,
             }
         )
-        .select(*docs.columns, F.col("shard").cast("int"), F.col("slot").cast("long"))
+        .select(*quoted(docs.columns), F.col("shard").cast("int"), F.col("slot").cast("long"))
     )

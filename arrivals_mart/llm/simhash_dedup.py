@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from arrivals_mart.llm import golay
-from arrivals_mart.llm.common import materialize, text_bytes
+from arrivals_mart.llm.common import materialize, quoted, text_bytes
 from arrivals_mart.llm.components import connected_components
 
 SEED = 42
@@ -213,4 +213,4 @@ def keep_representatives(docs: DataFrame, shingle_words: int = 3, max_bits: int
     )
     # Rows that repeat id and text: one stays.
     order = Window.partitionBy("__key_id", "__key_hash").orderBy("__key_hash")
-    return one.withColumn("__n", F.row_number().over(order)).where("__n = 1").select(*docs.columns)
+    return one.withColumn("__n", F.row_number().over(order)).where("__n = 1").select(*quoted(docs.columns))

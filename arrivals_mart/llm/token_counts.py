@@ -38,7 +38,8 @@ _UNKNOWN = -40.0
 
 
 class Vocabulary:
-    """Pieces with scores, held as a trie of dictionaries."""
+    """Pieces with scores in one dictionary, and by last character the lengths
+    of the pieces that end there."""
 
     def __init__(self, pieces: dict[str, float]):
         self.pieces = pieces

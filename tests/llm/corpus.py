@@ -14,13 +14,15 @@ DOCS = StructType(
         StructField("fp", StringType()),
         StructField("copies", StringType()),
         StructField("score", StringType()),
+        StructField("rank", StringType()),
+        StructField("a.b", StringType()),
     ]
 )
 LONG = " ".join(f"word{i % 997}x{i // 997}" for i in range(20_000))
 
 
 def odd_rows():
-    extra = (7, "s", "f", "c", "o")
+    extra = (7, "s", "f", "c", "o", "r", "d")
     rows = [
         (1, "the cat sat on the mat and the dog ran", "en", "a"),
         (1, "the cat sat on the mat and the dog ran", "en", "a"),  # the same row
