@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arrivals_mart.llm import decontaminate, language_id, mixing, sharding, simhash_dedup
-from arrivals_mart.llm.common import materialize, table
+from arrivals_mart.llm.common import materialize, quoted, table
 
 
 #: Columns that operators read; others are set aside while an operator adds its own.
@@ -25,7 +25,8 @@ def _set_aside(docs: DataFrame) -> DataFrame:
 
 
 def _bring_back(found: DataFrame, columns: list[str]) -> DataFrame:
-    return found.select(*[F.col(c if c in _READ else f"__kept_{c}").alias(c) for c in columns])
+    held = quoted([c if c in _READ else f"__kept_{c}" for c in columns])
+    return found.select(*[c.alias(name) for c, name in zip(held, columns, strict=True)])
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
