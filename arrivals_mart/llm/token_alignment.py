@@ -1,9 +1,9 @@
 """Alignment of two tokenizers over the same text.
 
-Tokenizer A is the public byte-level BPE, run on a space and the text; B is the
-public piece BPE, which adds that space itself. Both see strings of special
-tokens as ordinary text. A text takes part if both token sequences spell the
-same bytes (:func:`align` says which do not).
+Tokenizer A is the public byte-level BPE, run on a space and the text (its ids
+always spell what they encode); B is the public piece BPE, which adds that space
+itself. Both see strings of special tokens as ordinary text. A text takes part
+if both token sequences spell the same bytes (:func:`align` says which do not).
 
 **Groups.** The cumulative ends of A's tokens are the keys of a dictionary
 from end to index, B's of another. Their hash-set intersection, sorted, holds
@@ -21,7 +21,6 @@ nothing is dropped and no frequent pair is ever shuffled.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -37,6 +36,8 @@ from arrivals_mart.llm.common import materialize
 MODEL_B = "piece_bpe_32k.model"
 #: Pairs broadcast at most: 17 bytes each.
 TOP = 200_000
+#: Texts of pairs that a task remembers; beyond that many the store starts anew.
+PAIR_TEXTS = 200_000
 #: Bytes of text tokenized at once by B, about; links in an Arrow batch returned.
 _BATCH_BYTES, _BATCH_LINKS = 1 << 20, 1_000_000
 
@@ -63,33 +64,89 @@ def _load_pieces(path: str) -> _Pieces:
     return _Pieces(path)
 
 
-def cuts(a_ends: np.ndarray, b_ends: np.ndarray) -> list[tuple[int, int]]:
-    """``(end in A, end in B)`` of each group, as counts of tokens."""
-    a_at = dict(zip(a_ends.tolist(), range(1, len(a_ends) + 1), strict=True))
-    b_at = dict(zip(b_ends.tolist(), range(1, len(b_ends) + 1), strict=True))
-    return [(a_at[end], b_at[end]) for end in sorted(a_at.keys() & b_at.keys())]
-
-
-def links(a: list[int], b: list[int], a_ends: np.ndarray, b_ends: np.ndarray, groups: list[tuple[int, int]]):
-    """The linked id pairs, in order, and the groups as text."""
-    out: list[tuple[int, int]] = []
-    told: list[str] = []
-    i0 = j0 = 0
-    for i1, j1 in groups:
-        if i1 - i0 == 1 == j1 - j0:
-            x, y = a[i0], b[j0]
-            out.append((x, y))
-            told.append(f"{x}|{y}")
-        else:
-            i, j = i0, j0
-            while i < i1 and j < j1:
-                out.append((a[i], b[j]))
-                p, q = a_ends[i], b_ends[j]
-                i += p <= q
-                j += q <= p
-            told.append(f"{','.join(map(str, a[i0:i1]))}|{','.join(map(str, b[j0:j1]))}")
-        i0, j0 = i1, j1
-    return out, ";".join(told)
+class _Letters:
+    """Ids of the byte-level vocabulary, special strings as text.
+
+    Texts of Latin-1 characters go through tiktoken, over the same vocabulary:
+    it merges whatever makes the token of the lowest rank, which is the merge list's choice
+    because every token's own bytes encode to it (tested). On other characters
+    the two libraries follow different Unicode versions; such texts go
+    through the streaming encoder."""
+
+    def __init__(self, path: str):
+        import tiktoken
+
+        self.merges = bpe.load_merges(path)
+        self.token_bytes = self.merges.token_bytes
+        ranks = {t: i for i, t in enumerate(self.token_bytes) if i not in self.merges.added.values()}
+        self.plain = tiktoken.Encoding(
+            "byte_bpe", pat_str=bpe.PATTERN, mergeable_ranks=ranks, special_tokens={}
+        )
+        self.any = bpe.Encoder(self.merges, specials=False)
+
+    def encode(self, text: str) -> list[int]:
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return [t for part in self.any.encode(text) for t in part]
+        return self.plain.encode_ordinary(text)
+
+
+@lru_cache(maxsize=2)
+def _load_letters(path: str) -> _Letters:
+    return _Letters(path)
+
+
+def cuts(a_ends: list[int], b_ends: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """The end of each group, as counts of tokens of A and of B."""
+    a_at = dict(zip(a_ends, range(1, len(a_ends) + 1), strict=True))
+    b_at = dict(zip(b_ends, range(1, len(b_ends) + 1), strict=True))
+    common = sorted(a_at.keys() & b_at.keys())
+    return tuple(np.array(list(map(at.__getitem__, common)), np.int64) for at in (a_at, b_at))
+
+
+def links(a_ends: np.ndarray, b_ends: np.ndarray, groups: tuple[np.ndarray, np.ndarray]):
+    """Index pairs ``(in A, in B)`` of all overlapping tokens, slice by slice.
+
+    A slice of one token each is one link. Within another slice, the ends of
+    both sides in order are the steps of the staircase: up to each of them,
+    one token of A and one of B lie over each other."""
+    i1, j1 = groups
+    i0, j0 = (np.concatenate([[0], x[:-1]]) for x in groups)
+    one = (i1 - i0 == 1) & (j1 - j0 == 1)
+    more_i, more_j = np.ones(len(a_ends), bool), np.ones(len(b_ends), bool)
+    more_i[i0[one]] = more_j[j0[one]] = False
+    steps = np.union1d(a_ends[more_i], b_ends[more_j])
+    at_a = np.concatenate([i0[one], np.searchsorted(a_ends, steps)])
+    at_b = np.concatenate([j0[one], np.searchsorted(b_ends, steps)])
+    return at_a, at_b
+
+
+class _Teller:
+    """Groups as text, with a store of the texts of pairs."""
+
+    def __init__(self, n_a: int, n_b: int):
+        self.a, self.b = [str(i) for i in range(n_a)], [str(i) for i in range(n_b)]
+        self.n_b, self.known = n_b, {}
+
+    def __call__(self, a: np.ndarray, b: np.ndarray, groups: tuple[np.ndarray, np.ndarray]) -> str:
+        i1, j1 = groups
+        i0, j0 = (np.concatenate([[0], x[:-1]]) for x in groups)
+        codes = (a[i0] * self.n_b + b[j0]).tolist()
+        told = list(map(self.known.get, codes))
+        if None in told:
+            if len(self.known) > PAIR_TEXTS:
+                self.known = {}
+            for k, text in enumerate(told):
+                if text is None:
+                    x, y = divmod(codes[k], self.n_b)
+                    told[k] = self.known[codes[k]] = f"{self.a[x]}|{self.b[y]}"
+        more = np.flatnonzero((i1 - i0 > 1) | (j1 - j0 > 1))
+        a_told, b_told = (list(map(t.__getitem__, x.tolist())) for t, x in ((self.a, a), (self.b, b)))
+        slices = (x[more].tolist() for x in (i0, i1, j0, j1))
+        for k, p, q, r, s in zip(more.tolist(), *slices, strict=True):
+            told[k] = f"{','.join(a_told[p:q])}|{','.join(b_told[r:s])}"
+        return ";".join(told)
 
 
 def _pieces_of(texts: list[str | None], size: int) -> Iterator[tuple[int, int]]:
@@ -106,11 +163,12 @@ def _pieces_of(texts: list[str | None], size: int) -> Iterator[tuple[int, int]]:
 
 def _align_batches(path_a: str, path_b: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merges, pieces = bpe.load_merges(path_a), _load_pieces(path_b)
-        encoder = bpe.Encoder(merges, specials=False)
-        a_bytes, b_bytes = merges.token_bytes, pieces.token_bytes
-        a_size, b_size = (np.array([len(t) for t in table]) for table in (a_bytes, b_bytes))
+        letters, pieces = _load_letters(path_a), _load_pieces(path_b)
+        b_bytes = pieces.token_bytes
+        a_size, b_size = (np.array([len(t) for t in table]) for table in (letters.token_bytes, b_bytes))
         n_b = len(b_bytes)
+        tell = _Teller(len(a_size), n_b)
+        none = np.zeros(0, np.int64)
         row = (TaskContext.get().partitionId() << 40) - 1
         for batch in batches:
             texts = batch.column(1).to_pylist()
@@ -122,21 +180,16 @@ def _align_batches(path_a: str, path_b: str):
                 b_ids = dict(zip(there, pieces.encode([texts[i] for i in there]), strict=True))
                 for i in range(start, end):
                     row += 1
-                    told, pairs, a, b, groups = "", Counter(), [], [], []
-                    if i in b_ids:
-                        text, b = texts[i], b_ids[i]
-                        a = [t for part in encoder.encode(" " + text) for t in part]
-                        want = b" " + text.encode()
-                        if b"".join(map(a_bytes.__getitem__, a)) == want == b"".join(map(b_bytes.__getitem__, b)):
-                            a_ends, b_ends = np.cumsum(a_size[a]), np.cumsum(b_size[b])
-                            groups = cuts(a_ends, b_ends)
-                            linked, told = links(a, b, a_ends.tolist(), b_ends.tolist(), groups)
-                            pairs = Counter(linked)
-                        else:
-                            a, b = [], []
-                    codes = np.fromiter((x * n_b + y for x, y in pairs), np.int64, len(pairs))
-                    times = np.fromiter(pairs.values(), np.int64, len(pairs))
-                    found.append((row, len(a), len(b), len(groups), told, codes, times))
+                    told, n_tokens, n_groups, codes, times = "", (0, 0), 0, none, none
+                    # A's ids spell whatever they encode; B's may not.
+                    if i in b_ids and b"".join(map(b_bytes.__getitem__, b_ids[i])) == b" " + texts[i].encode():
+                        a, b = (np.array(x, np.int64) for x in (letters.encode(" " + texts[i]), b_ids[i]))
+                        a_ends, b_ends = a_size[a].cumsum(), b_size[b].cumsum()
+                        groups = cuts(a_ends.tolist(), b_ends.tolist())
+                        at_a, at_b = links(a_ends, b_ends, groups)
+                        codes, times = np.unique(a[at_a] * n_b + b[at_b], return_counts=True)
+                        told, n_tokens, n_groups = tell(a, b, groups), (len(a), len(b)), len(groups[0])
+                    found.append((row, *n_tokens, n_groups, told, codes, times))
                     size += len(codes)
                 texts[start:end] = [None] * (end - start)
                 if size >= _BATCH_LINKS or end == len(texts):
