@@ -75,10 +75,10 @@ STEP = 1024
 CHUNK = 65_536
 #: Pre-tokens whose ids a Python worker remembers, each of ``MEMO_CHARS`` characters at most;
 #: beyond that many the store starts anew.
-MEMO = 300_000
+MEMO = 150_000
 MEMO_CHARS = 48
 #: Ids in an Arrow batch that a task returns, about.
-_BATCH_IDS = 2_000_000
+_BATCH_IDS = 500_000
 
 #: The pattern, and a faster one that agrees with it on texts without ``_SIGNS``.
 _WORDS = regex.compile(_pattern(_LETTER, _NUMBER, _SIGN), regex.V1)
