@@ -33,6 +33,17 @@ def _line_key(line: Column) -> Column:
     return F.xxhash64(line)
 
 
+def _keep_marks(places: str) -> Column:
+    """Of sorted 0-based ``places``, an array that is false there and true at
+    the places between and before: one look for each line of the text, where a
+    search of the list would be quadratic in its lines."""
+    before = F.concat(F.array(F.lit(-1)), F.slice(F.col(places), 1, F.size(places) - 1))
+    gaps = F.zip_with(
+        before, F.col(places), lambda a, b: F.concat(F.array_repeat(F.lit(True), b - a - 1), F.array(F.lit(False)))
+    )
+    return F.flatten(gaps)
+
+
 def boilerplate_lines(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     """Hashes (``line``) of ``lines (line, site)`` that stand on ``min_sites``
     sites or more; a null site is a site of its own."""
@@ -64,28 +75,32 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, site: str =
     A null text stays null with 0 lines; an empty text has one blank line. If
     all lines go the text is empty. Repeated rows, null ids and other columns
     pass through; input columns named like the outputs are replaced; an empty
-    table gives an empty result.
+    table gives an empty result. Texts of any length are read whole; the work
+    is linear in their lines.
     """
     docs = docs.drop("n_lines", "n_removed")
     lines = materialize(
-        docs.select(F.col(site).alias("site"), F.xxhash64("text").alias("text_key"), F.explode(_lines(F.col("text"))).alias("l"))
+        # The text is hashed before it is split: once, not once a line.
+        docs.select(F.col(site).alias("site"), F.xxhash64("text").alias("text_key"), _lines(F.col("text")).alias("ls"))
+        .select("site", "text_key", F.posexplode("ls").alias("at", "l"))
         .where(F.trim("l") != "")
-        .select("site", "text_key", _line_key(F.col("l")).alias("line"))
+        .select("site", "text_key", "at", _line_key(F.col("l")).alias("line"))
         .distinct(),
         "lines",
     )
     shared = materialize(boilerplate_lines(lines.select("line", "site"), min_sites), "boilerplate")
-    bad = materialize(
+    bad = (
         lines.join(shared, "line")
         .groupBy(F.col("text_key").alias("__key"))
-        .agg(F.collect_set("line").alias("__bad")),  # lines of one text
-        "boilerplate_of_text",
+        .agg(F.sort_array(F.collect_set("at")).alias("__at"))  # places in one text
     )
-    kept = F.filter(_lines(F.col("text")), lambda x: ~F.array_contains("__bad", _line_key(x)))
+    marks = materialize(bad.select("__key", _keep_marks("__at").alias("__keep")), "boilerplate_of_text")
+    # Past the last removed line there is no mark.
+    kept = F.filter(_lines(F.col("text")), lambda x, i: F.coalesce(F.get("__keep", i), F.lit(True)))
     n_lines = F.coalesce(F.size(_lines(F.col("text"))), F.lit(0))
-    found = F.col("__bad").isNotNull()
+    found = F.col("__keep").isNotNull()
     # A merge join at every size: how many texts have such a line is not bounded.
-    joined = docs.join(bad.hint("merge"), F.xxhash64("text") == F.col("__key"), "left")
+    joined = docs.join(marks.hint("merge"), F.xxhash64("text") == F.col("__key"), "left")
     return (
         joined.withColumn("__kept", F.when(found, kept))
         .withColumns(

@@ -45,6 +45,20 @@ def test_near_threshold_lines_are_counted_exactly(spark):
     assert [got[i] for i in range(len(rows))] == plain_lines(rows, 201)
 
 
+def test_texts_of_very_many_lines(spark):
+    """200,000 shared lines in each of three texts, own and repeated lines between them."""
+    body = [f"shared {i}" for i in range(200_000)]
+    rows = []
+    for d in range(3):
+        lines = body + ["shared 5"] * 1000
+        lines[70 * d : 70 * d] = [f"own {d}", "", "shared 7"]
+        rows.append((d, "\n".join([*lines, f"end {d}"] if d else lines), f"s{d}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = sorted(N.remove_boilerplate(docs, min_sites=3).collect())
+    assert [r["text"] for r in got] == plain_lines([r[1:] for r in rows], 3)
+    assert [(r["n_lines"], r["n_removed"]) for r in got] == [(201_003 + (d > 0), 201_001) for d in range(3)]
+
+
 def test_lines_of_odd_rows(spark):
     docs = odd_docs(spark)
     got = N.remove_boilerplate(docs, min_sites=2)
