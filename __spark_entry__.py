@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -73,6 +74,7 @@ from arrivals_mart.plans import driver as D  # noqa: E402
 from arrivals_mart.plans.tables import DEMOGRAPHIC_MEANS, fact_directories  # noqa: E402
 from arrivals_mart.session import scratch_path  # noqa: E402
 from arrivals_mart.sinks import (  # noqa: E402
+    append_load,
     compact_loads,
     count_rejects,
     expire_versions,
@@ -239,6 +241,19 @@ def q_fact_key_duplicates(spark, sf_dir):
     return key_duplicates(build_fact(_arrivals(spark, sf_dir)), ["cicid"])
 
 
+def q_key_repeats_across_loads(spark, sf_dir):
+    """The fact added in two loads (even and odd arrival days): key values that
+    repeat in a load or in one before it."""
+    contract = replace(IMMIG_FACT, partition_by={})
+    fact = build_fact(_arrivals(spark, sf_dir))
+    odd = F.coalesce(F.pmod("i94_arrival_date", F.lit(2)), F.lit(0)) == 1
+    root = scratch_path(spark, "fact_loads")
+    loads = [append_load(spark, fact.where(part), root, contract, unique=False).repeats for part in (~odd, odd)]
+    return reduce(
+        DataFrame.unionByName, [r.select(F.lit(i).alias("load_no"), "*") for i, r in enumerate(loads, start=1)]
+    )
+
+
 def q_arrivals_state_mean(spark, sf_dir):
     return arrivals_state_population(
         build_fact(_arrivals(spark, sf_dir)),
@@ -620,6 +635,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "run_report": q_run_report,
     "key_duplicates": q_key_duplicates,
     "fact_key_duplicates": q_fact_key_duplicates,
+    "key_repeats_across_loads": q_key_repeats_across_loads,
     "mart_row_counts": q_mart_row_counts,
     "stream_fact": q_stream_fact,
     "stream_compacted": q_stream_compacted,
@@ -1025,6 +1041,13 @@ FROM fact f JOIN country_dim c ON f.i94_citizen = c.country_code
 GROUP BY c.country_code, c.country, c.avg_country_temperature""",
     "fact_key_duplicates": _with(ARRIVALS_SQL, FACT_SQL)
     + "SELECT cicid, count(*) AS n FROM fact GROUP BY cicid HAVING count(*) > 1",
+    "key_repeats_across_loads": _with(ARRIVALS_SQL, FACT_SQL)
+    + """, loads AS (
+  SELECT cicid, CASE WHEN coalesce(((i94_arrival_date % 2) + 2) % 2, 0) = 1 THEN 2 ELSE 1 END AS load_no FROM fact
+), keys AS (SELECT load_no, cicid, count(*) AS n FROM loads WHERE cicid IS NOT NULL GROUP BY load_no, cicid)
+SELECT k.load_no, k.cicid, k.n AS n_load, coalesce(e.n, 0) AS n_earlier
+FROM keys k LEFT JOIN keys e ON e.cicid = k.cicid AND e.load_no < k.load_no
+WHERE k.n > 1 OR e.n IS NOT NULL""",
     "arrivals_state_mean": _with(ARRIVALS_SQL, FACT_SQL, DEMOGRAPHICS_SQL, GROUP_MEANS_SQL, DEMOGRAPHICS_DIM_SQL)
     + """
 SELECT f.state_code, count(*) AS arrivals, d.average_total_population,

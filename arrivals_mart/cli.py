@@ -68,8 +68,9 @@ def parser() -> argparse.ArgumentParser:
     _input_flags(table)
     table.add_argument("--output", required=True)
     table.add_argument("--param", action="append", default=[])
-    table.add_argument("--mode", default="stage", choices=["stage", "append"],
-                       help="a checked new version below --output, or checked rows added to the table at --output")
+    table.add_argument("--mode", default="stage", choices=["stage", "append", "load"],
+                       help="a checked new version below --output, checked rows added to the table at --output, or "
+                            "a checked load whose key may not repeat in it or in earlier loads below --output")
 
     ask = sub.add_parser("ask", help="answer a question over written tables")
     ask.add_argument("question", choices=["airport-month", "country-temperature", "state-population"])
@@ -101,6 +102,7 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
     from arrivals_mart.plans.pipeline import BUILDERS
     from arrivals_mart.session import build_session, scratch_path
     from arrivals_mart.sinks import (
+        append_load,
         expire_manifests,
         expire_versions,
         manifests,
@@ -139,6 +141,11 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
         params = _params(args.param)
         inputs = read_inputs(spark, args.input, params=params, only=BUILDERS[args.name][0], **_names(args))
         df, contract, target = build_table(args.name, inputs), BY_NAME[args.name], render_path(args.output, **params)
+        if args.mode == "load":
+            done = append_load(spark, df, target, contract)
+            out = {"paths": {args.name: done.path}, "load": done.name, "rows": done.row_count}
+            print(json.dumps(out))
+            return out
         append = args.mode == "append"
         path, row = stage_table(df, contract, scratch_path(spark, "append") if append else target)
         check_report([row])

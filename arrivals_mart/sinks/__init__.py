@@ -10,6 +10,7 @@ from arrivals_mart.sinks.enforce import (
     write_enforced,
 )
 from arrivals_mart.sinks.layout import compact_loads, load_by_position, position_mismatches, write_bucketed
+from arrivals_mart.sinks.loads import Load, append_load, key_sketch, not_ruled_out, read_loads, repeated_keys
 from arrivals_mart.sinks.manifest import (
     Manifest,
     expire_manifests,
@@ -32,18 +33,24 @@ from arrivals_mart.sinks.tables import (
 
 __all__ = [
     "EnforcedWrite",
+    "Load",
     "Manifest",
+    "append_load",
     "compact_loads",
     "count_rejects",
     "expire_manifests",
+    "key_sketch",
     "load_by_position",
     "manifests",
+    "not_ruled_out",
     "open_set",
     "position_mismatches",
     "publish_manifest",
     "read_accepted",
+    "read_loads",
     "read_manifest",
     "read_rejects",
+    "repeated_keys",
     "violations",
     "write_bucketed",
     "write_enforced",

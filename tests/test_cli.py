@@ -5,7 +5,7 @@ import pytest
 from arrivals_mart.cli import main
 from arrivals_mart.contracts import BY_NAME
 from arrivals_mart.operators import QualityError
-from arrivals_mart.sinks import read_table
+from arrivals_mart.sinks import read_loads, read_table
 from fixtures import arrival, write_inputs
 
 
@@ -46,3 +46,12 @@ def test_failed_table_raises(spark, tmp_dir):
     root = write_inputs(spark, f"{tmp_dir}/in", arrivals=[arrival(None)])
     with pytest.raises(QualityError):
         main(["table", "immig_fact", "--input", root, "--output", f"{tmp_dir}/mart"], spark=spark)
+
+
+def test_second_load_of_the_same_keys_fails(spark, tmp_dir):
+    root = write_inputs(spark, f"{tmp_dir}/in")
+    args = ["table", "visa_type_dim", "--input", root, "--output", f"{tmp_dir}/mart", "--mode", "load"]
+    assert main(args, spark=spark)["rows"] == 4
+    with pytest.raises(QualityError, match="4 repeated values"):
+        main(args, spark=spark)
+    assert read_loads(spark, f"{tmp_dir}/mart", BY_NAME["visa_type_dim"]).count() == 4

@@ -1,0 +1,49 @@
+from dataclasses import replace
+
+import pytest
+from pyspark.sql import functions as F
+
+from arrivals_mart.contracts import IMMIG_FACT, VISA_TYPE_DIM
+from arrivals_mart.operators import QualityError
+from arrivals_mart.sinks.loads import append_load, key_sketch, not_ruled_out, read_loads
+from arrivals_mart.sinks.manifest import manifests
+from arrivals_mart.sinks.tables import path_exists
+
+VISAS = "visa_category_id int, visa_type string"
+
+
+def _visas(spark, *keys):
+    return spark.createDataFrame([(k, f"v{k}") for k in keys], VISAS)
+
+
+def test_sketch_misses_no_key_and_rules_out_most_others(spark):
+    old = spark.range(0, 60_000).select(F.concat(F.lit("k"), "id").alias("key"))
+    small = spark.createDataFrame([("k900000",), (None,)], "key string")
+    sketches = key_sketch(old, "key", 60_000).union(key_sketch(small, "key", 1))
+    assert {r[0] for r in sketches.select("blocks").distinct().collect()} == {1, 32}
+    new = spark.range(40_000, 160_000).select(F.concat(F.lit("k"), "id").alias("key"))
+    got = {r[0] for r in not_ruled_out(new.union(small), "key", sketches).collect()}
+    true = {f"k{i}" for i in range(40_000, 60_000)} | {"k900000"}
+    assert true <= got and len(got - true) < 1000  # of 100,000
+
+
+def test_a_key_of_an_earlier_load_stops_the_next(spark, tmp_dir):
+    append_load(spark, _visas(spark, 1, 2), tmp_dir, VISA_TYPE_DIM)
+    append_load(spark, _visas(spark, 3), tmp_dir, VISA_TYPE_DIM)
+    folder = f"{tmp_dir}/{VISA_TYPE_DIM.name}"
+    before = manifests(spark, folder)
+    for keys in ([4, 2], [5, 5], [6, None], []):
+        with pytest.raises(QualityError):
+            append_load(spark, _visas(spark, *keys), tmp_dir, VISA_TYPE_DIM)
+    assert manifests(spark, folder) == before
+    assert sorted(r[0] for r in read_loads(spark, tmp_dir, VISA_TYPE_DIM).collect()) == [1, 2, 3]
+
+    done = append_load(spark, _visas(spark, 4, 4, 2, 7), tmp_dir, VISA_TYPE_DIM, unique=False)
+    assert done.row_count == 4 and path_exists(spark, done.path)
+    assert sorted(map(tuple, done.repeats.collect())) == [(2, 1, 1), (4, 2, 0)]
+    assert read_loads(spark, tmp_dir, VISA_TYPE_DIM).count() == 7
+
+
+def test_no_load_yet(spark, tmp_dir):
+    with pytest.raises(FileNotFoundError):
+        read_loads(spark, tmp_dir, replace(IMMIG_FACT, partition_by={}))
