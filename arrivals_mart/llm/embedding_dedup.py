@@ -55,6 +55,8 @@ def bucket_keys(unit: np.ndarray) -> np.ndarray:
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
+    # By a power of two first, which is exact, so that no square over- or underflows.
+    vectors = np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=-1, keepdims=True))[1])
     return vectors / np.sqrt((vectors * vectors).sum(axis=-1, keepdims=True))
 
 
@@ -112,6 +114,17 @@ def _compare(
         root = low
 
 
+def _alike(dims: np.ndarray, labels: np.ndarray) -> list[np.ndarray]:
+    """Rows of one group by dimension and label: its bucket is a hash of both,
+    so nearly always they are all alike."""
+    if (dims == dims[0]).all() and (labels == labels[0]).all():
+        return [np.arange(len(dims))]
+    parts: dict[tuple[int, str], list[int]] = {}
+    for i, part in enumerate(zip(dims.tolist(), labels.tolist(), strict=True)):
+        parts.setdefault(part, []).append(i)
+    return [np.array(rows) for rows in parts.values() if len(rows) > 1]
+
+
 def _group_batches(least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group = ("bucket", "nth", "bi", "bj")
@@ -127,16 +140,20 @@ def _group_batches(least: float):
             node, m, left = (table.column(c).to_numpy(zero_copy_only=False) for c in ("node", "m", "left"))
             vectors = table.column("embedding").combine_chunks()
             dims = table.column("dim").to_numpy()
+            labels = table.column("label").to_numpy(zero_copy_only=False)
             found: list[tuple[np.ndarray, ...]] = []
             for s, e in zip(starts, ends, strict=True):
-                if e - s < 2 or (dims[s:e] != dims[s]).any():
+                if e - s < 2:
                     continue
-                unit = _unit(_vectors(vectors.slice(s, e - s), int(dims[s])))
                 cross = columns[2][s] != columns[3][s]
-                new, root = _compare(unit, m[s:e], left[s:e], int(columns[1][s]), cross, least)
-                use = np.flatnonzero((new > 0) | (root != np.arange(e - s)))
-                if len(use):
-                    found.append((node[s:e][use], new[use], node[s:e][root[use]]))
+                for rows in _alike(dims[s:e], labels[s:e]):
+                    at = s + rows
+                    dim = int(dims[at[0]])
+                    unit = _unit(_vectors(vectors.take(pa.array(at)), dim))
+                    new, root = _compare(unit, m[at], left[at], int(columns[1][s]), cross, least)
+                    use = np.flatnonzero((new > 0) | (root != np.arange(len(at))))
+                    if len(use):
+                        found.append((node[at][use], new[use], node[at][root[use]]))
             if found:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(x)) for x in zip(*found, strict=True)], ["node", "new", "root"]
@@ -206,7 +223,9 @@ def embedding_clusters(vectors: DataFrame, least: float = 0.98, block: int = BLO
         )
     )
     compared = materialize(
-        met.join(classes.select("node", "m", "dim", "embedding"), "node")
+        met.join(
+            classes.select("node", "m", "dim", F.col("label").cast("string").alias("label"), "embedding"), "node"
+        )
         .repartition("bucket", "nth", "bi", "bj")
         .sortWithinPartitions("bucket", "nth", "bi", "bj")
         .mapInArrow(_group_batches(least), "node long, new long, root long"),

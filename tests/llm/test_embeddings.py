@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from corpus import roots
 
@@ -75,6 +76,30 @@ def test_crowded_and_odd_vectors(spark, block):
     assert got(V.embedding_clusters(frame, block=block)) == brute(rows)
 
 
+def test_buckets_that_clash_are_compared_by_label_and_length():
+    """One bucket holding two labels and two lengths, as a clash of hashes would make it."""
+    vectors = [[1.0, 2.0], [2.0, 4.0], [1.0, 2.0], [1.0, 2.0, 3.0], [1.0, 2.0], [2.0, 4.0, 6.0]]
+    labels = ["a", "a", "b", "a", "b", "a"]
+    n = len(vectors)
+    batch = pa.RecordBatch.from_pydict(
+        {
+            "bucket": [5] * n, "nth": [0] * n, "bi": [0] * n, "bj": [0] * n, "node": list(range(n)), "m": [1] * n,
+            "left": [True] * n, "dim": [len(v) for v in vectors], "label": labels, "embedding": vectors,
+        }
+    )
+    out = [r for b in V._group_batches(0.98)(iter([batch])) for r in b.to_pylist()]
+    assert {r["node"]: (r["new"], r["root"]) for r in out} == {
+        0: (1, 0), 1: (1, 0), 2: (1, 2), 4: (1, 2), 3: (1, 3), 5: (1, 3)
+    }
+
+
+def test_very_large_and_small_components(spark):
+    rows = [(i, [1.0 * s, 2.0 * s], "x") for i, s in enumerate([1.0, 1e200, 1e-200, 1e308 / 2, 1e-320])]
+    rows += [(9, [2e200, -1e200], "x")]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    assert got(V.embedding_clusters(frame)) == [(i, 4, 0) for i in range(5)] + [(9, 0, 9)]
+
+
 def test_empty_table(spark):
     assert V.embedding_clusters(spark.createDataFrame([], SCHEMA)).count() == 0
 
