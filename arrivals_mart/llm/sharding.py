@@ -14,17 +14,19 @@ equal texts that are heavier than the tolerance and lie on a cut are divided
 (a group may hold a third of all rows, more than a whole shard).
 
 The exchange has one task per range; there are about
-``spark.sql.shuffle.partitions`` ranges, all found by the same rounds, and
-what the driver holds is a few numbers per range.
+``spark.sql.shuffle.partitions`` ranges, or as many as keep a range near
+``RANGE_BYTES``, all found by the same rounds, and what the driver holds is a few
+numbers per range.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import pairwise
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,6 +35,8 @@ from arrivals_mart.llm.common import materialize, quoted
 
 _LOW = 1 << 63
 _PROBES = 16
+#: Bytes of text that a task sorts, about, where there are more than shuffle partitions hold.
+RANGE_BYTES = 1 << 30
 _MAX_ROUNDS = 64
 
 
@@ -45,11 +49,15 @@ def _halves(key: int) -> tuple[int, int]:
     return (key >> 64) - _LOW, (key & ((1 << 64) - 1)) - _LOW
 
 
-def _places(probes: list[int], h: np.ndarray, d: np.ndarray) -> np.ndarray:
+def _arrays(probes: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Both halves of sorted probes: made once, and sent to the tasks."""
+    pairs = np.array([_halves(p) for p in probes], np.int64).reshape(-1, 2)
+    return np.ascontiguousarray(pairs[:, 0]), np.ascontiguousarray(pairs[:, 1])
+
+
+def _places(probes: tuple[np.ndarray, np.ndarray], h: np.ndarray, d: np.ndarray) -> np.ndarray:
     """Number of probes at or below each key."""
-    pairs = [_halves(p) for p in probes]
-    ph = np.array([p[0] for p in pairs], np.int64)
-    pd = np.array([p[1] for p in pairs], np.int64)
+    ph, pd = probes
     at = np.searchsorted(ph, h, "left")
     over = np.searchsorted(ph, h, "right")
     for i in np.unique(at[over > at]):
@@ -70,12 +78,14 @@ class _Bin:
 
 
 def _histogram(keys: DataFrame, probes: list[int]) -> dict[int, _Bin]:
+    halves = _arrays(probes)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             h, d, size = (batch.column(i).to_numpy() for i in range(3))
-            at = _places(probes, h, d)
+            at = _places(halves, h, d)
             order = np.lexsort((d, h, at))
             at, h, d, size = at[order], h[order], d[order], size[order]
             first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
@@ -119,24 +129,30 @@ class _Cut:
     left: int = 0  # rows before the chosen boundary
 
 
-def _refine(cut: _Cut, edges: list[tuple[int, int, int, _Bin | None]]) -> None:
-    """Narrow a cut by the gaps ``(boundary, bytes before, rows before, bin)``
-    in key order; choose a boundary if one is good enough."""
-    options = [(b, low, rows) for b, low, rows, _ in edges]
-    near = [o for o in options if abs(o[1] - cut.at) <= cut.slack]
+def _refine(cut: _Cut, edges: list[tuple[int, int, _Bin | None]], lows: list[int], first: int, last: int) -> None:
+    """Narrow a cut by the gaps ``edges[first:last + 1]``, each a boundary with
+    the rows before it and what follows, and ``lows`` the bytes before it, in key order; choose a
+    boundary if one is good enough. Found by bisection: many cuts may share the gaps."""
+    near = [
+        (edges[i][0], lows[i], edges[i][1])
+        for i in range(
+            bisect_left(lows, cut.at - cut.slack, first, last + 1), bisect_right(lows, cut.at + cut.slack, first, last + 1)
+        )
+    ]
     between = [o for o in near if _halves(o[0])[1] == -_LOW]
     if between or near:
         best = min(between or near, key=lambda o: abs(o[1] - cut.at))
         cut.done, cut.left = best[0], best[2]
         return
-    for (_, low, rows, held), (after, _, _, _) in pairwise(edges):
-        if held is not None and low <= cut.at < low + held.bytes:
+    i = bisect_right(lows, cut.at, first, last + 1) - 1
+    if first <= i < last:
+        (_, rows, held), (after, _, _), low = edges[i], edges[i + 1], lows[i]
+        if held is not None:
             if held.low == held.high:  # one key: the nearer side of it
                 nearer = held.low if cut.at - low <= low + held.bytes - cut.at else held.high + 1
                 cut.done, cut.left = nearer, rows if nearer == held.low else rows + held.rows
             else:
                 cut.low, cut.high, cut.below, cut.rows = held.low, min(after, held.high + 1), low, rows
-            return
 
 
 def _probes(cut: _Cut) -> list[int]:
@@ -153,15 +169,19 @@ def _probes(cut: _Cut) -> list[int]:
 
 
 def find_boundaries(
-    keys: DataFrame, shards: int, ranges: int, tolerance: float
+    keys: DataFrame, shards: int, ranges: int | None, tolerance: float
 ) -> tuple[list[tuple[int, int, int]], int]:
     """Boundaries that cut ``keys (h, d, size)`` into ``shards * ranges``
     ranges: ``(boundary, shard from here on, rows before)`` in key order, and
-    the total of rows."""
+    the ranges of a shard. By default there are as many as shuffle
+    partitions, and more where a range would exceed ``RANGE_BYTES``."""
     whole = _histogram(keys, [])
     if not whole:
-        return [], 0
-    total, count = whole[0].bytes, whole[0].rows
+        return [], 1
+    total = whole[0].bytes
+    if ranges is None:
+        usual = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        ranges = -(-max(usual, -(-total // RANGE_BYTES)) // shards)
     cuts: list[_Cut] = []
     for i in range(1, shards * ranges):
         share = total / shards
@@ -172,8 +192,10 @@ def find_boundaries(
         if not todo:
             break
         new: set[int] = set()
-        for low, high in {(c.low, c.high) for c in todo}:
-            around = [c for c in todo if (c.low, c.high) == (low, high)]
+        gaps: dict[tuple[int, int], list[_Cut]] = {}
+        for c in todo:
+            gaps.setdefault((c.low, c.high), []).append(c)
+        for (low, high), around in gaps.items():
             new.update(_probes(around[0]))
             if len(around) > 1:  # many cuts in one gap: as many more probes
                 a, b = _halves(low)[0], _halves(high - 1)[0]
@@ -184,15 +206,16 @@ def find_boundaries(
                 new.update(k for k in more if low < k < high)
         probes = sorted(new | {c.low for c in todo} | {c.high for c in todo})
         bins = _histogram(keys, probes)
-        edges, low, rows = [], bins[0].bytes if 0 in bins else 0, bins[0].rows if 0 in bins else 0
+        edges, lows, low, rows = [], [], bins[0].bytes if 0 in bins else 0, bins[0].rows if 0 in bins else 0
         for i, p in enumerate(probes, 1):
             held = bins.get(i)
-            edges.append((p, low, rows, held))
+            edges.append((p, rows, held))
+            lows.append(low)
             if held is not None:
                 low, rows = low + held.bytes, rows + held.rows
         where = {p: i for i, p in enumerate(probes)}
         for c in todo:
-            _refine(c, edges[where[c.low] : where[c.high] + 1])
+            _refine(c, edges, lows, where[c.low], where[c.high])
     out: list[tuple[int, int, int]] = []
     for i, c in enumerate(cuts, 1):
         if c.done is None:
@@ -202,7 +225,7 @@ def find_boundaries(
     for i in range(1, len(out)):
         if out[i][0] < out[i - 1][0]:
             out[i] = (out[i - 1][0], out[i][1], out[i - 1][2])
-    return out, count
+    return out, ranges
 
 
 def text_size(text: Column) -> Column:
@@ -220,13 +243,11 @@ def histogram_shards(
     ``tolerance`` of a shard, or by half of the heaviest row that lies on it.
     Equal texts lie next to each other. Null texts are one group of size 1; a
     null ``doc_id`` sorts first. Equal rows may take each other's slots, which
-    no reader can tell. With fewer rows than shards some shards are empty; an
+    no reader can tell. Texts of any length are whole rows of a shard; one longer
+    than a range has that range's task to itself. With fewer rows than shards some shards are empty; an
     empty table gives an empty result. Input columns named ``shard`` or
     ``slot`` are replaced, others pass through.
     """
-    spark = docs.sparkSession
-    if ranges is None:
-        ranges = max(1, -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // shards))
     docs = docs.drop("shard", "slot")
     marked = docs.withColumns(
         {
@@ -239,31 +260,29 @@ def histogram_shards(
         marked.select(F.col("__h").alias("h"), F.col("__d").alias("d"), F.col("__size").alias("size")),
         "shard_keys",
     )
-    cuts, _ = find_boundaries(keys, shards, ranges, tolerance)
-    probes = [c[0] for c in cuts]
-    shard_of = [0, *(c[1] for c in cuts)]
-    before = [0, *(c[2] for c in cuts)]
-    start = [before[shard_of.index(s)] if s in shard_of else 0 for s in range(shards)]
-    offset = [before[i] - start[s] for i, s in enumerate(shard_of)]
-
-    @F.pandas_udf("int")
-    def range_of(h, d):
-        import pandas as pd
-
-        return pd.Series(_places(probes, h.to_numpy(), d.to_numpy()).astype(np.int32))
-
-    placed = marked.withColumn("__range", range_of("__h", "__d") if probes else F.lit(0))
+    cuts, ranges = find_boundaries(keys, shards, ranges, tolerance)
+    probes = _arrays([c[0] for c in cuts])
+    shard_of = np.array([0, *(c[1] for c in cuts)], np.int32)
+    before = np.array([0, *(c[2] for c in cuts)], np.int64)
+    used, first = np.unique(shard_of, return_index=True)
+    start = np.zeros(shards, np.int64)
+    start[used] = before[first]
+    offset = before - start[shard_of]
+
+    @F.pandas_udf("range int, shard int, offset long")
+    def place_of(h: pd.Series, d: pd.Series) -> pd.DataFrame:
+        at = _places(probes, h.to_numpy(), d.to_numpy())
+        return pd.DataFrame({"range": at.astype(np.int32), "shard": shard_of[at], "offset": offset[at]})
+
+    placed = marked.withColumn("__at", place_of("__h", "__d")).withColumn("__range", F.col("__at.range"))
     tasks = shards * ranges
     order = Window.partitionBy("__range").orderBy("__h", "__d")
-    at = F.col("__range") + 1
     return (
         placed.repartitionById(tasks, "__range")  # a task for each range
         .withColumn("__n", F.row_number().over(order))
-        .withColumns(
-            {
-                "shard": F.element_at(F.lit(np.array(shard_of, np.int32)), at),
-                "slot": F.element_at(F.lit(np.array(offset, np.int64)), at) + F.col("__n") - 1,
-            }
+        .select(
+            *quoted(docs.columns),
+            F.col("__at.shard").alias("shard"),
+            (F.col("__at.offset") + F.col("__n") - 1).cast("long").alias("slot"),
         )
-        .select(*quoted(docs.columns), F.col("shard").cast("int"), F.col("slot").cast("long"))
     )

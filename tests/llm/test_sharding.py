@@ -1,3 +1,4 @@
+import bisect
 import random
 import zlib
 
@@ -36,6 +37,27 @@ def test_documents(spark, ranges):
     assert sum(len(s) > 1 for s in shards.values()) <= 7
 
 
+def test_ranges_follow_the_bytes(spark, monkeypatch):
+    docs = table(spark, SF001, "documents")
+    total = sum(len((r["text"] or "").encode()) + 1 for r in docs.collect())
+    monkeypatch.setattr(H, "RANGE_BYTES", total // 200)
+    got = H.histogram_shards(docs, 8)
+    assert got.rdd.getNumPartitions() >= 200
+    rows = got.selectExpr("text", "shard", "slot", "xxhash64(text) as h", "doc_id").collect()
+    law_holds([(r["text"], r["shard"], r["slot"]) for r in rows])
+    assert [(r["h"], r["doc_id"]) for r in sorted(rows, key=lambda r: (r["shard"], r["slot"]))] == sorted(
+        (r["h"], r["doc_id"]) for r in rows
+    )
+
+
+def test_many_probes_are_placed_like_few(spark):
+    rng = random.Random(8)
+    keys = sorted({H._key(rng.randint(-50, 50), rng.randint(-50, 50)) for _ in range(4000)})
+    probes = keys[::3]
+    h, d = H._arrays(keys)
+    assert list(H._places(H._arrays(probes), h, d)) == [bisect.bisect_right(probes, k) for k in keys]
+
+
 def test_slots_follow_one_order(spark):
     docs = table(spark, SF001, "documents")
     got = H.histogram_shards(docs, 4, ranges=5).selectExpr("shard", "slot", "xxhash64(text) as h", "doc_id").collect()
