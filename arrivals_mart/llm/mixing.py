@@ -9,13 +9,17 @@ in words (probability times size), so each move keeps the source's expected
 words exactly: the words taken differ from the target by less than the one
 document per source that is left at the end.
 
-Documents are dealt to chunks of bounded size (in documents and in bytes of the
-text they carry) by a hash; a task settles a chunk
-and leaves at most one open document, and the open documents of all chunks
+Rows that agree in source, id, size and text are one class, however many they
+are: a class of n rows at probability p is sure of floor(n p) copies, and only
+the rest is a copy probability to round. Classes, which hold no text, are dealt to chunks of
+bounded size by a hash; a task settles a chunk
+and leaves at most one open class, and the open classes of all chunks
 are dealt to chunks again until each source has one: a reduction tree of a few
 levels, each written to the shared folder. Within a chunk larger documents go
 first, so the open one tends to be small. All random numbers come from hashes of
-the seed, the ids and the level, so reruns agree.
+the seed, the ids and the level, so reruns agree. Last, the copies of a class go
+to its first rows, counted through the partitions of the written input, so a
+class may be spread over any number of tasks.
 """
 
 from __future__ import annotations
@@ -29,10 +33,8 @@ from pyspark.sql import functions as F
 
 from arrivals_mart.llm.common import materialize, quoted, word_count
 
-#: Documents that one task settles together.
+#: Classes of equal rows that one task settles together.
 CHUNK = 2048
-#: Bytes of text, on average, that these documents carry at most.
-CHUNK_BYTES = 64 << 20
 #: Largest number of copies of a document.
 MAX_COPIES = 3
 
@@ -116,14 +118,14 @@ def pivotal(p: np.ndarray, size: np.ndarray, u: np.ndarray) -> np.ndarray:
 
 def _settle(seed: int, level: int, last: bool) -> Callable[[pa.Table], pa.Table]:
     def run(group: pa.Table) -> pa.Table:
-        p, size, key, tie = (group.column(c).to_numpy() for c in ("__p", "__size", "__key", "__tie"))
-        order = np.lexsort((tie, key, -size))
-        u = _uniform(seed, level, key[order], tie[order])
+        p, size, tie = (group.column(c).to_numpy() for c in ("__p", "__size", "__tie"))
+        order = np.lexsort((tie, -size))
+        u = _uniform(seed, level, size[order], tie[order])
         out = p.copy()
         out[order] = pivotal(p[order], size[order].astype(float), u)
         if last:
             rest = np.flatnonzero((out > 0) & (out < 1))
-            out[rest] = _uniform(seed, level + 1, key[rest], tie[rest]) < out[rest]
+            out[rest] = _uniform(seed, level + 1, size[rest], tie[rest]) < out[rest]
         return group.set_column(group.schema.get_field_index("__p"), "__p", pa.array(out))
 
     return run
@@ -136,7 +138,6 @@ def mix(
     most: int = MAX_COPIES,
     seed: int = 11,
     chunk: int = CHUNK,
-    chunk_bytes: int = CHUNK_BYTES,
 ) -> DataFrame:
     """``docs (doc_id, text, source, ...)`` with ``copies`` (0 to ``most``),
     how often the mix takes a row, and ``size``, ``source_size``, ``target``.
@@ -144,75 +145,97 @@ def mix(
     ``size`` defaults to the words of ``text``. Rows of size 0 add no words;
     they are taken ``floor(target / source_size)`` times (0 in a source
     without words). Null sources are a source of their own, null ids and
-    repeated rows are rows like any other; rows equal in everything may take
-    each other's copies. Input columns named like the outputs are replaced.
+    repeated rows are rows like any other; rows equal in source, id, size and text may take
+    each other's copies. Texts of any length pass through unread, but for their
+    words and hash. Input columns named like the outputs are replaced.
     An empty table gives an empty result.
     """
     size = word_count(F.col("text")) if size is None else size
-    sized = docs.withColumn("__size", F.coalesce(size.cast("long"), F.lit(0).cast("long")))
+    size = F.coalesce(size.cast("long"), F.lit(0).cast("long"))
+    source = F.col("source").cast("string")
     names = [c for c in docs.columns if c not in ("copies", "size", "source_size", "target")]
-    carried = F.sum(F.octet_length("text")) if "text" in names else F.lit(0)
-    per_source = sized.groupBy("source").agg(
-        F.sum("__size").alias("source_size"),
-        F.count(F.lit(1)).alias("n_docs"),
-        F.coalesce(carried, F.lit(0)).alias("n_bytes"),
+    # Input columns travel under plain names, whatever their own are.
+    held = [f"__column{i}" for i in range(len(names))]
+    same = ["doc_id", *(["text"] if "text" in names else [])]
+    rows = materialize(
+        docs.select(
+            *[c.alias(h) for c, h in zip(quoted(names), held, strict=True)],
+            F.coalesce(source, F.lit("")).alias("__source"),
+            source.isNull().alias("__none"),
+            size.alias("__size"),
+            F.xxhash64(*same).alias("__tie"),
+            F.spark_partition_id().alias("__part"),
+        ),
+        "mix_rows",
+    )
+    of_source, of_class = ["__source", "__none"], ["__source", "__none", "__size", "__tie"]
+    parts = materialize(rows.groupBy(*of_class, "__part").agg(F.count(F.lit(1)).alias("__n")), "mix_parts")
+    classes = parts.groupBy(*of_class).agg(F.sum("__n").alias("__n"))
+    per_source = classes.groupBy(*of_source).agg(
+        F.sum(F.col("__size") * F.col("__n")).alias("source_size"), F.count(F.lit(1)).alias("n_classes")
     )
+    per_source = per_source.select(
+        F.when(~F.col("__none"), F.col("__source")).alias("source"), "source_size", "n_classes"
+    )
+    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     targets = materialize(source_targets(per_source, weights, most), "mix_targets").select(
-        F.col("source").alias("__source"),
-        "source_size",
-        "target",
+        F.coalesce("source", F.lit("")).alias("__source"),
+        F.col("source").isNull().alias("__none"),
+        F.col("source_size").cast("long").alias("source_size"),
+        F.col("target").cast("double").alias("target"),
         "__rank",
-        F.ceil(F.greatest(F.col("n_docs") / chunk, F.col("n_bytes") / chunk_bytes)).alias("__chunks"),
+        F.floor(rate).cast("int").alias("__whole"),
+        (rate - F.floor(rate)).alias("__rest"),
+        F.ceil(F.col("n_classes") / chunk).alias("__chunks"),
     )
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    rows = (
-        sized.select(*quoted(names), "__size")
-        .join(targets, F.col("source").eqNullSafe(F.col("__source")))
-        .withColumns(
-            {
-                "__whole": F.floor(rate).cast("int"),
-                "__p": F.when(F.col("__size") > 0, rate - F.floor(rate)).otherwise(0.0),
-                "__key": F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)),
-                "__tie": F.xxhash64("doc_id", "__size", *(["text"] if "text" in names else [])),
-            }
-        )
-        .withColumn("__chunk", F.pmod(F.xxhash64(F.lit(seed), "__tie"), F.col("__chunks")))
-        .drop("__source")
+    share = F.when(F.col("__size") > 0, F.col("__n") * F.col("__rest")).otherwise(0.0)
+    columns = [*of_class, "__rank", "__sure", "__p", "__chunks", "__chunk"]
+    open_classes = (
+        classes.join(targets.select(*of_source, "__rank", "__rest", "__chunks"), of_source)
+        .withColumn("__sure", F.floor(share))
+        .withColumn("__p", share - F.col("__sure"))
+        .withColumn("__chunk", F.pmod(F.xxhash64(F.lit(seed), "__size", "__tie"), F.col("__chunks")))
+        .select(*columns)
     )
-    counted = ["__size", "source_size", "target", "__whole", "__p"]
-    inner = [*counted, "__rank", "__key", "__tie", "__chunks", "__chunk"]
-    # Grouped by Python workers under plain names, whatever the input's are.
-    held = [f"__column{i}" for i in range(len(names))]
-    rows = rows.select(*[c.alias(h) for c, h in zip(quoted(names), held, strict=True)], *inner)
-    columns = [*held, *inner]
-    schema = rows.schema
+    schema = open_classes.schema
     closed: list[DataFrame] = []
     level = 0
     chunks = targets.agg(F.max("__chunks")).first()[0] or 0  # of the largest source
     while True:
         last = chunks <= 1
-        rows = materialize(
-            rows.groupBy("__rank", "__chunk").applyInArrow(_settle(seed, level, last), schema), "mix_level"
+        settled = materialize(
+            open_classes.groupBy("__rank", "__chunk").applyInArrow(_settle(seed, level, last), schema), "mix_level"
         )
-        open_ = (F.col("__p") > 0) & (F.col("__p") < 1)
-        closed.append(rows if last else rows.where(~open_))
+        is_open = (F.col("__p") > 0) & (F.col("__p") < 1)
+        closed.append(settled if last else settled.where(~is_open))
         if last:
             break
         level, chunks = level + 1, -(-chunks // chunk)
-        # Each chunk left one open document at most: deal these out again.
-        rows = rows.where(open_).withColumn(
+        # Each chunk left one open class at most: deal these out again.
+        open_classes = settled.where(is_open).withColumn(
             "__chunks", F.ceil(F.col("__chunks") / chunk).cast("long")
         )
-        rows = rows.withColumn("__chunk", F.col("__chunk") % F.col("__chunks")).select(*columns)
-    taken = closed[0]
+        open_classes = open_classes.withColumn("__chunk", F.col("__chunk") % F.col("__chunks")).select(*columns)
+    extra = closed[0]
     for more in closed[1:]:
-        taken = taken.unionByName(more)
+        extra = extra.unionByName(more)
+    extra = extra.select(*of_class, (F.col("__sure") + F.col("__p").cast("long")).alias("__extra"))
+    # Rows of a class in earlier partitions: a row here for each partition, not each document.
+    earlier = Window.partitionBy(*of_class).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    placed = (
+        parts.withColumn("__before", F.coalesce(F.sum("__n").over(earlier), F.lit(0)))
+        .join(extra, of_class)
+        .join(targets.select(*of_source, "source_size", "target", "__whole"), of_source)
+        .drop("__n")
+    )
+    here = Window.partitionBy(*of_class, "__part").orderBy("__tie")
+    taken = rows.withColumn("__at", F.row_number().over(here)).join(placed, [*of_class, "__part"])
     return taken.select(
         *[F.col(h).alias(name) for h, name in zip(held, names, strict=True)],
         F.col("__size").alias("size"),
-        F.coalesce("source_size", F.lit(0)).cast("long").alias("source_size"),
-        F.col("target").cast("double").alias("target"),
-        (F.col("__whole") + F.col("__p").cast("int")).alias("copies"),
+        "source_size",
+        "target",
+        (F.col("__whole") + (F.col("__before") + F.col("__at") <= F.col("__extra")).cast("int")).alias("copies"),
     )
 
 

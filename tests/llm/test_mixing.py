@@ -46,7 +46,7 @@ def check(rows):
     assert all(r[2] == sizes[r[0]] for r in rows)
 
 
-@pytest.mark.parametrize("limits", [{"chunk": 5}, {"chunk": 2048}, {"chunk_bytes": 20_000}])
+@pytest.mark.parametrize("limits", [{"chunk": 5}, {"chunk": 2048}, {"chunk": 64}])
 def test_documents(spark, limits):
     docs = table(spark, SF001, "documents")
     mixed = M.mix(docs, **limits)
@@ -97,3 +97,20 @@ def test_empty_table_and_empty_texts(spark):
     assert M.mix(no_docs(spark)).count() == 0
     blank = M.mix(odd_docs(spark, [r for r in odd_rows() if not (r[1] or "").strip()]))
     assert {r["copies"] for r in blank.collect()} == {0}
+
+
+def test_rows_that_repeat_are_one_class(spark):
+    """A third of all rows agree in id, size and text: their copies are dealt
+    by position through the partitions, and no group holds them all."""
+    rows = [(None, "one two three", "a")] * 4000 + [(i, "w " * (1 + i % 50), "ab"[i % 2]) for i in range(8000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(13)
+    mixed = M.mix(docs, chunk=16)
+    got = mixed.select("source", "size", "source_size", "target", "copies", "doc_id").collect()
+    assert len(got) == len(rows)
+    check([tuple(r)[:5] for r in got])
+    same = [r["copies"] for r in got if r["doc_id"] is None]
+    assert max(same) - min(same) <= 1
+    rate = next(r["target"] / r["source_size"] for r in got if r["source"] == "a")
+    assert abs(sum(same) - 4000 * rate) < 1
+    again = M.mix(docs.repartition(3), chunk=16).select("doc_id", "copies").collect()
+    assert sorted(map(str, again)) == sorted(str(r) for r in mixed.select("doc_id", "copies").collect())
