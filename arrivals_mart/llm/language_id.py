@@ -7,12 +7,13 @@ text, digits and ASCII punctuation read as blanks. A word that stands n times
 counts floor(log2(n)) + 1 times, so a line repeated a thousand times does not
 outweigh the rest, and a text is normalised by its number of trigrams. A linear score is then the mean weight of a text's trigrams, so a
 prediction is one table look-up per byte, in Arrow batches, with no shuffle;
-texts of any length are read whole.
+texts of any length are read whole (some 20 bytes of memory per byte of text).
 
 Training texts are featurised on the executors; of each language about
 ``per_language`` different texts are used (all, if it has no more), chosen by a
-hash over all labelled rows, so the driver fits the models on a matrix of
-bounded size. Families come from
+hash over all labelled rows. Each machine is fitted in a task of its own on at
+most about ``SIDE`` texts of either side, again chosen by hash; the driver
+holds the languages' names and the fitted weights, no training text or feature. Families come from
 ``FAMILIES``; a language that is not listed is a family of its own.
 """
 
@@ -28,12 +29,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arrivals_mart.llm.common import quoted
+from arrivals_mart.llm.common import materialize, quoted
 
 #: Trigram buckets.
 DIM = 1 << 13
 #: Different training texts of each language, about (a documented bound, by hash).
 PER_LANGUAGE = 400
+#: Training texts on either side of one machine, about (a documented bound, by hash).
+SIDE = 2000
 UNDETERMINED = "und"
 
 #: Families of common ISO 639-1 languages.
@@ -50,6 +53,7 @@ _FAMILY_OF = {lang: name for name, langs in FAMILIES.items() for lang in langs}
 #: Bytes as features see them: letters and multi-byte sequences stay, the rest is blank.
 _BYTES = np.array([b if chr(b).isalpha() and b < 128 or b >= 128 else 32 for b in range(256)], np.uint32)
 _PIECE = 1 << 20
+_GRAIN = 1 << 30  # of shares chosen by hash
 
 
 def trigrams(text: str) -> np.ndarray:
@@ -161,61 +165,86 @@ class LanguageModel:
 
 def _feature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = [features(t).tobytes() for t in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], ["lang", "x"])
+        rows = [features(t) for t in batch.column(2).to_pylist()]
+        places = [np.flatnonzero(x) for x in rows]
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column(0),
+                batch.column(1),
+                pa.array([at.astype(np.int32) for at in places], pa.list_(pa.int32())),
+                pa.array([x[at] for x, at in zip(rows, places, strict=True)], pa.list_(pa.float32())),
+            ],
+            ["lang", "h", "places", "shares"],
+        )
+
+
+def training_sample(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
+    """``lang``, text hash ``h`` and sparse features (``places``, ``shares``) of
+    about ``per_language`` different texts of each language, chosen by hash."""
+    usable = labelled.where(
+        F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("text").rlike(r"\p{L}")
+    ).select("lang", "text", F.xxhash64(F.lit(5), "text").alias("h"))
+    different = usable.select("lang", "h").distinct()  # copies must not thin out the other texts
+    below = F.least(F.lit(_GRAIN).cast("long"), F.floor(F.lit(float(_GRAIN * per_language)) / F.count(F.lit(1))))
+    # Written, so its size is known and texts meet it without a shuffle.
+    shares = materialize(different.groupBy("lang").agg(below.alias("below")), "language_shares")
+    chosen = usable.join(shares, "lang").where(F.pmod("h", F.lit(_GRAIN)) < F.col("below"))
+    once = chosen.groupBy("lang", "h").agg(F.first("text").alias("text"))
+    rows = once.mapInArrow(_feature_batches, "lang string, h long, places array<int>, shares array<float>")
+    return materialize(rows, "language_sample")
+
+
+def _fit(group: pa.Table) -> pa.Table:
+    """One machine from its texts, in an order that does not depend on the shuffle."""
+    group = group.sort_by([("lang", "ascending"), ("h", "ascending")])
+    x = np.zeros((group.num_rows, DIM), np.float32)
+    for i, (at, values) in enumerate(zip(group.column("places"), group.column("shares"), strict=True)):
+        x[i, at.values.to_numpy()] = values.values.to_numpy()
+    norm = 1.0 / float(np.sqrt(np.einsum("ij,ij->i", x, x, dtype=np.float64)).mean())
+    x *= np.float32(norm)
+    w, bias = linear_svm(x, group.column("side").to_numpy())
+    weights = pa.array([(w * norm).astype(np.float32).tobytes()], pa.binary())
+    return pa.table({"machine": group.column("machine").slice(0, 1), "weights": weights, "bias": [float(bias)]})
 
 
-def train(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel:
+def train(labelled: DataFrame, per_language: int = PER_LANGUAGE, side: int = SIDE) -> LanguageModel:
     """Fit the hierarchy on ``labelled (text, lang)``.
 
     Rows without a language, or whose text is null or has no letter, teach
     nothing. Languages are whatever values ``lang`` holds; with one
     language everything is that language, with none everything is undetermined.
     Equal texts of a language are learned once, so a text that a third of all
-    rows repeat neither fills the sample nor goes to the driver more than once,
+    rows repeat neither fills the sample nor is learned more than once,
     and the share of texts that is chosen is one of different texts, not of rows.
+    The model has 32 KB for each family and for each two languages of one.
     """
-    usable = labelled.where(
-        F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("text").rlike(r"\p{L}")
-    ).select("lang", "text", F.xxhash64(F.lit(5), "text").alias("h"))
-    different = usable.select("lang", "h").distinct()  # copies must not thin out the other texts
-    counts = {r["lang"]: r["n"] for r in different.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    chosen = F.lit(False)
-    grain = 1 << 30
-    for lang, n in counts.items():
-        share = min(grain, int(grain * per_language / n))
-        chosen |= (F.col("lang") == lang) & (F.pmod("h", F.lit(grain)) < share)
-    once = usable.where(chosen).groupBy("lang", "h").agg(F.first("text").alias("text")).select("lang", "text")
-    rows = once.mapInArrow(_feature_batches, "lang string, x binary")
-    got = rows.collect()  # about per_language rows of DIM floats per language
-    got.sort(key=lambda r: (r["lang"], r["x"]))
-    langs = sorted({r["lang"] for r in got})
+    sample = training_sample(labelled, per_language)
+    texts = {r["lang"]: r["n"] for r in sample.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     by_family: dict[str, list[str]] = {}
-    for lang in langs:
+    for lang in sorted(texts):
         by_family.setdefault(_FAMILY_OF.get(lang.lower().split("-")[0], f"only {lang}"), []).append(lang)
     model = LanguageModel([by_family[k] for k in sorted(by_family)])
-    if len(langs) < 2:
+    n = len(model.families)
+    model.pairs = [(f, a, b) for f, members in enumerate(model.families) for a, b in combinations(members, 2)]
+    model.weights = np.zeros((n + len(model.pairs), DIM), np.float32)
+    model.bias = np.zeros(n + len(model.pairs))
+    if len(texts) < 2:
         return model
-    lang = np.array([r["lang"] for r in got])
-    x = np.empty((len(got), DIM), np.float32)
-    for i, r in enumerate(got):
-        x[i] = np.frombuffer(r["x"], np.float32)
-    del got
-    norm = 1.0 / float(np.sqrt(np.einsum("ij,ij->i", x, x, dtype=np.float64)).mean())
-    x *= np.float32(norm)
-    fitted = []
-    if len(model.families) > 1:
-        for members in model.families:
-            fitted.append(linear_svm(x, np.where(np.isin(lang, members), 1, -1)))
-    else:
-        fitted.append((np.zeros(DIM), 0.0))
-    for f, members in enumerate(model.families):
-        for a, b in combinations(members, 2):
-            own = np.isin(lang, (a, b))
-            fitted.append(linear_svm(x[own], np.where(lang[own] == a, 1, -1)))
-            model.pairs.append((f, a, b))
-    model.weights = np.array([w * norm for w, _ in fitted], np.float32)
-    model.bias = np.array([b for _, b in fitted], np.float32)
+    machines: list[tuple[int, list[str], list[str]]] = [(n + k, [a], [b]) for k, (_, a, b) in enumerate(model.pairs)]
+    if n > 1:
+        for f, members in enumerate(model.families):
+            machines.append((f, members, [lang for lang in texts if lang not in members]))
+    roles = []
+    for machine, *sides in machines:
+        for sign, langs in zip((1, -1), sides, strict=True):
+            below = min(_GRAIN, int(_GRAIN * side / sum(texts[lang] for lang in langs)))
+            roles += [(lang, machine, sign, below) for lang in langs]
+    role = labelled.sparkSession.createDataFrame(roles, "lang string, machine int, side int, below long")
+    rows = sample.join(role, "lang").where(F.pmod(F.xxhash64("h", "machine"), F.lit(_GRAIN)) < F.col("below"))
+    fitted = rows.groupBy("machine").applyInArrow(_fit, "machine int, weights binary, bias double")
+    for r in fitted.toLocalIterator():
+        model.weights[r["machine"]] = np.frombuffer(r["weights"], np.float32)
+        model.bias[r["machine"]] = r["bias"]
     return model
 
 

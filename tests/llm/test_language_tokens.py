@@ -66,18 +66,15 @@ def test_few_languages(spark, langs):
         assert r["lang_pred"] in {*langs, "und"}
 
 
-def test_repeated_text_is_learned_once(spark, monkeypatch):
-    seen = []
-    monkeypatch.setattr(L, "linear_svm", lambda x, y: seen.append(len(y)) or (x[0] * 0, 0.0))
+def test_repeated_text_is_learned_once(spark):
     docs = spark.range(900).selectExpr(
         "concat(if(id % 3 = 0, 'same words', concat('text ', hex(id), 'q')), if(id % 2 = 0, ' the', ' der')) AS text",
         "if(id % 2 = 0, 'en', 'de') AS lang",
     )
-    L.train(docs, per_language=500)
-    assert seen == [602]
+    assert L.training_sample(docs, per_language=500).count() == 602
 
 
-def test_copies_do_not_thin_out_the_sample(spark, monkeypatch):
+def test_copies_do_not_thin_out_the_sample(spark):
     """Far more rows than ``per_language``, nearly all of them copies of one text."""
     few = spark.range(10030).selectExpr(
         "if(id < 10000, 'der und ist', concat('der und ist das ', hex(id), 'q')) AS text", "'de' AS lang"
@@ -86,21 +83,76 @@ def test_copies_do_not_thin_out_the_sample(spark, monkeypatch):
         "if(id % 2 = 0, 'the of and', concat('the of and ', hex(id), 'q')) AS text", "'en' AS lang"
     )
     docs = few.unionByName(many)
-    seen, svm = [], L.linear_svm
 
-    def spy(x, y):
-        seen.append((int((y == 1).sum()), int((y == -1).sum())))
-        return svm(x, y)
+    def seen(n):
+        return {r["lang"]: r["count"] for r in L.training_sample(docs, per_language=n).groupBy("lang").count().collect()}
 
-    monkeypatch.setattr(L, "linear_svm", spy)
+    assert seen(400)["de"] == 31 and 320 < seen(400)["en"] < 480
+    assert 10 < seen(20)["de"] < 31 and 8 < seen(20)["en"] < 36
     model = L.train(docs, per_language=400)
-    assert seen[0][0] == 31 and 320 < seen[0][1] < 480
-    L.train(docs, per_language=20)
-    assert 10 < seen[1][0] < 31 and 8 < seen[1][1] < 36
     got = L.identify(docs, model)
     assert got.where("lang_pred = lang").count() == docs.count()
 
 
+def plain_prediction(model, text):
+    """Language and score by dictionary counts of trigrams and plain voting."""
+    import math
+    from collections import Counter
+
+    if text is None or not any(c.isalpha() for c in text):
+        return "und", 0.0
+    grams = Counter()
+    for word, n in Counter(text.lower().encode("utf-8", "replace").split()).items():
+        marks = [b if b >= 128 or chr(b).isalpha() else 32 for b in word]
+        marks = [32, 32, *marks, 32, 32]
+        for at in range(len(marks) - 2):
+            if marks[at : at + 3] != [32, 32, 32]:
+                grams[tuple(marks[at : at + 3])] += int(math.log2(n)) + 1
+    total = sum(grams.values())
+    bucket = {g: ((g[0] << 16 | g[1] << 8 | g[2]) * 2654435761 % 2**32) >> 19 for g in grams}
+    weights = model.weights.astype(float)
+    margin = [sum(n * w[bucket[g]] for g, n in grams.items()) / max(1, total) + b for w, b in zip(weights, model.bias)]
+
+    def chance(m):
+        return 1 / (1 + math.exp(-m))
+
+    first = margin[: len(model.families)]
+    family = first.index(max(first))
+    sure = chance(max(first) - max(m for f, m in enumerate(first) if f != family))
+    votes, belief = Counter(dict.fromkeys(model.families[family], 0)), dict.fromkeys(model.families[family], 1.0)
+    for (f, a, b), m in zip(model.pairs, margin[len(model.families) :]):
+        if f == family:
+            votes[a if m >= 0 else b] += 1
+            belief[a], belief[b] = min(belief[a], chance(2 * m)), min(belief[b], chance(-2 * m))
+    best = max(model.families[family], key=lambda lang: (votes[lang], belief[lang]))
+    return best, sure * belief[best]
+
+
+def test_every_row_against_a_plain_prediction(spark):
+    docs = table(spark, SF01, "documents")
+    model = L.train(docs.where(~L.held_out()))
+    rows = L.identify(docs.select("doc_id", "text"), model).collect()
+    assert len(rows) == docs.count()
+    for r in rows:
+        lang, score = plain_prediction(model, r["text"])
+        assert r["lang_pred"] == lang
+        assert r["score"] == pytest.approx(score, abs=1e-5)
+
+
+def test_many_languages(spark):
+    """Every value of ``lang`` is a family of its own; machines are fitted in tasks."""
+    docs = spark.range(120 * 6).selectExpr(
+        "concat_ws(' ', transform(sequence(1, 9), i -> substr(sha1(concat(id % 120, '-', (i + id) % 12)), 1, 8))) AS text",
+        "concat('q', id % 120) AS lang",
+    ).where("text rlike '[a-f]'")
+    model = L.train(docs, side=200)
+    assert len(model.families) == 120 and not model.pairs
+    got = L.identify(docs, model)
+    assert got.where("lang_pred = lang").count() > 0.97 * docs.count()
+    again = L.train(docs.repartition(5), side=200)
+    assert (again.weights == model.weights).all() and (again.bias == model.bias).all()
+
+
 def test_language_empty_table(spark):
     model = L.train(no_docs(spark))
     assert L.identify(no_docs(spark), model).count() == 0
