@@ -11,6 +11,7 @@ row keeps its raw values as JSON, next to the reasons.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from contextlib import nullcontext
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -19,7 +20,16 @@ from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from arrivals_mart.contracts import Contract
 from arrivals_mart.operators.conform import conform
-from arrivals_mart.sinks.tables import path_exists, rebalanced, with_partition_copies
+from arrivals_mart.sinks.tables import (
+    SHARED_PARTITIONS,
+    path_exists,
+    read_table,
+    rebalanced,
+    share_directories,
+    small_scans,
+    too_many,
+    with_partition_copies,
+)
 
 STATUS = "status"
 ACCEPTED, REJECTED = "accepted", "rejected"
@@ -78,13 +88,22 @@ def write_enforced(
     )
     rows = with_partition_copies(conform(marked, contract, extra=[*extra, REASONS, RAW, STATUS]), parts)
     rows = rows.drop(*[s for p, s in parts.items() if p != s and s not in contract.columns])
-    rows = rebalanced(rows, [STATUS, *parts], contract.sort_by, directories)
+    levels, sort_by = list(parts), contract.sort_by
+    if levels and too_many(directories):
+        rows, levels, sort_by = share_directories(rows, levels, sort_by)
+        directories = SHARED_PARTITIONS
+    if levels:
+        rows = rebalanced(rows, [STATUS, *levels], sort_by, directories)
+    else:
+        # Two directories need no shuffle: each task writes a file in each.
+        rows = rows.sortWithinPartitions(STATUS, *sort_by)
     counted = Observation(f"enforced_{contract.name}")
     rejected = F.col(STATUS) == REJECTED
     rows = rows.observe(
         counted, F.count_if(~rejected).alias("row_count"), F.count_if(rejected).alias("rejected_count")
     )
-    rows.write.partitionBy(STATUS, *parts).parquet(path)
+    with nullcontext() if levels else small_scans(df.sparkSession):
+        rows.write.partitionBy(STATUS, *levels).parquet(path)
     return EnforcedWrite(f"{path}/{STATUS}={ACCEPTED}", f"{path}/{STATUS}={REJECTED}", **counted.get)
 
 
@@ -93,7 +112,7 @@ def read_accepted(spark: SparkSession, written: EnforcedWrite, contract: Contrac
     schema = contract.read_schema()
     if not path_exists(spark, written.accepted_path):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(written.accepted_path)
+    return read_table(spark, written.accepted_path, contract)
 
 
 def read_rejects(spark: SparkSession, written: EnforcedWrite, contract: Contract) -> DataFrame:

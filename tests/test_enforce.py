@@ -1,3 +1,4 @@
+import glob
 import json
 
 import pytest
@@ -83,3 +84,23 @@ def test_the_ordinary_report_says_what_is_left_out(spark, tmp_dir):
     full = run_pipeline(spark, inputs, f"{tmp_dir}/out", publish_views=False, full_report=True)
     assert {r.table_name: r.left_out for r in short.report} == {r.table_name: r.left_out for r in full.report}
     assert sum(r.left_out for r in short.report) > 3
+
+
+def test_a_split_without_directories_of_its_own_is_not_shuffled(spark, tmp_dir):
+    rows = spark.range(4000, numPartitions=4).selectExpr(
+        "CASE WHEN id % 10 = 0 THEN NULL ELSE CAST(id AS INT) END AS visa_category_id", "'x' AS visa_type"
+    )
+    done = write_enforced(rows, f"{tmp_dir}/t", VISA_TYPE_DIM)
+    assert (done.row_count, done.rejected_count) == (3600, 400)
+    # Each task wrote its own rows; a shuffle would have put them into one file.
+    assert len(glob.glob(f"{done.accepted_path}/*.parquet")) == len(glob.glob(f"{done.rejected_path}/*.parquet")) == 4
+    assert read_accepted(spark, done, VISA_TYPE_DIM).count() == 3600
+
+
+def test_rejects_of_many_ports_share_directories(spark, tmp_dir):
+    fact = build_fact(spark.createDataFrame(ARRIVALS, ARRIVALS_INPUT))
+    done = write_enforced(fact, f"{tmp_dir}/t", IMMIG_FACT, directories=2400)
+    assert not glob.glob(f"{tmp_dir}/t/*/partition_port=*") and glob.glob(f"{tmp_dir}/t/*/partition_group=*")
+    back = read_accepted(spark, done, IMMIG_FACT)
+    assert back.schema == IMMIG_FACT.read_schema() and back.count() == done.row_count
+    assert back.where("NOT i94_port <=> partition_port").count() == 0
