@@ -12,6 +12,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from arrivals_mart.contracts import Contract
 from arrivals_mart.operators.conform import require_contract
@@ -71,15 +72,16 @@ def compact_loads(
     its loads, to ``target``: the loads of a directory become one, under the
     highest number of all loads; returns ``target``.
 
-    The rewrite is rebalanced, so a directory is one file, or several of
+    The directories are counted here, in the pass that finds the highest number, if
+    ``directories`` is not given. The rewrite is rebalanced, so a directory is one file, or several of
     advisory size. ``path`` stays as it is: publish ``target`` as the new version, let
     later loads (with higher numbers) go there, and expire the old one when its readers are done.
     """
     rows = read_table(spark, path, contract)
-    newest = rows.selectExpr(f"max({load})").first()[0]
+    parts = F.struct(*[p for p in contract.partition_by if p != load])
+    newest, counted = rows.agg(F.max(load), F.approx_count_distinct(parts)).first()
     if newest is None:
         raise ValueError(f"{path}: no loads")
-    from pyspark.sql import functions as F
-
+    directories = counted if directories is None else directories
     folded = rows.withColumn(load, F.lit(newest).cast(contract.source_type(load)))
     return write_table(folded, target, contract, mode="errorifexists", directories=directories)

@@ -168,3 +168,15 @@ def test_a_sorted_write_reads_pieces_that_fit_in_memory(spark, tmp_dir, monkeypa
     days = [[r[0] for r in spark.read.parquet(f).select("i94_arrival_date").collect()] for f in files]
     assert sum(map(len, days)) == 2_000 * len(ARRIVALS)
     assert all(d == sorted(d, key=lambda x: (x is not None, x)) for d in days)
+
+
+def test_compaction_of_many_directories_shares_them(spark, tmp_dir, monkeypatch):
+    fact = build_fact(spark.createDataFrame(ARRIVALS, ARRIVALS_INPUT))
+    for batch in range(2):
+        write_fact_batch(fact, batch, f"{tmp_dir}/loads")
+    assert glob.glob(f"{tmp_dir}/loads/partition_port=*")
+    monkeypatch.setattr(tables, "MAX_DIRECTORIES", 2)
+    target = compact_loads(spark, f"{tmp_dir}/loads", f"{tmp_dir}/compacted", STREAMED_FACT)
+    assert glob.glob(f"{target}/partition_group=*") and not glob.glob(f"{target}/partition_port=*")
+    old, new = (read_table(spark, p, STREAMED_FACT).drop("load_batch") for p in (f"{tmp_dir}/loads", target))
+    assert old.exceptAll(new).count() == new.exceptAll(old).count() == 0 and new.count() == 2 * len(ARRIVALS)
