@@ -2,7 +2,7 @@ import glob
 
 from arrivals_mart.contracts import ARRIVALS_INPUT, IMMIG_FACT
 from arrivals_mart.plans.tables import build_fact
-from arrivals_mart.sinks import read_table
+from arrivals_mart.sinks import read_table, tables
 from arrivals_mart.streaming import STREAMED_FACT, load_fact_incrementally, write_fact_batch
 from fixtures import ARRIVALS, arrival
 
@@ -38,3 +38,16 @@ def test_retried_batch_replaces_only_itself(spark, tmp_dir):
     # one file per directory of a batch (rebalanced write)
     dirs = glob.glob(f"{out}/partition_port=*/i94_month=*/load_batch=*")
     assert len(glob.glob(f"{out}/partition_port=*/i94_month=*/load_batch=*/*.parquet")) == len(dirs)
+
+
+def test_a_batch_of_many_directories_shares_them_and_later_ones_follow(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(tables, "MAX_DIRECTORIES", 2)  # the batches have more
+    out = f"{tmp_dir}/fact"
+    fact = build_fact(spark.createDataFrame(ARRIVALS, ARRIVALS_INPUT))
+    write_fact_batch(fact, 0, out)
+    for _ in range(2):  # the second of them is a retry
+        write_fact_batch(fact.limit(1), 1, out)
+    assert glob.glob(f"{out}/partition_group=*/i94_month=*/load_batch=1") and not glob.glob(f"{out}/partition_port=*")
+    back = read_table(spark, out, STREAMED_FACT)
+    assert back.schema == STREAMED_FACT.read_schema() and back.count() == len(ARRIVALS) + 1
+    assert back.where("NOT i94_port <=> partition_port").count() == 0
