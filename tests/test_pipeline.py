@@ -1,14 +1,18 @@
+import glob
+
 import pytest
 
-from arrivals_mart.contracts import MART
+from arrivals_mart.contracts import IMMIG_FACT, MART
 from arrivals_mart.operators import QualityError
 from arrivals_mart.plans import (
     arrivals_by_airport_month,
     arrivals_country_temperature,
     arrivals_state_population,
+    build_fact,
     read_inputs,
     run_pipeline,
 )
+from arrivals_mart.sinks import open_set, tables
 from fixtures import ARRIVALS, arrival, write_inputs
 
 
@@ -227,3 +231,14 @@ def test_run_scans_the_arrivals_twice(spark, tmp_dir):
     inputs.arrivals = inputs.arrivals.mapInArrow(counted, inputs.arrivals.schema)
     run_pipeline(spark, inputs, f"{tmp_dir}/out", publish_views=False)
     assert read.value == 2 * len(ARRIVALS)
+
+
+def test_a_run_of_many_directories_shares_them_for_every_reader(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(tables, "MAX_DIRECTORIES", 2)
+    inputs = read_inputs(spark, write_inputs(spark, f"{tmp_dir}/in"))
+    path = run_pipeline(spark, inputs, f"{tmp_dir}/out").paths["immig_fact"]
+    assert glob.glob(f"{path}/partition_group=*/i94_month=*") and not glob.glob(f"{path}/partition_port=*")
+    want = build_fact(inputs.arrivals).count()
+    for fact in (open_set(spark, f"{tmp_dir}/out")["immig_fact"], spark.table("immig_fact")):
+        assert fact.columns == IMMIG_FACT.read_schema().names and fact.count() == want
+        assert fact.where("NOT i94_port <=> partition_port").count() == 0
