@@ -51,3 +51,35 @@ def test_a_batch_of_many_directories_shares_them_and_later_ones_follow(spark, tm
     back = read_table(spark, out, STREAMED_FACT)
     assert back.schema == STREAMED_FACT.read_schema() and back.count() == len(ARRIVALS) + 1
     assert back.where("NOT i94_port <=> partition_port").count() == 0
+
+
+def test_no_batch_is_stored_first_and_shared_directories_are_not_counted(spark, tmp_dir, monkeypatch):
+    def refuse(*_, **__):
+        raise AssertionError("a pass that is not needed")
+
+    monkeypatch.setattr(tables, "MAX_DIRECTORIES", 2)
+    frame = type(spark.range(1))
+    monkeypatch.setattr(frame, "persist", refuse)
+    monkeypatch.setattr(frame, "cache", refuse)
+    out = f"{tmp_dir}/fact"
+    fact = build_fact(spark.createDataFrame(ARRIVALS, ARRIVALS_INPUT))
+    write_fact_batch(fact, 0, out)
+    monkeypatch.setattr(frame, "agg", refuse)  # the table shares its directories by now
+    write_fact_batch(fact.limit(2), 1, out)
+    monkeypatch.undo()
+    assert _count(spark, out) == len(ARRIVALS) + 2
+
+
+def test_a_batch_is_prepared_as_it_is_written(spark, tmp_dir):
+    src, out, seen = f"{tmp_dir}/in", f"{tmp_dir}/fact", []
+    spark.createDataFrame(ARRIVALS, ARRIVALS_INPUT).coalesce(1).write.parquet(f"{src}/day1")
+
+    def prepare(raw):
+        seen.append(raw.isStreaming)
+        return raw.where("cicid IS NOT NULL")
+
+    load_fact_incrementally(spark, f"{src}/*/*.parquet", ARRIVALS_INPUT, out, f"{tmp_dir}/ckpt", prepare=prepare)
+    assert seen == [False]
+    fact = build_fact(spark.createDataFrame(ARRIVALS, ARRIVALS_INPUT).where("cicid IS NOT NULL"))
+    back = read_table(spark, out, STREAMED_FACT).select(*fact.columns)
+    assert back.exceptAll(fact).count() == fact.exceptAll(back).count() == 0
