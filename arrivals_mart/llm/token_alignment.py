@@ -6,9 +6,9 @@ itself. Both see strings of special tokens as ordinary text. A text takes part
 if both token sequences spell the same bytes (:func:`align` says which do not).
 
 **Groups.** The cumulative ends of A's tokens are the keys of a dictionary
-from end to index, B's of another. Their hash-set intersection, sorted, holds
-the byte offsets where tokens of both end; neighbouring keys slice both id lists
-into groups. **Links** are expanded slice by slice: within a group the tokens of
+from end to index, B's of another. Their hash-set intersection, taken in the order of
+A's keys, holds the byte offsets where tokens of both end; neighbouring keys slice both
+id lists into groups. **Links** are expanded slice by slice: within a group the tokens of
 A and B overlap like the steps of a staircase, ``a + b - 1`` links.
 
 **Counts.** A document carries its different id pairs with their multiplicities, so
@@ -38,6 +38,8 @@ MODEL_B = "piece_bpe_32k.model"
 TOP = 200_000
 #: Texts of pairs that a task remembers; beyond that many the store starts anew.
 PAIR_TEXTS = 200_000
+#: Numbers of tokens, made once for all texts of up to that many.
+_NUMBERS = list(range(1, 1 + (1 << 16)))
 #: Bytes of text tokenized at once by B, about; links in an Arrow batch returned.
 _BATCH_BYTES, _BATCH_LINKS = 1 << 20, 1_000_000
 
@@ -97,12 +99,17 @@ def _load_letters(path: str) -> _Letters:
     return _Letters(path)
 
 
+def _index(ends: list[int]) -> dict[int, int]:
+    """Number of tokens up to each end."""
+    return dict(zip(ends, _NUMBERS if len(ends) <= len(_NUMBERS) else range(1, len(ends) + 1)))
+
+
 def cuts(a_ends: list[int], b_ends: list[int]) -> tuple[np.ndarray, np.ndarray]:
     """The end of each group, as counts of tokens of A and of B."""
-    a_at = dict(zip(a_ends, range(1, len(a_ends) + 1), strict=True))
-    b_at = dict(zip(b_ends, range(1, len(b_ends) + 1), strict=True))
-    common = sorted(a_at.keys() & b_at.keys())
-    return tuple(np.array(list(map(at.__getitem__, common)), np.int64) for at in (a_at, b_at))
+    a_at, b_at = _index(a_ends), _index(b_ends)
+    # The keys of A come in order, so those that B has too need no sort.
+    common = list(filter(b_at.__contains__, a_at))
+    return tuple(np.fromiter(map(at.__getitem__, common), np.int64, len(common)) for at in (a_at, b_at))
 
 
 def links(a_ends: np.ndarray, b_ends: np.ndarray, groups: tuple[np.ndarray, np.ndarray]):
@@ -122,33 +129,48 @@ def links(a_ends: np.ndarray, b_ends: np.ndarray, groups: tuple[np.ndarray, np.n
     return at_a, at_b
 
 
+class _PairTexts(dict):
+    """Texts of pairs by code, made when they are first asked for."""
+
+    def __init__(self, a: list[str], b: list[str]):
+        self.a, self.b = a, b
+
+    def __missing__(self, code: int) -> str:
+        x, y = divmod(code, len(self.b))
+        text = self[code] = f"{self.a[x]}|{self.b[y]}"
+        return text
+
+
 class _Teller:
     """Groups as text, with a store of the texts of pairs."""
 
     def __init__(self, n_a: int, n_b: int):
         self.a, self.b = [str(i) for i in range(n_a)], [str(i) for i in range(n_b)]
-        self.n_b, self.known = n_b, {}
+        self.known = _PairTexts(self.a, self.b)
 
     def __call__(self, a: np.ndarray, b: np.ndarray, groups: tuple[np.ndarray, np.ndarray]) -> str:
         i1, j1 = groups
         i0, j0 = (np.concatenate([[0], x[:-1]]) for x in groups)
-        codes = (a[i0] * self.n_b + b[j0]).tolist()
-        told = list(map(self.known.get, codes))
-        if None in told:
-            if len(self.known) > PAIR_TEXTS:
-                self.known = {}
-            for k, text in enumerate(told):
-                if text is None:
-                    x, y = divmod(codes[k], self.n_b)
-                    told[k] = self.known[codes[k]] = f"{self.a[x]}|{self.b[y]}"
-        more = np.flatnonzero((i1 - i0 > 1) | (j1 - j0 > 1))
-        a_told, b_told = (list(map(t.__getitem__, x.tolist())) for t, x in ((self.a, a), (self.b, b)))
-        slices = (x[more].tolist() for x in (i0, i1, j0, j1))
-        for k, p, q, r, s in zip(more.tolist(), *slices, strict=True):
-            told[k] = f"{','.join(a_told[p:q])}|{','.join(b_told[r:s])}"
+        n_i, n_j = i1 - i0, j1 - j0
+        more = (n_i > 1) | (n_j > 1)
+        if len(self.known) > PAIR_TEXTS:
+            self.known.clear()
+        # Other groups take the place of the first pair until their text is put there.
+        codes = np.where(more, 0, a[i0] * len(self.b) + b[j0])
+        told = list(map(self.known.__getitem__, codes.tolist()))
+        texts = zip(_joined(self.a, a, n_i, more), _joined(self.b, b, n_j, more), strict=True)
+        for k, (x, y) in zip(np.flatnonzero(more).tolist(), texts, strict=True):
+            told[k] = f"{x}|{y}"
         return ";".join(told)
 
 
+def _joined(told: list[str], ids: np.ndarray, sizes: np.ndarray, wanted: np.ndarray) -> Iterator[str]:
+    """Ids as text with commas, for each of the ``wanted`` groups."""
+    inside = list(map(told.__getitem__, ids[: sizes.sum()][np.repeat(wanted, sizes)].tolist()))
+    ends = sizes[wanted].cumsum()
+    return (",".join(inside[p:q]) for p, q in zip((ends - sizes[wanted]).tolist(), ends.tolist(), strict=True))
+
+
 def _pieces_of(texts: list[str | None], size: int) -> Iterator[tuple[int, int]]:
     """Ranges of rows with about ``size`` characters of text."""
     start = chars = 0

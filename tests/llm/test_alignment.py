@@ -113,3 +113,18 @@ def test_odd_rows(spark):
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     assert got(docs) == brute(rows)
     assert got(no_docs(spark)) == []
+
+
+def test_only_pairs_of_single_tokens_are_stored_and_long_texts_are_numbered(monkeypatch):
+    import numpy as np
+
+    tell = A._Teller(10, 10)
+    groups = A.cuts([1, 3, 4], [1, 2, 3, 4])
+    assert [g.tolist() for g in groups] == [[1, 2, 3], [1, 3, 4]]
+    ids = np.array([5, 6, 7]), np.array([1, 2, 3, 4])
+    assert tell(*ids, groups) == "5|1;6|2,3;7|4"
+    assert tell.known.get(5 * 10 + 1) == "5|1" and tell.known.get(6 * 10 + 2) is None
+    monkeypatch.setattr(A, "_NUMBERS", [1])  # texts of more tokens than there are numbers kept
+    assert [g.tolist() for g in A.cuts([1, 3, 4], [1, 2, 3, 4])] == [[1, 2, 3], [1, 3, 4]]
+    monkeypatch.setattr(A, "PAIR_TEXTS", 1)  # the store starts anew
+    assert tell(*ids, groups) == "5|1;6|2,3;7|4" and 6 * 10 + 2 not in tell.known
