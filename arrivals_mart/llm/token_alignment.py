@@ -11,6 +11,12 @@ A's keys, holds the byte offsets where tokens of both end; neighbouring keys sli
 id lists into groups. **Links** are expanded slice by slice: within a group the tokens of
 A and B overlap like the steps of a staircase, ``a + b - 1`` links.
 
+**Words.** Tokens of both end wherever a space follows a character that is no white
+space, so the groups and links of a text are those of its words, one after the other
+(:data:`_WORD_END`). A worker remembers the words it met, and texts of one batch
+give those it has not met, each once; joined, these are texts that are tokenized and aligned
+as above.
+
 **Counts.** A document carries its different id pairs with their multiplicities, so
 that the corpus-wide counts of pairs are grouped sums with map-side combining.
 To bring them back, the ``TOP`` most frequent pairs at most (a bound, found by a
@@ -21,6 +27,7 @@ nothing is dropped and no frequent pair is ever shuffled.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -40,8 +47,21 @@ TOP = 200_000
 PAIR_TEXTS = 200_000
 #: Numbers of tokens, made once for all texts of up to that many.
 _NUMBERS = list(range(1, 1 + (1 << 16)))
-#: Bytes of text tokenized at once by B, about; links in an Arrow batch returned.
+#: Characters of texts whose words are looked up at once, about; links in an Arrow batch returned.
 _BATCH_BYTES, _BATCH_LINKS = 1 << 20, 1_000_000
+#: Words that a Python worker remembers, each of ``WORD_CHARS`` characters and ``WORD_LINKS`` links
+#: at most; beyond that many it goes on with those of the texts at hand.
+WORDS, WORD_CHARS, WORD_LINKS = 200_000, 48, 24
+#: New words tokenized and aligned as one text.
+_RUN_WORDS = 1000
+#: Where the words of a text end: at a space behind a character that is no white space,
+#: unless only white space follows. With the space that stands before each of them (A's
+#: texts get one, B adds it), words are tokenized alike in any text: A's pre-tokens
+#: never go from such a character on to a space, nor do B's pieces (checked when they are
+#: loaded), and nothing looks back or past the end of a word.
+_WORD_END = re.compile(r"(?<=\S) (?!\s*\Z)")
+#: Spaces that may not end a word; without them, every space does.
+_ODD_SPACE = re.compile(r"\s(?: |\Z)")
 
 
 class _Pieces:
@@ -56,16 +76,30 @@ class _Pieces:
             piece = self.model.id_to_piece(i)
             byte = self.model.is_byte(i)
             self.token_bytes.append(bytes([int(piece[3:5], 16)]) if byte else piece.replace("▁", " ").encode())
+        #: No piece goes from another character on to a space (rules of a normalizer that
+        #: span a space are not foreseen; the public model has none at all).
+        self.by_word = not any(b" " in t.lstrip(b" ") for t in self.token_bytes)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         return self.model.encode(texts, num_threads=1)
 
+    def bytes_of(self, ids: list[int]) -> bytes:
+        return b"".join(map(self.token_bytes.__getitem__, ids))
+
 
 @lru_cache(maxsize=2)
 def _load_pieces(path: str) -> _Pieces:
     return _Pieces(path)
 
 
+def _is_latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 class _Letters:
     """Ids of the byte-level vocabulary, special strings as text.
 
@@ -87,11 +121,9 @@ class _Letters:
         self.any = bpe.Encoder(self.merges, specials=False)
 
     def encode(self, text: str) -> list[int]:
-        try:
-            text.encode("latin-1")
-        except UnicodeEncodeError:
-            return [t for part in self.any.encode(text) for t in part]
-        return self.plain.encode_ordinary(text)
+        if _is_latin(text):
+            return self.plain.encode_ordinary(text)
+        return [t for part in self.any.encode(text) for t in part]
 
 
 @lru_cache(maxsize=2)
@@ -149,6 +181,9 @@ class _Teller:
         self.known = _PairTexts(self.a, self.b)
 
     def __call__(self, a: np.ndarray, b: np.ndarray, groups: tuple[np.ndarray, np.ndarray]) -> str:
+        return ";".join(self.each(a, b, groups))
+
+    def each(self, a: np.ndarray, b: np.ndarray, groups: tuple[np.ndarray, np.ndarray]) -> list[str]:
         i1, j1 = groups
         i0, j0 = (np.concatenate([[0], x[:-1]]) for x in groups)
         n_i, n_j = i1 - i0, j1 - j0
@@ -161,7 +196,7 @@ class _Teller:
         texts = zip(_joined(self.a, a, n_i, more), _joined(self.b, b, n_j, more), strict=True)
         for k, (x, y) in zip(np.flatnonzero(more).tolist(), texts, strict=True):
             told[k] = f"{x}|{y}"
-        return ";".join(told)
+        return told
 
 
 def _joined(told: list[str], ids: np.ndarray, sizes: np.ndarray, wanted: np.ndarray) -> Iterator[str]:
@@ -183,43 +218,119 @@ def _pieces_of(texts: list[str | None], size: int) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
+class _Aligner:
+    """Groups and links of texts, by their words."""
+
+    def __init__(self, path_a: str, path_b: str):
+        self.letters, self.pieces = _load_letters(path_a), _load_pieces(path_b)
+        tables = self.letters.token_bytes, self.pieces.token_bytes
+        self.a_size, self.b_size = (np.array([len(t) for t in table]) for table in tables)
+        self.tell = _Teller(*map(len, tables))
+        self.known: dict[str, tuple] = {}
+
+    def words(self, text: str) -> list[str]:
+        return _WORD_END.split(text) if text[0] == " " or _ODD_SPACE.search(text) else text.split(" ")
+
+    def parts(self, words: list[str], b: list[int]) -> list[tuple]:
+        """For each of the ``words`` of a text, which ``b`` are B's ids of: its groups as text, its
+        links as bytes and its number of A's tokens. Nothing if B's ids do not
+        spell the text (A's spell whatever they encode)."""
+        text = " " + " ".join(words)
+        data = text.encode()
+        if self.pieces.bytes_of(b) != data:
+            return []
+        a, b = (np.array(x, np.int64) for x in (self.letters.encode(text), b))
+        a_ends, b_ends = self.a_size[a].cumsum(), self.b_size[b].cumsum()
+        groups = cuts(a_ends.tolist(), b_ends.tolist())
+        at_a, at_b = links(a_ends, b_ends, groups)
+        codes = (a[at_a] * len(self.b_size) + b[at_b])[np.argsort(at_a, kind="stable")].tobytes()
+        told = self.tell.each(a, b, groups)
+        sizes = map(len, words) if len(data) == len(text) else (len(w.encode()) for w in words)
+        # Groups, tokens and links up to the end of each word; x and y tokens of a group have x + y - 1 links.
+        g = np.searchsorted(a_ends[groups[0] - 1], np.cumsum([n + 1 for n in sizes])) + 1
+        i, j = (x[g - 1] for x in groups)
+        out, g0, l0 = [], 0, 0
+        for g1, l1, n_a in zip(g.tolist(), (8 * (i + j - g)).tolist(), np.diff(i, prepend=0).tolist(), strict=True):
+            out.append((";".join(told[g0:g1]), codes[l0:l1], n_a))
+            g0, l0 = g1, l1
+        return out
+
+    def learn(self, words: set[str], alone: set[str]) -> None:
+        """:meth:`parts` of new words, empty if B does not spell one; many are a text, but those ``alone``."""
+        runs = [[w] for w in words & alone]
+        words = list(words - alone)
+        for i in range(0, len(words), _RUN_WORDS):
+            run = words[i : i + _RUN_WORDS]
+            if _is_latin(" ".join(run)):
+                runs.append(run)
+            else:  # A has another way for these
+                latin = set(filter(_is_latin, run))
+                runs += filter(None, (list(latin), [w for w in run if w not in latin]))
+        for run, b in zip(runs, self.pieces.encode([" ".join(r) for r in runs]), strict=True):
+            found = self.parts(run, b)
+            if not found:  # leave out what B does not spell
+                self.known.update(dict.fromkeys(run, ()))
+                run = [w for w, b in zip(run, self.pieces.encode(run), strict=True) if self.pieces.bytes_of(b) == f" {w}".encode()]
+                found = run and self.parts(run, self.pieces.encode([" ".join(run)])[0])
+            self.known.update(zip(run, found, strict=False))
+
+    def __call__(self, texts: list[str | None]) -> Iterator[tuple]:
+        """For each text: its groups as text, numbers of tokens of A and B and of groups,
+        different linked pairs and how often each is linked."""
+        words = [self.words(t) if t else [] for t in texts]
+        new = set().union(*words).difference(self.known)
+        # Behind white space at its end, a word would not end.
+        alone = {own[-1] for own in words if own and own[-1][-1].isspace()}
+        if not self.pieces.by_word or 3 * len(new) > 2 * sum(map(len, words)):
+            # Words do not hold for themselves, or too few come again to be worth it: texts are taken as they are.
+            words = [[t] if t else [] for t in texts]
+            new = alone = set().union(*words).difference(self.known)
+        self.learn(new, alone)
+        none = np.zeros(0, np.int64)
+        for text, own in zip(texts, words, strict=True):
+            found = list(map(self.known.__getitem__, own))
+            if len(own) > 1 and not all(found):  # the whole text decides whether it is spelled
+                found = self.parts([text], self.pieces.encode([text])[0])
+            if not any(found):
+                yield ("", 0, 0, 0, none, none)
+                continue
+            told, codes, n_a = zip(*found, strict=True)
+            told, codes, n_a = ";".join(told), np.frombuffer(b"".join(codes), np.int64), sum(n_a)
+            n_groups = told.count("|")
+            yield (told, n_a, len(codes) + n_groups - n_a, n_groups, *np.unique(codes, return_counts=True))
+        for word in new:
+            known = self.known[word]
+            if len(word) > WORD_CHARS or known and len(known[1]) > 8 * WORD_LINKS:
+                del self.known[word]
+        if len(self.known) > WORDS:
+            self.known = {w: self.known[w] for w in set().union(*words) if w in self.known}
+
+
+@lru_cache(maxsize=2)
+def _load_aligner(path_a: str, path_b: str) -> _Aligner:
+    return _Aligner(path_a, path_b)
+
+
 def _align_batches(path_a: str, path_b: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        letters, pieces = _load_letters(path_a), _load_pieces(path_b)
-        b_bytes = pieces.token_bytes
-        a_size, b_size = (np.array([len(t) for t in table]) for table in (letters.token_bytes, b_bytes))
-        n_b = len(b_bytes)
-        tell = _Teller(len(a_size), n_b)
-        none = np.zeros(0, np.int64)
-        row = (TaskContext.get().partitionId() << 40) - 1
+        aligned = _load_aligner(path_a, path_b)
+        row = TaskContext.get().partitionId() << 40
         for batch in batches:
             texts = batch.column(1).to_pylist()
             ids = batch.column(0)
             found: list[tuple] = []
             done, size = 0, 0
             for start, end in _pieces_of(texts, _BATCH_BYTES):
-                there = [i for i in range(start, end) if texts[i]]
-                b_ids = dict(zip(there, pieces.encode([texts[i] for i in there]), strict=True))
-                for i in range(start, end):
-                    row += 1
-                    told, n_tokens, n_groups, codes, times = "", (0, 0), 0, none, none
-                    # A's ids spell whatever they encode; B's may not.
-                    if i in b_ids and b"".join(map(b_bytes.__getitem__, b_ids[i])) == b" " + texts[i].encode():
-                        a, b = (np.array(x, np.int64) for x in (letters.encode(" " + texts[i]), b_ids[i]))
-                        a_ends, b_ends = a_size[a].cumsum(), b_size[b].cumsum()
-                        groups = cuts(a_ends.tolist(), b_ends.tolist())
-                        at_a, at_b = links(a_ends, b_ends, groups)
-                        codes, times = np.unique(a[at_a] * n_b + b[at_b], return_counts=True)
-                        told, n_tokens, n_groups = tell(a, b, groups), (len(a), len(b)), len(groups[0])
-                    found.append((row, *n_tokens, n_groups, told, codes, times))
-                    size += len(codes)
+                for one in aligned(texts[start:end]):
+                    found.append(one)
+                    size += len(one[-1])
                 texts[start:end] = [None] * (end - start)
                 if size >= _BATCH_LINKS or end == len(texts):
-                    rows, *numbers, told, codes, times = zip(*found, strict=True)
+                    told, *numbers, codes, times = zip(*found, strict=True)
                     ends = pa.array(np.cumsum([0, *map(len, codes)]), pa.int32())
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(rows, pa.int64()),
+                            pa.array(np.arange(row, row + end - done)),
                             ids.slice(done, end - done),
                             *(pa.array(x, pa.int64()) for x in numbers),
                             pa.array(told, pa.string()),
@@ -228,6 +339,7 @@ def _align_batches(path_a: str, path_b: str):
                         ],
                         ["row", "doc_id", "n_a", "n_b", "n_groups", "groups", "pairs", "times"],
                     )
+                    row += end - done
                     done, found, size = end, [], 0
 
     return run
@@ -247,8 +359,8 @@ def align(
     Texts that are null or empty, or whose tokens do not spell the text (a
     U+2581 inside it does not survive B, for example), have no tokens: zeros,
     empty text, no pairs. Repeated rows keep a row each, null ids stay null,
-    other columns are ignored, an empty table gives an empty result. A is
-    encoded piece by piece; B takes a text as a whole.
+    other columns are ignored, an empty table gives an empty result. Both
+    take new words, many at once; a text whose words B does not spell goes to B as a whole.
     """
     a, b = (f"{folder.rstrip('/')}/{model}" for model in (model_a, model_b))
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(

@@ -128,3 +128,54 @@ def test_only_pairs_of_single_tokens_are_stored_and_long_texts_are_numbered(monk
     assert [g.tolist() for g in A.cuts([1, 3, 4], [1, 2, 3, 4])] == [[1, 2, 3], [1, 3, 4]]
     monkeypatch.setattr(A, "PAIR_TEXTS", 1)  # the store starts anew
     assert tell(*ids, groups) == "5|1;6|2,3;7|4" and 6 * 10 + 2 not in tell.known
+
+
+def one_by_one(aligner, texts):
+    return [(told, *numbers, codes.tolist(), times.tolist()) for told, *numbers, codes, times in aligner(texts)]
+
+
+def new_aligner():
+    return A._Aligner(f"{bpe.TOKENIZERS}/{bpe.MODEL}", f"{bpe.TOKENIZERS}/{A.MODEL_B}")
+
+
+def test_words_met_before_are_not_tokenized_again(monkeypatch):
+    aligner, taken = new_aligner(), []
+    for side in (aligner.letters, aligner.pieces):
+        # Both sides are shared by all aligners of this process: the patch is undone.
+        monkeypatch.setattr(side, "encode", lambda x, encode=side.encode: taken.append(x) or encode(x))
+    first = one_by_one(aligner, ["one text of some words\nand lines, " * 9 + "end"])
+    assert "".join(taken[0]).count("some") == 1
+    taken.clear()
+    assert one_by_one(aligner, ["one text of some words\nand lines, " * 9 + "end", None, ""])[0] == first[0]
+    assert not any(taken)
+
+
+@pytest.mark.parametrize("store", [A.WORDS, 3])
+def test_texts_are_aligned_alike_by_words_and_as_they_are(monkeypatch, store):
+    monkeypatch.setattr(A, "WORDS", store)
+    rng = random.Random(store)
+    spaces = [" "] * 9 + ["  ", "\n", " \n", "\n ", "\n\n  ", "\t", "　 ", " \xa0 ", "\x1c", "\x85 ", "​ ", "᠎ ", "\x00 "]
+    parts = ["the", "ing", "don't", "日本語", "é", "é", "\U0001f600", "==", "<s>", "x", "12.", "'s", "՘", "w" * 60, "\U0001f600" * 12]
+    texts = ["".join(rng.choice(parts) + rng.choice(spaces) for _ in range(rng.randrange(60))) for _ in range(300)]
+    texts = [t.rstrip() if rng.random() < 0.5 else rng.choice(spaces) + t for t in texts]
+    texts += ["a ▁ b the the", "▁", " ", "  ", "\n", "x ", *(" " * n + "x  the" for n in range(20))]
+    words, whole = new_aligner(), new_aligner()
+    whole.words = lambda text: [text]
+    want = one_by_one(whole, texts)
+    assert want[texts.index("▁")] == want[texts.index("a ▁ b the the")] == ("", 0, 0, 0, [], [])
+    for _ in range(2):
+        for i in range(0, len(texts), 80):
+            assert one_by_one(words, texts[i : i + 80]) == want[i : i + 80]
+        assert words.known and all(len(w) <= A.WORD_CHARS and len(k[1]) <= 8 * A.WORD_LINKS for w, k in words.known.items() if k)
+        if store == 3:
+            assert len(words.known) < len({w for t in filter(None, texts) for w in words.words(t)})
+
+
+def test_white_space_of_a_is_white_space_between_words():
+    import re
+
+    import regex
+
+    signs = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    assert set(regex.findall(r"\s", signs)) <= set(re.findall(r"\s", signs))
+    assert A._load_pieces(f"{bpe.TOKENIZERS}/{A.MODEL_B}").by_word
