@@ -29,8 +29,10 @@ from __future__ import annotations
 import codecs
 import heapq
 import json
+import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -74,8 +76,8 @@ STEP = 1024
 #: Ids decoded at once, characters fed at once.
 CHUNK = 65_536
 #: Pre-tokens whose ids a Python worker remembers, each of ``MEMO_CHARS`` characters at most;
-#: beyond that many the store starts anew.
-MEMO = 150_000
+#: beyond that many it forgets those not met lately.
+MEMO = 300_000
 MEMO_CHARS = 48
 #: Ids in an Arrow batch that a task returns, about.
 _BATCH_IDS = 500_000
@@ -85,6 +87,20 @@ _WORDS = regex.compile(_pattern(_LETTER, _NUMBER, _SIGN), regex.V1)
 PATTERN = _pattern(r"\p{L}", r"\p{N}", _KNOWN_SIGN)
 _WORDS_WITHOUT = regex.compile(PATTERN)
 _HAS_SIGNS = regex.compile(f"[{_SIGNS}]")
+
+
+def _latin_pattern() -> re.Pattern:
+    """The pattern with Latin-1 characters listed by kind, for the faster ``re`` module."""
+    every = "".join(map(chr, range(256)))
+    letter, number, space = (re.escape("".join(regex.findall(kind, every))) for kind in (r"\p{L}", r"\p{N}", r"\s"))
+    return re.compile(
+        _pattern(f"[{letter}]", f"[{number}]", f"[^{space}{letter}{number}]")
+        .replace(r"\S", f"[^{space}]")
+        .replace(r"\s", f"[{space}]")
+    )
+
+
+_WORDS_LATIN = _latin_pattern()
 _RUNS = {
     "letter": regex.compile(f"{_LETTER}+", regex.V1),
     "number": regex.compile(f"{_NUMBER}+", regex.V1),
@@ -103,18 +119,40 @@ def byte_letters() -> dict[str, int]:
     return letters
 
 
-def _words(text: str) -> regex.Pattern:
+def _words(text: str) -> regex.Pattern | re.Pattern:
     try:
-        text.encode("latin-1")  # the quickest way to see that a text has none of them
+        text.encode("latin-1")  # the quickest way to see that a text has no others
     except UnicodeEncodeError:
         return _WORDS if _HAS_SIGNS.search(text) else _WORDS_WITHOUT
-    return _WORDS_WITHOUT
+    return _WORDS_LATIN
+
+
+class _Memo(dict):
+    """Ids of pre-tokens, encoded when first met. A store that is half of ``MEMO`` full
+    becomes the older half, from which those met again are taken over."""
+
+    def __init__(self, merges: Merges):
+        self._merges = merges
+        self._older: dict[str, tuple[int, ...]] = {}
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        ids = self._older.get(word)
+        if ids is None:
+            if len(word) > MEMO_CHARS:
+                stream = Transducer(self._merges)
+                return (*stream.feed(word.encode()), *stream.finish())
+            ids = tuple(self._merges.encode(word.encode()))
+        if len(self) >= MEMO // 2:
+            self._older = dict(self)
+            self.clear()
+        self[word] = ids
+        return ids
 
 
 class Merges:
     """A merge list over ids, with its sufficient lookahead.
 
-    ``ranks`` maps ``(left id, right id)`` to a rank, ``wholes`` a rank to the
+    ``ranks`` maps ``left id * number of ids + right id`` to a rank, ``wholes`` a rank to the
     merged id; ``token_bytes`` holds the bytes of each id. ``memo`` are the ids of
     pre-tokens met before.
     """
@@ -130,9 +168,9 @@ class Merges:
         self.byte_ids = [0] * 256
         for letter, b in letters.items():
             self.byte_ids[b] = vocabulary[letter]
-        self.ranks: dict[tuple[int, int], int] = {}
+        self.ranks: dict[int, int] = {}  # integers are found faster than pairs
         self.wholes: list[int] = []
-        self.memo: dict[str, list[int]] = {}
+        self.memo = _Memo(self)
         made: dict[int, tuple[int, int]] = {}
         heaviest: dict[int, int] = {}  # by left part: its heaviest chain so far
         self.lookahead = 0
@@ -150,35 +188,43 @@ class Merges:
             heaviest[left] = max(weight, heaviest.get(left, 0))
             self.lookahead = max(self.lookahead, weight)
             made[whole] = (left, right)
-            self.ranks[left, right] = rank
+            self.ranks[left * len(self.token_bytes) + right] = rank
             self.wholes.append(whole)
 
+        # Ranks of the pairs of bytes.
+        n, none = len(self.token_bytes), len(self.wholes)
+        self._first = [self.ranks.get(u * n + v, none) for u in self.byte_ids for v in self.byte_ids]
+
     def encode(self, data: bytes) -> list[int]:
         """Ids of ``data`` as one pre-token."""
-        ids = [self.byte_ids[b] for b in data]
-        return self._merge_long(ids) if len(ids) > 64 else self._merge_short(ids)
-
-    def _merge_short(self, ids: list[int]) -> list[int]:
-        get, none = self.ranks.get, len(self.wholes)
-        found = [get(pair, none) for pair in zip(ids, ids[1:], strict=False)]
+        ids = list(map(self.byte_ids.__getitem__, data))
+        if len(ids) > 64:
+            return self._merge_long(ids)
+        first = self._first
+        return self._merge_short(ids, [first[u << 8 | v] for u, v in zip(data, data[1:], strict=False)])
+
+    def _merge_short(self, ids: list[int], found: list[int]) -> list[int]:
+        """``found``: the rank of each two neighbours."""
+        get, none, n = self.ranks.get, len(self.wholes), len(self.token_bytes)
         while found:
             rank = min(found)
             if rank == none:
                 break
             at = found.index(rank)
-            ids[at : at + 2] = [self.wholes[rank]]
-            del found[at]
+            whole = ids[at] = self.wholes[rank]
+            del ids[at + 1], found[at]
             if at:
-                found[at - 1] = get((ids[at - 1], ids[at]), none)
+                found[at - 1] = get(ids[at - 1] * n + whole, none)
             if at < len(found):
-                found[at] = get((ids[at], ids[at + 1]), none)
+                found[at] = get(whole * n + ids[at + 1], none)
         return ids
 
     def _merge_long(self, ids: list[int]) -> list[int]:
         """The same in n log n: a heap of ranks over a linked list."""
-        get, n = self.ranks.get, len(ids)
+        get, many, n = self.ranks.get, len(self.token_bytes), len(ids)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(rank, i, *pair) for i, pair in enumerate(zip(ids, ids[1:], strict=False)) if (rank := get(pair)) is not None]
+        pairs = enumerate(zip(ids, ids[1:], strict=False))
+        heap = [(rank, i, u, v) for i, (u, v) in pairs if (rank := get(u * many + v)) is not None]
         heapq.heapify(heap)
         while heap:
             rank, i, left, right = heapq.heappop(heap)
@@ -189,10 +235,10 @@ class Merges:
             k = after[i] = after[j]
             if k < n:
                 before[k] = i
-                if (new := get((ids[i], ids[k]))) is not None:
+                if (new := get(ids[i] * many + ids[k])) is not None:
                     heapq.heappush(heap, (new, i, ids[i], ids[k]))
             h = before[i]
-            if h >= 0 and (new := get((ids[h], ids[i]))) is not None:
+            if h >= 0 and (new := get(ids[h] * many + ids[i])) is not None:
                 heapq.heappush(heap, (new, h, ids[h], ids[i]))
         return [t for t in ids if t >= 0]
 
@@ -337,19 +383,7 @@ class Encoder:
             self._encode(_words(text).findall(text), out)
 
     def _encode(self, words: list[str], out: list[int]) -> None:
-        memo = self.merges.memo
-        for word in words:
-            ids = memo.get(word)
-            if ids is None:
-                if len(word) > MEMO_CHARS:
-                    stream = Transducer(self.merges, self._step)
-                    out += stream.feed(word.encode())
-                    out += stream.finish()
-                    continue
-                if len(memo) >= MEMO:
-                    memo.clear()
-                ids = memo[word] = self.merges.encode(word.encode())
-            out += ids
+        out += chain.from_iterable(map(self.merges.memo.__getitem__, words))
 
     def encode(self, text: str, chunk: int = CHUNK) -> Iterator[list[int]]:
         """Ids of a whole text, a piece at a time."""

@@ -53,6 +53,25 @@ def test_every_character_is_of_the_kind_the_library_takes_it_for():
         assert bpe._words(text).findall(text) == [text[a:b] for _, (a, b) in cut(text)]
 
 
+def test_the_latin_pattern_cuts_as_the_general_one():
+    latin = [chr(c) for c in range(256)]
+    text = "".join(f"{a}{b}{a} {b}{b} 's{a}" for a in latin for b in latin)
+    assert bpe._words(text) is bpe._WORDS_LATIN
+    assert bpe._WORDS_LATIN.findall(text) == bpe._WORDS_WITHOUT.findall(text) == bpe._WORDS.findall(text)
+
+
+def test_words_that_come_again_stay_known_when_the_store_is_full(monkeypatch):
+    monkeypatch.setattr(bpe, "MEMO", 40)
+    merges, met = bpe.load_merges.__wrapped__(PATH), []
+    encode = merges.encode
+    monkeypatch.setattr(merges, "encode", lambda data: met.append(data) or encode(data))
+    text = "".join(f" often x{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}{'uvwxyz'[i // 100]}" for i in range(600))
+    encoder = bpe.Encoder(merges)
+    assert [i for ids in encoder.encode(text) for i in ids] == library(text)
+    assert met.count(b" often") == 1 and len(met) == 601
+    assert len(merges.memo) + len(merges.memo._older) <= 40
+
+
 @pytest.mark.parametrize(
     "text",
     ["a" * 6000, "ab" * 4000, " " + "=" * 9000, " " * 7000 + "x", "\n" * 5000, " \n" * 4000 + "\nx", "'" * 6000,
